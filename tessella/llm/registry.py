@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import byte_bpe, max_score, url_filter
+from tessella.llm import byte_bpe, importance, max_score, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_max_score": max_score.op4_max_score,
         "op5_url_filter": url_filter.op5_url_filter,
+        "op8_importance_resampling": importance.op8_importance_resampling,
         "op9_byte_bpe": byte_bpe.op9_byte_bpe,
     }
 
