@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import byte_bpe, importance, max_score, url_filter
+from tessella.llm import byte_bpe, importance, max_score, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": toxicity.op1_toxicity,
         "op4_max_score": max_score.op4_max_score,
         "op5_url_filter": url_filter.op5_url_filter,
         "op8_importance_resampling": importance.op8_importance_resampling,
