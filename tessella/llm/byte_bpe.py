@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
@@ -30,7 +31,7 @@ from tessella.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Words that one recursive query takes, and pieces a worker remembers.
-WORDS, KEPT = 40_000, 2_000_000
+WORDS, KEPT = 20_000, 1_200_000
 
 CONTRACT = """
 WITH RECURSIVE bpe(word, tokens) USING KEY (word) AS (
@@ -65,7 +66,7 @@ class Codec:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.pattern = regex.compile(pattern)
         self.single = [ranks[bytes([b])] for b in range(256)]
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "600MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         # a pair's rank is the id of what it makes
         merges = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         first, second, made = zip(*merges, strict=True)
@@ -120,7 +121,9 @@ class Codec:
     def decode(self, ids: list[str]) -> list[bytes]:
         """The bytes of each row of decimal ids."""
         out = [b""] * len(ids)
-        coded = pa.table({"row": range(len(ids)), "ids": pa.array([list(map(int, x.split())) for x in ids], pa.list_(pa.int64()))})
+        numbers = np.fromstring(" ".join(ids), dtype=np.int64, sep=" ")
+        ends = np.cumsum([0, *[x.count(" ") + 1 if x else 0 for x in ids]], dtype=np.int32)
+        coded = pa.table({"row": range(len(ids)), "ids": pa.ListArray.from_arrays(ends, numbers)})
         self.con.register("coded", coded)
         found = self.con.execute(DECODE).fetchall()
         self.con.unregister("coded")
@@ -140,7 +143,7 @@ def _default(vocabulary: str | None) -> tuple[str, str]:
     return vocabulary or public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
 
 
-def _batches(pdf: pd.DataFrame, most: int = 8_000_000) -> Iterator[pd.DataFrame]:
+def _batches(pdf: pd.DataFrame, most: int = 3_000_000) -> Iterator[pd.DataFrame]:
     """Rows whose texts together have about ``most`` characters at most, one row at least."""
     total = pdf.iloc[:, 1].str.len().cumsum() // most
     for _, some in pdf.groupby(total, sort=True):
