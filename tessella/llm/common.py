@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.sources.tables import table
 
-__all__ = ["ensure_checkpoint_dir", "mod20", "pick", "table"]
+__all__ = ["cut", "mod20", "pick", "shared_folder", "table"]
+
+
+def shared_folder(spark: SparkSession, fallback: str = "/tmp/checkpoints") -> str:
+    """The folder of ``spark.checkpoint.dir``, which all executors share; ``fallback`` only where the session names none."""
+    return spark.conf.get("spark.checkpoint.dir", None) or fallback
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/checkpoints") -> None:
-    """Use the folder of ``spark.checkpoint.dir``; set ``fallback`` only where the session names none."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", fallback))
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a table in the shared folder and read again: its lineage ends there, and a lost executor loses nothing."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:

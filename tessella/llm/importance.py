@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm.common import ensure_checkpoint_dir, pick, table
+from tessella.llm.common import cut, pick, table
 from tessella.llm.words import Memo, batches, mix, number, starts
 
 BUCKETS, SAMPLE, KEEP, SEED = 1 << 16, 20_000, 0.998, 17
@@ -139,11 +139,10 @@ def kth_largest(keys: DataFrame, k: int, key: str = "key", bins: int = 1024, few
 def resample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, n_words, log_weight, gumbel_key, kept): ``kept`` marks the Gumbel top-k sample."""
     spark = docs.sparkSession
-    ensure_checkpoint_dir(spark)
     few = sampled_labels(labels)
     docs = pick(docs, "doc_id", "text").join(F.broadcast(few), "doc_id", "left")  # SAMPLE rows at most
     model = counts(docs.withColumn("good", F.coalesce(F.col("quality") == 1, F.lit(False)))).toPandas()
-    weights = weigh(docs, log_ratios(model), "quality").checkpoint()
+    weights = cut(weigh(docs, log_ratios(model), "quality"), "weights")
     cut = cut_of(weights.where("quality IS NOT NULL").limit(4 * SAMPLE).toPandas())
     mean = F.col("log_weight") / F.greatest("n_words", F.lit(SHORT))
     uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(SEED)), 11).cast("double") + 0.5) / float(2**53)

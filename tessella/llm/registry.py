@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import byte_bpe, importance, max_score, templates, toxicity, url_filter
+from tessella.llm import byte_bpe, importance, max_score, near_duplicates, templates, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_toxicity": toxicity.op1_toxicity,
         "op4_max_score": max_score.op4_max_score,
         "op5_url_filter": url_filter.op5_url_filter,
+        "op7_near_duplicates": near_duplicates.op7_near_duplicates,
         "op8_importance_resampling": importance.op8_importance_resampling,
         "op9_byte_bpe": byte_bpe.op9_byte_bpe,
         "op10_template_decontamination": templates.op10_template_decontamination,
