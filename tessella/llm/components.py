@@ -30,7 +30,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of the edges (u, v); a component is named by its least node."""
     edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-    before = None
+    edges, before = cut(edges, "edges"), None
     while True:
         edges = cut(_small_star(_large_star(edges)), "edges")
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
