@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import byte_bpe, importance, max_score, near_duplicates, pii, templates, toxicity, url_filter
+from tessella.llm import byte_bpe, importance, max_score, near_duplicates, pii, repeats, templates, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": toxicity.op1_toxicity,
         "op2_pseudonyms": pii.op2_pseudonyms,
+        "op3_repeats": repeats.op3_repeats,
         "op4_max_score": max_score.op4_max_score,
         "op5_url_filter": url_filter.op5_url_filter,
         "op7_near_duplicates": near_duplicates.op7_near_duplicates,
@@ -25,6 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_pseudonyms": pii.op2_pseudonyms,
+        "op3_repeats": repeats.op3_repeats,
         "op4_max_score": max_score.SQL,
         "op5_url_filter": url_filter.SQL,
     }
