@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import byte_bpe, importance, max_score, near_duplicates, pii, repeats, templates, toxicity, url_filter
+from tessella.llm import byte_bpe, html_text, importance, max_score, near_duplicates, pii, repeats, templates, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_repeats": repeats.op3_repeats,
         "op4_max_score": max_score.op4_max_score,
         "op5_url_filter": url_filter.op5_url_filter,
+        "op6_html_text": html_text.op6_html_text,
         "op7_near_duplicates": near_duplicates.op7_near_duplicates,
         "op8_importance_resampling": importance.op8_importance_resampling,
         "op9_byte_bpe": byte_bpe.op9_byte_bpe,
