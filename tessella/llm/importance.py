@@ -143,11 +143,11 @@ def resample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     docs = pick(docs, "doc_id", "text").join(F.broadcast(few), "doc_id", "left")  # SAMPLE rows at most
     model = counts(docs.withColumn("good", F.coalesce(F.col("quality") == 1, F.lit(False)))).toPandas()
     weights = cut(weigh(docs, log_ratios(model), "quality"), "weights")
-    cut = cut_of(weights.where("quality IS NOT NULL").limit(4 * SAMPLE).toPandas())
+    bound = cut_of(weights.where("quality IS NOT NULL").limit(4 * SAMPLE).toPandas())
     mean = F.col("log_weight") / F.greatest("n_words", F.lit(SHORT))
     uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(SEED)), 11).cast("double") + 0.5) / float(2**53)
     # the sum of a weight and a Gumbel variable; the cut is the origin, so that a text's length does not decide which side it is on
-    centred = (mean - cut) * F.greatest("n_words", F.lit(SHORT)) if np.isfinite(cut) else F.lit(0.0)
+    centred = (mean - bound) * F.greatest("n_words", F.lit(SHORT)) if np.isfinite(bound) else F.lit(0.0)
     keyed = weights.withColumn("centred", centred).withColumn("gumbel_key", F.round(F.col("centred") * 4 - F.log(-F.log(uniform)), 9))
     k = keyed.where("centred >= 0").count()
     least = kth_largest(keyed, k, "gumbel_key")
