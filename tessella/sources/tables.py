@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table of ``sf_dir``, which may be any path that Spark's readers open."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a table under ``spark.checkpoint.dir`` and read again, so that its lineage ends there."""
+    path = f"{df.sparkSession.conf.get('spark.checkpoint.dir', None) or '/tmp/checkpoints'}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
