@@ -40,7 +40,7 @@ LENGTH, GRAM = 200, 50
 GRAMS = LENGTH - GRAM + 1
 SIDE = GRAMS - 1
 #: Classes of one gram that one task compares at most.
-HOT = 2_000
+HOT = 50_000
 #: Passages of a piece of a long text, and bytes of pieces that are worked on together.
 PIECE, TOGETHER = 1 << 16, 1 << 18
 
@@ -128,11 +128,11 @@ FULL, EDGE, BUSY = 1, 2, 4
 def marked(docs: DataFrame) -> DataFrame:
     """(doc, at, g, kind) of the runs that repeat in full (FULL) or must be compared (EDGE; with BUSY: passage by passage)."""
     every = runs(docs)
-    again = every.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
+    again = cut(every.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"), "grams")  # a table, so that the join can split a hot gram
     again = cut(every.join(again, "g", "left_semi"), "runs")
     classes = again.groupBy("g", "f").agg(F.count("*").alias("n"), F.min("doc").alias("one"))
     grams = classes.groupBy("g").agg(F.count("*").alias("classes"), F.min("n").alias("least")).where("classes > 1 AND least = 1").select("g", "classes")
-    classes = classes.join(grams, "g", "left")
+    classes = cut(classes.join(grams, "g", "left"), "classes")
     edge = F.col("classes").isNotNull() & ((F.col("n") == 1) | (F.col("doc") == F.col("one")))
     kind = F.when(F.col("n") > 1, FULL).otherwise(0) + F.when(edge, F.when(F.col("classes") > HOT, EDGE + BUSY).otherwise(EDGE)).otherwise(0)
     return again.join(classes, ["g", "f"]).select("doc", "at", F.when(edge, F.col("g")).alias("g"), kind.alias("kind")).where("kind > 0")
@@ -154,10 +154,18 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 #: Rows of the second pass over the texts: decided texts, texts with edges, and edges.
 DECIDED, OPEN, CONTEXT = 0, 1, 2
-SECOND = "row int, doc_id bigint, doc bigint, checksum int, body binary, spans array<bigint>, g bigint, kind int, start bigint, front binary, behind binary"
+SECOND = "row int, doc_id bigint, doc bigint, checksum int, body binary, spans array<bigint>, g bigint, kind int, start bigint, front binary, behind binary, n_bytes bigint, kept binary, kept_sha256 string"
+DONE = ("doc_id", "n_bytes", "spans", "kept", "kept_sha256")
 
 
-def _second(docs: DataFrame, marks: DataFrame) -> DataFrame:
+def _without(body: bytes, spans: list[int], with_text: bool) -> tuple[int, bytes | None, str]:
+    """Bytes of a text, what is left of it without its spans (if asked for), and the digest of that."""
+    places = [0, *spans, len(body)]
+    kept = b"".join(body[a:b] for a, b in zip(places[::2], places[1::2], strict=True))
+    return len(body), kept if with_text else None, hashlib.sha256(kept).hexdigest()
+
+
+def _second(docs: DataFrame, marks: DataFrame, with_text: bool) -> DataFrame:
     lists = marks.groupBy("doc").agg(F.collect_set(F.struct("at", "g", "kind")).alias("marks"))
     lists = lists.select("doc", *[F.col(f"marks.{c}").alias(c) for c in ("at", "g", "kind")])
     joined = _texts(docs).join(lists, "doc", "left")
@@ -171,7 +179,7 @@ def _second(docs: DataFrame, marks: DataFrame) -> DataFrame:
                     doc_id = None if pd.isna(doc_id) else int(doc_id)
                     own = _checksum(body)
                     if at is None:
-                        out.append((DECIDED, doc_id, doc, own, body, [], None, 0, 0, None, None))
+                        out.append((DECIDED, doc_id, doc, own, None, [], None, 0, 0, None, None, *_without(body, [], with_text)))
                         continue
                     start, front, n, sums = _unpacked(np.asarray(at, np.int64))
                     right, kinds = sums == own, np.asarray(kinds)
@@ -179,11 +187,12 @@ def _second(docs: DataFrame, marks: DataFrame) -> DataFrame:
                     spans = _merged(list(zip(start[full].tolist(), (start + n + LENGTH - 1)[full].tolist(), strict=True)))
                     edges = np.flatnonzero(right & ((kinds & EDGE) > 0))
                     undecided = bool((right & (kinds & FULL == 0)).any())
-                    out.append((OPEN if undecided else DECIDED, doc_id, doc, own, body, [x for s in spans for x in s], None, 0, 0, None, None))
+                    spans = [x for s in spans for x in s]
+                    out.append((OPEN, doc_id, doc, own, body, spans, None, 0, 0, None, None, None, None, None) if undecided else (DECIDED, doc_id, doc, own, None, spans, None, 0, 0, None, None, *_without(body, spans, with_text)))
                     for i in edges.tolist():
                         s, a, e = int(start[i]), int(start[i] + front[i]), int(start[i] + n[i]) + LENGTH - 1
-                        out.append((CONTEXT, None, doc, own, body[a : a + GRAM] if kinds[i] & BUSY else None, None, int(gs[i]), int(kinds[i]), s, body[s:a][::-1], body[a + GRAM : e]))
-                yield pd.DataFrame(out, columns=[c.split()[0] for c in SECOND.split(", ")]).astype({"doc_id": "Int64", "g": "Int64"})
+                        out.append((CONTEXT, None, doc, own, body[a : a + GRAM] if kinds[i] & BUSY else None, None, int(gs[i]), int(kinds[i]), s, body[s:a][::-1], body[a + GRAM : e], None, None, None))
+                yield pd.DataFrame(out, columns=[c.split()[0] for c in SECOND.split(", ")]).astype({"doc_id": "Int64", "g": "Int64", "n_bytes": "Int64"})
 
     return joined.mapInPandas(run, SECOND)
 
@@ -292,33 +301,29 @@ def _busy_spans(contexts: DataFrame) -> DataFrame:
     return passages.join(again, ["h1", "h2"], "left_semi").select("doc", "checksum", "first", (F.col("first") + LENGTH).alias("last"))
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, body, spans array<bigint>) of every row: its bytes, and first and last of each maximal repeated run in turn."""
-    second = cut(_second(pick(docs, "doc_id", "text"), marked(docs)), "texts")
+def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
+    """(doc_id, n_bytes, spans array<bigint>, kept, kept_sha256) of every row.
+
+    ``spans`` has first and last of each maximal run of repeated bytes in turn; ``kept`` are the other bytes, if ``with_text``.
+    """
+    second = cut(_second(pick(docs, "doc_id", "text"), marked(docs), with_text), "texts")
     contexts = second.where(F.col("row") == CONTEXT)
     spans = _edge_spans(contexts).unionByName(_busy_spans(contexts)).groupBy("doc", "checksum").agg(F.collect_set(F.struct("first", "last")).alias("more"))
     waiting = second.where(F.col("row") == OPEN).select("doc_id", "doc", "checksum", "body", "spans").join(spans, ["doc", "checksum"], "left")
-    waiting = waiting.select("doc_id", "body", F.concat("spans", F.coalesce(F.flatten(F.transform("more", lambda s: F.array(s["first"], s["last"]))), F.array().cast("array<bigint>"))).alias("spans"))
-    rows = second.where(F.col("row") == DECIDED).select("doc_id", "body", "spans").unionByName(waiting)
+    more = F.coalesce(F.flatten(F.transform("more", lambda s: F.array(s["first"], s["last"]))), F.array().cast("array<bigint>"))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
+        for pdf in filter(len, parts):
             merged = [[x for s in _merged(list(zip(v[::2], v[1::2], strict=True))) for x in s] for v in map(np.ndarray.tolist, pdf.spans)]
-            yield pdf.assign(spans=merged)
+            n, kept, digests = zip(*[_without(b, s, with_text) for b, s in zip(pdf.body, merged, strict=True)], strict=True)
+            yield pd.DataFrame({"doc_id": pdf.doc_id, "n_bytes": n, "spans": merged, "kept": list(kept), "kept_sha256": digests})
 
-    return rows.mapInPandas(run, "doc_id bigint, body binary, spans array<bigint>")
+    done = waiting.select("doc_id", "body", F.concat("spans", more).alias("spans")).mapInPandas(run, "doc_id bigint, n_bytes bigint, spans array<bigint>, kept binary, kept_sha256 string")
+    return second.where(F.col("row") == DECIDED).select(*DONE).unionByName(done)
 
 
 def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without its repeated passages, as sizes and a digest."""
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            out = []
-            for doc_id, body, spans in zip(pdf.doc_id, pdf.body, map(np.ndarray.tolist, pdf.spans), strict=True):
-                places = [0, *spans, len(body)]
-                kept = b"".join(body[a:b] for a, b in zip(places[::2], places[1::2], strict=True))
-                out.append((None if pd.isna(doc_id) else int(doc_id), len(body), len(body) - len(kept), len(spans) // 2, hashlib.sha256(kept).hexdigest()))
-            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]).astype({"doc_id": "Int64"})
-
-    return repeated_spans(table(spark, sf_dir, "documents")).mapInPandas(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    out = remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-1).cast("bigint").alias("sign")), lambda s, x: F.struct((s["n"] + s["sign"] * x).alias("n"), (-s["sign"]).alias("sign")), lambda s: s["n"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.floor(F.size("spans") / 2).alias("n_spans"), "kept_sha256")
