@@ -7,8 +7,8 @@ and contracts each word's leftmost pair of the least rank, until no pair of the
 keeps the last state only, so memory follows the words, not the steps. Decoding joins id-position rows with the vocabulary and
 concatenates by an ordered aggregation.
 
-What a worker has learned of words and pieces is kept for later batches up to ``KEPT`` entries, then dropped; results do not
-depend on it. Rows: a null text is empty; an empty text has no ids; texts of any length are encoded whole; extra columns are not
+What a worker has learned of words and pieces is kept for later batches in two generations of ``KEPT`` entries at most; what was
+not met during a whole generation is dropped. Results do not depend on it. Rows: a null text is empty; an empty text has no ids; texts of any length are encoded whole; extra columns are not
 read; an empty table gives no rows.
 """
 
@@ -31,7 +31,7 @@ from tessella.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Words that one recursive query takes, and pieces a worker remembers.
-WORDS, KEPT = 20_000, 1_200_000
+WORDS, KEPT = 5_000, 150_000
 
 CONTRACT = """
 WITH RECURSIVE bpe(word, tokens) USING KEY (word) AS (
@@ -66,7 +66,7 @@ class Codec:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.pattern = regex.compile(pattern)
         self.single = [ranks[bytes([b])] for b in range(256)]
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "150MB"})
         # a pair's rank is the id of what it makes
         merges = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         first, second, made = zip(*merges, strict=True)
@@ -76,6 +76,8 @@ class Codec:
         self._table("vocabulary", pa.table({"token": list(ranks.values()), "bytes": texts}))
         self.words: dict[str, str] = {}
         self.pieces: dict[str, str] = {}
+        self.old_words: dict[str, str] = {}
+        self.old_pieces: dict[str, str] = {}
 
     def _table(self, name: str, rows: pa.Table) -> None:
         self.con.register("rows", rows)
@@ -96,17 +98,29 @@ class Codec:
 
     def _learn(self, pieces: set[str]) -> None:
         """Put what is new among the pieces into ``pieces``: their ids, each after a space."""
-        new = [p for p in pieces if p not in self.pieces]
+        if len(self.pieces) > KEPT or len(self.words) > KEPT:
+            self.old_pieces, self.old_words, self.pieces, self.words = self.pieces, self.words, {}, {}
+        new = []
+        for p in pieces:
+            if p not in self.pieces:
+                if p in self.old_pieces:
+                    self.pieces[p] = self.old_pieces[p]
+                else:
+                    new.append(p)
         cut = [self.pattern.findall(p) for p in new]
-        words = list({w for c in cut for w in c if w not in self.words})
+        words = []
+        for w in {w for c in cut for w in c}:
+            if w not in self.words:
+                if w in self.old_words:
+                    self.words[w] = self.old_words[w]
+                else:
+                    words.append(w)
         self.words |= {w: "".join(f" {i}" for i in ids) for w, ids in zip(words, self.contract([w.encode() for w in words]), strict=True)}
         known = self.words
         self.pieces |= {p: "".join([known[w] for w in c]) for p, c in zip(new, cut, strict=True)}
 
     def encode(self, texts: list[str]) -> list[str]:
         """Each text's ids in decimals, joined by single spaces."""
-        if len(self.pieces) + len(self.words) > KEPT:
-            self.pieces, self.words = {}, {}
         cut = []
         for text in texts:
             parts = text.split(" ")
@@ -143,7 +157,7 @@ def _default(vocabulary: str | None) -> tuple[str, str]:
     return vocabulary or public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
 
 
-def _batches(pdf: pd.DataFrame, most: int = 3_000_000) -> Iterator[pd.DataFrame]:
+def _batches(pdf: pd.DataFrame, most: int = 1_000_000) -> Iterator[pd.DataFrame]:
     """Rows whose texts together have about ``most`` characters at most, one row at least."""
     total = pdf.iloc[:, 1].str.len().cumsum() // most
     for _, some in pdf.groupby(total, sort=True):

@@ -8,7 +8,7 @@ import numpy as np
 import xxhash
 
 #: Entries that a worker remembers at most; beyond that it starts anew, with the same results.
-KEPT = 1_000_000
+KEPT = 200_000
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
