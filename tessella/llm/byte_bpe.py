@@ -31,7 +31,7 @@ from tessella.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Words that one recursive query takes, and pieces a worker remembers.
-WORDS, KEPT = 5_000, 150_000
+WORDS, KEPT = 20_000, 400_000
 
 CONTRACT = """
 WITH RECURSIVE bpe(word, tokens) USING KEY (word) AS (
@@ -66,7 +66,7 @@ class Codec:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.pattern = regex.compile(pattern)
         self.single = [ranks[bytes([b])] for b in range(256)]
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "150MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         # a pair's rank is the id of what it makes
         merges = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         first, second, made = zip(*merges, strict=True)
@@ -157,7 +157,7 @@ def _default(vocabulary: str | None) -> tuple[str, str]:
     return vocabulary or public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
 
 
-def _batches(pdf: pd.DataFrame, most: int = 1_000_000) -> Iterator[pd.DataFrame]:
+def _batches(pdf: pd.DataFrame, most: int = 3_000_000) -> Iterator[pd.DataFrame]:
     """Rows whose texts together have about ``most`` characters at most, one row at least."""
     total = pdf.iloc[:, 1].str.len().cumsum() // most
     for _, some in pdf.groupby(total, sort=True):
