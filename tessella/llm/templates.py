@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm.common import pick, table
-from tessella.llm.words import Memo, batches, number, windows
+from tessella.llm.words import KEPT, Memo, batches, number, windows
 
 WIDTH, SHARE, SHARD = 5, 0.8, 500_000
 #: Units that follow a number.
@@ -73,6 +73,48 @@ def canonical(text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
     return h[keep], ((kind == SLOT) | unit | name)[keep], [v for v, k in zip(values, keep, strict=True) if k]
 
 
+class Learned:
+    """Numbers and kinds of the chunks met so far, in arrays by place; started anew before a batch when there are more than ``KEPT``."""
+
+    def __init__(self) -> None:
+        self.places: dict[str, int] = {}
+        self.tables: list[np.ndarray] = []
+
+    def look_up(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Number, kind, end of sentence and text of every chunk of the texts, in a row."""
+        if len(self.places) > KEPT:
+            self.__init__()
+        cut = [t.split() for t in texts]
+        places = self.places
+        new = [c for c in {c for chunks in cut for c in chunks} if c not in places]
+        if new or not self.tables:
+            found = [(h, kind, ends) for h, kind, ends, _ in map(_chunk, new)] or [(0, PLAIN, False)]
+            columns = [np.array(x, t) for x, t in zip(zip(*found, strict=True), (np.uint64, np.int8, bool), strict=True)]
+            if not new:
+                columns = [c[:0] for c in columns]
+            self.tables = [np.concatenate([a, b]) for a, b in zip(self.tables, columns, strict=True)] if self.tables else columns
+            places.update(zip(new, range(len(places), len(places) + len(new)), strict=True))
+        n = [len(c) for c in cut]
+        flat = np.fromiter((places[c] for chunks in cut for c in chunks), np.int64, sum(n))
+        return *(t[flat] for t in self.tables), np.repeat(np.arange(len(texts)), n)
+
+
+_learned = Learned()
+
+
+def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the tokens of all texts in a row, as ``canonical`` makes them, and which text each belongs to."""
+    h, kind, ends, text = _learned.look_up(texts)
+    if not len(h):
+        return h, text
+    first = np.append(True, text[1:] != text[:-1])
+    before = first | np.append(False, ends[:-1])
+    amount = ~first & np.append(False, h[:-1] == NUM)
+    h = np.where((kind == MAYBE_UNIT) & amount, UNIT, np.where((kind == MAYBE_NAME) & ~before, NAME, h))
+    keep = h != 0
+    return h[keep], text[keep]
+
+
 class Shard:
     """Windows of some items: sorted hashes, a bit table in front of them, and where each window stands."""
 
@@ -96,26 +138,29 @@ class Shard:
         self.bits = np.zeros(1 << 20, bool)
         self.bits[(self.hashes >> np.uint64(44)).astype(np.int64)] = True
 
-    def leaks(self, text: str) -> list[tuple[int, float, bool]]:
-        """(item id, share of its windows, consistent) of the items of which the text has enough windows."""
-        h, slot, values = canonical(text)
-        hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        seen: dict[int, set[int]] = defaultdict(set)
+    def leaks(self, texts: list[str]) -> list[list[tuple[int, float, bool]]]:
+        """For each text, (item id, share of its windows, consistent) of the items of which it has enough windows."""
+        h, text = tokens(texts)
+        first = np.searchsorted(text, np.arange(len(texts)))
+        hits: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
+        seen: dict[tuple[int, int], set[int]] = defaultdict(set)
         for width in self.widths:
             own = windows(h, width)
-            maybe = np.flatnonzero(self.bits[(own >> np.uint64(44)).astype(np.int64)])
+            maybe = np.flatnonzero(self.bits[(own >> np.uint64(44)).astype(np.int64)] & (text[: len(own)] == text[width - 1 :]))
             for place in maybe.tolist():
                 w = int(own[place])
                 for key, there in self.at.get(w, ()):
                     if self.slots[key][2] == width:
-                        hits[key].append((place, there))
-                        seen[key].add(w)
-        out = []
-        for key, pairs in hits.items():
-            share = len(seen[key]) / self.size[key]
+                        pair = int(text[place]), key
+                        hits[pair].append((place - int(first[pair[0]]), there))
+                        seen[pair].add(w)
+        out: list[list[tuple[int, float, bool]]] = [[] for _ in texts]
+        for (of, key), pairs in hits.items():
+            share = len(seen[of, key]) / self.size[key]
             if share >= SHARE:
+                _, slot, values = canonical(texts[of])
                 item_slot, item_values, width = self.slots[key]
-                out.append((self.ids[key], share, _consistent(pairs, width, item_slot, item_values, slot, values)))
+                out[of].append((self.ids[key], share, _consistent(pairs, width, item_slot, item_values, slot, values)))
         return out
 
 
@@ -165,7 +210,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD) -> DataFr
         def run(parts: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             for pdf in parts:
                 for some in batches(pdf):
-                    items = [[{"item_id": i, "share": s, "consistent": c} for i, s, c in sorted(shared.value.leaks(t))] for t in some["_text"]]
+                    items = [[{"item_id": i, "share": s, "consistent": c} for i, s, c in sorted(found)] for found in shared.value.leaks(some["_text"].tolist())]
                     yield pd.DataFrame({"doc_id": some["doc_id"], "items": items})
 
         found.append(rows.mapInPandas(run, f"doc_id bigint, items {kind}"))
