@@ -26,8 +26,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op2_pseudonyms": pii.op2_pseudonyms,
-        "op3_repeats": repeats.op3_repeats,
         "op4_max_score": max_score.SQL,
         "op5_url_filter": url_filter.SQL,
     }
