@@ -1,11 +1,12 @@
 """MinHash near-duplicates: universal hash minima with banding, signature verification, exact confirmation and components.
 
-1. Each text becomes a set of 5-word shingles (64-bit hashes) and ``BANDS`` x ``ROWS`` minima of multiplicative 32-bit hashes.
+1. Each text becomes a set of 5-word shingles (64-bit hashes) and, in bands of some rows, minima of multiplicative 32-bit hashes.
    Texts of equal sets form one class at once, by a partial aggregation over a 128-bit hash of the set, so a group of exact
    copies of any size costs one row.
 2. A band of minima that several classes share links all of them to the bucket's least class (a star, not all pairs). The
    components of these candidate links, by large-star and small-star, are clusters: two classes that share a band are always in
-   one cluster. With the default 32 bands of 7 rows, two sets of similarity 0.85 share none with probability 4e-6.
+   one cluster. Bands and rows follow the threshold (``shape``): two sets at the threshold share none with probability ``MISS``
+   at most (36 bands of 7 rows at 0.85, 35 of 5 at 0.80).
 3. The classes of a cluster meet with their full sets. Pairs whose signatures agree far less than the threshold asks for (six
    standard deviations) are left out; the others are confirmed by their exact intersection. Small clusters are one group; a
    cluster beyond ``MEMBERS`` classes or ``SHINGLES`` shingles is dealt into blocks, and each pair of blocks is a task of its
@@ -20,6 +21,8 @@ are not read; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from math import ceil, log, log1p
 
 import numpy as np
 import pandas as pd
@@ -32,12 +35,29 @@ from tessella.llm.components import components
 from tessella.llm.words import Memo, batches, number, windows
 
 WIDTH, PERCENT = 5, 85
-BANDS, ROWS, SEED = 32, 7, 5
+#: Pairs at the threshold that share no band, at most, and hash functions that bands and rows may take together.
+MISS, HASHES, SEED = 1e-6, 256, 5
 MEMBERS, SHINGLES = 1_000, 1_000_000
 
 _numbers = Memo(number)
-_A = np.random.default_rng(SEED).integers(1, 2**31, BANDS * ROWS).astype(np.uint32) * np.uint32(2) + np.uint32(1)
-_B = np.random.default_rng(SEED + 1).integers(0, 2**32, BANDS * ROWS).astype(np.uint32)
+
+
+@lru_cache
+def shape(percent: int) -> tuple[int, int]:
+    """(bands, rows) for a threshold: the most rows whose bands, enough for ``MISS``, stay within ``HASHES``; one row otherwise."""
+    if not 1 <= percent <= 100:
+        raise ValueError(f"percent must be from 1 to 100, not {percent}")
+    if percent == 100:  # equal sets are one class already
+        return 1, 1
+    found = [(ceil(log(MISS) / log1p(-((percent / 100) ** rows))), rows) for rows in range(1, 65)]
+    return max((f for f in found if f[0] * f[1] <= HASHES), key=lambda f: f[1], default=found[0])
+
+
+@lru_cache
+def _functions(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and summands of ``n`` hash functions."""
+    a = np.random.default_rng(SEED).integers(1, 2**31, n).astype(np.uint32) * np.uint32(2) + np.uint32(1)
+    return a, np.random.default_rng(SEED + 1).integers(0, 2**32, n).astype(np.uint32)
 
 
 def shingles(texts: list[str], width: int = WIDTH) -> list[np.ndarray]:
@@ -54,25 +74,26 @@ def shingles(texts: list[str], width: int = WIDTH) -> list[np.ndarray]:
     return out
 
 
-def minima(sets: list[np.ndarray]) -> np.ndarray:
-    """The signature of each set, which must not be empty: its least value under every hash function."""
-    out = np.empty((len(sets), BANDS * ROWS), np.uint32)
+def minima(sets: list[np.ndarray], n: int) -> np.ndarray:
+    """The signature of each set, which must not be empty: its least value under each of ``n`` hash functions."""
+    a, b = _functions(n)
+    out = np.empty((len(sets), n), np.uint32)
     sizes = np.array([len(s) for s in sets])
     for some in np.array_split(np.arange(len(sets)), max(1, int(sizes.sum()) // 50_000)):
         if len(some):
             x = (np.concatenate([sets[i] for i in some]) >> np.uint64(29)).astype(np.uint32)
             first = np.concatenate([[0], np.cumsum(sizes[some])[:-1]])
-            for j in range(BANDS * ROWS):
-                out[some, j] = np.minimum.reduceat(x * _A[j] + _B[j], first)
+            for j in range(n):
+                out[some, j] = np.minimum.reduceat(x * a[j] + b[j], first)
     return out
 
 
-def bands(signatures: np.ndarray) -> np.ndarray:
-    """One number for each band of a signature."""
-    rows = signatures.reshape(len(signatures), BANDS, ROWS).astype(np.uint64)
-    keys = np.zeros(rows.shape[:2], np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64)
+def bands(signatures: np.ndarray, n: int) -> np.ndarray:
+    """One number for each of the ``n`` bands of a signature."""
+    rows = signatures.reshape(len(signatures), n, -1).astype(np.uint64)
+    keys = np.zeros(rows.shape[:2], np.uint64) + np.arange(1, n + 1, dtype=np.uint64)
     with np.errstate(over="ignore"):
-        for r in range(ROWS):
+        for r in range(rows.shape[2]):
             keys = (keys ^ rows[:, :, r]) * np.uint64(0x9E3779B97F4A7C15)
             keys ^= keys >> np.uint64(29)
     return keys.view(np.int64)
@@ -87,8 +108,9 @@ def _texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("_text"), *more)
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, h1, h2, bands) of every row; ``bands`` is empty for an empty set."""
+    n, rows = shape(percent)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
@@ -96,7 +118,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 sets = shingles(some["_text"].tolist())
                 full = [i for i, s in enumerate(sets) if len(s)]
                 keys: list = [[]] * len(sets)
-                for i, k in zip(full, bands(minima([sets[i] for i in full])) if full else [], strict=True):
+                for i, k in zip(full, bands(minima([sets[i] for i in full], n * rows), n) if full else [], strict=True):
                     keys[i] = k
                 h1, h2 = zip(*map(_set_hash, sets), strict=True)
                 yield pd.DataFrame({"doc_id": some["doc_id"], "n_shingles": [len(s) for s in sets], "h1": h1, "h2": h2, "bands": keys})
@@ -115,7 +137,8 @@ def clusters(classes: DataFrame) -> DataFrame:
 def _linked(a: list[np.ndarray], b: list[np.ndarray], same: bool, percent: int) -> np.ndarray:
     """Pairs (i of a, j of b) whose exact similarity reaches the threshold; i < j where both are the same list."""
     na, nb = np.array([len(s) for s in a]), np.array([len(s) for s in b])
-    sa, sb = minima(a).astype(np.uint8), minima(b).astype(np.uint8)
+    hashes = max(64, np.prod(shape(percent)))
+    sa, sb = minima(a, hashes).astype(np.uint8), minima(b, hashes).astype(np.uint8)
     agree = np.zeros((len(a), len(b)), np.int16)
     for j in range(sa.shape[1]):
         agree += sa[:, j, None] == sb[None, :, j]
@@ -203,7 +226,7 @@ def confirmed(docs: DataFrame, classes: DataFrame, clustered: DataFrame, percent
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row: kept is the least doc_id of its component."""
     docs = pick(docs, "doc_id", "text")
-    rows = cut(signatures(docs), "signatures")
+    rows = cut(signatures(docs, percent), "signatures")
     classes = rows.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
     classes = cut(classes.where("rep IS NOT NULL"), "classes")
     links = confirmed(docs, classes, cut(clusters(classes), "clusters"), percent)

@@ -70,6 +70,28 @@ def test_near_duplicates_against_brute_force(docs, texts):
     near_duplicates.MEMBERS = 1_000
 
 
+def test_near_duplicate_stage_links_from_80_percent(spark):
+    import corpus_pipeline
+
+    def shared(a, b):
+        a, b = ({tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (a.split(), b.split()))
+        return len(a & b) / len(a | b)
+
+    base = [f"w{i}" for i in range(104)]  # 100 shingles; a change inside breaks 5, one at the end 1
+    changed = lambda *at: " ".join("changed" if i in at else w for i, w in enumerate(base))
+    texts = [" ".join(base), changed(20, 60), " ".join(f"v{i}" for i in range(104)), " ".join(f"v{i}" if i not in (20, 50, 80) else "x" for i in range(104))]
+    assert 0.80 <= shared(*texts[:2]) < 0.85 and shared(*texts[2:]) < 0.80
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.keep_one_of_each(spark, df, "").collect()) == [0, 2, 3]
+    assert sorted(r.doc_id for r in near_duplicates.near_duplicates(df).where("kept").collect()) == [0, 1, 2, 3]
+
+
+def test_bands_follow_the_threshold():
+    for percent in range(1, 100):
+        n, rows = near_duplicates.shape(percent)
+        assert (1 - (percent / 100) ** rows) ** n <= 1e-6 and (n * rows <= near_duplicates.HASHES or rows == 1)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(7, 7), (None, 3)]
     out = dict(map(tuple, components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()))
