@@ -1,11 +1,13 @@
 """Benchmark decontamination by template canonicalisation.
 
-A text becomes a row of tokens: white-space chunks in lower case without marks at their ends; numbers, units after a number or
-joined to one, and names (capitalised inside a sentence) become the typed placeholders ``<num>``, ``<unit>`` and ``<name>``.
-Windows of ``WIDTH`` tokens of a document are looked up in a hash table of the items' windows. A document leaks an item if it
-holds at least ``SHARE`` of the item's distinct windows and the slots are consistent: each value that an item's placeholder has
-stands for one value of the document over the matched windows, and different values for different ones. So a question whose
-numbers or names were changed throughout is found, and a coincidence of templates with contradictory slots is not.
+A text becomes a row of tokens: white-space chunks in lower case without marks at their ends; numbers, amounts (a number and its
+unit, in one chunk or two) and names (a capitalised word, or several with no mark between) become the typed placeholders
+``<num>``, ``<num><unit>`` and ``<name>``. Whether a capitalised word at a sentence start is a name can't be told, so a text has
+two readings: one takes such words as plain, the other as names; each is compared with the same reading of an item. Windows of
+``WIDTH`` tokens of a document are looked up in a hash table of the items' windows. A document leaks an item if it
+holds at least ``SHARE`` of the item's distinct windows and the slots are consistent: each number, unit and name that the item's
+placeholders have stands for one of the document over the matched windows, and different ones for different ones. So a question
+whose numbers or names were changed throughout is found, and a coincidence of templates with contradictory slots is not.
 
 The items' windows are broadcast in shards of ``SHARD`` windows at most, so a benchmark of any size is matched whole, each shard
 in its own pass over the documents. Rows: null and empty texts match nothing, as items and as documents; an item of fewer than
@@ -31,46 +33,74 @@ from tessella.llm.words import KEPT, Memo, batches, number, windows
 WIDTH, SHARE, SHARD = 5, 0.8, 500_000
 #: Units that follow a number.
 UNITS = frozenset("mm cm m km in ft yd mi mg g kg t lb oz ml l s sec min h hr hrs ms d day days week weeks month months year years second seconds minute minutes hour hours inch inches foot feet mile miles meter meters metre metres gram grams kilogram kilograms liter liters litre litres pound pounds ounce ounces dollar dollars euro euros cent cents usd eur gbp percent kmh mph w kw kwh v a hz khz mhz ghz kb mb gb tb".split())
-AMOUNT = re.compile(r"[$€£+-]*\d+(?:[.,:/-]\d+)*([^\W\d_]*|%)$")
+AMOUNT = re.compile(r"[$€£+-]*\d+(?:[.,:/-]\d+)*-?([^\W\d_]*|%)$")
 ENDS = frozenset(".!?:;")
-NUM, UNIT, NAME, BOTH = (np.uint64(number(x)) for x in ("<num>", "<unit>", "<name>", "<num><unit>"))
+NUM, NAME, BOTH = (np.uint64(number(x)) for x in ("<num>", "<name>", "<num><unit>"))
 
 PLAIN, SLOT, MAYBE_UNIT, MAYBE_NAME = 0, 1, 2, 3
 
 
-def _chunk(chunk: str) -> tuple[int, int, bool, str]:
-    """(number, kind, ends a sentence, value) of a chunk; the number is 0 if nothing but marks is left."""
-    core = chunk.strip("".join({c for c in chunk if not c.isalnum()}))
-    ends = bool(chunk[-1:]) and any(c in ENDS for c in chunk[len(chunk.rstrip("".join({c for c in chunk if not c.isalnum()}))) :])
+#: Marks of a chunk: it ends a sentence, has a mark at its end, has one at its start.
+ENDING, CLOSED, OPENED = 1, 2, 4
+
+
+def _chunk(chunk: str) -> tuple[int, int, int, tuple[tuple[str, str], ...]]:
+    """(number, kind, marks, typed values) of a chunk; the number is 0 if nothing but marks is left."""
+    if chunk.isalnum():
+        core, marks = chunk, 0
+    else:
+        i, j = 0, len(chunk)
+        while j and not chunk[j - 1].isalnum():
+            j -= 1
+        while i < j and not chunk[i].isalnum():
+            i += 1
+        core = chunk[i:j]
+        marks = ENDING * (not ENDS.isdisjoint(chunk[j:])) + CLOSED * (j < len(chunk)) + OPENED * (i > 0 or not core)
     if not core:
-        return 0, PLAIN, ends, ""
+        return (0, MAYBE_UNIT, marks & ~OPENED, (("unit", "%"),)) if chunk.rstrip(".,;:!?") == "%" else (0, PLAIN, marks, ())
     low = core.lower()
-    found = AMOUNT.match(low)
+    found = AMOUNT.match(low) if core[0].isdecimal() else None
     if found and (not found[1] or found[1] in UNITS or found[1] == "%"):
-        return int(BOTH if found[1] or chunk.rstrip(".,;:!?").endswith("%") else NUM), SLOT, ends, low
+        unit = found[1] or ("%" if chunk.rstrip(".,;:!?").endswith("%") else "")
+        return int(BOTH if unit else NUM), SLOT, marks, (("num", low[: found.start(1)].rstrip("-")), *[("unit", unit)] * bool(unit))
     if low in UNITS:
-        return number(low), MAYBE_UNIT, ends, low
-    if core[0].isupper() and core[1:].islower():
-        return number(low), MAYBE_NAME, ends, low
-    return number(low), PLAIN, ends, low
+        return number(low), MAYBE_UNIT, marks, (("unit", low),)
+    if core[0].isupper() and all(part[:1].isupper() and part[1:].islower() for part in core.split("-")):
+        return number(low), MAYBE_NAME, marks, (("name", low),)
+    return number(low), PLAIN, marks, ()
 
 
 _chunks = Memo(_chunk)
 
 
-def canonical(text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Numbers of a text's tokens, which of them are slots, and the tokens' values."""
+def _read(h: np.ndarray, kind: np.ndarray, marks: np.ndarray, first: np.ndarray, starts: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers, slots, which chunks begin a token and which belong to the token before; ``starts``: sentence starts may be names."""
+    last = lambda x: np.append(False, x[:-1])
+    tied = ~first & ~last(marks & CLOSED > 0) & (marks & OPENED == 0)
+    name = kind == MAYBE_NAME
+    if not starts:
+        name &= ~(first | last(marks & ENDING > 0))
+    unit = (kind == MAYBE_UNIT) & last(h == NUM) & tied
+    more = unit | (name & last(name) & tied)
+    h = np.where(name, NAME, np.where(np.append(unit[1:], False), BOTH, h))
+    return h, (kind == SLOT) | name, (h != 0) & ~more, more
+
+
+def canonical(text: str, starts: bool = False) -> tuple[np.ndarray, np.ndarray, list[tuple[tuple[str, str], ...]]]:
+    """Numbers of a text's tokens, which of them are slots, and the slots' typed values."""
     found = [_chunks[c] for c in text.split()]
     if not found:
         return np.zeros(0, np.uint64), np.zeros(0, bool), []
-    h, kind, ends, values = zip(*found, strict=True)
-    h, kind, ends = np.array(h, np.uint64), np.array(kind, np.int8), np.array(ends, bool)
-    before = np.concatenate([[True], ends[:-1]])
-    amount = np.concatenate([[False], h[:-1] == NUM])
-    unit, name = (kind == MAYBE_UNIT) & amount, (kind == MAYBE_NAME) & ~before
-    h = np.where(unit, UNIT, np.where(name, NAME, h))
-    keep = h != 0
-    return h[keep], ((kind == SLOT) | unit | name)[keep], [v for v, k in zip(values, keep, strict=True) if k]
+    h, kind, marks, values = zip(*found, strict=True)
+    h, kind, marks = np.array(h, np.uint64), np.array(kind, np.int8), np.array(marks, np.int8)
+    h, slot, keep, more = _read(h, kind, marks, np.arange(len(h)) == 0, starts)
+    out: list[tuple[tuple[str, str], ...]] = []
+    for value, kept, joins in zip(values, keep.tolist(), more.tolist(), strict=True):
+        if kept:
+            out.append(value)
+        elif joins:
+            out[-1] = (("name", f"{out[-1][0][1]} {value[0][1]}"),) if value[0][0] == "name" else out[-1] + value
+    return h[keep], slot[keep], out
 
 
 class Learned:
@@ -81,15 +111,15 @@ class Learned:
         self.tables: list[np.ndarray] = []
 
     def look_up(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Number, kind, end of sentence and text of every chunk of the texts, in a row."""
+        """Number, kind, marks and text of every chunk of the texts, in a row."""
         if len(self.places) > KEPT:
             self.__init__()
         cut = [t.split() for t in texts]
         places = self.places
         new = [c for c in {c for chunks in cut for c in chunks} if c not in places]
         if new or not self.tables:
-            found = [(h, kind, ends) for h, kind, ends, _ in map(_chunk, new)] or [(0, PLAIN, False)]
-            columns = [np.array(x, t) for x, t in zip(zip(*found, strict=True), (np.uint64, np.int8, bool), strict=True)]
+            found = [(h, kind, marks) for h, kind, marks, _ in map(_chunk, new)] or [(0, PLAIN, 0)]
+            columns = [np.array(x, t) for x, t in zip(zip(*found, strict=True), (np.uint64, np.int8, np.int8), strict=True)]
             if not new:
                 columns = [c[:0] for c in columns]
             self.tables = [np.concatenate([a, b]) for a, b in zip(self.tables, columns, strict=True)] if self.tables else columns
@@ -102,27 +132,27 @@ class Learned:
 _learned = Learned()
 
 
-def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the tokens of all texts in a row, as ``canonical`` makes them, and which text each belongs to."""
-    h, kind, ends, text = _learned.look_up(texts)
+def tokens(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For both readings, numbers of the tokens of all texts in a row, as ``canonical`` makes them, and which text each belongs to."""
+    h, kind, marks, text = _learned.look_up(texts)
     if not len(h):
-        return h, text
+        return [(h, text)] * 2
     first = np.append(True, text[1:] != text[:-1])
-    before = first | np.append(False, ends[:-1])
-    amount = ~first & np.append(False, h[:-1] == NUM)
-    h = np.where((kind == MAYBE_UNIT) & amount, UNIT, np.where((kind == MAYBE_NAME) & ~before, NAME, h))
-    keep = h != 0
-    return h[keep], text[keep]
+    out = []
+    for starts in (False, True):
+        read, _, keep, _ = _read(h, kind, marks, first, starts)
+        out.append((read[keep], text[keep]))
+    return out
 
 
-class Shard:
-    """Windows of some items: sorted hashes, a bit table in front of them, and where each window stands."""
+class Reading:
+    """Windows of some items in one reading: sorted hashes, a bit table in front of them, and where each window stands."""
 
-    def __init__(self, items: list[tuple[int, str]]) -> None:
+    def __init__(self, items: list[tuple[int, str]], starts: bool) -> None:
         at: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        self.size, self.slots, self.widths = {}, {}, set()
-        for key, (item_id, text) in enumerate(items):
-            h, slot, values = canonical(text)
+        self.starts, self.size, self.slots, self.widths = starts, {}, {}, set()
+        for key, (_, text) in enumerate(items):
+            h, slot, values = canonical(text, starts)
             width = min(WIDTH, len(h))
             if not width:
                 continue
@@ -132,15 +162,13 @@ class Shard:
             self.slots[key] = (slot, values, width)
             for place, w in enumerate(own.tolist()):
                 at[w].append((key, place))
-        self.ids = [i for i, _ in items]
         self.at = dict(at)
         self.hashes = np.array(sorted(at), np.uint64)
         self.bits = np.zeros(1 << 20, bool)
         self.bits[(self.hashes >> np.uint64(44)).astype(np.int64)] = True
 
-    def leaks(self, texts: list[str]) -> list[list[tuple[int, float, bool]]]:
-        """For each text, (item id, share of its windows, consistent) of the items of which it has enough windows."""
-        h, text = tokens(texts)
+    def leaks(self, texts: list[str], h: np.ndarray, text: np.ndarray) -> Iterator[tuple[int, int, float, bool]]:
+        """(text, item, share of its windows, consistent) of the items of which a text has enough windows."""
         first = np.searchsorted(text, np.arange(len(texts)))
         hits: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
         seen: dict[tuple[int, int], set[int]] = defaultdict(set)
@@ -154,17 +182,34 @@ class Shard:
                         pair = int(text[place]), key
                         hits[pair].append((place - int(first[pair[0]]), there))
                         seen[pair].add(w)
-        out: list[list[tuple[int, float, bool]]] = [[] for _ in texts]
         for (of, key), pairs in hits.items():
             share = len(seen[of, key]) / self.size[key]
             if share >= SHARE:
-                _, slot, values = canonical(texts[of])
+                _, slot, values = canonical(texts[of], self.starts)
                 item_slot, item_values, width = self.slots[key]
-                out[of].append((self.ids[key], share, _consistent(pairs, width, item_slot, item_values, slot, values)))
+                yield of, key, share, _consistent(pairs, width, item_slot, item_values, slot, values)
+
+
+class Shard:
+    """Both readings of some items."""
+
+    def __init__(self, items: list[tuple[int, str]]) -> None:
+        self.ids = [i for i, _ in items]
+        self.readings = [Reading(items, starts) for starts in (False, True)]
+
+    def leaks(self, texts: list[str]) -> list[list[tuple[int, float, bool]]]:
+        """For each text, (item id, share of its windows, consistent) of the items of which it has enough windows in a reading."""
+        found: dict[tuple[int, int], tuple[bool, float]] = {}
+        for reading, (h, text) in zip(self.readings, tokens(texts), strict=True):
+            for of, key, share, fits in reading.leaks(texts, h, text):
+                found[of, key] = max(found.get((of, key), (False, 0.0)), (fits, share))
+        out: list[list[tuple[int, float, bool]]] = [[] for _ in texts]
+        for (of, key), (fits, share) in found.items():
+            out[of].append((self.ids[key], share, fits))
         return out
 
 
-def _consistent(pairs: list[tuple[int, int]], width: int, item_slot: np.ndarray, item_values: list[str], slot: np.ndarray, values: list[str]) -> bool:
+def _consistent(pairs: list[tuple[int, int]], width: int, item_slot: np.ndarray, item_values: list, slot: np.ndarray, values: list) -> bool:
     """Some run of the document's copies of the item maps slot values one to one.
 
     Windows are grouped by their offset against the item (a copy without insertions has one offset); the offset with the most
@@ -174,22 +219,22 @@ def _consistent(pairs: list[tuple[int, int]], width: int, item_slot: np.ndarray,
     for place, there in pairs:
         by[place - there].append((place, there))
     best = max(by.values(), key=len)
-    forward: dict[str, str] = {}
-    backward: dict[str, str] = {}
+    forward: dict[tuple[str, str], tuple[str, str]] = {}
+    backward: dict[tuple[str, str], tuple[str, str]] = {}
     for place, there in best:
         for d in range(width):
             if item_slot[there + d] and slot[place + d]:
-                a, b = item_values[there + d], values[place + d]
-                if forward.setdefault(a, b) != b or backward.setdefault(b, a) != a:
-                    return False
+                for a, b in zip(item_values[there + d], values[place + d], strict=True):
+                    if forward.setdefault(a, b) != b or backward.setdefault(b, a) != a:
+                        return False
     return True
 
 
 def _shards(benchmark: DataFrame, most: int) -> Iterator[Shard]:
-    """Items stream to the driver; each shard holds ``most`` words at most, one item at least."""
+    """Items stream to the driver; each shard holds ``most`` windows of both readings at most, one item at least."""
     some, size = [], 0
     for row in benchmark.where("text IS NOT NULL").orderBy("item_id").toLocalIterator():
-        n = len(row["text"].split())
+        n = 2 * len(row["text"].split())
         if some and size + n > most:
             yield Shard(some)
             some, size = [], 0

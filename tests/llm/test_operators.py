@@ -173,6 +173,23 @@ def test_leaks_of_changed_questions(spark):
     assert {r.doc_id: r["items"] for r in templates.decontaminate(docs, items.limit(0)).collect()} == dict.fromkeys(range(6), [])
 
 
+def _leaks(texts, item):
+    return [[fits for _, _, fits in found] == [True] for found in templates.Shard([(1, item)]).leaks(texts)]
+
+
+def test_leaks_with_changed_names_and_units():
+    item = "Anna buys 12 apples at the old market. Anna then gives 5 apples to Boris and keeps the rest for later."
+    other = item.replace("12", "31")
+    assert _leaks([item.replace("Anna", "Clara"), "So. " + other.replace("Anna", "Clara Maria").replace("Boris", "Jean-Luc"), "And so it is: " + item[0].lower() + item[1:]], item) == [True] * 3
+    two = "In the old town Anna meets Boris at noon and later Anna tells Boris of the way to the next harbour in the south."
+    assert _leaks([two.replace("Anna", "Clara", 1), two.replace("Boris", "Anna")], two) == [False] * 2  # two for one, one for two
+    far = "The way from the harbour to the hill is 40 km long and Anna walks 40 km of it before the sun goes down."
+    assert _leaks([far.replace("40 km", "40km"), far.replace("40 km", "75km"), far.replace("40 km", "75-km"), far.replace("Anna", "Anna Maria Lopez")], far) == [True] * 4
+    assert _leaks([far.replace("40 km", "75km", 1)], far) == [False]
+    rate = "The bank near the river pays 4 % a year and Boris asks for 4 % more than the other bank would ever give."
+    assert _leaks([rate.replace("4 %", "7%")], rate) == [True]
+
+
 def test_held_out_toxicity_and_quality(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     scored = toxicity.score(docs, toxicity.fit(docs, labels)).join(labels, "doc_id").where("held_out").toPandas()
