@@ -31,6 +31,8 @@ from tessella.llm.common import pick, table
 from tessella.llm.words import KEPT, Memo, batches, number, windows
 
 WIDTH, SHARE, SHARD = 5, 0.8, 500_000
+#: Offsets from which a chain of several is tried.
+CHAINS = 16
 #: Units that follow a number.
 UNITS = frozenset("mm cm m km in ft yd mi mg g kg t lb oz ml l s sec min h hr hrs ms d day days week weeks month months year years second seconds minute minutes hour hours inch inches foot feet mile miles meter meters metre metres gram grams kilogram kilograms liter liters litre litres pound pounds ounce ounces dollar dollars euro euros cent cents usd eur gbp percent kmh mph w kw kwh v a hz khz mhz ghz kb mb gb tb".split())
 AMOUNT = re.compile(r"[$€£+-]*\d+(?:[.,:/-]\d+)*-?([^\W\d_]*|%)$")
@@ -150,7 +152,7 @@ class Reading:
 
     def __init__(self, items: list[tuple[int, str]], starts: bool) -> None:
         at: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        self.starts, self.size, self.slots, self.widths = starts, {}, {}, set()
+        self.starts, self.own, self.slots, self.widths = starts, {}, {}, set()
         for key, (_, text) in enumerate(items):
             h, slot, values = canonical(text, starts)
             width = min(WIDTH, len(h))
@@ -158,9 +160,9 @@ class Reading:
                 continue
             self.widths.add(width)
             own = windows(h, width)
-            self.size[key] = len(np.unique(own))
+            self.own[key] = own.tolist()
             self.slots[key] = (slot, values, width)
-            for place, w in enumerate(own.tolist()):
+            for place, w in enumerate(self.own[key]):
                 at[w].append((key, place))
         self.at = dict(at)
         self.hashes = np.array(sorted(at), np.uint64)
@@ -183,11 +185,11 @@ class Reading:
                         hits[pair].append((place - int(first[pair[0]]), there))
                         seen[pair].add(w)
         for (of, key), pairs in hits.items():
-            share = len(seen[of, key]) / self.size[key]
+            share = len(seen[of, key]) / len(set(self.own[key]))
             if share >= SHARE:
                 _, slot, values = canonical(texts[of], self.starts)
                 item_slot, item_values, width = self.slots[key]
-                yield of, key, share, _consistent(pairs, width, item_slot, item_values, slot, values)
+                yield of, key, share, _consistent(pairs, self.own[key], width, item_slot, item_values, slot, values)
 
 
 class Shard:
@@ -209,25 +211,45 @@ class Shard:
         return out
 
 
-def _consistent(pairs: list[tuple[int, int]], width: int, item_slot: np.ndarray, item_values: list, slot: np.ndarray, values: list) -> bool:
-    """Some run of the document's copies of the item maps slot values one to one.
+Pairs = frozenset[tuple[tuple[str, str], tuple[str, str]]]
 
-    Windows are grouped by their offset against the item (a copy without insertions has one offset); the offset with the most
-    windows is judged, so that other occurrences of a common window don't contradict it.
+
+def _one_to_one(pairs: Pairs) -> bool:
+    return len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs})
+
+
+def _consistent(pairs: list[tuple[int, int]], own: list[int], width: int, item_slot: np.ndarray, item_values: list, slot: np.ndarray, values: list) -> bool:
+    """Some copy of the item in the document holds ``SHARE`` of the item's distinct windows ``own`` and maps slot values one to one.
+
+    Windows are grouped by their offset against the item; a copy without insertions has one offset, and each that alone has
+    enough windows is judged for itself, so that other copies don't contradict it. A copy with insertions or gaps is a chain of
+    offsets: from each of the ``CHAINS`` largest consistent ones, others are added, larger ones first, where they bring windows
+    and don't contradict what is there.
     """
+    need = SHARE * len(set(own))
     by: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for place, there in pairs:
         by[place - there].append((place, there))
-    best = max(by.values(), key=len)
-    forward: dict[tuple[str, str], tuple[str, str]] = {}
-    backward: dict[tuple[str, str], tuple[str, str]] = {}
-    for place, there in best:
-        for d in range(width):
-            if item_slot[there + d] and slot[place + d]:
-                for a, b in zip(item_values[there + d], values[place + d], strict=True):
-                    if forward.setdefault(a, b) != b or backward.setdefault(b, a) != a:
-                        return False
-    return True
+    segments: dict[tuple[frozenset[int], Pairs], None] = {}  # copies with the same values count once
+    for run in by.values():
+        found = {(there, place) for place, there in run}
+        slots = {(there + d, place + d) for there, place in found for d in range(width) if item_slot[there + d] and slot[place + d]}
+        mapped = frozenset(pair for i, j in slots for pair in zip(item_values[i], values[j], strict=True))
+        if _one_to_one(mapped):
+            held = frozenset(own[there] for there, _ in found)
+            if len(held) >= need:
+                return True
+            segments[held, mapped] = None
+    order = sorted(segments, key=lambda x: -len(x[0]))
+    if not order or len(frozenset().union(*(held for held, _ in order))) < need:
+        return False
+    for held, mapped in order[:CHAINS]:
+        for more, also in order:
+            if not more <= held and _one_to_one(mapped | also):
+                held, mapped = held | more, mapped | also
+                if len(held) >= need:
+                    return True
+    return False
 
 
 def _shards(benchmark: DataFrame, most: int) -> Iterator[Shard]:

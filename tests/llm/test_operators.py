@@ -190,6 +190,15 @@ def test_leaks_with_changed_names_and_units():
     assert _leaks([rate.replace("4 %", "7%")], rate) == [True]
 
 
+def test_every_copy_of_an_item_is_judged():
+    item = "A train leaves the old station with 40 km to go and Anna walks 40 km behind it every single day until noon."
+    bad = item.replace("40", "75", 1)
+    assert _leaks([f"{bad} {item}", f"{item} {bad}", f"{bad} {bad}", f"{bad} {bad} then {item.replace('40', '9')}"], item) == [True, True, False, True]
+    words = "The way to the hill is 40 km long and from there the road goes down to the mill where Anna rests for a day and then walks 40 km more to see the sea before the sun sets on the last house of the village by the old bridge.".split()
+    cut = lambda n: " ".join([*words[:20], "indeed", *words[20:]]).replace("40", "75", n)
+    assert _leaks([cut(0), cut(2), cut(1)], " ".join(words)) == [True, True, False]
+
+
 def test_held_out_toxicity_and_quality(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     scored = toxicity.score(docs, toxicity.fit(docs, labels)).join(labels, "doc_id").where("held_out").toPandas()
