@@ -31,11 +31,27 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IPV4 = rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)"
 DATE = r"(?<![\d/.-])(?:(?:1[89]|2[01])\d\d-\d\d-\d\d|\d\d\.\d\d\.(?:1[89]|2[01])\d\d|\d\d/\d\d/(?:1[89]|2[01])\d\d)(?![\d/-])"
-PHONE = r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .-]\d{2,4}){2,4}(?!\d)|(?<![\d+])\+\d{8,15}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])"
+PHONE = r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .-]\d{2,4}){2,4}(?!\d)|(?<![\d+])\+\d{8,15}(?!\d)|" + "|".join([
+    r"(?<![\d-])(?:1[ .-])?\d{3}-\d{3}-\d{4}(?![\d-])", r"(?<![\d.])(?:1[ .-])?\d{3}\.\d{3}\.\d{4}(?!\d|\.\d)", r"(?<!\d)(?<!\d[ .-])(?:1[ .-])?\d{3} \d{3} \d{4}(?![\d-]| \d)",
+])
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d\d[A-Z0-9]{11,30}(?![A-Za-z0-9])"
+#: Length of an account number by country; of a spaced one it tells where it ends.
+LENGTHS = """AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18
+FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22
+MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23
+TN24 TR26 UA29 VA22 VG24 XK20 YE30""".split()
+
+
+def _spaced(n: int) -> str:
+    lands = "|".join(x[:2] for x in LENGTHS if int(x[2:]) == n)
+    return rf"(?:{lands})\d\d(?: [A-Z0-9]{{4}}){{{n // 4 - 1}}}" + rf" [A-Z0-9]{{{n % 4}}}" * bool(n % 4)
+
+
+#: In one piece, or in groups of four; in countries without a known length the groups go as far as they can.
+GROUPS = "|".join([*map(_spaced, sorted({int(x[2:]) for x in LENGTHS})), r"[A-Z]{2}\d\d(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?"])
+IBAN = rf"(?<![A-Za-z0-9])(?:[A-Z]{{2}}\d\d[A-Z0-9]{{11,30}}|{GROUPS})(?![A-Za-z0-9])"
 CARD = r"(?<!\d)(?:\d{13,19}|\d{4} \d{4} \d{4} \d{4}|\d{4}-\d{4}-\d{4}-\d{4})(?!\d)"
-NAMED = r"(?:password|passwd|pwd|token|secret|api_?key) {0,2}[=:] {0,2}[\"']?"
+NAMED = r"(?i:password|passwd|pwd|token|secret|api_?key) {0,2}[=:] {0,2}[\"']?"
 SECRET = rf"AKIA[0-9A-Z]{{16}}(?![A-Z0-9])|{NAMED}[A-Za-z0-9_/+-]{{8,}}+"
 ANY = "|".join([SECRET, EMAIL, IPV4, DATE, PHONE, SSN, IBAN, CARD])
 #: What every match holds; texts without it are not searched further.
@@ -82,7 +98,7 @@ def _shifted(x: Column, hashed, small: Column) -> Column:
 
 
 def text_feistel(key: str, what: str, x: Column) -> Column:
-    """A text permuted within the class of each of its characters; what is all hexadecimal stays so."""
+    """A text permuted within the class of each of its characters; what is all hexadecimal in small letters stays so."""
     half = F.floor(F.length(x) / 2).cast("int")
     state = lambda a, b, small: F.struct(a.alias("l"), b.alias("r"), small.alias("s"))
     first = state(F.substr(x, F.lit(1), half), F.substr(x, half + 1, F.length(x)), x.rlike("^[0-9a-f]+$"))
@@ -151,12 +167,16 @@ def _card(key: str, m: Column) -> Column:
 
 
 def _iban(key: str, m: Column) -> Column:
+    """The country stays, and the blanks between groups of four; the pseudonym doesn't depend on them."""
+    plain = F.replace(m, F.lit(" "), F.lit(""))
+
     def made(body: Column) -> Column:
         land = F.substr(m, F.lit(1), F.lit(2))
         return F.concat(land, F.lpad((98 - mod97(F.concat(land, F.lit("00"), body))).cast("string"), 2, F.lit("0")), body)
 
-    body = text_feistel(key, "iban", F.substr(m, F.lit(5), F.length(m)))
-    return F.when(mod97(m) == 1, F.element_at(F.transform(F.array(body), made), 1)).otherwise(m)
+    body = text_feistel(key, "iban", F.substr(plain, F.lit(5), F.length(plain)))
+    out = F.element_at(F.transform(F.array(body), made), 1)
+    return F.when(mod97(plain) == 1, F.when(F.contains(m, F.lit(" ")), F.regexp_replace(out, "(.{4})(?=.)", "$1 ")).otherwise(out)).otherwise(m)
 
 
 def _date(key: str, m: Column) -> Column:
@@ -187,7 +207,7 @@ def _ssn(key: str, m: Column) -> Column:
 
 def _phone(key: str, m: Column) -> Column:
     """The country code stays. Ten digits of the North American plan stay in it; others keep their first digit."""
-    code = F.regexp_extract(m, r"^(\+\d{1,3}(?=[ .(-])[ .-]?|\+\d\d?|)", 1)
+    code = F.regexp_extract(m, r"^(\+\d{1,3}(?=[ .(-])[ .-]?|\+\d\d?|1[ .-]|)", 1)
     rest = F.substr(m, F.length(code) + 1, F.length(m))
     d = digits_of(rest)
     n = F.length(d)
@@ -216,7 +236,7 @@ def _secret(key: str, m: Column) -> Column:
 #: Kind, test of a whole match, and the pseudonym; the first test that holds decides.
 KINDS = [
     ("email", r"^[^@]+@", _email), ("ipv4", rf"^(?:{OCTET}\.){{3}}{OCTET}$", _ipv4), ("date", r"^(?:\d{4}-\d\d-\d\d|\d\d\.\d\d\.\d{4}|\d\d/\d\d/\d{4})$", _date),
-    ("ssn", r"^\d{3}-\d{2}-\d{4}$", _ssn), ("phone", r"^(?:[+(]|\d{3}-\d{3}-\d{4}$)", _phone), ("card", r"^\d[\d -]{12,}$", _card), ("iban", r"^[A-Z]{2}\d\d[A-Z0-9]{11,30}$", _iban),
+    ("ssn", r"^\d{3}-\d{2}-\d{4}$", _ssn), ("phone", r"^(?:[+(]|(?:1[ .-])?\d{3}([ .-])\d{3}\1\d{4}$)", _phone), ("card", r"^\d[\d -]{12,}$", _card), ("iban", r"^[A-Z]{2}\d\d(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{1,4})+)$", _iban),
 ]
 
 

@@ -125,6 +125,27 @@ def test_pseudonyms_are_linked_and_valid(spark):
     assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
 
 
+def test_forms_of_secrets_accounts_and_phones(spark):
+    secrets = ['TOKEN = "9233A8EC51B07D42"', "Password: hunter2hunter", "API_KEY=9f86d081884c7d65", "Secret='abc12345'"]
+    same = [
+        ["GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32"], ["AT611904300234573201", "AT61 1904 3002 3457 3201"],
+        ["800-555-1234", "1-800-555-1234", "800.555.1234", "800 555 1234", "1 800 555 1234", "1.800.555.1234", "1 800-555-1234", "+1 (800) 555-1234"], ["555-123-4567", "555.123.4567", "555 123 4567"],
+    ]
+    left = ["AT61 1904 3002 3457 3202", "12 345 678 9012 34", "1.555.123.4567.8", "tokens are words", "2.345.678.9012"]
+    texts = secrets + [f"<{v}> THE END" for group in same for v in group] + left
+    out = [r.text for r in pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)).orderBy("doc_id").collect()]
+    for a, b in zip(secrets, out[: len(secrets)], strict=True):
+        name = a[: max(a.find("="), a.find(":")) + 1]
+        assert b.startswith(name) and b != a and len(b) == len(a)
+    at = len(secrets)
+    for group in same:
+        made = [b[1 : -len("> THE END")] for b in out[at : at + len(group)]]
+        plain = {"".join(c for c in m if c.isalnum())[-len("".join(c for c in group[0] if c.isalnum())) :] for m in made}
+        assert len(plain) == 1 and all(m != v and [c.isalnum() for c in m] == [c.isalnum() for c in v] for m, v in zip(made, group, strict=True))
+        at += len(group)
+    assert out[at:] == left
+
+
 def test_feistel_is_a_permutation(spark):
     from pyspark.sql import functions as F
 
