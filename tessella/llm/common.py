@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessella.sources.tables import table
 
-__all__ = ["cut", "mod20", "pick", "shared_folder", "table"]
+__all__ = ["KEYS", "cut", "keyed", "mod20", "pick", "shared_folder", "table"]
 
 
 def shared_folder(spark: SparkSession, fallback: str = "/tmp/checkpoints") -> str:
@@ -24,6 +24,16 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+#: Names of the two halves of a row's key.
+KEYS = ("row_k1", "row_k2")
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a 128-bit hash of doc_id and text, never null: rows of equal ids (or none) and other texts have other keys."""
+    row = F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit(""))
+    return docs.withColumns({name: F.xxhash64(F.lit(i), row[0].isNull(), *row) for i, name in enumerate(KEYS)})
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that extra columns of the input never clash with those an operator adds."""
     return df.select(*names)

@@ -136,13 +136,13 @@ def kth_largest(keys: DataFrame, k: int, key: str = "key", bins: int = 1024, few
             k -= r["n"]
 
 
-def resample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, n_words, log_weight, gumbel_key, kept): ``kept`` marks the Gumbel top-k sample."""
+def resample(docs: DataFrame, labels: DataFrame, *more: str) -> DataFrame:
+    """(doc_id, n_words, log_weight, gumbel_key, kept, *more): ``kept`` marks the Gumbel top-k sample."""
     spark = docs.sparkSession
     few = sampled_labels(labels)
-    docs = pick(docs, "doc_id", "text").join(F.broadcast(few), "doc_id", "left")  # SAMPLE rows at most
+    docs = pick(docs, "doc_id", "text", *more).join(F.broadcast(few), "doc_id", "left")  # SAMPLE rows at most
     model = counts(docs.withColumn("good", F.coalesce(F.col("quality") == 1, F.lit(False)))).toPandas()
-    weights = cut(weigh(docs, log_ratios(model), "quality"), "weights")
+    weights = cut(weigh(docs, log_ratios(model), "quality", *more), "weights")
     bound = cut_of(weights.where("quality IS NOT NULL").limit(4 * SAMPLE).toPandas())
     mean = F.col("log_weight") / F.greatest("n_words", F.lit(SHORT))
     uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(SEED)), 11).cast("double") + 0.5) / float(2**53)
@@ -152,7 +152,7 @@ def resample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     k = keyed.where("centred >= 0").count()
     least = kth_largest(keyed, k, "gumbel_key")
     kept = F.lit(False) if least is None else F.col("gumbel_key") >= least
-    return keyed.select("doc_id", "n_words", "log_weight", "gumbel_key", kept.alias("kept"))
+    return keyed.select("doc_id", "n_words", "log_weight", "gumbel_key", kept.alias("kept"), *more)
 
 
 def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,11 +11,14 @@
    standard deviations) are left out; the others are confirmed by their exact intersection. Small clusters are one group; a
    cluster beyond ``MEMBERS`` classes or ``SHINGLES`` shingles is dealt into blocks, and each pair of blocks is a task of its
    own, so no task holds more than two blocks and no pair is lost. A task puts out a spanning forest of its links only.
-4. The components of the confirmed links are the result.
+4. The components of the confirmed links are the result. A class is known by a number of its own, not by a doc_id, which other
+   texts may share; the component's name and the row that is kept are its least doc_id and, where that has several texts or
+   there is none, the least row key.
 
 Rows: null and empty texts have an empty set and link with nothing; a text of fewer words than a shingle is one shingle; long
-texts are read whole; repeated rows are copies; rows with a null doc_id are returned and never name a component; extra columns
-are not read; an empty table gives no rows.
+texts are read whole; repeated rows are copies; rows with a null doc_id link like others, never name a component, and are kept only
+where all rows of the component have none; different texts of one doc_id are judged apart; extra columns are not read; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm.common import cut, pick, table
+from tessella.llm.common import KEYS, cut, keyed, pick, table
 from tessella.llm.components import components
 from tessella.llm.words import Memo, batches, number, windows
 
@@ -105,11 +108,11 @@ def _set_hash(s: np.ndarray) -> tuple[int, int]:
 
 
 def _texts(docs: DataFrame, *more: str) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("_text"), *more)
+    return keyed(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), *KEYS, F.coalesce("text", F.lit("")).alias("_text"), *more)
 
 
 def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, h1, h2, bands) of every row; ``bands`` is empty for an empty set."""
+    """(doc_id, row_k1, row_k2, n_shingles, h1, h2, bands) of every row; ``bands`` is empty for an empty set."""
     n, rows = shape(percent)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -121,17 +124,17 @@ def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                 for i, k in zip(full, bands(minima([sets[i] for i in full], n * rows), n) if full else [], strict=True):
                     keys[i] = k
                 h1, h2 = zip(*map(_set_hash, sets), strict=True)
-                yield pd.DataFrame({"doc_id": some["doc_id"], "n_shingles": [len(s) for s in sets], "h1": h1, "h2": h2, "bands": keys})
+                yield some[["doc_id", *KEYS]].assign(n_shingles=[len(s) for s in sets], h1=h1, h2=h2, bands=keys)
 
-    return _texts(docs).mapInPandas(run, "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, bands array<bigint>")
+    return _texts(docs).mapInPandas(run, f"doc_id bigint, {KEYS[0]} bigint, {KEYS[1]} bigint, n_shingles bigint, h1 bigint, h2 bigint, bands array<bigint>")
 
 
 def clusters(classes: DataFrame) -> DataFrame:
-    """(rep, cluster): the classes that share a band with another, by component of the stars of all buckets."""
-    keys = classes.select("rep", F.explode("bands").alias("band"))
-    buckets = keys.groupBy("band").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most").select("band", "least")
-    stars = keys.join(buckets, "band").where("rep <> least").select(F.col("rep").alias("u"), F.col("least").alias("v"))
-    return components(stars).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+    """(class, cluster): the classes that share a band with another, by component of the stars of all buckets."""
+    keys = classes.select("class", F.explode("bands").alias("band"))
+    buckets = keys.groupBy("band").agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least < most").select("band", "least")
+    stars = keys.join(buckets, "band").where("class <> least").select(F.col("class").alias("u"), F.col("least").alias("v"))
+    return components(stars).select(F.col("node").alias("class"), F.col("component").alias("cluster"))
 
 
 def _linked(a: list[np.ndarray], b: list[np.ndarray], same: bool, percent: int) -> np.ndarray:
@@ -189,32 +192,35 @@ def _forest(pairs: np.ndarray, n: int) -> list[tuple[int, int]]:
 
 def confirmed(docs: DataFrame, classes: DataFrame, clustered: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(u, v): links between classes that connect the same classes as all links do, each confirmed on full sets."""
-    members = clustered.join(classes.select("rep", "h1", "h2", "n_shingles"), "rep")
+    members = clustered.join(classes.select("class", "h1", "h2", "n_shingles", *[f"best.{k}" for k in KEYS]), "class")
     sizes = members.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / MEMBERS), F.ceil(F.sum("n_shingles") / SHINGLES)).cast("int").alias("blocks"))
-    members = members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    texts = _texts(docs).join(members.select(F.col("rep").alias("doc_id"), "h1", "h2", "cluster", "block", "blocks"), "doc_id")
+    members = members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    texts = _texts(docs).join(members.select("class", *KEYS, "h1", "h2", "cluster", "block", "blocks"), [*KEYS])
 
     def sets(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        done: set[int] = set()  # of repeated rows one goes on
         for pdf in parts:
+            pdf = pdf[~pdf["class"].isin(done)].drop_duplicates("class")
+            done.update(pdf["class"].tolist())
             for some in batches(pdf):
                 own = shingles(some["_text"].tolist())
                 right = [_set_hash(s) == h for s, h in zip(own, zip(some["h1"], some["h2"], strict=True), strict=True)]
-                out = some[["doc_id", "cluster", "block", "blocks"]].assign(shingles=[s.tobytes() for s in own])
+                out = some[["class", "cluster", "block", "blocks"]].assign(shingles=[s.tobytes() for s in own])
                 yield out[right]
 
-    found = texts.mapInPandas(sets, "doc_id bigint, cluster bigint, block int, blocks int, shingles binary")
+    found = texts.mapInPandas(sets, "class bigint, cluster bigint, block int, blocks int, shingles binary")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = found.withColumn("other", other).select("doc_id", "cluster", "block", "shingles", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+    dealt = found.withColumn("other", other).select("class", "cluster", "block", "shingles", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("doc_id").sort_values("doc_id")
+        pdf = pdf.drop_duplicates("class").sort_values("class")
         one, two = pdf[pdf.block == pdf.x], pdf[pdf.block == pdf.y]
         same = int(pdf.x.iloc[0]) == int(pdf.y.iloc[0])
         load = lambda p: [np.frombuffer(s, np.uint64) for s in p.shingles]
         if len(one) and len(two):
             a, b = load(one), load(two)
             pairs = _linked(a, b, same, percent) + ([0, 0] if same else [0, len(a)])
-            ids = one.doc_id.tolist() + ([] if same else two.doc_id.tolist())
+            ids = one["class"].tolist() + ([] if same else two["class"].tolist())
             out = [(ids[i], ids[j]) for i, j in _forest(pairs, len(ids))]
         else:
             out = []
@@ -223,18 +229,21 @@ def confirmed(docs: DataFrame, classes: DataFrame, clustered: DataFrame, percent
     return dealt.groupBy("cluster", "x", "y").applyInPandas(link, "u bigint, v bigint")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row: kept is the least doc_id of its component."""
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, *more: str) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept, *more) of every row: kept is the least row of its component; ``more`` may name ``KEYS``."""
     docs = pick(docs, "doc_id", "text")
     rows = cut(signatures(docs, percent), "signatures")
-    classes = rows.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
-    classes = cut(classes.where("rep IS NOT NULL"), "classes")
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", *KEYS)
+    classes = rows.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min(row).alias("best"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
+    classes = cut(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
     links = confirmed(docs, classes, cut(clusters(classes), "clusters"), percent)
-    joined = components(links).select(F.col("node").alias("rep"), "component")
-    named = classes.join(joined, "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("component"))
-    out = rows.select("doc_id", "n_shingles", "h1", "h2").join(named, ["h1", "h2"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    linked = components(links).select(F.col("node").alias("class"), "component").join(classes.select("class", "h1", "h2", "best"), "class")
+    least = linked.groupBy("component").agg(F.min("best").alias("least"))
+    named = classes.select("h1", "h2", "best").join(linked.join(least, "component").select("h1", "h2", "least"), ["h1", "h2"], "left").select("h1", "h2", F.coalesce("least", "best").alias("least"))
+    out = rows.select("doc_id", *KEYS, "n_shingles", "h1", "h2").join(named, ["h1", "h2"], "left")
+    kept = (F.col("n_shingles") == 0) | ((F.col("least")[KEYS[0]] == F.col(KEYS[0])) & (F.col("least")[KEYS[1]] == F.col(KEYS[1])))
+    component = F.when(F.col("n_shingles") > 0, F.col("least.doc_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), *more)
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

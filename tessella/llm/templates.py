@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm.common import pick, table
+from tessella.llm.common import KEYS, keyed, pick, table
 from tessella.llm.words import KEPT, Memo, batches, number, windows
 
 WIDTH, SHARE, SHARD = 5, 0.8, 500_000
@@ -267,8 +267,8 @@ def _shards(benchmark: DataFrame, most: int) -> Iterator[Shard]:
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD) -> DataFrame:
-    """(doc_id, items array<struct<item_id, share, consistent>>) of every document."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("_text"))
+    """(doc_id, row_k1, row_k2, items array<struct<item_id, share, consistent>>) of every document."""
+    rows = keyed(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), *KEYS, F.coalesce("text", F.lit("")).alias("_text"))
     kind = "array<struct<item_id:bigint,share:double,consistent:boolean>>"
     found = []
     for part in _shards(pick(benchmark, "item_id", "text"), shard):
@@ -278,23 +278,23 @@ def matches(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD) -> DataFr
             for pdf in parts:
                 for some in batches(pdf):
                     items = [[{"item_id": i, "share": s, "consistent": c} for i, s, c in sorted(found)] for found in shared.value.leaks(some["_text"].tolist())]
-                    yield pd.DataFrame({"doc_id": some["doc_id"], "items": items})
+                    yield some[["doc_id", *KEYS]].assign(items=items)
 
-        found.append(rows.mapInPandas(run, f"doc_id bigint, items {kind}"))
+        found.append(rows.mapInPandas(run, f"doc_id bigint, {KEYS[0]} bigint, {KEYS[1]} bigint, items {kind}"))
     if not found:
-        return rows.select("doc_id", F.array().cast(kind).alias("items"))
+        return rows.select("doc_id", *KEYS, F.array().cast(kind).alias("items"))
     if len(found) == 1:
         return found[0]
-    leaks = reduce(DataFrame.unionByName, found).where(F.size("items") > 0).groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-    return rows.select("doc_id").join(leaks, "doc_id", "left").withColumn("items", F.coalesce("items", F.array().cast(kind)))
+    leaks = reduce(DataFrame.unionByName, found).where(F.size("items") > 0).groupBy(*KEYS).agg(F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    return rows.select("doc_id", *KEYS).join(leaks, [*KEYS], "left").withColumn("items", F.coalesce("items", F.array().cast(kind)))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD) -> DataFrame:
-    """(doc_id, leaked, n_items, items): whether a document leaks items, which, and how many."""
+def decontaminate(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD, *more: str) -> DataFrame:
+    """(doc_id, leaked, n_items, items, *more): whether a document leaks items, which, and how many; ``more`` may name ``KEYS``."""
     found = matches(docs, benchmark, shard)
     leaks = F.transform(F.filter("items", lambda x: x["consistent"]), lambda x: x["item_id"])
-    one = found.select("doc_id", F.array_sort(F.array_distinct(leaks)).alias("items"))
-    return one.select("doc_id", (F.size("items") > 0).alias("leaked"), F.size("items").alias("n_items"), "items")
+    one = found.select("doc_id", *more, F.array_sort(F.array_distinct(leaks)).alias("items"))
+    return one.select("doc_id", (F.size("items") > 0).alias("leaked"), F.size("items").alias("n_items"), "items", *more)
 
 
 def op10_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -240,6 +240,37 @@ def test_empty_tables(spark, docs):
     assert all(r.kept for r in importance.resample(docs, labels).collect())
 
 
+@pytest.fixture(scope="module")
+def shared_ids(spark, tmp_path_factory):
+    """Documents with null and shared ids, and a folder of the tables that the stages read."""
+    r = random.Random(9)
+    clean, other, third, item = (" ".join(f"{w}{r.randint(0, 99)}x" for w in r.choices(WORDS, k=40)) for _ in range(4))
+    rows = [(None, clean), (None, clean), (None, other), (5, third), (5, item), (5, other), (9, item), (9, ""), (9, None), (None, item + " end")]
+    folder = str(tmp_path_factory.mktemp("tables"))
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return spark.createDataFrame([(i, t, "en", "web", len(t or "")) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint"), folder, clean, other, third, item
+
+
+def test_null_and_shared_ids_in_every_stage(spark, shared_ids):
+    import corpus_pipeline
+
+    docs, folder, clean, other, third, item = shared_ids
+    left = lambda stage, df: collections.Counter((r.doc_id, r.text) for r in stage(spark, df, folder).collect())
+    all_ = collections.Counter((r.doc_id, r.text) for r in docs.collect())
+    assert left(corpus_pipeline.keep_quality, docs) == all_  # no labels: everything stays
+    assert left(corpus_pipeline.keep_one_of_each, docs) == collections.Counter([(None, clean), (5, third), (5, item), (5, other), (9, ""), (9, None)])
+    assert left(corpus_pipeline.drop_leaks, docs) == collections.Counter({k: n for k, n in all_.items() if item not in (k[1] or "")})
+    assert left(corpus_pipeline.replace_private, docs).total() == 10 == corpus_pipeline.encode(spark, docs, folder).count()
+
+
+def test_shards_keep_rows_of_one_id_apart(spark, shared_ids):
+    docs, _, clean, other, third, item = shared_ids
+    items = spark.createDataFrame([(1, item), (2, third)], "item_id bigint, text string")
+    found = collections.Counter((r.doc_id, tuple(r["items"])) for r in templates.decontaminate(docs, items, 1).collect())
+    assert found == collections.Counter({(None, ()): 3, (5, (2,)): 1, (5, (1,)): 1, (5, ()): 1, (9, (1,)): 1, (9, ()): 2, (None, (1,)): 1})
+
+
 def test_pipeline_on_the_smallest_tables(spark):
     import corpus_pipeline
 
