@@ -31,7 +31,7 @@ from tessella.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Words that one recursive query takes, and pieces a worker remembers.
-WORDS, KEPT = 20_000, 400_000
+WORDS, KEPT = 10_000, 300_000
 
 CONTRACT = """
 WITH RECURSIVE bpe(word, tokens) USING KEY (word) AS (
@@ -157,7 +157,7 @@ def _default(vocabulary: str | None) -> tuple[str, str]:
     return vocabulary or public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
 
 
-def _batches(pdf: pd.DataFrame, most: int = 3_000_000) -> Iterator[pd.DataFrame]:
+def _batches(pdf: pd.DataFrame, most: int = 1_000_000) -> Iterator[pd.DataFrame]:
     """Rows whose texts together have about ``most`` characters at most, one row at least."""
     total = pdf.iloc[:, 1].str.len().cumsum() // most
     for _, some in pdf.groupby(total, sort=True):

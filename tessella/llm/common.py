@@ -2,26 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessella.sources.tables import table
-
-__all__ = ["KEYS", "cut", "keyed", "mod20", "pick", "shared_folder", "table"]
-
+from tessella.sources.tables import cut, forget, table
 
-def shared_folder(spark: SparkSession, fallback: str = "/tmp/checkpoints") -> str:
-    """The folder of ``spark.checkpoint.dir``, which all executors share; ``fallback`` only where the session names none."""
-    return spark.conf.get("spark.checkpoint.dir", None) or fallback
+__all__ = ["KEYS", "busy", "cut", "forget", "fresh", "joined_apart", "keyed", "mod20", "pick", "table"]
 
-
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as a table in the shared folder and read again: its lineage ends there, and a lost executor loses nothing."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+#: Rows of one key beyond this part of all rows are spread over so many tasks.
+PART, PIECES = 1000, 32
 
 
 #: Names of the two halves of a row's key.
@@ -42,3 +31,30 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
 def mod20(name: str):
     """The rows that serve as queries of a search: ids divisible by 20."""
     return F.col(name) % 20 == 0
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front where ``df`` has such a column already."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
+def busy(rows: DataFrame, key: Column | str, n: int) -> DataFrame:
+    """(busy_key) whose rows are more than 1 / ``PART`` of all ``n``: fewer than ``PART`` keys, however many rows there are."""
+    found = rows.groupBy((F.col(key) if isinstance(key, str) else key).alias("busy_key")).agg(F.count("*").alias("rows"))
+    return found.where(F.col("rows") * PART > n).select("busy_key")
+
+
+def joined_apart(left: DataFrame, right: DataFrame, on: list[str], hot: DataFrame, by: Column, how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right`` on ``on``; rows of ``hot`` keys (of the first column of ``on``) are spread.
+
+    ``hot`` is a result of ``busy``, so it may be broadcast. On the left, rows of a hot key take one of ``PIECES`` salts by ``by``; on the
+    right each of them is repeated for every salt, which is few rows where ``right`` has one row a key.
+    """
+    salt, key = F.pmod(F.xxhash64(by), F.lit(PIECES)).cast("int"), on[0]
+    mark = lambda df: df.join(F.broadcast(hot), F.col(key) == F.col("busy_key"), "left")
+    a = mark(left).withColumn("busy_salt", F.when(F.col("busy_key").isNotNull(), salt).otherwise(0)).drop("busy_key")
+    every = F.when(F.col("busy_key").isNotNull(), F.sequence(F.lit(0), F.lit(PIECES - 1))).otherwise(F.array(F.lit(0)))
+    b = mark(right).withColumn("busy_salt", F.explode(every)).drop("busy_key")
+    return a.join(b, [*on, "busy_salt"], how).drop("busy_salt")

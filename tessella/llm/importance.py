@@ -2,13 +2,14 @@
 
 Each text is a bag of words, marks and pairs of neighbours, hashed into ``BUCKETS`` buckets. The raw model counts all documents;
 the target model counts the documents of good quality in a bounded sample of the labelled rows (``SAMPLE`` rows, by a hash of
-their ids). A document's log importance weight is the sum of log(target / raw) over its bag. Sampling without replacement adds a
-Gumbel variable, fixed by the id, to each weight and keeps the k largest sums. k is a share of all documents: the share whose
-weight a word reaches a cut, set on the labelled sample so that ``KEEP`` of its good rows stay above it where the two classes
-overlap, and half way to the rejected rows otherwise.
-
-Rows: a null text is empty; an empty text has weight 0 and is kept by the cut; ties go to the smaller id; rows that repeat are
-weighed alike and kept alike; without labels of both classes every document is kept; an empty table gives no rows.
+their ids). A document's log importance weight is the sum of log(target / raw) over its bag, not divided by its length. A Gumbel
+variable of scale 1, fixed by a hash of doc_id and text, is added to each weight, and the k largest sums are kept: a sample of k
+documents without replacement, each drawn in proportion to its importance weight among those left. k is ``share`` of all documents
+(rounded); where no share is given it is the part of good rows among all labelled ones, one label an id.
+
+Rows: a null text is empty; an empty text has weight 0; ties at the k-th key go to the smaller doc_id (none comes first), then to
+the smaller row hash; rows that repeat as a whole are one draw and kept alike, so the sample may exceed k by copies of its last
+row; without labels of both classes every document is kept; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -18,17 +19,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm.common import cut, pick, table
+from tessella.llm.common import KEYS, cut, fresh, keyed, pick, table
 from tessella.llm.words import Memo, batches, mix, number, starts
 
-BUCKETS, SAMPLE, KEEP, SEED = 1 << 16, 20_000, 0.998, 17
+BUCKETS, SAMPLE, SEED = 1 << 16, 20_000, 17
 PIECES = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
-#: Below this many words a text's mean weight counts as that of a text with so many.
-SHORT = 8
-
 _numbers = Memo(number)
 
 
@@ -64,6 +62,7 @@ def counts(docs: DataFrame) -> DataFrame:
                 total[1] += np.bincount(both, minlength=BUCKETS + 1)
                 good = np.repeat(some["good"].to_numpy(bool), 2 * n)
                 total[0] += np.bincount(both[good], minlength=BUCKETS + 1)
+        _numbers.clear()
         yield pd.DataFrame({"bucket": np.arange(BUCKETS), "n_good": total[0, :-1], "n_all": total[1, :-1]})
 
     found = _texts(docs, "good").mapInPandas(run, "bucket int, n_good bigint, n_all bigint")
@@ -82,20 +81,23 @@ def log_ratios(model: pd.DataFrame) -> np.ndarray:
     return np.append(np.log(good / raw), 0.0)
 
 
-def weigh(docs: DataFrame, ratios: np.ndarray, *more: str) -> DataFrame:
-    """(doc_id, n_words, log_weight, *more) of every document."""
+def weigh(docs: DataFrame, ratios: np.ndarray, into: str = "weight") -> DataFrame:
+    """``docs`` with a column ``into``: struct(n_words, log_weight) of each text. Only texts go to the workers, and only numbers come back."""
     shared = docs.sparkSession.sparkContext.broadcast(ratios)  # BUCKETS numbers
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            for some in batches(pdf):
+    @F.pandas_udf("n_words bigint, log_weight double")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in parts:
+            out = [(np.zeros(0, np.int64), np.zeros(0))]
+            for some in batches(texts.to_frame("_text")):
                 both, first, n = _bag(some["_text"].tolist())
                 w = np.append(shared.value[both], 0.0)
-                total = np.where(n > 0, np.add.reduceat(w, np.minimum(first, len(w) - 1)), 0.0)
-                yield pd.DataFrame({"doc_id": some["doc_id"], "n_words": n, "log_weight": np.round(total, 9), **{c: some[c] for c in more}})
+                out.append((n, np.where(n > 0, np.add.reduceat(w, np.minimum(first, len(w) - 1)), 0.0)))
+            n, total = (np.concatenate(x) for x in zip(*out, strict=True))
+            yield pd.DataFrame({"n_words": n, "log_weight": np.round(total, 9)})
+        _numbers.clear()
 
-    kinds = dict(docs.dtypes)
-    return _texts(docs, *more).mapInPandas(run, ", ".join(["doc_id bigint, n_words bigint, log_weight double", *[f"{c} {kinds[c]}" for c in more]]))
+    return docs.withColumn(into, run(F.coalesce("text", F.lit(""))))
 
 
 def sampled_labels(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -104,15 +106,11 @@ def sampled_labels(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     return known.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(sample)
 
 
-def cut_of(weights: pd.DataFrame, keep: float = KEEP) -> float:
-    """The cut of the mean weight a word, from labelled rows (quality, n_words, log_weight)."""
-    mean = (weights.log_weight / weights.n_words.clip(lower=SHORT)).to_numpy()
-    good, bad = mean[weights.quality == 1], mean[weights.quality == 0]
-    if not len(good) or not len(bad):
-        return float("-inf")
-    low = float(np.quantile(good, 1 - keep))
-    under = bad[bad < low]
-    return (low + float(np.quantile(under, 0.98))) / 2 if len(under) else low
+def good_share(labels: DataFrame) -> float:
+    """The part of good ids among all labelled ones; 1 where a class is missing."""
+    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    n, good = known.agg(F.count("*"), F.count_if(F.col("quality") == 1)).first()
+    return good / n if 0 < good < n else 1.0
 
 
 def kth_largest(keys: DataFrame, k: int, key: str = "key", bins: int = 1024, few: int = 2048) -> float | None:
@@ -136,23 +134,52 @@ def kth_largest(keys: DataFrame, k: int, key: str = "key", bins: int = 1024, few
             k -= r["n"]
 
 
-def resample(docs: DataFrame, labels: DataFrame, *more: str) -> DataFrame:
-    """(doc_id, n_words, log_weight, gumbel_key, kept, *more): ``kept`` marks the Gumbel top-k sample."""
-    spark = docs.sparkSession
-    few = sampled_labels(labels)
-    docs = pick(docs, "doc_id", "text", *more).join(F.broadcast(few), "doc_id", "left")  # SAMPLE rows at most
-    model = counts(docs.withColumn("good", F.coalesce(F.col("quality") == 1, F.lit(False)))).toPandas()
-    weights = cut(weigh(docs, log_ratios(model), "quality", *more), "weights")
-    bound = cut_of(weights.where("quality IS NOT NULL").limit(4 * SAMPLE).toPandas())
-    mean = F.col("log_weight") / F.greatest("n_words", F.lit(SHORT))
-    uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(SEED)), 11).cast("double") + 0.5) / float(2**53)
-    # the sum of a weight and a Gumbel variable; the cut is the origin, so that a text's length does not decide which side it is on
-    centred = (mean - bound) * F.greatest("n_words", F.lit(SHORT)) if np.isfinite(bound) else F.lit(0.0)
-    keyed = weights.withColumn("centred", centred).withColumn("gumbel_key", F.round(F.col("centred") * 4 - F.log(-F.log(uniform)), 9))
-    k = keyed.where("centred >= 0").count()
-    least = kth_largest(keyed, k, "gumbel_key")
-    kept = F.lit(False) if least is None else F.col("gumbel_key") >= least
-    return keyed.select("doc_id", "n_words", "log_weight", "gumbel_key", kept.alias("kept"), *more)
+def gumbel(seed: int = SEED) -> Column:
+    """A standard Gumbel variable of the row keys."""
+    uniform = (F.shiftrightunsigned(F.xxhash64(*KEYS, F.lit(seed)), 11).cast("double") + 0.5) / float(2**53)
+    return -F.log(-F.log(uniform))
+
+
+def top_k(rows: DataFrame, k: int, key: str = "gumbel_key") -> Column:
+    """The condition that holds for the ``k`` rows of ``rows`` (key, doc_id and row keys) with the largest keys; ties as stated above."""
+    least = kth_largest(rows, k, key)
+    if least is None:
+        return F.lit(False)
+    above = rows.where(F.col(key) > least).count()
+    row = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id", *KEYS)
+    tied = rows.where(F.col(key) == least).groupBy("doc_id", *KEYS).agg(F.count("*").alias("n")).orderBy(row)
+    total, places = 0, []
+    for r in tied.toLocalIterator():  # stops at the k-th row
+        places.append((r["doc_id"], r[KEYS[0]], r[KEYS[1]]))
+        total += r["n"]
+        if above + total >= k:
+            break
+    doc_id, k1, k2 = places[-1]
+    last = F.struct(F.lit(doc_id is not None).alias("named"), F.lit(doc_id).cast("bigint").alias("doc_id"), F.lit(k1).alias(KEYS[0]), F.lit(k2).alias(KEYS[1]))
+    return (F.col(key) > least) | ((F.col(key) == least) & (row <= last))
+
+
+def sampled(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: int = SEED) -> DataFrame:
+    """All columns of ``docs`` and ``importance``: struct(n_words, log_weight, gumbel_key, kept, row_k1, row_k2)."""
+    few = sampled_labels(labels).where("quality = 1").select("doc_id")
+    texts = pick(docs, "doc_id", "text").join(F.broadcast(few.withColumn("good", F.lit(True))), "doc_id", "left")  # SAMPLE rows at most
+    model = counts(texts.withColumn("good", F.coalesce("good", F.lit(False)))).toPandas()
+    weight, own = fresh(docs, "weight"), fresh(docs, "row")
+    rows = keyed(docs.select("doc_id", "text", F.struct(*docs.columns).alias(own)))
+    weighed = cut(weigh(rows, log_ratios(model), weight).withColumn("gumbel_key", F.round(F.col(f"{weight}.log_weight") + gumbel(seed), 9)).drop("text"), "weights")
+    share = good_share(labels) if share is None else share
+    n = weighed.count()
+    k = min(n, round(share * n))
+    kept = F.lit(True) if k >= n else top_k(weighed.select("doc_id", *KEYS, "gumbel_key"), k)
+    found = F.struct(f"{weight}.n_words", f"{weight}.log_weight", "gumbel_key", kept.alias("kept"), *KEYS)
+    name = fresh(docs, "importance")
+    return weighed.select(f"{own}.*", found.alias(name))
+
+
+def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: int = SEED) -> DataFrame:
+    """(doc_id, n_words, log_weight, gumbel_key, kept): ``kept`` marks the Gumbel top-k sample."""
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return sampled(docs, labels, share, seed).select("doc_id", "importance.n_words", "importance.log_weight", "importance.gumbel_key", "importance.kept")
 
 
 def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,9 +8,10 @@
    one cluster. Bands and rows follow the threshold (``shape``): two sets at the threshold share none with probability ``MISS``
    at most (36 bands of 7 rows at 0.85, 35 of 5 at 0.80).
 3. The classes of a cluster meet with their full sets. Pairs whose signatures agree far less than the threshold asks for (six
-   standard deviations) are left out; the others are confirmed by their exact intersection. Small clusters are one group; a
-   cluster beyond ``MEMBERS`` classes or ``SHINGLES`` shingles is dealt into blocks, and each pair of blocks is a task of its
-   own, so no task holds more than two blocks and no pair is lost. A task puts out a spanning forest of its links only.
+   standard deviations) are left out; the others are confirmed by their exact intersection. A cluster beyond ``MEMBERS`` classes is
+   taken apart into its buckets where that is less work (``groups``), so a chain of unlike texts is never compared as a whole. A group
+   beyond ``MEMBERS`` classes or ``SHINGLES`` shingles is dealt into blocks, and each pair of blocks is a task of its own, so no task
+   holds more than two blocks and no pair is lost. A task puts out a spanning forest of its links only.
 4. The components of the confirmed links are the result. A class is known by a number of its own, not by a doc_id, which other
    texts may share; the component's name and the row that is kept are its least doc_id and, where that has several texts or
    there is none, the least row key.
@@ -33,14 +34,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm.common import KEYS, cut, keyed, pick, table
+from tessella.llm.common import KEYS, PART, busy, cut, joined_apart, keyed, pick, table
 from tessella.llm.components import components
 from tessella.llm.words import Memo, batches, number, windows
 
 WIDTH, PERCENT = 5, 85
 #: Pairs at the threshold that share no band, at most, and hash functions that bands and rows may take together.
 MISS, HASHES, SEED = 1e-6, 256, 5
-MEMBERS, SHINGLES = 1_000, 1_000_000
+MEMBERS, SHINGLES = 1_000, 500_000
 
 _numbers = Memo(number)
 
@@ -125,6 +126,7 @@ def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                     keys[i] = k
                 h1, h2 = zip(*map(_set_hash, sets), strict=True)
                 yield some[["doc_id", *KEYS]].assign(n_shingles=[len(s) for s in sets], h1=h1, h2=h2, bands=keys)
+        _numbers.clear()
 
     return _texts(docs).mapInPandas(run, f"doc_id bigint, {KEYS[0]} bigint, {KEYS[1]} bigint, n_shingles bigint, h1 bigint, h2 bigint, bands array<bigint>")
 
@@ -132,9 +134,31 @@ def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def clusters(classes: DataFrame) -> DataFrame:
     """(class, cluster): the classes that share a band with another, by component of the stars of all buckets."""
     keys = classes.select("class", F.explode("bands").alias("band"))
-    buckets = keys.groupBy("band").agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least < most").select("band", "least")
-    stars = keys.join(buckets, "band").where("class <> least").select(F.col("class").alias("u"), F.col("least").alias("v"))
-    return components(stars).select(F.col("node").alias("class"), F.col("component").alias("cluster"))
+    counted = keys.groupBy("band").agg(F.min("class").alias("least"), F.count("*").alias("rows")).where("rows > 1")
+    hot = counted.where(F.col("rows") * PART > classes.count()).select(F.col("band").alias("busy_key"))
+    stars = joined_apart(keys, counted.select("band", "least"), ["band"], hot, F.col("class")).where("class <> least")
+    return components(stars.select(F.col("class").alias("u"), F.col("least").alias("v"))).select(F.col("node").alias("class"), F.col("component").alias("cluster"))
+
+
+def groups(classes: DataFrame, clustered: DataFrame) -> DataFrame:
+    """(class, cluster, size, weight): the groups whose classes are compared, one or several for each class of a cluster.
+
+    A cluster of up to ``MEMBERS`` classes is one group. A larger one may be a chain of unlike texts, so it is taken apart again into
+    its buckets, of which those with the same classes count once, if their squares sum up to less than that of the whole.
+    """
+    members = clustered.join(classes.select("class", "n_shingles", "bands"), "class")
+    sizes = members.groupBy("cluster").agg(F.count("*").alias("size"), F.sum("n_shingles").alias("weight"))
+    hot = sizes.where(F.col("size") * PART > clustered.count()).select(F.col("cluster").alias("busy_key"))
+    members = cut(joined_apart(members, sizes, ["cluster"], hot, F.col("class")), "members")
+    large = members.where(F.col("size") > MEMBERS).select("class", "n_shingles", "cluster", "size", F.explode("bands").alias("band"))
+    alike = large.groupBy("cluster", "size", "band").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"), F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("who"))
+    alike = alike.where("n > 1").groupBy("cluster", "size", "n", "w", "who").agg(F.min("band").alias("band"))
+    apart = alike.groupBy("cluster", "size").agg(F.sum(F.col("n") * F.col("n")).alias("cost")).where("cost < size * size").select("cluster")
+    buckets = alike.join(apart, "cluster").select("band", F.col("n").alias("bn"), "w")
+    whole = members.join(apart, "cluster", "left_anti").select("class", "cluster", "size", "weight")
+    few = busy(large, "band", classes.count())
+    some = joined_apart(large.select("band", "class"), buckets, ["band"], few, F.col("class")).select("class", F.xxhash64("band").alias("cluster"), F.col("bn").alias("size"), F.col("w").alias("weight"))
+    return whole.unionByName(some)
 
 
 def _linked(a: list[np.ndarray], b: list[np.ndarray], same: bool, percent: int) -> np.ndarray:
@@ -162,9 +186,9 @@ def _linked(a: list[np.ndarray], b: list[np.ndarray], same: bool, percent: int)
         order = np.argsort(place, kind="stable")
         row, place = row[order], place[order]
         counts = np.zeros((len(a), len(b)), np.float32)
-        for low in range(0, int(more.sum()), 4096):
-            lo, hi = np.searchsorted(place, [low, low + 4096])
-            m = np.zeros((len(a) + len(b), 4096), np.float32)
+        for low in range(0, int(more.sum()), 2048):
+            lo, hi = np.searchsorted(place, [low, low + 2048])
+            m = np.zeros((len(a) + len(b), 2048), np.float32)
             m[row[lo:hi], place[lo:hi] - low] = 1
             counts += m[: len(a)] @ m[len(a) :].T
         inter = np.rint(counts[i, j]).astype(np.int64)
@@ -192,10 +216,11 @@ def _forest(pairs: np.ndarray, n: int) -> list[tuple[int, int]]:
 
 def confirmed(docs: DataFrame, classes: DataFrame, clustered: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(u, v): links between classes that connect the same classes as all links do, each confirmed on full sets."""
-    members = clustered.join(classes.select("class", "h1", "h2", "n_shingles", *[f"best.{k}" for k in KEYS]), "class")
-    sizes = members.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / MEMBERS), F.ceil(F.sum("n_shingles") / SHINGLES)).cast("int").alias("blocks"))
-    members = members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    texts = _texts(docs).join(members.select("class", *KEYS, "h1", "h2", "cluster", "block", "blocks"), [*KEYS])
+    blocks = F.greatest(F.ceil(F.col("size") / MEMBERS), F.ceil(F.col("weight") / SHINGLES)).cast("int")
+    dealt = groups(classes, clustered).withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    dealt = dealt.groupBy("class").agg(F.collect_set(F.struct("cluster", "block", "blocks")).alias("groups"))  # as many as bands at most
+    members = dealt.join(classes.select("class", "h1", "h2", *[f"best.{k}" for k in KEYS]), "class")
+    texts = _texts(docs).join(members, [*KEYS])
 
     def sets(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         done: set[int] = set()  # of repeated rows one goes on
@@ -205,10 +230,12 @@ def confirmed(docs: DataFrame, classes: DataFrame, clustered: DataFrame, percent
             for some in batches(pdf):
                 own = shingles(some["_text"].tolist())
                 right = [_set_hash(s) == h for s, h in zip(own, zip(some["h1"], some["h2"], strict=True), strict=True)]
-                out = some[["class", "cluster", "block", "blocks"]].assign(shingles=[s.tobytes() for s in own])
+                out = some[["class", "groups"]].assign(shingles=[s.tobytes() for s in own])
                 yield out[right]
+        _numbers.clear()
 
-    found = texts.mapInPandas(sets, "class bigint, cluster bigint, block int, blocks int, shingles binary")
+    found = texts.mapInPandas(sets, "class bigint, groups array<struct<cluster:bigint,block:int,blocks:int>>, shingles binary")
+    found = found.select("class", "shingles", F.explode("groups").alias("of")).select("class", "shingles", "of.*")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = found.withColumn("other", other).select("class", "cluster", "block", "shingles", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
 
@@ -233,16 +260,21 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, *more: str) -> Data
     """(doc_id, n_shingles, component_id, kept, *more) of every row: kept is the least row of its component; ``more`` may name ``KEYS``."""
     docs = pick(docs, "doc_id", "text")
     rows = cut(signatures(docs, percent), "signatures")
+    n = rows.count()
     row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", *KEYS)
     classes = rows.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min(row).alias("best"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
     classes = cut(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
-    links = confirmed(docs, classes, cut(clusters(classes), "clusters"), percent)
+    clustered = cut(clusters(classes), "clusters")
+    links = cut(confirmed(docs, classes, clustered, percent), "links")
     linked = components(links).select(F.col("node").alias("class"), "component").join(classes.select("class", "h1", "h2", "best"), "class")
-    least = linked.groupBy("component").agg(F.min("best").alias("least"))
-    named = classes.select("h1", "h2", "best").join(linked.join(least, "component").select("h1", "h2", "least"), ["h1", "h2"], "left").select("h1", "h2", F.coalesce("least", "best").alias("least"))
-    out = rows.select("doc_id", *KEYS, "n_shingles", "h1", "h2").join(named, ["h1", "h2"], "left")
-    kept = (F.col("n_shingles") == 0) | ((F.col("least")[KEYS[0]] == F.col(KEYS[0])) & (F.col("least")[KEYS[1]] == F.col(KEYS[1])))
-    component = F.when(F.col("n_shingles") > 0, F.col("least.doc_id")).otherwise(F.col("doc_id"))
+    of = lambda c: [F.col(f"{c}.{k}").alias(f"least_{k}") for k in ("doc_id", *KEYS)]
+    least = linked.groupBy("component").agg(F.min("best").alias("least")).select("component", *of("least"))
+    found = joined_apart(linked.select("h1", "h2", "class", "component"), least, ["component"], busy(linked, "component", n), F.col("class")).drop("class", "component")
+    alone = classes.join(found, ["h1", "h2"], "left_anti").select("h1", "h2", *of("best"))
+    every = rows.select("doc_id", *KEYS, "n_shingles", "h1", "h2")
+    out = joined_apart(every, found.unionByName(alone), ["h1", "h2"], busy(every, "h1", n), F.col(KEYS[0]), "left")
+    kept = (F.col("n_shingles") == 0) | ((F.col(f"least_{KEYS[0]}") == F.col(KEYS[0])) & (F.col(f"least_{KEYS[1]}") == F.col(KEYS[1])))
+    component = F.when(F.col("n_shingles") > 0, F.col("least_doc_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"), *more)
 
 

@@ -8,7 +8,9 @@ import numpy as np
 import xxhash
 
 #: Entries that a worker remembers at most; beyond that it starts anew, with the same results.
-KEPT = 200_000
+KEPT = 100_000
+#: Characters of the texts that are worked on together.
+TOGETHER = 1_000_000
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -54,7 +56,7 @@ def starts(lengths: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64) if len(lengths) else np.zeros(0, np.int64)
 
 
-def batches(pdf, column: str = "_text", most: int = 4_000_000):
+def batches(pdf, column: str = "_text", most: int = TOGETHER):
     """Rows whose texts together have about ``most`` characters at most, one row at least."""
     if len(pdf):
         for _, some in pdf.groupby(pdf[column].str.len().cumsum() // most, sort=True):
