@@ -7,9 +7,12 @@ and contracts each word's leftmost pair of the least rank, until no pair of the
 keeps the last state only, so memory follows the words, not the steps. Decoding joins id-position rows with the vocabulary and
 concatenates by an ordered aggregation.
 
+A word over ``LONG`` bytes is encoded in pieces whose seams are tested; see ``Codec._contract_long``.
+
 What a worker has learned of words and pieces is kept for later batches in two generations of ``KEPT`` entries at most; what was
-not met during a whole generation is dropped. Results do not depend on it. Rows: a null text is empty; an empty text has no ids; texts of any length are encoded whole; extra columns are not
-read; an empty table gives no rows.
+not met during a whole generation is dropped, and all of it when another operator uses the worker. Results do not depend on it.
+Rows: a null text is empty; an empty text has no ids; texts and words of any length are encoded whole; repeated rows are encoded
+alike; extra columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,10 +31,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm.common import table
+from tessella.llm.words import batches, hold
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Words that one recursive query takes, and pieces a worker remembers.
-WORDS, KEPT = 10_000, 300_000
+#: Words that one recursive query takes, pieces a worker remembers, and bytes from which a word is cut.
+WORDS, KEPT, LONG = 40_000, 400_000, 64
 
 CONTRACT = """
 WITH RECURSIVE bpe(word, tokens) USING KEY (word) AS (
@@ -44,13 +48,49 @@ WITH RECURSIVE bpe(word, tokens) USING KEY (word) AS (
       SELECT word, unnest(tokens[:-2]) AS token, unnest(tokens[2:]) AS following, generate_subscripts(tokens[2:], 1) AS position
       FROM bpe WHERE len(tokens) > 1
     ) p
-    JOIN merges m ON p.token = m.first AND p.following = m.second
+    JOIN merges m ON p.token * 65536 + p.following = m.pair
     GROUP BY word
   ) n JOIN bpe b USING (word)
 )
 SELECT word, tokens FROM bpe
 """
 
+#: The same for long words: all leftmost pairs of the word's least rank at once.
+CONTRACT_ALL = """
+WITH RECURSIVE bpe(word, tokens) USING KEY (word) AS (
+  SELECT word, tokens FROM words
+  UNION
+  SELECT word, list(CASE WHEN taken THEN least ELSE token END ORDER BY position)
+  FROM (
+    SELECT word, position, token, least, taken, lag(taken, 1, false) OVER (PARTITION BY word ORDER BY position) AS gone
+    FROM (
+      -- of a run of equal pairs, as in aaaa, every other one counts from the left
+      SELECT word, position, token, least, hit AND row_number() OVER (PARTITION BY word, hit, island ORDER BY position) % 2 = 1 AS taken
+      FROM (
+        SELECT word, position, token, least, hit, position - row_number() OVER (PARTITION BY word, hit ORDER BY position) AS island
+        FROM (
+          SELECT p.word, p.position, p.token, least, coalesce(m.token = least, false) AS hit
+          FROM (
+            SELECT word, unnest(tokens) AS token, unnest(tokens[2:] || [-1]) AS following, generate_subscripts(tokens, 1) AS position
+            FROM bpe WHERE len(tokens) > 1
+          ) p
+          LEFT JOIN merges m ON p.token * 65536 + p.following = m.pair
+          JOIN (
+            SELECT word, min(m.token) AS least
+            FROM (SELECT word, unnest(tokens[:-2]) AS token, unnest(tokens[2:]) AS following FROM bpe WHERE len(tokens) > 1) q
+            JOIN merges m ON q.token * 65536 + q.following = m.pair
+            GROUP BY word
+          ) l ON p.word = l.word
+        )
+      )
+    )
+  )
+  WHERE NOT gone
+  GROUP BY word
+)
+SELECT word, tokens FROM bpe
+"""
+
 DECODE = """
 SELECT row, string_agg(bytes, '' ORDER BY position) AS bytes
 FROM (SELECT row, unnest(ids) AS token, generate_subscripts(ids, 1) AS position FROM coded) JOIN vocabulary USING (token)
@@ -67,12 +107,16 @@ class Codec:
         self.pattern = regex.compile(pattern)
         self.single = [ranks[bytes([b])] for b in range(256)]
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
-        # a pair's rank is the id of what it makes
-        merges = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
-        first, second, made = zip(*merges, strict=True)
+        # a pair's rank is the id of what it makes. Of the splits of a token only those whose parts rank below it are ever contracted:
+        # inside a token's bytes the steps are those of encoding it alone, and their ranks rise (true of every token here; tested)
+        splits = ((t[:i], t[i:], r) for t, r in ranks.items() for i in range(1, len(t)))
+        merges = [(ranks[a] * 65536 + ranks[b], r) for a, b, r in splits if ranks.get(a, r) < r and ranks.get(b, r) < r]
+        pair, made = zip(*merges, strict=True)  # ids are below 65,536
+        self.bytes = {r: t for t, r in ranks.items()}
+        self.fits: set[tuple[int, int]] = set()
         # a byte b stands as the character 256 + b, so that every string is text
         texts = ["".join(chr(256 + b) for b in t) for t in ranks]
-        self._table("merges", pa.table({"first": first, "second": second, "token": made}))
+        self._table("merges", pa.table({"pair": pair, "token": made}))
         self._table("vocabulary", pa.table({"token": list(ranks.values()), "bytes": texts}))
         self.words: dict[str, str] = {}
         self.pieces: dict[str, str] = {}
@@ -84,18 +128,64 @@ class Codec:
         self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM rows")
         self.con.unregister("rows")
 
-    def contract(self, words: list[bytes]) -> list[list[int]]:
-        """The ids of each word."""
+    def _query(self, words: list[bytes], query: str) -> list[list[int]]:
         out: list[list[int]] = []
         for start in range(0, len(words), WORDS):
             some = words[start : start + WORDS]
             tokens = pa.array([[self.single[b] for b in w] for w in some], pa.list_(pa.int64()))
             self.con.register("words", pa.table({"word": pa.array(range(len(some)), pa.int64()), "tokens": tokens}))
-            by = dict(self.con.execute(CONTRACT).fetchall())
+            by = dict(self.con.execute(query).fetchall())
             self.con.unregister("words")
             out += [by[i] for i in range(len(some))]
         return out
 
+    def contract(self, words: list[bytes]) -> list[list[int]]:
+        """The ids of each word."""
+        long = [i for i, w in enumerate(words) if len(w) > LONG]
+        if not long:
+            return self._query(words, CONTRACT)
+        out = self._query([b"" if len(w) > LONG else w for w in words], CONTRACT)
+        for i, ids in zip(long, self._contract_long([words[i] for i in long]), strict=True):
+            out[i] = ids
+        return out
+
+    def _contract_long(self, words: list[bytes]) -> list[list[int]]:
+        """The ids of words over ``LONG`` bytes, by pieces.
+
+        A row of tokens is the encoding of its bytes if and only if each pair of neighbours is the encoding of its own bytes: what
+        two tokens make in the whole word they would make alone, as no merge ranks below its parts. So pieces are encoded alone, and where the two tokens at a seam aren't their own encoding, the two
+        pieces become one and are encoded again.
+        """
+        cut = [[w[k : k + LONG] for k in range(0, len(w), LONG)] for w in words]
+        done: list[list[list[int] | None]] = [[None] * len(c) for c in cut]
+        while True:
+            new = [(i, k) for i, d in enumerate(done) for k, ids in enumerate(d) if ids is None]
+            if not new:
+                return [[t for ids in d for t in ids] for d in done]
+            pieces = [cut[i][k] for i, k in new]
+            ids = self._query([p if len(p) <= 2 * LONG else b"" for p in pieces], CONTRACT)
+            for at, found in zip(longer := [k for k, p in enumerate(pieces) if len(p) > 2 * LONG], self._query([pieces[k] for k in longer], CONTRACT_ALL), strict=True):
+                ids[at] = found
+            for (i, k), found in zip(new, ids, strict=True):
+                done[i][k] = found
+            seams = [(i, k) for i, d in enumerate(done) for k in range(len(d) - 1) if (d[k][-1], d[k + 1][0]) not in self.fits]
+            pairs = list({(done[i][k][-1], done[i][k + 1][0]) for i, k in seams})
+            alone = dict(zip(pairs, self._query([self.bytes[a] + self.bytes[b] for a, b in pairs], CONTRACT), strict=True))
+            for i in range(len(done)):
+                broken = {k for j, k in seams if j == i and alone[done[i][k][-1], done[i][k + 1][0]] != [done[i][k][-1], done[i][k + 1][0]]}
+                if broken:
+                    parts, ids_of = [cut[i][0]], [done[i][0]]
+                    for k in range(1, len(cut[i])):
+                        if k - 1 in broken:
+                            parts[-1], ids_of[-1] = parts[-1] + cut[i][k], None
+                        else:
+                            parts.append(cut[i][k])
+                            ids_of.append(done[i][k])
+                    cut[i], done[i] = parts, ids_of
+            if len(self.fits) > KEPT:
+                self.fits.clear()
+            self.fits |= {p for p in pairs if alone[p] == list(p)}
+
     def _learn(self, pieces: set[str]) -> None:
         """Put what is new among the pieces into ``pieces``: their ids, each after a space."""
         if len(self.pieces) > KEPT or len(self.words) > KEPT:
@@ -146,7 +236,7 @@ class Codec:
         return out
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
@@ -157,11 +247,10 @@ def _default(vocabulary: str | None) -> tuple[str, str]:
     return vocabulary or public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
 
 
-def _batches(pdf: pd.DataFrame, most: int = 1_000_000) -> Iterator[pd.DataFrame]:
-    """Rows whose texts together have about ``most`` characters at most, one row at least."""
-    total = pdf.iloc[:, 1].str.len().cumsum() // most
-    for _, some in pdf.groupby(total, sort=True):
-        yield some
+def _own(path: str, pattern: str) -> Codec:
+    """This worker's codec, which other operators release."""
+    hold("byte_bpe", codec.cache_clear)
+    return codec(path, pattern)
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text: Column | str = "text", vocabulary: str | None = None) -> DataFrame:
@@ -170,8 +259,8 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text: Column | str = "text",
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            for some in _batches(pdf):
-                yield pd.DataFrame({id_col: some[id_col], "ids": codec(path, pattern).encode(some["_text"].tolist())})
+            for some in batches(pdf):
+                yield pd.DataFrame({id_col: some[id_col], "ids": _own(path, pattern).encode(some["_text"].tolist())})
 
     rows = docs.select(F.col(id_col).cast("bigint").alias(id_col), F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).alias("_text"))
     return rows.mapInPandas(run, f"{id_col} bigint, ids string")
@@ -183,8 +272,8 @@ def decode(coded: DataFrame, id_col: str = "doc_id", vocabulary: str | None = No
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            for some in _batches(pdf):
-                yield pd.DataFrame({id_col: some[id_col], "bytes": codec(path, pattern).decode(some["ids"].tolist())})
+            for some in batches(pdf, "ids"):
+                yield pd.DataFrame({id_col: some[id_col], "bytes": _own(path, pattern).decode(some["ids"].tolist())})
 
     return coded.select(id_col, F.coalesce("ids", F.lit("")).alias("ids")).mapInPandas(run, f"{id_col} bigint, bytes binary")
 
@@ -195,8 +284,8 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", vocabulary: str | None =
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            for some in _batches(pdf):
-                own = codec(path, pattern)
+            for some in batches(pdf):
+                own = _own(path, pattern)
                 ids = own.encode(some["_text"].tolist())
                 back = own.decode(ids)
                 yield pd.DataFrame({

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm.common import KEYS, cut, fresh, keyed, pick, table
-from tessella.llm.words import Memo, batches, mix, number, starts
+from tessella.llm.words import Memo, batches, hold, mix, number, starts
 
 BUCKETS, SAMPLE, SEED = 1 << 16, 20_000, 17
 PIECES = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
@@ -55,6 +55,7 @@ def counts(docs: DataFrame) -> DataFrame:
     """(bucket, n_good, n_all) over all rows; column ``good`` marks the target's rows."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hold("importance", _numbers.clear)
         total = np.zeros((2, BUCKETS + 1), np.int64)
         for pdf in parts:
             for some in batches(pdf):
@@ -87,6 +88,7 @@ def weigh(docs: DataFrame, ratios: np.ndarray, into: str = "weight") -> DataFram
 
     @F.pandas_udf("n_words bigint, log_weight double")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        hold("importance", _numbers.clear)
         for texts in parts:
             out = [(np.zeros(0, np.int64), np.zeros(0))]
             for some in batches(texts.to_frame("_text")):

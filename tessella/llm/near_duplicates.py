@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tessella.llm.common import KEYS, PART, busy, cut, joined_apart, keyed, pick, table
 from tessella.llm.components import components
-from tessella.llm.words import Memo, batches, number, windows
+from tessella.llm.words import Memo, batches, hold, number, windows
 
 WIDTH, PERCENT = 5, 85
 #: Pairs at the threshold that share no band, at most, and hash functions that bands and rows may take together.
@@ -117,6 +117,7 @@ def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     n, rows = shape(percent)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hold("near_duplicates", _numbers.clear)
         for pdf in parts:
             for some in batches(pdf):
                 sets = shingles(some["_text"].tolist())
@@ -223,6 +224,7 @@ def confirmed(docs: DataFrame, classes: DataFrame, clustered: DataFrame, percent
     texts = _texts(docs).join(members, [*KEYS])
 
     def sets(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hold("near_duplicates", _numbers.clear)
         done: set[int] = set()  # of repeated rows one goes on
         for pdf in parts:
             pdf = pdf[~pdf["class"].isin(done)].drop_duplicates("class")

@@ -3,16 +3,21 @@
 A text becomes a row of tokens: white-space chunks in lower case without marks at their ends; numbers, amounts (a number and its
 unit, in one chunk or two) and names (a capitalised word, or several with no mark between) become the typed placeholders
 ``<num>``, ``<num><unit>`` and ``<name>``. Whether a capitalised word at a sentence start is a name can't be told, so a text has
-two readings: one takes such words as plain, the other as names; each is compared with the same reading of an item. Windows of
-``WIDTH`` tokens of a document are looked up in a hash table of the items' windows. A document leaks an item if it
-holds at least ``SHARE`` of the item's distinct windows and the slots are consistent: each number, unit and name that the item's
-placeholders have stands for one of the document over the matched windows, and different ones for different ones. So a question
-whose numbers or names were changed throughout is found, and a coincidence of templates with contradictory slots is not.
-
-The items' windows are broadcast in shards of ``SHARD`` windows at most, so a benchmark of any size is matched whole, each shard
-in its own pass over the documents. Rows: null and empty texts match nothing, as items and as documents; an item of fewer than
-``WIDTH`` tokens has one window of its own length; repeated items are separate items with the same windows; a repeated document
-row is judged alike; with an empty benchmark no document leaks; an empty table gives no rows.
+two readings: one takes such words as plain, the other as names; each is compared with the same reading of an item. A document leaks
+an item if it holds at least ``SHARE`` of the item's distinct windows of ``WIDTH`` tokens and the slots are consistent: each number,
+unit and name that the item's placeholders have stands for one of the document over the matched windows, and different ones for
+different ones. So a question whose numbers or names were changed throughout is found, and a coincidence of templates with
+contradictory slots is not.
+
+1. The items' windows are a table. A bit table of ``BITS`` bits with two bits a window, of one size for any benchmark, is broadcast;
+   documents are read once and give their windows that pass it, with the values in their slots, one row a document and reading.
+2. A document that holds ``SHARE`` of an item's windows holds one of any choice of more than the rest of them. So the windows of
+   documents are hash-joined, by window, with the rarest ones of every item, as many as that takes; this loses no pair.
+3. Each pair of document and item meets with the document's windows that are the item's, and the slots are compared.
+
+Rows: null and empty texts match nothing, as items and as documents; an item of fewer than ``WIDTH`` tokens has one window of its
+own length; items of equal id and text count once; an item without an id is listed as null; a repeated document row is judged alike,
+rows of one doc_id (or none) and other texts each for itself; with an empty benchmark no document leaks; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,17 +25,18 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import KEYS, keyed, pick, table
-from tessella.llm.words import KEPT, Memo, batches, number, windows
+from tessella.llm.common import KEYS, cut, keyed, pick, table
+from tessella.llm.words import KEPT, Memo, batches, hold, mix, number, windows
 
-WIDTH, SHARE, SHARD = 5, 0.8, 500_000
+WIDTH, SHARE = 5, 0.8
+#: Bits of the table in front of the windows, as a power of two (8 MB), and tasks over which a window's documents are dealt.
+BITS, SALTS = 26, 8
 #: Offsets from which a chain of several is tried.
 CHAINS = 16
 #: Units that follow a number.
@@ -131,12 +137,9 @@ class Learned:
         return *(t[flat] for t in self.tables), np.repeat(np.arange(len(texts)), n)
 
 
-_learned = Learned()
-
-
-def tokens(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+def tokens(texts: list[str], learned: Learned) -> list[tuple[np.ndarray, np.ndarray]]:
     """For both readings, numbers of the tokens of all texts in a row, as ``canonical`` makes them, and which text each belongs to."""
-    h, kind, marks, text = _learned.look_up(texts)
+    h, kind, marks, text = learned.look_up(texts)
     if not len(h):
         return [(h, text)] * 2
     first = np.append(True, text[1:] != text[:-1])
@@ -147,68 +150,89 @@ def tokens(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-class Reading:
-    """Windows of some items in one reading: sorted hashes, a bit table in front of them, and where each window stands."""
-
-    def __init__(self, items: list[tuple[int, str]], starts: bool) -> None:
-        at: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        self.starts, self.own, self.slots, self.widths = starts, {}, {}, set()
-        for key, (_, text) in enumerate(items):
-            h, slot, values = canonical(text, starts)
-            width = min(WIDTH, len(h))
-            if not width:
-                continue
-            self.widths.add(width)
-            own = windows(h, width)
-            self.own[key] = own.tolist()
-            self.slots[key] = (slot, values, width)
-            for place, w in enumerate(self.own[key]):
-                at[w].append((key, place))
-        self.at = dict(at)
-        self.hashes = np.array(sorted(at), np.uint64)
-        self.bits = np.zeros(1 << 20, bool)
-        self.bits[(self.hashes >> np.uint64(44)).astype(np.int64)] = True
-
-    def leaks(self, texts: list[str], h: np.ndarray, text: np.ndarray) -> Iterator[tuple[int, int, float, bool]]:
-        """(text, item, share of its windows, consistent) of the items of which a text has enough windows."""
-        first = np.searchsorted(text, np.arange(len(texts)))
-        hits: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-        seen: dict[tuple[int, int], set[int]] = defaultdict(set)
-        for width in self.widths:
-            own = windows(h, width)
-            maybe = np.flatnonzero(self.bits[(own >> np.uint64(44)).astype(np.int64)] & (text[: len(own)] == text[width - 1 :]))
-            for place in maybe.tolist():
-                w = int(own[place])
-                for key, there in self.at.get(w, ()):
-                    if self.slots[key][2] == width:
-                        pair = int(text[place]), key
-                        hits[pair].append((place - int(first[pair[0]]), there))
-                        seen[pair].add(w)
-        for (of, key), pairs in hits.items():
-            share = len(seen[of, key]) / len(set(self.own[key]))
-            if share >= SHARE:
-                _, slot, values = canonical(texts[of], self.starts)
-                item_slot, item_values, width = self.slots[key]
-                yield of, key, share, _consistent(pairs, self.own[key], width, item_slot, item_values, slot, values)
-
-
-class Shard:
-    """Both readings of some items."""
-
-    def __init__(self, items: list[tuple[int, str]]) -> None:
-        self.ids = [i for i, _ in items]
-        self.readings = [Reading(items, starts) for starts in (False, True)]
-
-    def leaks(self, texts: list[str]) -> list[list[tuple[int, float, bool]]]:
-        """For each text, (item id, share of its windows, consistent) of the items of which it has enough windows in a reading."""
-        found: dict[tuple[int, int], tuple[bool, float]] = {}
-        for reading, (h, text) in zip(self.readings, tokens(texts), strict=True):
-            for of, key, share, fits in reading.leaks(texts, h, text):
-                found[of, key] = max(found.get((of, key), (False, 0.0)), (fits, share))
-        out: list[list[tuple[int, float, bool]]] = [[] for _ in texts]
-        for (of, key), (fits, share) in found.items():
-            out[of].append((self.ids[key], share, fits))
-        return out
+def _bits(h: np.ndarray) -> list[np.ndarray]:
+    """The two places of each window in the bit table."""
+    shift = np.uint64(64 - BITS)
+    return [(x >> shift).astype(np.int64) for x in (h, mix(h ^ np.uint64(0x5851F42D4C957F2D)))]
+
+
+def item_windows(benchmark: DataFrame) -> DataFrame:
+    """(item, item_id, text, reading, width, own): the distinct windows of every item in both readings; ``item`` is a hash of id and text."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            out = []
+            for item, item_id, text in zip(pdf.item, pdf.item_id, pdf.text, strict=True):
+                for starts in (False, True):
+                    h, _, _ = canonical(text, starts)
+                    width = min(WIDTH, len(h))
+                    if width:
+                        out.append((item, None if pd.isna(item_id) else int(item_id), text, starts, width, np.unique(windows(h, width)).view(np.int64)))
+            _chunks.clear()
+            yield pd.DataFrame(out, columns=["item", "item_id", "text", "reading", "width", "own"]).astype({"item_id": "Int64"})
+
+    items = benchmark.where("text IS NOT NULL").select(F.xxhash64(F.col("item_id").isNull(), "item_id", "text").alias("item"), F.col("item_id").cast("bigint").alias("item_id"), "text").distinct()
+    return items.mapInPandas(run, "item bigint, item_id bigint, text string, reading boolean, width int, own array<bigint>")
+
+
+def bit_table(own: DataFrame) -> np.ndarray:
+    """The bit table of the windows in column ``w``, as bytes; the driver takes 2 ** (BITS - 6) numbers at most."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            places = np.concatenate(_bits(pdf.w.to_numpy(np.int64).view(np.uint64)))
+            yield pd.DataFrame({"place": places >> 6, "bit": np.left_shift(np.uint64(1), (places & 63).astype(np.uint64)).view(np.int64)})
+
+    rows = own.mapInPandas(run, "place bigint, bit bigint").groupBy("place").agg(F.bit_or("bit").alias("bits")).toPandas()
+    table_ = np.zeros(1 << (BITS - 6), np.int64)
+    table_[rows.place.to_numpy(np.int64)] = rows.bits.to_numpy(np.int64)
+    return table_.view(np.uint8)
+
+
+HITS = "array<struct<w:bigint,at:int,slots:string>>"
+
+
+def hits(docs: DataFrame, bits: np.ndarray, widths: list[int]) -> DataFrame:
+    """(row_k1, row_k2, reading, hits) of the documents that have windows in the bit table: window, place and the values of its slots."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hold("templates", _chunks.clear)
+        learned, table_ = Learned(), shared.value
+        has = lambda places: (table_[places >> 3] >> (places & 7).astype(np.uint8)) & 1 > 0
+        for pdf in parts:
+            for some in batches(pdf):
+                texts, keys = some["_text"].tolist(), some[[*KEYS]].to_numpy(np.int64)
+                out = []
+                for starts, (h, text) in zip((False, True), tokens(texts, learned), strict=True):
+                    first = np.searchsorted(text, np.arange(len(texts)))
+                    found: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
+                    for width in widths:
+                        own = windows(h, width)
+                        maybe = np.flatnonzero(has((own >> np.uint64(64 - BITS)).astype(np.int64)) & (text[: len(own)] == text[width - 1 :]))
+                        maybe = maybe[has(_bits(own[maybe])[1])]
+                        for place, of in zip(maybe.tolist(), text[maybe].tolist(), strict=True):
+                            found[of].append((int(own[place].view(np.int64)), place - int(first[of]), width))
+                    for of, windows_ in found.items():
+                        _, slot, values = canonical(texts[of], starts)
+                        slots = [_written([(d, values[at + d]) for d in range(width) if slot[at + d]]) for _, at, width in windows_]
+                        out.append((*keys[of], starts, [{"w": w, "at": at, "slots": s} for (w, at, _), s in zip(windows_, slots, strict=True)]))
+                yield pd.DataFrame(out, columns=[*KEYS, "reading", "hits"])
+        _chunks.clear()
+
+    rows = keyed(docs).select(*KEYS, F.coalesce("text", F.lit("")).alias("_text"))
+    return rows.mapInPandas(run, f"{KEYS[0]} bigint, {KEYS[1]} bigint, reading boolean, hits {HITS}")
+
+
+def _written(slots: list[tuple[int, tuple[tuple[str, str], ...]]]) -> str:
+    """Places and typed values of a window's slots, in one string; a chunk has no control characters that are white space."""
+    return "\n".join("\t".join([str(d), *[x for kind, value in values for x in (kind, value)]]) for d, values in slots)
+
+
+def _read_back(slots: str) -> Iterator[tuple[int, tuple[tuple[str, str], ...]]]:
+    for line in filter(None, slots.split("\n")):
+        d, *rest = line.split("\t")
+        yield int(d), tuple(zip(rest[::2], rest[1::2], strict=True))
 
 
 Pairs = frozenset[tuple[tuple[str, str], tuple[str, str]]]
@@ -218,7 +242,7 @@ def _one_to_one(pairs: Pairs) -> bool:
     return len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs})
 
 
-def _consistent(pairs: list[tuple[int, int]], own: list[int], width: int, item_slot: np.ndarray, item_values: list, slot: np.ndarray, values: list) -> bool:
+def _consistent(pairs: list[tuple[int, int]], own: list[int], width: int, item_slot: np.ndarray, item_values: list, slot: dict, values: dict) -> bool:
     """Some copy of the item in the document holds ``SHARE`` of the item's distinct windows ``own`` and maps slot values one to one.
 
     Windows are grouped by their offset against the item; a copy without insertions has one offset, and each that alone has
@@ -233,7 +257,7 @@ def _consistent(pairs: list[tuple[int, int]], own: list[int], width: int, item_s
     segments: dict[tuple[frozenset[int], Pairs], None] = {}  # copies with the same values count once
     for run in by.values():
         found = {(there, place) for place, there in run}
-        slots = {(there + d, place + d) for there, place in found for d in range(width) if item_slot[there + d] and slot[place + d]}
+        slots = {(there + d, place + d) for there, place in found for d in range(width) if item_slot[there + d] and place + d in slot}
         mapped = frozenset(pair for i, j in slots for pair in zip(item_values[i], values[j], strict=True))
         if _one_to_one(mapped):
             held = frozenset(own[there] for there, _ in found)
@@ -252,49 +276,62 @@ def _consistent(pairs: list[tuple[int, int]], own: list[int], width: int, item_s
     return False
 
 
-def _shards(benchmark: DataFrame, most: int) -> Iterator[Shard]:
-    """Items stream to the driver; each shard holds ``most`` windows of both readings at most, one item at least."""
-    some, size = [], 0
-    for row in benchmark.where("text IS NOT NULL").orderBy("item_id").toLocalIterator():
-        n = 2 * len(row["text"].split())
-        if some and size + n > most:
-            yield Shard(some)
-            some, size = [], 0
-        some.append((row["item_id"], row["text"]))
-        size += n
-    if some:
-        yield Shard(some)
-
-
-def matches(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD) -> DataFrame:
-    """(doc_id, row_k1, row_k2, items array<struct<item_id, share, consistent>>) of every document."""
-    rows = keyed(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), *KEYS, F.coalesce("text", F.lit("")).alias("_text"))
-    kind = "array<struct<item_id:bigint,share:double,consistent:boolean>>"
-    found = []
-    for part in _shards(pick(benchmark, "item_id", "text"), shard):
-        shared = docs.sparkSession.sparkContext.broadcast(part)
-
-        def run(parts: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            for pdf in parts:
-                for some in batches(pdf):
-                    items = [[{"item_id": i, "share": s, "consistent": c} for i, s, c in sorted(found)] for found in shared.value.leaks(some["_text"].tolist())]
-                    yield some[["doc_id", *KEYS]].assign(items=items)
-
-        found.append(rows.mapInPandas(run, f"doc_id bigint, {KEYS[0]} bigint, {KEYS[1]} bigint, items {kind}"))
-    if not found:
-        return rows.select("doc_id", *KEYS, F.array().cast(kind).alias("items"))
-    if len(found) == 1:
-        return found[0]
-    leaks = reduce(DataFrame.unionByName, found).where(F.size("items") > 0).groupBy(*KEYS).agg(F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-    return rows.select("doc_id", *KEYS).join(leaks, [*KEYS], "left").withColumn("items", F.coalesce("items", F.array().cast(kind)))
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD, *more: str) -> DataFrame:
-    """(doc_id, leaked, n_items, items, *more): whether a document leaks items, which, and how many; ``more`` may name ``KEYS``."""
-    found = matches(docs, benchmark, shard)
-    leaks = F.transform(F.filter("items", lambda x: x["consistent"]), lambda x: x["item_id"])
-    one = found.select("doc_id", *more, F.array_sort(F.array_distinct(leaks)).alias("items"))
-    return one.select("doc_id", (F.size("items") > 0).alias("leaked"), F.size("items").alias("n_items"), "items", *more)
+def _leaks(text: str, starts: bool, found: list) -> tuple[float, bool]:
+    """Share of the item's windows that a document's windows (w, at, slots) make up, and whether some copy is consistent."""
+    h, item_slot, item_values = canonical(text, starts)
+    width = min(WIDTH, len(h))
+    own = windows(h, width).view(np.int64).tolist()
+    share = len({x["w"] for x in found}) / len(set(own))
+    if share < SHARE:
+        return share, False
+    there: dict[int, list[int]] = defaultdict(list)
+    for place, w in enumerate(own):
+        there[w].append(place)
+    values = {x["at"] + d: v for x in found for d, v in _read_back(x["slots"])}
+    pairs = [(x["at"], t) for x in found for t in there[x["w"]]]
+    return share, _consistent(pairs, own, width, item_slot, item_values, values, values)
+
+
+def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(row_k1, row_k2, items array<struct<item_id, share, consistent>>) of every document that has enough windows of an item."""
+    items = cut(item_windows(pick(benchmark, "item_id", "text")), "items")
+    own = items.select("item", "reading", F.explode("own").alias("w"))
+    widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # from 1 to WIDTH
+    found = cut(hits(pick(docs, "doc_id", "text"), bit_table(own.select("w").distinct()), widths), "hits")
+    common = own.groupBy("reading", "w").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("item", "reading").orderBy("n", "w")
+    enough = F.size("own") - F.ceil(F.lit(SHARE) * F.size("own")) + 1  # all but these are too few
+    rare = own.join(common, ["reading", "w"]).withColumn("at", F.row_number().over(order))
+    rare = rare.join(items.select("item", "reading", enough.alias("enough")), ["item", "reading"]).where("at <= enough")
+    rare = rare.select("item", "reading", "w", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    held = found.select(*KEYS, "reading", F.explode(F.array_distinct(F.transform("hits", lambda x: x["w"]))).alias("w"), F.pmod(KEYS[0], F.lit(SALTS)).cast("int").alias("salt"))
+    pairs = held.join(rare, ["reading", "w", "salt"]).select(*KEYS, "reading", "item").distinct()
+    met = pairs.join(items.select("item", "reading", "item_id", "text", "own"), ["item", "reading"]).join(found.dropDuplicates([*KEYS, "reading"]), [*KEYS, "reading"])
+    met = met.select(*KEYS, "reading", "item_id", "text", F.filter("hits", lambda x: F.array_contains("own", x["w"])).alias("hits"))
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            out = [_leaks(t, bool(s), h) for t, s, h in zip(pdf.text, pdf.reading, pdf.hits, strict=True)]
+            yield pdf[[*KEYS]].assign(item_id=pdf.item_id.astype("Int64"), share=[x for x, _ in out], consistent=[x for _, x in out])
+        _chunks.clear()
+
+    judged = met.mapInPandas(run, f"{KEYS[0]} bigint, {KEYS[1]} bigint, item_id bigint, share double, consistent boolean").where(F.col("share") >= SHARE)
+    best = judged.groupBy(*KEYS, "item_id").agg(F.max(F.struct("consistent", "share")).alias("best"))
+    return best.groupBy(*KEYS).agg(F.array_sort(F.collect_set(F.struct("item_id", "best.share", "best.consistent"))).alias("items"))
+
+
+def leaking(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(row_k1, row_k2, leaked_items): the documents that leak items, and which."""
+    ids = F.transform(F.filter("items", lambda x: x["consistent"]), lambda x: x["item_id"])
+    return matches(docs, benchmark).select(*KEYS, F.array_sort(ids).alias("leaked_items")).where(F.size("leaked_items") > 0)
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, leaked, n_items, items) of every document: whether it leaks items, which, and how many."""
+    found = cut(leaking(docs, benchmark), "leaks")
+    rows = keyed(pick(docs, "doc_id", "text")).select(F.col("doc_id").cast("bigint").alias("doc_id"), *KEYS).join(found, [*KEYS], "left")
+    items = F.coalesce("leaked_items", F.array().cast("array<bigint>"))
+    return rows.select("doc_id", F.col("leaked_items").isNotNull().alias("leaked"), F.size(items).alias("n_items"), items.alias("items"))
 
 
 def op10_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

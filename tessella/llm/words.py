@@ -61,3 +61,17 @@ def batches(pdf, column: str = "_text", most: int = TOGETHER):
     if len(pdf):
         for _, some in pdf.groupby(pdf[column].str.len().cumsum() // most, sort=True):
             yield some
+
+
+_held: dict[str, Callable[[], None]] = {}
+
+
+def hold(owner: str, release: Callable[[], None]) -> None:
+    """Say that ``owner`` keeps things in this worker until ``release``; what other operators keep here is released now."""
+    for other in [name for name in _held if name != owner]:
+        _held.pop(other)()
+    _held[owner] = release
+
+
+def nothing() -> None:
+    """To release where a partition's end has released all."""

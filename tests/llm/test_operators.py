@@ -194,30 +194,36 @@ def test_leaks_of_changed_questions(spark):
     assert {r.doc_id: r["items"] for r in templates.decontaminate(docs, items.limit(0)).collect()} == dict.fromkeys(range(6), [])
 
 
-def _leaks(texts, item):
-    return [[fits for _, _, fits in found] == [True] for found in templates.Shard([(1, item)]).leaks(texts)]
+@pytest.fixture
+def leaks(spark):
+    def run(texts, item):
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+        found = templates.decontaminate(docs, spark.createDataFrame([(1, item)], "item_id bigint, text string"))
+        return [r.leaked for r in found.orderBy("doc_id").collect()]
 
+    return run
 
-def test_leaks_with_changed_names_and_units():
+
+def test_leaks_with_changed_names_and_units(leaks):
     item = "Anna buys 12 apples at the old market. Anna then gives 5 apples to Boris and keeps the rest for later."
     other = item.replace("12", "31")
-    assert _leaks([item.replace("Anna", "Clara"), "So. " + other.replace("Anna", "Clara Maria").replace("Boris", "Jean-Luc"), "And so it is: " + item[0].lower() + item[1:]], item) == [True] * 3
+    assert leaks([item.replace("Anna", "Clara"), "So. " + other.replace("Anna", "Clara Maria").replace("Boris", "Jean-Luc"), "And so it is: " + item[0].lower() + item[1:]], item) == [True] * 3
     two = "In the old town Anna meets Boris at noon and later Anna tells Boris of the way to the next harbour in the south."
-    assert _leaks([two.replace("Anna", "Clara", 1), two.replace("Boris", "Anna")], two) == [False] * 2  # two for one, one for two
+    assert leaks([two.replace("Anna", "Clara", 1), two.replace("Boris", "Anna")], two) == [False] * 2  # two for one, one for two
     far = "The way from the harbour to the hill is 40 km long and Anna walks 40 km of it before the sun goes down."
-    assert _leaks([far.replace("40 km", "40km"), far.replace("40 km", "75km"), far.replace("40 km", "75-km"), far.replace("Anna", "Anna Maria Lopez")], far) == [True] * 4
-    assert _leaks([far.replace("40 km", "75km", 1)], far) == [False]
+    assert leaks([far.replace("40 km", "40km"), far.replace("40 km", "75km"), far.replace("40 km", "75-km"), far.replace("Anna", "Anna Maria Lopez")], far) == [True] * 4
+    assert leaks([far.replace("40 km", "75km", 1)], far) == [False]
     rate = "The bank near the river pays 4 % a year and Boris asks for 4 % more than the other bank would ever give."
-    assert _leaks([rate.replace("4 %", "7%")], rate) == [True]
+    assert leaks([rate.replace("4 %", "7%")], rate) == [True]
 
 
-def test_every_copy_of_an_item_is_judged():
+def test_every_copy_of_an_item_is_judged(leaks):
     item = "A train leaves the old station with 40 km to go and Anna walks 40 km behind it every single day until noon."
     bad = item.replace("40", "75", 1)
-    assert _leaks([f"{bad} {item}", f"{item} {bad}", f"{bad} {bad}", f"{bad} {bad} then {item.replace('40', '9')}"], item) == [True, True, False, True]
+    assert leaks([f"{bad} {item}", f"{item} {bad}", f"{bad} {bad}", f"{bad} {bad} then {item.replace('40', '9')}"], item) == [True, True, False, True]
     words = "The way to the hill is 40 km long and from there the road goes down to the mill where Anna rests for a day and then walks 40 km more to see the sea before the sun sets on the last house of the village by the old bridge.".split()
     cut = lambda n: " ".join([*words[:20], "indeed", *words[20:]]).replace("40", "75", n)
-    assert _leaks([cut(0), cut(2), cut(1)], " ".join(words)) == [True, True, False]
+    assert leaks([cut(0), cut(2), cut(1)], " ".join(words)) == [True, True, False]
 
 
 def test_held_out_toxicity_and_quality(spark):
@@ -264,11 +270,55 @@ def test_null_and_shared_ids_in_every_stage(spark, shared_ids):
     assert left(corpus_pipeline.replace_private, docs).total() == 10 == corpus_pipeline.encode(spark, docs, folder).count()
 
 
-def test_shards_keep_rows_of_one_id_apart(spark, shared_ids):
+def test_rows_of_one_id_are_judged_apart(spark, shared_ids):
     docs, _, clean, other, third, item = shared_ids
-    items = spark.createDataFrame([(1, item), (2, third)], "item_id bigint, text string")
-    found = collections.Counter((r.doc_id, tuple(r["items"])) for r in templates.decontaminate(docs, items, 1).collect())
-    assert found == collections.Counter({(None, ()): 3, (5, (2,)): 1, (5, (1,)): 1, (5, ()): 1, (9, (1,)): 1, (9, ()): 2, (None, (1,)): 1})
+    items = spark.createDataFrame([(1, item), (2, third), (1, item), (None, clean)], "item_id bigint, text string")
+    found = collections.Counter((r.doc_id, tuple(r["items"])) for r in templates.decontaminate(docs, items).collect())
+    assert found == collections.Counter({(None, (None,)): 2, (None, ()): 1, (5, (2,)): 1, (5, (1,)): 1, (5, ()): 1, (9, (1,)): 1, (9, ()): 2, (None, (1,)): 1})
+
+
+def test_leaks_at_a_sentence_start_and_of_lists(spark, leaks):
+    item = "Anna has 5 apples. Anna gives 2 apples to Tom. Anna then buys 7 apples. How many apples does Anna have?"
+    assert leaks([item.replace("Anna", "Boris").replace("5", "9")], item) == [True]
+    r = random.Random(8)
+    lists = [(i, " ".join(str(r.randint(0, 9)) for _ in range(12))) for i in range(300)]
+    docs = spark.createDataFrame([(0, " ".join(str(r.randint(10, 99)) for _ in range(300))), (1, lists[7][1])], "doc_id bigint, text string")
+    found = {r.doc_id: r["items"] for r in templates.decontaminate(docs, spark.createDataFrame(lists, "item_id bigint, text string")).collect()}
+    assert 7 in found[1]
+
+
+def _brute_leaks(texts, items):
+    """Every pair of text and item, window by window, without bits, joins or a choice of windows."""
+    out = collections.defaultdict(set)
+    for starts in (False, True):
+        for key, item in items:
+            h, item_slot, item_values = templates.canonical(item or "", starts)
+            width = min(templates.WIDTH, len(h))
+            own = [tuple(h[k : k + width]) for k in range(len(h) - width + 1)] if width else []
+            for i, text in texts:
+                g, slot, values = templates.canonical(text or "", starts)
+                pairs = [(a, b) for a in range(len(g) - width + 1) for b in range(len(own)) if tuple(g[a : a + width]) == own[b]] if own else []
+                if own and len({own[b] for _, b in pairs}) >= templates.SHARE * len(set(own)):
+                    at = {k: v for k, v in enumerate(values) if slot[k]}
+                    if templates._consistent(pairs, own, width, item_slot, item_values, at, at):
+                        out[i].add(key)
+    return {i: sorted(out[i]) for i, _ in texts}
+
+
+def test_leaks_against_brute_force(spark):
+    r = random.Random(12)
+    vocabulary = [*WORDS, *"12 7 31 40km Anna Boris Clara The".split()]
+    items = [(i, " ".join(r.choices(vocabulary, k=r.choice([3, 8, 20, 30])))) for i in range(25)] + [(90, ""), (91, None)]
+    texts = []
+    for i in range(60):
+        words = r.choices(vocabulary, k=20) + (r.choice(items[:25])[1].split() if i % 2 else []) + r.choices(vocabulary, k=10)
+        if i % 3 == 0:
+            words[r.randrange(len(words))] = "other"
+        texts.append((i, " ".join(words)))
+    texts += [(60, ""), (61, None), (62, items[0][1])]
+    found = templates.decontaminate(spark.createDataFrame([(*t, 1, "x") for t in texts], "doc_id bigint, text string, item bigint, reading string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    want = _brute_leaks(texts, items)
+    assert {x.doc_id: sorted(x["items"]) for x in found.collect()} == want and sum(map(bool, want.values())) > 20
 
 
 def test_pipeline_on_the_smallest_tables(spark):
