@@ -38,20 +38,22 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 CLOSES_ITSELF = frozenset("p li dt dd tr td th option".split())
 ROLES = frozenset("article main nav header footer aside form section head".split())
 SIZES = (0, 2, 5, 10, 20, 40, 80)
-ROUNDS, DECAY, NODES = 300, 0.02, 100_000
+ROUNDS, DECAY = 300, 0.02
+#: Nodes that a worker keeps before it starts anew, with the same results; each has one entry of ``Field._of_path`` at most.
+NODES = 50_000
 
 
 class Node:
     """An element as its descendants see it: the features of the path so far, as places in the model's weights."""
 
-    __slots__ = ("features", "inside", "link", "nodes", "parent", "tag")
+    __slots__ = ("features", "link", "made", "nodes", "parent", "tag")
 
     def __init__(self, tag: str, parent: Node | None, features: frozenset, link: bool) -> None:
-        self.tag, self.parent, self.features, self.link, self.nodes = tag, parent, features, link, {}
+        self.tag, self.parent, self.features, self.link, self.nodes, self.made = tag, parent, features, link, {}, 0
 
 
-def child(node: Node, tag: str, raw: str) -> Node:
-    """The node of a tag inside ``node``; the same markup at the same place is the same node."""
+def child(node: Node, tag: str, raw: str, root: Node) -> Node:
+    """The node of a tag inside ``node``; the same markup at the same place is the same node. ``root`` counts what is made, by size."""
     known = node.nodes.get(raw)
     if known is None:
         names = {w for m in NAMES.findall(raw) for w in re.split(r"[^a-z]+", "".join(m).lower()) if len(w) > 1}
@@ -61,6 +63,7 @@ def child(node: Node, tag: str, raw: str) -> Node:
             features = frozenset(f for f in features if f[0] != "n")
             own |= {f"n:{tag}"} | {f"n:{w}" for w in names}
         known = node.nodes[raw] = Node(tag, node, features | own, node.link or tag == "a")
+        root.made += 1 + len(raw) // 200
     return known
 
 
@@ -112,7 +115,7 @@ def blocks(page: str, root: Node) -> list[tuple[str, frozenset, float]]:
                 if up.tag == "p" or up.tag == name and name in CLOSES_ITSELF:
                     node = up.parent
             if not raw.endswith("/>"):
-                node = child(node, name, raw)
+                node = child(node, name, raw, root)
     end()
     return out
 
@@ -143,7 +146,7 @@ class Field:
 
     def extract(self, page: str) -> str:
         """The main text of a page, decoded by Viterbi."""
-        if len(self._of_path) > NODES or len(self.root.nodes) > NODES:
+        if self.root.made > NODES:
             self._fresh()
         found = blocks(page, self.root)
         (p00, p01), (p10, p11) = self.pairs.tolist()

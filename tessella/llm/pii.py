@@ -1,6 +1,6 @@
 """Format-preserving pseudonyms for personal data, by keyed Feistel networks in DataFrame functions alone.
 
-One pattern finds what may be personal: e-mail addresses, IPv4 addresses, dates, phone numbers, social security numbers, IBANs,
+One pattern finds what may be personal: e-mail addresses, IPv4 and IPv6 addresses, dates, phone numbers, social security numbers, IBANs,
 payment cards and secrets after a name such as ``password=``. What validates (Luhn, mod 97, calendar, octets, number plans) is
 permuted within its own format by a network whose rounds are keyed hashes, so equal values get equal pseudonyms in every
 document, different values different ones, and a pseudonym validates like the value it stands for:
@@ -20,16 +20,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm.common import table
+from tessella.llm.common import fresh, table
 
-#: The key of the registered query; production passes its own secret.
-KEY = "a key for tests"
+#: Where the registered query and the pipeline find the key in the session's configuration, and the key of sessions that set none.
+KEY_SETTING, KEY = "spark.tessella.pii.key", "a key for tests"
 ROUNDS = 8
 
 #: Formats of personal data.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}(?![A-Za-z0-9-])"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,126}\.[A-Za-z]{2,24}(?![A-Za-z0-9-])"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IPV4 = rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)"
+#: Eight groups, or a compressed address with a digit and two groups on one side of its double colon.
+IPV6 = r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=[0-9A-Fa-f:]{0,40}\d)(?:(?:[0-9A-Fa-f]{1,4}:){2,6}(?::[0-9A-Fa-f]{1,4}){1,5}|[0-9A-Fa-f]{1,4}:(?::[0-9A-Fa-f]{1,4}){2,6}))(?![0-9A-Za-z:]|\.\d)"
 DATE = r"(?<![\d/.-])(?:(?:1[89]|2[01])\d\d-\d\d-\d\d|\d\d\.\d\d\.(?:1[89]|2[01])\d\d|\d\d/\d\d/(?:1[89]|2[01])\d\d)(?![\d/-])"
 PHONE = r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .-]\d{2,4}){2,4}(?!\d)|(?<![\d+])\+\d{8,15}(?!\d)|" + "|".join([
     r"(?<![\d-])(?:1[ .-])?\d{3}-\d{3}-\d{4}(?![\d-])", r"(?<![\d.])(?:1[ .-])?\d{3}\.\d{3}\.\d{4}(?!\d|\.\d)", r"(?<!\d)(?<!\d[ .-])(?:1[ .-])?\d{3} \d{3} \d{4}(?![\d-]| \d)",
@@ -52,8 +54,10 @@ GROUPS = "|".join([*map(_spaced, sorted({int(x[2:]) for x in LENGTHS})), r"[A-Z]
 IBAN = rf"(?<![A-Za-z0-9])(?:[A-Z]{{2}}\d\d[A-Z0-9]{{11,30}}|{GROUPS})(?![A-Za-z0-9])"
 CARD = r"(?<!\d)(?:\d{13,19}|\d{4} \d{4} \d{4} \d{4}|\d{4}-\d{4}-\d{4}-\d{4})(?!\d)"
 NAMED = r"(?i:password|passwd|pwd|token|secret|api_?key) {0,2}[=:] {0,2}[\"']?"
-SECRET = rf"AKIA[0-9A-Z]{{16}}(?![A-Z0-9])|{NAMED}[A-Za-z0-9_/+-]{{8,}}+"
-ANY = "|".join([SECRET, EMAIL, IPV4, DATE, PHONE, SSN, IBAN, CARD])
+#: How tokens of well-known services begin.
+PREFIX = r"(?<![A-Za-z0-9_-])(?:gh[pousr]_|github_pat_|glpat-|xox[abprs]-|sk-|sk_live_|pk_live_|npm_|hf_)"
+SECRET = rf"AKIA[0-9A-Z]{{16}}(?![A-Z0-9])|{NAMED}[A-Za-z0-9_/+-]{{8,}}+|{PREFIX}[A-Za-z0-9_-]{{16,}}+"
+ANY = "|".join([SECRET, EMAIL, IPV6, IPV4, DATE, PHONE, SSN, IBAN, CARD])
 #: What every match holds; texts without it are not searched further.
 SIGN = "[0-9@]"
 
@@ -114,12 +118,12 @@ def digits_of(x: Column) -> Column:
     return F.regexp_replace(x, "[^0-9]", "")
 
 
-def _filled(form: Column, digits: Column) -> Column:
-    """The digits of ``form`` replaced, in order, by ``digits``."""
+def _filled(form: Column, digits: Column, kind: str = "0-9") -> Column:
+    """The digits (or other characters of the class ``kind``) of ``form`` replaced, in order, by ``digits``."""
 
     def one(at: Column) -> Column:
         c = F.substr(form, at, F.lit(1))
-        return F.when(c.between("0", "9"), F.substr(digits, F.length(digits_of(F.substr(form, F.lit(1), at))), F.lit(1))).otherwise(c)
+        return F.when(c.rlike(f"[{kind}]"), F.substr(digits, F.length(F.regexp_replace(F.substr(form, F.lit(1), at), f"[^{kind}]", "")), F.lit(1))).otherwise(c)
 
     return F.array_join(F.transform(_chars(form), one), "")
 
@@ -196,6 +200,12 @@ def _ipv4(key: str, m: Column) -> Column:
     return F.concat_ws(".", *[f.cast("string") for x in ("l", "r") for f in (F.floor(out[x] / 256), F.pmod(out[x], F.lit(256)))])
 
 
+def _ipv6(key: str, m: Column) -> Column:
+    """The groups keep their lengths; letters are small unless the address has large ones. Other spellings of one address are other values."""
+    out = _filled(m, text_feistel(key, "ipv6", F.lower(F.replace(m, F.lit(":"), F.lit("")))), "0-9A-Fa-f")
+    return F.when(m.rlike("[A-F]"), F.upper(out)).otherwise(out)
+
+
 def _ssn(key: str, m: Column) -> Column:
     area, group, serial = (F.split_part(m, F.lit("-"), F.lit(i)).cast("bigint") for i in (1, 2, 3))
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
@@ -228,14 +238,14 @@ def _email(key: str, m: Column) -> Column:
 
 def _secret(key: str, m: Column) -> Column:
     """The name in front of a secret, and its quote, stay; a value without a digit is a word, not a secret."""
-    name = F.regexp_extract(m, f"^(AKIA|{NAMED})", 1)
+    name = F.regexp_extract(m, f"^(AKIA|{NAMED}(?:{PREFIX})?|{PREFIX})", 1)
     value = F.substr(m, F.length(name) + 1, F.length(m))
     return F.when(value.rlike("[0-9]"), F.concat(name, text_feistel(key, "secret", value))).otherwise(m)
 
 
 #: Kind, test of a whole match, and the pseudonym; the first test that holds decides.
 KINDS = [
-    ("email", r"^[^@]+@", _email), ("ipv4", rf"^(?:{OCTET}\.){{3}}{OCTET}$", _ipv4), ("date", r"^(?:\d{4}-\d\d-\d\d|\d\d\.\d\d\.\d{4}|\d\d/\d\d/\d{4})$", _date),
+    ("email", r"^[^@]+@", _email), ("ipv6", r"^[0-9A-Fa-f:]*:[0-9A-Fa-f]*:[0-9A-Fa-f:]*$", _ipv6), ("ipv4", rf"^(?:{OCTET}\.){{3}}{OCTET}$", _ipv4), ("date", r"^(?:\d{4}-\d\d-\d\d|\d\d\.\d\d\.\d{4}|\d\d/\d\d/\d{4})$", _date),
     ("ssn", r"^\d{3}-\d{2}-\d{4}$", _ssn), ("phone", r"^(?:[+(]|(?:1[ .-])?\d{3}([ .-])\d{3}\1\d{4}$)", _phone), ("card", r"^\d[\d -]{12,}$", _card), ("iban", r"^[A-Z]{2}\d\d(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{1,4})+)$", _iban),
 ]
 
@@ -248,16 +258,22 @@ def pseudonym(m: Column, key: str) -> Column:
     return out
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` with ``text_col`` rewritten, and ``pii_values``: struct(value, pseudonym) of each match, in order."""
+def pseudonymise(docs: DataFrame, key: str | None = None, text_col: str = "text") -> DataFrame:
+    """All columns of ``docs`` with ``text_col`` rewritten, and ``pii_values``: struct(value, pseudonym) of each match, in order.
+
+    ``key`` is the session's unless it is given. The values are the last column; where ``docs`` has one of that name already, it has
+    underscores in front.
+    """
+    key = docs.sparkSession.conf.get(KEY_SETTING, KEY) if key is None else key
+    found, made, values = (fresh(docs, name) for name in ("pii_found", "pii_made", "pii_values"))
     matches = F.when(F.col(text_col).rlike(SIGN), F.regexp_extract_all(F.col(text_col), F.lit(ANY), F.lit(0)))
-    found = docs.withColumn("pii_found", F.coalesce(matches, F.array().cast("array<string>")))
-    made = found.withColumn("pii_made", F.transform("pii_found", lambda m: pseudonym(m, key)))
+    out = docs.withColumn(found, F.coalesce(matches, F.array().cast("array<string>")))
+    out = out.withColumn(made, F.transform(found, lambda m: pseudonym(m, key)))
     between = F.split(F.col(text_col), ANY, -1)
-    joined = F.array_join(F.zip_with(between, F.concat("pii_made", F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
-    out = made.withColumn(text_col, F.when(F.size("pii_found") == 0, F.col(text_col)).otherwise(joined))
-    values = F.zip_with("pii_found", "pii_made", lambda a, b: F.struct(a.alias("value"), b.alias("pseudonym")))
-    return out.withColumn("pii_values", values).drop("pii_found", "pii_made")
+    joined = F.array_join(F.zip_with(between, F.concat(made, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
+    out = out.withColumn(text_col, F.when(F.size(found) == 0, F.col(text_col)).otherwise(joined))
+    pairs = F.zip_with(found, made, lambda a, b: F.struct(a.alias("value"), b.alias("pseudonym")))
+    return out.withColumn(values, pairs).drop(found, made)
 
 
 def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,14 +16,13 @@ the least hash, leftmost on ties. So the suffixes that start at anchors, about o
 
 Texts move once by their id, and again only where edges had to be compared. Rows: a null text is empty; texts under ``LENGTH``
 bytes have no repeat; long texts are cut into pieces that overlap by a passage; rows that are repeated as a whole are copies of
-each other; rows of one doc_id with different texts are told apart by a checksum; extra columns are not read; an empty table gives
+each other; rows of one doc_id (or none) with different texts are told apart by a 128-bit hash; extra columns are not read; an empty table gives
 no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm.common import cut, pick, table
+from tessella.llm.common import KEYS, PART, cut, joined_apart, keyed, pick, table
 from tessella.llm.words import batches, mix
 
 LENGTH, GRAM = 200, 50
@@ -90,24 +89,18 @@ def _pieces(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
         yield some
 
 
-def _checksum(text: bytes) -> int:
-    return zlib.crc32(text) & 0xFFFF
-
-
 def _texts(docs: DataFrame) -> DataFrame:
-    """(doc_id, doc, _text); ``doc`` stands for doc_id where rows are joined and is never null."""
-    doc_id = F.col("doc_id").cast("bigint")
-    return docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(-1)).alias("doc"), F.coalesce("text", F.lit("")).alias("_text"))
+    """(doc_id, row_k1, row_k2, _text); the row keys stand for the row where rows are joined and are never null."""
+    return keyed(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), *KEYS, F.coalesce("text", F.lit("")).alias("_text"))
 
 
 def runs(docs: DataFrame) -> DataFrame:
-    """(g, f, doc, at) of all runs; ``at`` packs start (32 bits), bytes in front of the anchor (8), passages (8) and checksum (16)."""
+    """(g, f, row_k1, row_k2, at) of all runs; ``at`` packs start (40 bits), bytes in front of the anchor (8) and passages (8)."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             for some in batches(pdf):
-                texts, ids = [t.encode() for t in some["_text"]], some["doc"].to_numpy(np.int64)
-                sums = np.array([_checksum(t) for t in texts], np.int64)
+                texts, keys = [t.encode() for t in some["_text"]], some[[*KEYS]].to_numpy(np.int64)
                 for group in _pieces(texts):
                     start, n, anchor, g = _runs([p for *_, p in group])
                     joined = memoryview(b"".join([p for *_, p in group]))
@@ -116,30 +109,34 @@ def runs(docs: DataFrame) -> DataFrame:
                     piece = np.searchsorted(ends, start, side="right")
                     text = np.array([i for i, *_ in group])[piece]
                     place = start - np.append(0, ends)[piece] + np.array([a for _, a, _ in group])[piece]
-                    at = (place << 32) | ((anchor - start) << 24) | (n << 16) | sums[text]
-                    yield pd.DataFrame({"g": g.view(np.int64), "f": np.array(f, np.uint64).view(np.int64), "doc": ids[text], "at": at})
+                    at = (place << 16) | ((anchor - start) << 8) | n
+                    yield pd.DataFrame({"g": g.view(np.int64), "f": np.array(f, np.uint64).view(np.int64), KEYS[0]: keys[text, 0], KEYS[1]: keys[text, 1], "at": at})
 
-    return _texts(docs).select("doc", "_text").mapInPandas(run, "g bigint, f bigint, doc bigint, at bigint")
+    return _texts(docs).select(*KEYS, "_text").mapInPandas(run, f"g bigint, f bigint, {KEYS[0]} bigint, {KEYS[1]} bigint, at bigint")
 
 
 FULL, EDGE, BUSY = 1, 2, 4
 
 
 def marked(docs: DataFrame) -> DataFrame:
-    """(doc, at, g, kind) of the runs that repeat in full (FULL) or must be compared (EDGE; with BUSY: passage by passage)."""
+    """(row_k1, row_k2, at, g, f, kind) of the runs that repeat in full (FULL) or must be compared (EDGE; with BUSY: passage by passage)."""
     every = runs(docs)
-    again = cut(every.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"), "grams")  # a table, so that the join can split a hot gram
-    again = cut(every.join(again, "g", "left_semi"), "runs")
-    classes = again.groupBy("g", "f").agg(F.count("*").alias("n"), F.min("doc").alias("one"))
-    grams = classes.groupBy("g").agg(F.count("*").alias("classes"), F.min("n").alias("least")).where("classes > 1 AND least = 1").select("g", "classes")
-    classes = cut(classes.join(grams, "g", "left"), "classes")
-    edge = F.col("classes").isNotNull() & ((F.col("n") == 1) | (F.col("doc") == F.col("one")))
+    grams = cut(every.groupBy("g").agg(F.count("*").alias("n")).where("n > 1"), "grams")
+    total = grams.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = grams.where(F.col("n") * PART > total).select(F.col("g").alias("busy_key"))
+    again = cut(joined_apart(every, grams.select("g"), ["g"], hot, F.col("at"), "left_semi"), "runs")
+    classes = again.groupBy("g", "f").agg(F.count("*").alias("n"), F.min(KEYS[0]).alias("one"))
+    apart = classes.groupBy("g").agg(F.count("*").alias("classes"), F.min("n").alias("least")).where("classes > 1 AND least = 1").select("g", "classes")
+    classes = cut(joined_apart(classes, apart, ["g"], hot, F.col("f"), "left"), "classes")
+    common = classes.where(F.col("n") * PART > total).select(F.col("f").alias("busy_key")).distinct()
+    joined = joined_apart(again, classes, ["f", "g"], common, F.col(KEYS[0]))
+    edge = F.col("classes").isNotNull() & ((F.col("n") == 1) | (F.col(KEYS[0]) == F.col("one")))
     kind = F.when(F.col("n") > 1, FULL).otherwise(0) + F.when(edge, F.when(F.col("classes") > HOT, EDGE + BUSY).otherwise(EDGE)).otherwise(0)
-    return again.join(classes, ["g", "f"]).select("doc", "at", F.when(edge, F.col("g")).alias("g"), kind.alias("kind")).where("kind > 0")
+    return joined.select(*KEYS, "at", "g", "f", kind.alias("kind")).where("kind > 0")
 
 
-def _unpacked(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    return at >> 32, (at >> 24) & 0xFF, (at >> 16) & 0xFF, at & 0xFFFF
+def _unpacked(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return at >> 16, (at >> 8) & 0xFF, at & 0xFF
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -154,7 +151,7 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 #: Rows of the second pass over the texts: decided texts, texts with edges, and edges.
 DECIDED, OPEN, CONTEXT = 0, 1, 2
-SECOND = "row int, doc_id bigint, doc bigint, checksum int, body binary, spans array<bigint>, g bigint, kind int, start bigint, front binary, behind binary, n_bytes bigint, kept binary, kept_sha256 string"
+SECOND = f"row int, doc_id bigint, {KEYS[0]} bigint, {KEYS[1]} bigint, body binary, spans array<bigint>, g bigint, kind int, start bigint, front binary, behind binary, n_bytes bigint, kept binary, kept_sha256 string"
 DONE = ("doc_id", "n_bytes", "spans", "kept", "kept_sha256")
 
 
@@ -166,32 +163,30 @@ def _without(body: bytes, spans: list[int], with_text: bool) -> tuple[int, bytes
 
 
 def _second(docs: DataFrame, marks: DataFrame, with_text: bool) -> DataFrame:
-    lists = marks.groupBy("doc").agg(F.collect_set(F.struct("at", "g", "kind")).alias("marks"))
-    lists = lists.select("doc", *[F.col(f"marks.{c}").alias(c) for c in ("at", "g", "kind")])
-    joined = _texts(docs).join(lists, "doc", "left")
+    lists = marks.groupBy(*KEYS).agg(F.collect_set(F.struct("at", F.when(F.col("kind").bitwiseAND(EDGE) > 0, F.col("g")).alias("g"), "kind")).alias("marks"))
+    lists = lists.select(*KEYS, *[F.col(f"marks.{c}").alias(c) for c in ("at", "g", "kind")])  # as many as a text's runs at most
+    joined = _texts(docs).join(lists, [*KEYS], "left")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             for some in batches(pdf):
                 out = []
-                for doc_id, doc, text, at, gs, kinds in zip(some.doc_id, some.doc, some["_text"], some["at"], some.g, some.kind, strict=True):
+                for doc_id, k1, k2, text, at, gs, kinds in zip(some.doc_id, some[KEYS[0]], some[KEYS[1]], some["_text"], some["at"], some.g, some.kind, strict=True):
                     body = text.encode()
                     doc_id = None if pd.isna(doc_id) else int(doc_id)
-                    own = _checksum(body)
                     if at is None:
-                        out.append((DECIDED, doc_id, doc, own, None, [], None, 0, 0, None, None, *_without(body, [], with_text)))
+                        out.append((DECIDED, doc_id, k1, k2, None, [], None, 0, 0, None, None, *_without(body, [], with_text)))
                         continue
-                    start, front, n, sums = _unpacked(np.asarray(at, np.int64))
-                    right, kinds = sums == own, np.asarray(kinds)
-                    full = right & ((kinds & FULL) > 0)
+                    start, front, n = _unpacked(np.asarray(at, np.int64))
+                    kinds = np.asarray(kinds)
+                    full = (kinds & FULL) > 0
                     spans = _merged(list(zip(start[full].tolist(), (start + n + LENGTH - 1)[full].tolist(), strict=True)))
-                    edges = np.flatnonzero(right & ((kinds & EDGE) > 0))
-                    undecided = bool((right & (kinds & FULL == 0)).any())
+                    edges = np.flatnonzero((kinds & EDGE) > 0)
                     spans = [x for s in spans for x in s]
-                    out.append((OPEN, doc_id, doc, own, body, spans, None, 0, 0, None, None, None, None, None) if undecided else (DECIDED, doc_id, doc, own, None, spans, None, 0, 0, None, None, *_without(body, spans, with_text)))
+                    out.append((DECIDED, doc_id, k1, k2, None, spans, None, 0, 0, None, None, *_without(body, spans, with_text)) if full.all() else (OPEN, doc_id, k1, k2, body, spans, None, 0, 0, None, None, None, None, None))
                     for i in edges.tolist():
                         s, a, e = int(start[i]), int(start[i] + front[i]), int(start[i] + n[i]) + LENGTH - 1
-                        out.append((CONTEXT, None, doc, own, body[a : a + GRAM] if kinds[i] & BUSY else None, None, int(gs[i]), int(kinds[i]), s, body[s:a][::-1], body[a + GRAM : e], None, None, None))
+                        out.append((CONTEXT, None, k1, k2, body[a : a + GRAM] if kinds[i] & BUSY else None, None, int(gs[i]), int(kinds[i]), s, body[s:a][::-1], body[a + GRAM : e], None, None, None))
                 yield pd.DataFrame(out, columns=[c.split()[0] for c in SECOND.split(", ")]).astype({"doc_id": "Int64", "g": "Int64", "n_bytes": "Int64"})
 
     return joined.mapInPandas(run, SECOND)
@@ -219,18 +214,22 @@ def intervals(lcp: list[int]) -> Iterator[tuple[int, int, int]]:
             stack.append((now, first))
 
 
-def maximal_repeats(g: np.ndarray, front: list[bytes], behind: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(suffix, bytes in front, bytes behind) of each occurrence of a repeat of ``LENGTH`` bytes around the gram, for several grams."""
+def maximal_repeats(g: np.ndarray, front: list[bytes], behind: list[bytes]) -> tuple[np.ndarray, ...]:
+    """(suffix, bytes in front, bytes behind, group, bytes in front that all of the group share) of each occurrence of a repeat.
+
+    A repeat has ``LENGTH`` bytes or more around the gram; its group are the occurrences of one interval that agree so far. Several grams
+    may come together.
+    """
     right, left = _matrix(behind), _matrix(front)
     right_n, left_n = np.array([len(s) for s in behind]), np.array([len(s) for s in front])
     order = np.argsort(np.ascontiguousarray(right).view(f"S{SIDE}").ravel(), kind="stable")
     order = order[np.argsort(g[order], kind="stable")]
     lcp = np.append(-1, _common(right, right_n, order[1:], order[:-1]))
     lcp[1:][g[order[1:]] != g[order[:-1]]] = -1
-    found = [[], [], []]
+    found = [[], [], [], [], []]
 
-    def report(suffixes: np.ndarray, before: np.ndarray, after: np.ndarray) -> None:
-        for part, new in zip(found, (suffixes, before, after), strict=True):
+    def report(*columns: np.ndarray) -> None:
+        for part, new in zip(found, columns, strict=True):
             part.append(new)
 
     cuts = np.append(np.flatnonzero(lcp < 0), len(lcp))
@@ -239,7 +238,8 @@ def maximal_repeats(g: np.ndarray, front: list[bytes], behind: list[bytes]) -> t
     before, after = _common(left, left_n, a, b), lcp[two + 1]
     good = before + after >= SIDE
     for side in (a, b):
-        report(side[good], before[good], after[good])
+        report(side[good], before[good], after[good], np.arange(int(good.sum())), before[good])
+    groups = int(good.sum())
     for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
         if high - low < 3:
             continue
@@ -254,18 +254,30 @@ def maximal_repeats(g: np.ndarray, front: list[bytes], behind: list[bytes]) -> t
                 continue
             best = np.maximum(np.append(0, shared), np.append(shared, 0))  # the longest left extension with any other of the interval
             good = best + depth >= SIDE
-            report(inside[good], best[good], np.full(int(good.sum()), depth))
+            apart = shared + depth < SIDE  # neighbours whose left extensions differ too early are of different groups
+            group = np.append(0, np.cumsum(apart))
+            least = np.full(int(group[-1]) + 1, SIDE)
+            np.minimum.at(least, group[1:][~apart], shared[~apart])
+            report(inside[good], best[good], np.full(int(good.sum()), depth), groups + group[good], least[group[good]])
+            groups += int(group[-1]) + 1
     return tuple(np.concatenate(part) if part else np.zeros(0, np.int64) for part in found)
 
 
+EDGES = f"{KEYS[0]} bigint, {KEYS[1]} bigint, first bigint, last bigint, repeat bigint, start bigint"
+
+
 def _edge_spans(contexts: DataFrame) -> DataFrame:
-    """(doc, checksum, first, last) of the repeats at edges, by the interval tree of each gram's suffixes."""
+    """(row_k1, row_k2, first, last, repeat, start) of the repeats at edges, by the interval tree of each gram's suffixes.
+
+    ``first`` and ``last`` are as wide as the occurrence agrees with any other; from ``start`` on all occurrences of ``repeat`` agree.
+    """
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        front, behind = pdf.front.tolist(), pdf.behind.tolist()
-        i, before, after = maximal_repeats(pdf.g.to_numpy(np.int64), front, behind)
+        front, behind, g = pdf.front.tolist(), pdf.behind.tolist(), pdf.g.to_numpy(np.int64)
+        i, before, after, group, common = maximal_repeats(g, front, behind)
         anchor = pdf.start.to_numpy(np.int64)[i] + np.array([len(x) for x in front], np.int64)[i]
-        return pd.DataFrame({"doc": pdf.doc.to_numpy()[i], "checksum": pdf.checksum.to_numpy()[i], "first": anchor - before, "last": anchor + GRAM + after})
+        repeat = mix(g[i].view(np.uint64) ^ mix(group.astype(np.uint64))).view(np.int64)  # a gram is in one call only
+        return pd.DataFrame({KEYS[0]: pdf[KEYS[0]].to_numpy()[i], KEYS[1]: pdf[KEYS[1]].to_numpy()[i], "first": anchor - before, "last": anchor + GRAM + after, "repeat": repeat, "start": anchor - common})
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
@@ -278,8 +290,8 @@ def _edge_spans(contexts: DataFrame) -> DataFrame:
         if rest is not None and len(rest):
             yield solve(rest.reset_index(drop=True))
 
-    suffixes = contexts.where(F.col("kind").bitwiseAND(BUSY) == 0).select("g", "doc", "checksum", "start", "front", "behind")
-    return suffixes.repartition("g").sortWithinPartitions("g").mapInPandas(run, "doc bigint, checksum int, first bigint, last bigint")
+    suffixes = contexts.where(F.col("kind").bitwiseAND(BUSY) == 0).select("g", *KEYS, "start", "front", "behind")
+    return suffixes.repartition("g").sortWithinPartitions("g").mapInPandas(run, EDGES)
 
 
 def _busy_spans(contexts: DataFrame) -> DataFrame:
@@ -288,17 +300,34 @@ def _busy_spans(contexts: DataFrame) -> DataFrame:
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             out = []
-            for doc, own, start, front, gram, behind in zip(pdf.doc, pdf.checksum, pdf.start, pdf.front, pdf.body, pdf.behind, strict=True):
+            for k1, k2, start, front, gram, behind in zip(pdf[KEYS[0]], pdf[KEYS[1]], pdf.start, pdf.front, pdf.body, pdf.behind, strict=True):
                 text = front[::-1] + gram + behind
                 for at in range(len(text) - LENGTH + 1):
                     h = xxhash.xxh3_128_digest(text[at : at + LENGTH])
-                    out.append((int.from_bytes(h[:8], "big", signed=True), int.from_bytes(h[8:], "big", signed=True), doc, own, start + at))
-            yield pd.DataFrame(out, columns=["h1", "h2", "doc", "checksum", "first"])
+                    out.append((int.from_bytes(h[:8], "big", signed=True), int.from_bytes(h[8:], "big", signed=True), k1, k2, start + at))
+            yield pd.DataFrame(out, columns=["h1", "h2", *KEYS, "first"])
 
-    passages = contexts.where(F.col("kind").bitwiseAND(BUSY) > 0).select("doc", "checksum", "start", "front", "body", "behind")
-    passages = cut(passages.mapInPandas(run, "h1 bigint, h2 bigint, doc bigint, checksum int, first bigint"), "passages")
+    passages = contexts.where(F.col("kind").bitwiseAND(BUSY) > 0).select(*KEYS, "start", "front", "body", "behind")
+    passages = cut(passages.mapInPandas(run, f"h1 bigint, h2 bigint, {KEYS[0]} bigint, {KEYS[1]} bigint, first bigint"), "passages")
     again = passages.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
-    return passages.join(again, ["h1", "h2"], "left_semi").select("doc", "checksum", "first", (F.col("first") + LENGTH).alias("last"))
+    return passages.join(again, ["h1", "h2"], "left_semi").select(*KEYS, "first", (F.col("first") + LENGTH).alias("last"), F.xxhash64("h1", "h2").alias("repeat"), F.col("first").alias("start"))
+
+
+def repeat_groups(docs: DataFrame) -> DataFrame:
+    """(repeat, doc_id, row_k1, row_k2, start, length): every occurrence of every repeated passage, grouped by ``repeat``.
+
+    All occurrences of a ``repeat`` hold the same bytes: runs that are copied in full, and the maximal repeats of the interval tree at edges.
+    Runs are cut at anchors, so a long copy is several groups in a row.
+    """
+    docs = pick(docs, "doc_id", "text")
+    marks = cut(marked(docs), "marks")
+    full = marks.where(F.col("kind").bitwiseAND(FULL) > 0)
+    at = F.col("at")
+    full = full.select(F.xxhash64("g", "f").alias("repeat"), *KEYS, F.shiftright(at, 16).alias("start"), (at.bitwiseAND(255) + LENGTH - 1).alias("length"))
+    contexts = cut(_second(docs, marks, False), "texts").where(F.col("row") == CONTEXT)
+    edges = _edge_spans(contexts).unionByName(_busy_spans(contexts)).select("repeat", *KEYS, "start", (F.col("last") - F.col("start")).alias("length"))
+    rows = _texts(docs).select("doc_id", *KEYS).distinct()
+    return full.unionByName(edges).distinct().join(rows, [*KEYS]).select("repeat", "doc_id", *KEYS, "start", "length")
 
 
 def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
@@ -308,8 +337,8 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """
     second = cut(_second(pick(docs, "doc_id", "text"), marked(docs), with_text), "texts")
     contexts = second.where(F.col("row") == CONTEXT)
-    spans = _edge_spans(contexts).unionByName(_busy_spans(contexts)).groupBy("doc", "checksum").agg(F.collect_set(F.struct("first", "last")).alias("more"))
-    waiting = second.where(F.col("row") == OPEN).select("doc_id", "doc", "checksum", "body", "spans").join(spans, ["doc", "checksum"], "left")
+    spans = _edge_spans(contexts).unionByName(_busy_spans(contexts)).groupBy(*KEYS).agg(F.collect_set(F.struct("first", "last")).alias("more"))
+    waiting = second.where(F.col("row") == OPEN).select("doc_id", *KEYS, "body", "spans").join(spans, [*KEYS], "left")
     more = F.coalesce(F.flatten(F.transform("more", lambda s: F.array(s["first"], s["last"]))), F.array().cast("array<bigint>"))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

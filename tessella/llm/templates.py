@@ -300,7 +300,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = cut(hits(pick(docs, "doc_id", "text"), bit_table(own.select("w").distinct()), widths), "hits")
     common = own.groupBy("reading", "w").agg(F.count("*").alias("n"))
     order = Window.partitionBy("item", "reading").orderBy("n", "w")
-    enough = F.size("own") - F.ceil(F.lit(SHARE) * F.size("own")) + 1  # all but these are too few
+    enough = F.size("own") - F.ceil(F.lit(SHARE) * F.size("own") - 1e-9) + 1  # all but these are too few
     rare = own.join(common, ["reading", "w"]).withColumn("at", F.row_number().over(order))
     rare = rare.join(items.select("item", "reading", enough.alias("enough")), ["item", "reading"]).where("at <= enough")
     rare = rare.select("item", "reading", "w", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))

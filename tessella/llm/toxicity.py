@@ -8,7 +8,7 @@ than their accuracies explain share their weight. The posterior of each row, not
 features, whose weights score every text.
 
 The sample has ``SAMPLE`` labelled rows at most, by a hash of their ids, and only rows whose crc32(doc_id) mod 3 is not 1; labels,
-lang, source and doc_id are not inputs of a score. Rows: a null or empty text gets the score of a text without features; rows
+lang, source and doc_id are not inputs of a score. Rows: labels other than 0 and 1 count as none; a null doc_id is not held out; a null or empty text gets the score of a text without features; rows
 that repeat are scored alike; with no labels of both classes every score is the share of label 1 (0 without labels); an empty
 table gives no rows; whole texts are read, however long.
 """
@@ -46,7 +46,7 @@ def _value(name: str, count: float, n: int) -> float:
 
 
 def _styles(text: str, n: int) -> list[float]:
-    letters = sum(map(str.isupper, text)) if n < 2000 else 0
+    letters = sum(map(str.isupper, text))
     return [letters / max(1, len(text)), min(1.0, text.count("!") / max(1, n))]
 
 
@@ -138,7 +138,7 @@ def _train(chosen: list[tuple[str, float]], i: np.ndarray, j: np.ndarray, x: np.
 
 
 def held_out(doc_id: str = "doc_id"):
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 def telling(sample: DataFrame) -> list[tuple[str, float]]:
@@ -176,7 +176,7 @@ def _partial(sums: dict[str, list[float]]) -> pd.DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
     """Train on ``sample`` labelled rows at most. The driver takes the values of their chosen features, no texts."""
-    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     known = known.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(sample)
     texts = cut(pick(docs, "doc_id", "text").join(F.broadcast(known), "doc_id").select(F.coalesce("text", F.lit("")).alias("_text"), "toxic"), "sample")
     chosen = telling(texts)

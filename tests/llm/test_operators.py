@@ -115,6 +115,8 @@ def test_pseudonyms_are_linked_and_valid(spark):
     df = spark.createDataFrame([(i, v, 1) for i, v in enumerate([f"<{v}> and {v}, twice" for v in values] + left)], "doc_id bigint, text string, pii_extra int")
     out = {r.doc_id: r for r in pii.pseudonymise(df).collect()}
     assert "pii_extra" in out[0].asDict()
+    clash = pii.pseudonymise(df.withColumnRenamed("pii_extra", "pii_values"))
+    assert clash.columns == ["doc_id", "text", "pii_values", "_pii_values"] and clash.where("doc_id = 0").first().text == out[0].text
     for i, v in enumerate(values):
         (a, p), (b, q) = out[i].pii_values
         assert a == b == v and p == q != v and out[i].text == f"<{p}> and {p}, twice" and len(p) == len(v) or i == 2
@@ -326,3 +328,115 @@ def test_pipeline_on_the_smallest_tables(spark):
 
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001").toPandas()
     assert 0 < len(out) <= 200 and out.doc_id.is_unique and (out.n_tokens >= 0).all()
+
+
+def test_repeat_groups_hold_the_same_bytes(docs, texts):
+    bodies = {i: (t or "").encode() for i, t in texts}
+    found = collections.defaultdict(set)
+    for r in repeats.repeat_groups(docs).collect():
+        assert r.length >= 200
+        found[r.repeat].add(((r.doc_id, r.start), bodies[r.doc_id][r.start : r.start + r.length]))
+    assert found and all(len({b for _, b in places}) == 1 for places in found.values())
+    spans = {(r.doc_id, p) for r in repeats.remove_repeats(docs).collect() for a, b in zip(r.spans[::2], r.spans[1::2], strict=True) for p in range(a, b)}
+    assert spans == {(i, p) for places in found.values() for (i, s), b in places for p in range(s, s + len(b))}
+
+
+def test_rows_without_ids_keep_their_own_repeats(spark):
+    r = random.Random(2)
+    other = "".join(r.choices("abcdefghij", k=400))
+    for ids in ((None, None), (7, 7), (7, 8)):
+        df = spark.createDataFrame([(ids[0], "z" * 300), (ids[1], other)], "doc_id bigint, text string")
+        assert sorted((x.n_bytes, list(x.spans)) for x in repeats.remove_repeats(df).collect()) == [(300, [0, 300]), (400, [])]
+
+
+def test_more_personal_data(spark):
+    long = "x@" + "a." * 50_000
+    texts = [long, long + "com", "ghp_abcdEFGH1234ijklMNOP5678qrst", "see 2001:0db8:85a3:0000:0000:8a2e:0370:7334 or fe80::1ff:fe23:4567:890a", "std::vector a::b 12:34:56", "", None]
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate([*texts, texts[3]])], "doc_id bigint, text string, pii_extra int")
+    out = [r.text for r in pii.pseudonymise(df.coalesce(1)).orderBy("doc_id").collect()]
+    assert [out[0], out[4], out[5], out[6]] == [long, texts[4], "", None] and out[2][:4] == "ghp_" and out[2] != texts[2] and out[3] == out[7] != texts[3]
+    assert len(out[3]) == len(texts[3]) and out[3].count(":") == texts[3].count(":")
+    spark.conf.set(pii.KEY_SETTING, "another key")
+    assert pii.pseudonymise(df.where("doc_id = 3")).first().text not in (out[3], texts[3])
+    spark.conf.unset(pii.KEY_SETTING)
+
+
+def test_pages_with_other_links_do_not_fill_a_worker():
+    field = html_text.default_field()
+    page = "<html><body><article><p>{0} is the main text of this page, and it goes on for some words.</p></article><footer>" + "".join(f"<a href='/{{0}}/{k}'>x</a>" for k in range(10)) + "</footer></body></html>"
+    for i in range(20_000):
+        assert field.extract(page.format(i)).startswith(f"{i} is")
+        assert field.root.made <= html_text.NODES + 20
+
+
+def test_ranks_rise_inside_every_token():
+    import public_tokenizers
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb"))}
+    for token in ranks:
+        parts, seen = [token[i : i + 1] for i in range(len(token))], [-1]
+        while len(parts) > 1:
+            rank, i = min((ranks.get(parts[i] + parts[i + 1], 1 << 30), i) for i in range(len(parts) - 1))
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            seen.append(rank)
+        assert parts == [token] and seen == sorted(seen)
+
+
+def test_long_words_equal_the_tokenizer():
+    import public_tokenizers
+    import tiktoken
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    codec, r = byte_bpe.Codec(path, public_tokenizers.PATTERN), random.Random(4)
+    words = ["".join(r.choices(letters, k=n)) for letters in ("abcdefghijklmnopqrstuvwxyz", "ab", "aé中β") for n in (65, 129, 1000)] + ["a" * 5000, "abc" * 2000, "the" * 300 + "ing" * 900, "!" * 700, "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=100_000))]
+    assert codec.encode(words) == [" ".join(map(str, own.encode_ordinary(w))) for w in words]
+
+
+def test_the_sample_is_drawn_by_weight(spark):
+    """Noise decides between equal weights, inclusion follows the weights, and ties go to the smaller id."""
+    from pyspark.sql import functions as F
+
+    rows = [(i, "good word here" if i % 2 else "bad token there") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    out = {seed: {r.doc_id: r for r in importance.resample(docs, labels, 0.5, seed).collect()} for seed in (1, 2)}
+    for found in out.values():
+        keys = sorted((-r.gumbel_key, i) for i, r in found.items())
+        assert {i for _, i in keys[:200]} == {i for i, r in found.items() if r.kept}  # the top k, here 200 of 400
+        odd = sum(r.kept for i, r in found.items() if i % 2)
+        w = {i: found[i].log_weight for i in (0, 1)}
+        assert w[1] > w[0] and 100 < odd  # more of the likelier kind, and not only those
+    assert {i for i, r in out[1].items() if r.kept} != {i for i, r in out[2].items() if r.kept}
+    tied = spark.createDataFrame([(5, 1.0), (3, 1.0), (4, 2.0), (3, 1.0), (None, 1.0)], "doc_id bigint, gumbel_key double").withColumns({"row_k1": F.lit(1), "row_k2": F.lit(2)})
+    kept = lambda k: sorted((r.doc_id or 0) for r in tied.where(importance.top_k(tied, k)).collect())
+    assert [kept(k) for k in (1, 2, 3, 4, 5)] == [[4], [0, 4], [0, 3, 3, 4], [0, 3, 3, 4], [0, 3, 3, 4, 5]]
+
+
+def test_weights_against_brute_force(spark):
+    r = random.Random(6)
+    rows = [(i, _text(r, 15)) for i in range(30)] + [(30, ""), (31, None), (3, "another text of one id"), (0, "again")]
+    docs = spark.createDataFrame([(*t, 1.0, "x") for t in rows], "doc_id bigint, text string, weight double, importance string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(20)] + [(None, 1), (5, None)], "doc_id bigint, quality int")
+    bags = {}
+    for k, (i, t) in enumerate(rows):
+        w = importance.PIECES.findall((t or "").lower())
+        bag = [importance.number(x) % importance.BUCKETS for x in w]
+        pair = lambda a, b: int(importance.mix(importance.np.array([(importance.number(a) * 3 + importance.number(b)) % 2**64], "uint64"))[0]) % importance.BUCKETS
+        bags[k] = bag + [pair(a, b) for a, b in zip(w, w[1:], strict=False)]
+    good, raw = collections.Counter(), collections.Counter()
+    for k, (i, _) in enumerate(rows):
+        raw.update(bags[k])
+        if i is not None and i < 20 and i % 3 > 0:
+            good.update(bags[k])
+    from math import log
+
+    n, g = sum(raw.values()), sum(good.values())
+    p_raw = lambda b: (raw[b] + 0.01) / (n + 0.01 * importance.BUCKETS)
+    prior = 50.0 * importance.BUCKETS / 1000
+    ratio = lambda b: log((good[b] + prior * p_raw(b)) / (g + prior) / p_raw(b))
+    want = sorted(((rows[k][0], round(sum(map(ratio, bag)), 6)) for k, bag in bags.items()), key=str)
+    out = importance.sampled(docs, labels)
+    assert out.columns == [*docs.columns, "_importance"]
+    assert sorted(((x.doc_id, round(x._importance.log_weight, 6)) for x in out.collect()), key=str) == want
