@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessella.operators.quantiles import order_statistics, quantiles
+
 
 def qc_metrics(counts: DataFrame, spine: DataFrame) -> DataFrame:
     """``spine`` with nCount, nFeature, nBlank and nCount per volume; cells without counts have zeros."""
@@ -28,20 +30,19 @@ def within(bounds: dict[str, tuple[float | None, float | None]]) -> Column:
 def filter_cells(metrics: DataFrame, bounds: dict, quantile_columns: list[str], low: float, high: float) -> DataFrame:
     """``pass_qc_pre`` by fixed bounds; ``pass_qc`` also by the quantiles of the cells that pass them."""
     first = metrics.withColumn("pass_qc_pre", within(bounds))
-    limits = first.where("pass_qc_pre").agg(*[F.percentile(c, F.array(F.lit(low), F.lit(high))).alias(f"_{c}") for c in quantile_columns])
     inside = F.col("pass_qc_pre")
-    for c in quantile_columns:  # one row of limits
-        inside = inside & F.coalesce(F.col(c).between(F.col(f"_{c}")[0], F.col(f"_{c}")[1]), F.lit(False))
-    return first.crossJoin(F.broadcast(limits)).withColumn("pass_qc", inside).drop(*[f"_{c}" for c in quantile_columns])
+    for c in quantile_columns:
+        least, most = quantiles(first.where("pass_qc_pre"), c, [low, high])
+        inside = inside & (F.coalesce(F.col(c).between(least, most), F.lit(False)) if least is not None else F.lit(False))
+    return first.withColumn("pass_qc", inside)
 
 
 def nearest_quantile(rows: DataFrame, column: str, q: float) -> DataFrame:
-    """One row (value): the stored value nearest to the q-quantile's place, by an exact discrete percentile of the rank."""
-    # place round(q * (n - 1)) of the sorted values; counts by value keep the window small
-    by_value = rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    total = by_value.agg(F.floor(F.lit(q) * (F.sum("n") - 1) + 0.5).alias("place"))
-    after = by_value.withColumn("upto", F.sum("n").over(Window.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)))
-    return after.crossJoin(F.broadcast(total)).where("upto > place").agg(F.min("value").alias("value"))
+    """One row (value): the stored value nearest to the q-quantile's place, round(q * (n - 1)) of the sorted values; no row without values."""
+    n = rows.where(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))).count()
+    place = int(q * (n - 1) + 0.5) if n else 0
+    _, at = order_statistics(rows, column, [place])
+    return rows.sparkSession.createDataFrame([(at[place],)] if n else [], "value double")
 
 
 def volume_normalised(counts: DataFrame, spine: DataFrame) -> DataFrame:
@@ -51,9 +52,8 @@ def volume_normalised(counts: DataFrame, spine: DataFrame) -> DataFrame:
 def library_normalised(counts: DataFrame, target: float | None = None) -> DataFrame:
     """log1p of counts scaled to ``target`` a cell; without one, to the median of the cells' totals."""
     totals = counts.groupBy("cell_id").agg(F.sum("count").alias("total"))
-    goal = totals.agg(F.median("total").alias("goal")) if target is None else None
-    rows = counts.join(totals.where("total > 0"), "cell_id")
-    rows = rows.crossJoin(F.broadcast(goal)) if goal is not None else rows.withColumn("goal", F.lit(target))
+    goal = quantiles(totals, "total", [0.5])[0] if target is None else target
+    rows = counts.join(totals.where("total > 0"), "cell_id").withColumn("goal", F.lit(goal).cast("double"))
     return rows.select("cell_id", "gene", F.log1p(F.col("count") * F.col("goal") / F.col("total")).alias("value"))
 
 

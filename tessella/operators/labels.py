@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,13 +41,33 @@ def hierarchical_gate(rows: DataFrame, levels: list[tuple[str, float, int]]) ->
     return out.withColumn("pass", above).drop(*[f"_{name}" for name, *_ in levels])
 
 
-def nearest(queries: DataFrame, reference: DataFrame, k: int) -> DataFrame:
-    """(query_id, ref_id, label, distance, rank): exact nearest neighbours against a reference of checked size."""
-    q = queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
-    r = reference.select(F.col("vec_id").alias("ref_id"), "label", F.col("embedding").alias("r"))
-    d = F.aggregate(F.zip_with("q", "r", lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double"))), F.lit(0.0), lambda s, x: s + x)
-    pairs = q.join(r, F.lit(True)).select("query_id", "ref_id", "label", F.round(d, 9).alias("distance"))
-    return pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "ref_id"))).where(F.col("rank") <= k)
+def nearest(queries: DataFrame, reference: DataFrame, k: int, block: int = 4096) -> DataFrame:
+    """(query_id, ref_id, label, distance, rank): exact nearest neighbours by squared distance, ties to the smaller id.
+
+    Blocks of about ``block`` queries meet blocks of as many reference rows, each pair in a task of its own that keeps the best ``k`` of its
+    queries; what is left is ranked by a window that Spark limits before the shuffle.
+    """
+    n_q, n_r = (max(1, -(-df.count() // block)) for df in (queries, reference))
+    rows = lambda df, side, own, n, other, m: df.select(
+        F.lit(side).alias("side"), F.col("vec_id").cast("bigint").alias("id"), (F.col("label").cast("string") if side else F.lit("")).alias("label"), F.transform("embedding", lambda x: x.cast("double")).alias("v"),
+        F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other),
+    )
+    both = rows(queries, 0, "qb", n_q, "rb", n_r).unionByName(rows(reference, 1, "rb", n_r, "qb", n_q))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        q, r = pdf[pdf.side == 0], pdf[pdf.side == 1].sort_values("id")
+        out = []
+        if len(q) and len(r):
+            refs, ids, labels = np.stack(r.v), r.id.to_numpy(), r.label.to_numpy(object)
+            for i, v in zip(q.id, q.v, strict=True):
+                d = np.round(((refs - v) ** 2).sum(1), 9)
+                near = np.argsort(d, kind="stable")[:k]
+                out += [(i, ids[j], labels[j], d[j]) for j in near]
+        return pd.DataFrame(out, columns=["query_id", "ref_id", "label", "distance"])
+
+    found = both.groupBy("qb", "rb").applyInPandas(run, "query_id bigint, ref_id bigint, label string, distance double")
+    found = found.withColumn("label", F.col("label").cast(dict(reference.dtypes)["label"]))
+    return found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "ref_id"))).where(F.col("rank") <= k)
 
 
 def vote(neighbours: DataFrame) -> DataFrame:
@@ -73,3 +95,91 @@ def jaccard_matches(pairs: DataFrame, least: float) -> DataFrame:
     score = F.col("n") / (F.sum("n").over(Window.partitionBy("a")) + F.sum("n").over(Window.partitionBy("b")) - F.col("n"))
     out = n.withColumn("score", score).withColumn("i", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("score"), "b"))).where("i = 1")
     return out.withColumn("i", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("score"), "a"))).where((F.col("i") == 1) & (F.col("score") >= least)).drop("i")
+
+
+def best_label(scores: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
+    """(query_id, label, score): the label of the largest score of each row of (query_id, label, score), of equal ones the first by name.
+
+    With ``fallback`` (query_id, label), rows without any score keep their label there.
+    """
+    best = scores.where("score IS NOT NULL").groupBy("query_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "label")).alias("best")).select("query_id", "best.label", (-F.col("best.s")).alias("score"))
+    if fallback is None:
+        return best
+    rest = fallback.select("query_id", F.col("label").alias("known"))
+    return rest.join(best, "query_id", "full").select("query_id", F.coalesce("label", "known").alias("label"), "score")
+
+
+def weighted_votes(neighbours: DataFrame, labels: DataFrame, k: int | None = None) -> DataFrame:
+    """(query_id, label, score): shares of the neighbours' weights by label; rows are (query_id, ref_id, distance), a label is (ref_id, label).
+
+    A neighbour's weight is 1 - distance / distance of the farthest of its query, as a share of all; equal distances weigh the same.
+    """
+    rows = neighbours
+    if k is not None:
+        rows = rows.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "ref_id"))).where(F.col("r") <= k).drop("r")
+    farthest = F.max("distance").over(Window.partitionBy("query_id"))
+    rows = rows.withColumn("w", 1 - F.coalesce(F.try_divide(F.col("distance"), farthest), F.lit(0.0)) + 1e-9)
+    votes = rows.join(labels, "ref_id").groupBy("query_id", "label").agg(F.sum("w").alias("w"))
+    return votes.select("query_id", "label", (F.col("w") / F.sum("w").over(Window.partitionBy("query_id"))).alias("score"))
+
+
+def without_small(rows: DataFrame, cluster: str, least: int) -> DataFrame:
+    """Rows of clusters with ``least`` rows or more; the sizes are joined back, so a large cluster is never gathered."""
+    sizes = rows.groupBy(cluster).agg(F.count("*").alias("size")).where(F.col("size") >= least).select(cluster)
+    return rows.join(sizes, cluster, "left_semi")
+
+
+def sized_reference(reference: DataFrame, cluster: str, key: str, most: int = 3000, least: int = 0, seed: int = 13) -> DataFrame:
+    """A reference without clusters under ``least`` cells, and with ``most`` cells a cluster at most, by a seeded hash; 0 sets no bound."""
+    rows = without_small(reference, cluster, least) if least > 0 else reference
+    if most <= 0:
+        return rows
+    return rows.withColumn("r", F.row_number().over(Window.partitionBy(cluster).orderBy(F.xxhash64(key, F.lit(seed)), key))).where(F.col("r") <= most).drop("r")
+
+
+def capped_reference(reference: DataFrame, key: str, n_query: int, least: int, seed: int = 13) -> DataFrame:
+    """min(all, max(n_query, least)) rows of a reference, by a seeded hash."""
+    return reference.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(max(n_query, least))
+
+
+def balanced(rows: DataFrame, group: str, key: str, seed: int = 13) -> DataFrame:
+    """As many rows of each group as the smallest has, by a seeded hash."""
+    n = rows.groupBy(group).agg(F.count("*").alias("n")).agg(F.min("n").alias("least"))
+    at = F.row_number().over(Window.partitionBy(group).orderBy(F.xxhash64(key, F.lit(seed)), key))
+    return rows.withColumn("at", at).crossJoin(F.broadcast(n)).where("at <= least").drop("at", "least")
+
+
+def training_mask(rows: DataFrame, key: str, n: int, seed: int = 13) -> DataFrame:
+    """``rows`` with ``train``: true for ``n`` of them at most, by a seeded hash."""
+    chosen = rows.select(key).distinct().orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n).withColumn("train", F.lit(True))
+    return rows.join(chosen, key, "left").fillna(False, ["train"])
+
+
+def confusion_transfer(pairs: DataFrame, least: int = 0) -> DataFrame:
+    """(cluster, label, n, share): of a contingency table of (cluster, label), the larger of row and column share; null labels don't count.
+
+    Clusters with fewer than ``least`` labelled rows are left out.
+    """
+    n = pairs.where("label IS NOT NULL").groupBy("cluster", "label").agg(F.count("*").alias("n"))
+    n = n.withColumn("in_cluster", F.sum("n").over(Window.partitionBy("cluster"))).withColumn("in_label", F.sum("n").over(Window.partitionBy("label")))
+    return n.where(F.col("in_cluster") >= least).select("cluster", "label", "n", F.greatest(F.col("n") / F.col("in_cluster"), F.col("n") / F.col("in_label")).alias("share"))
+
+
+def centroid_votes(queries: DataFrame, reference: DataFrame, markers: DataFrame, rounds: int, share: float = 0.9, seed: int = 13) -> DataFrame:
+    """(query_id, label, probability): hierarchical mapping's vote at one level.
+
+    In each round a hashed ``share`` of the marker genes is drawn; the label whose centroid correlates best with the query over them gets its
+    vote, of equal ones the first by name. ``queries`` are (query_id, gene, value), ``reference`` (label, gene, mean); absent values are zeros.
+    """
+    drawn = markers.select("gene").distinct().select("gene", F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("round"))
+    drawn = drawn.where(F.pmod(F.xxhash64("gene", "round", F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000))
+    size = drawn.groupBy("round").agg(F.count("*").alias("m"))
+    moments = lambda df, key, v: df.join(drawn, "gene").groupBy(key, "round").agg(F.sum(v).alias(f"s_{key}"), F.sum(F.col(v) * F.col(v)).alias(f"ss_{key}"))
+    products = queries.join(drawn, "gene").join(reference, "gene").groupBy("query_id", "label", "round").agg(F.sum(F.col("value") * F.col("mean")).alias("xy"))
+    rows = products.join(moments(queries, "query_id", "value"), ["query_id", "round"]).join(moments(reference, "label", "mean"), ["label", "round"]).join(F.broadcast(size), "round")
+    cov = F.col("xy") - F.col("s_query_id") * F.col("s_label") / F.col("m")
+    var = lambda k: F.col(f"ss_{k}") - F.col(f"s_{k}") * F.col(f"s_{k}") / F.col("m")
+    r = F.round(F.try_divide(cov, F.sqrt(F.greatest(var("query_id") * var("label"), F.lit(0.0)))), 9)
+    won = rows.withColumn("score", r).where("score IS NOT NULL").groupBy("query_id", "round").agg(F.min(F.struct((-F.col("score")).alias("s"), "label")).alias("best"))
+    votes = won.groupBy("query_id", F.col("best.label").alias("label")).agg(F.count("*").alias("votes"))
+    return votes.select("query_id", "label", (F.col("votes") / F.sum("votes").over(Window.partitionBy("query_id"))).alias("probability"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,26 +12,13 @@ from tessella.operators import labels as L
 from tessella.operators import markers as M
 from tessella.operators import space as S
 from tessella.plans import roles as R
+from tessella.plans import spatial  # noqa: F401 - registers its queries
+from tessella.plans.catalog import ALL, Query
+from tessella.plans.catalog import query as _query
+from tessella.plans.catalog import rounded as _rounded
 from tessella.sources.tables import table
 
-FLAGSHIP = "cell_counts"
-Query = Callable[[SparkSession, str], DataFrame]
-_ALL: dict[str, tuple[Query, str | None]] = {}
-
-
-def _query(sql: str | None):
-    """Register a query under its function's name, with the SQL of the same rows."""
-
-    def add(f: Query) -> Query:
-        _ALL[f.__name__] = (f, R.with_roles(sql) if sql else None)
-        return f
-
-    return add
-
-
-def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
-    return df.withColumns({n: F.round(n, digits) for n in names})
-
+FLAGSHIP = "cell_counts_polygons"
 
 # Points, polygons and counts
 
@@ -48,11 +34,13 @@ def assigned_points(spark, d):
     return S.last_assignment(p, S.points_in_boxes(p, R.boxes(spark)))
 
 
-@_query("SELECT c.cell_id" + "".join(f", coalesce(sum(count) FILTER (gene = 'Brand#{i}'), 0) AS b{i}" for i in (1, 2, 3)) + " FROM cells c LEFT JOIN cell_gene g ON c.cell_id = g.cell_id GROUP BY c.cell_id")
+_GENES = [f"Brand#{i}{j}" for i in range(1, 6) for j in range(1, 6)]
+
+
+@_query("SELECT c.cell_id" + "".join(f", coalesce(sum(count) FILTER (gene = '{g}'), 0) AS \"{g[6:]}\"" for g in _GENES).replace('AS "', 'AS "b') + " FROM cells c LEFT JOIN cell_gene g ON c.cell_id = g.cell_id GROUP BY c.cell_id")
 def count_matrix(spark, d):
-    genes = [f"Brand#{i}" for i in (1, 2, 3)]
-    wide = C.count_matrix(R.cell_gene(spark, d).where(F.col("gene").isin(genes)), R.cells(spark, d), genes)
-    return wide.select("cell_id", *[F.col(f"`{g}`").alias(f"b{i + 1}") for i, g in enumerate(genes)])
+    wide = C.count_matrix(R.cell_gene(spark, d), R.cells(spark, d), _GENES)
+    return wide.select("cell_id", *[F.col(f"`{g}`").alias(f"b{g[6:]}") for g in _GENES])
 
 
 @_query("SELECT entity_id, z, (maxx - minx) * (maxy - miny) AS area, 2 * (maxx - minx + maxy - miny) AS perimeter, (minx + maxx) / 2 AS cx, (miny + maxy) / 2 AS cy FROM boxes")
@@ -227,10 +215,10 @@ def eroded_mask(spark, d):
     return S.eroded(_mask(spark, d))
 
 
-@_query("""WITH RECURSIVE cell AS (SELECT DISTINCT CAST(floor(y / 5) AS BIGINT) AS row, CAST(floor(x / 5) AS BIGINT) AS col FROM points WHERE x > 60), reach AS (SELECT row, col, row * 2147483648 + col AS component FROM cell
+@_query("""WITH RECURSIVE cell AS (SELECT DISTINCT CAST(floor(y / 5) AS BIGINT) AS row, CAST(floor(x / 5) AS BIGINT) AS col FROM points), reach AS (SELECT row, col, row * 2147483648 + col AS component FROM cell
  UNION SELECT c.row, c.col, r.component FROM reach r JOIN cell c ON abs(c.row - r.row) + abs(c.col - r.col) = 1) SELECT row, col, min(component) AS component FROM reach GROUP BY ALL""")
 def mask_components(spark, d):
-    p = R.points(spark, d).where("x > 60")
+    p = R.points(spark, d)
     return S.mask_components(p.select(F.floor(F.col("y") / 5).alias("row"), F.floor(F.col("x") / 5).alias("col")).distinct())
 
 
@@ -506,8 +494,8 @@ def upserted_metrics(spark, d):
 
 
 def queries() -> dict[str, Query]:
-    return {name: f for name, (f, _) in _ALL.items()}
+    return {name: f for name, (f, _) in ALL.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in _ALL.items() if sql}
+    return {name: sql for name, (_, sql) in ALL.items() if sql}

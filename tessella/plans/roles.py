@@ -9,10 +9,12 @@ from tessella.sources.tables import table
 
 #: Common table expressions by role; ``with_roles`` puts those that a query names in front of it.
 SQL = {
-    "cell_gene": "SELECT l_suppkey AS cell_id, p_brand AS gene, ends_with(p_brand, '5') AS is_blank, sum(l_quantity) AS count FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity > 20 AND l_partkey % 7 < 3 GROUP BY ALL",
+    "cell_gene": "SELECT l_suppkey AS cell_id, p_brand AS gene, ends_with(p_brand, '5') AS is_blank, sum(l_quantity) AS count FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL",
     "cells": "SELECT s_suppkey AS cell_id, n_name AS donor, r_name AS region, abs(s_acctbal) + 1 AS volume, CAST(s_suppkey % 17 AS DOUBLE) AS center_x, CAST(s_suppkey % 13 AS DOUBLE) AS center_y, CAST((s_suppkey * 37) % 101 AS DOUBLE) AS dapi, s_suppkey % 4 AS cluster FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey",
     "points": "SELECT event_id AS tx_id, event_type AS gene, value AS x, CAST(json_extract_string(props, '$.k') AS DOUBLE) + 0.5 AS y, CAST(event_id % 7 AS INTEGER) AS z, user_id AS cell_hint FROM events",
     "boxes": "SELECT CAST(i * 10 + j AS BIGINT) AS entity_id, CAST(z AS INTEGER) AS z, 8.0::DOUBLE * i AS minx, 10.0::DOUBLE * j AS miny, 8.0::DOUBLE * i + 9 AS maxx, 10.0::DOUBLE * j + 9 AS maxy FROM range(12) a(i), range(10) b(j), range(7) c(z)",
+    "shapes": "SELECT s_suppkey AS entity_id, CAST((s_suppkey + k) % 7 AS INTEGER) AS z, CAST((s_suppkey * 7) % 90 AS DOUBLE) AS x0, CAST((s_suppkey * 13) % 90 AS DOUBLE) AS y0 FROM supplier CROSS JOIN range(2) r(k)",
+    "votes": "SELECT l_orderkey AS query_id, l_suppkey AS ref_id, CAST(l_discount AS DOUBLE) AS distance, s_nationkey AS label FROM lineitem JOIN supplier ON l_suppkey = s_suppkey",
     "labelled": "SELECT vec_id, label, vec_id % 2 AS is_query, CAST(vec_id % 9 AS INTEGER) AS cluster, embedding FROM embeddings",
 }
 
@@ -29,7 +31,7 @@ def with_roles(sql: str) -> str:
 
 def cell_gene(spark: SparkSession, d: str) -> DataFrame:
     """(cell_id, gene, is_blank, count): stored, non-zero counts."""
-    rows = table(spark, d, "lineitem").where("l_quantity > 20 AND l_partkey % 7 < 3").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
     gene = F.col("p_brand")
     return rows.groupBy(F.col("l_suppkey").alias("cell_id"), gene.alias("gene"), gene.endswith("5").alias("is_blank")).agg(F.sum("l_quantity").alias("count"))
 
@@ -61,3 +63,21 @@ def labelled(spark: SparkSession, d: str) -> DataFrame:
     """(vec_id, label, is_query, cluster, embedding): reference and query cells in one space."""
     v = F.col("vec_id")
     return table(spark, d, "embeddings").select("vec_id", "label", (v % 2).alias("is_query"), (v % 9).cast("int").alias("cluster"), "embedding")
+
+
+#: Corners of a shape, from its own: the outer ring with a notch, and a hole.
+OUTER, HOLE = [(0, 0), (9, 0), (9, 4), (4, 4), (4, 9), (0, 9)], [(1, 1), (2, 1), (2, 3), (1, 3)]
+
+
+def shapes(spark: SparkSession, d: str) -> DataFrame:
+    """(entity_id, z, x0, y0, polygon): notched polygons with a hole, on two planes each."""
+    key = F.col("s_suppkey")
+    rows = table(spark, d, "supplier").select(key.alias("entity_id"), F.explode(F.array(F.lit(0), F.lit(1))).alias("k"), (key * 7 % 90).cast("double").alias("x0"), (key * 13 % 90).cast("double").alias("y0"))
+    ring = lambda corners: F.array(*[F.struct((F.col("x0") + x).alias("x"), (F.col("y0") + y).alias("y")) for x, y in corners])
+    return rows.select("entity_id", ((F.col("entity_id") + F.col("k")) % 7).cast("int").alias("z"), "x0", "y0", F.array(ring(OUTER), ring(HOLE)).alias("polygon"))
+
+
+def votes(spark: SparkSession, d: str) -> DataFrame:
+    """(query_id, ref_id, distance, label): neighbours of each query with the label of each."""
+    rows = table(spark, d, "lineitem").join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    return rows.select(F.col("l_orderkey").alias("query_id"), F.col("l_suppkey").alias("ref_id"), F.col("l_discount").cast("double").alias("distance"), F.col("s_nationkey").alias("label"))
