@@ -13,7 +13,7 @@ BINS = 1024
 def order_statistics(rows: DataFrame, column: str, places: list[int] | None = None, shares: list[float] | None = None) -> tuple[int, dict[int, float]]:
     """The number of values and the values at ``places`` of the sorted column (from 0), or around the quantiles ``shares``; nulls and NaN don't count.
 
-    Each round is one aggregation of ``BINS`` rows; a range of doubles takes six rounds at most.
+    Each round is one aggregation of ``BINS`` rows for each place at most; a range of doubles takes six rounds.
     """
     v = rows.select(F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double")).alias("v")).where("v IS NOT NULL")
     low, high, n = v.agg(F.min("v"), F.max("v"), F.count("v")).first()
@@ -21,21 +21,24 @@ def order_statistics(rows: DataFrame, column: str, places: list[int] | None = No
         return 0, {}
     wanted = set(places or []) | {k for q in shares or [] for k in (floor(q * (n - 1)), ceil(q * (n - 1)))}
     out: dict[int, float] = {}
-    open_ = {(low, high): [(k, k) for k in wanted]}  # range: (place in it, place)
+    open_ = {(low, high): [(k, k) for k in wanted]}  # disjoint ranges: (place in it, place)
     while open_:
-        (a, b), inside = open_.popitem()
-        if a == b:
-            out |= {place: a for _, place in inside}
-            continue
-        step = (b - a) / BINS
-        bin_ = F.least(F.floor((F.col("v") - a) / step), F.lit(BINS - 1)) if step > 0 else (F.col("v") > a).cast("bigint")
-        found = v.where(F.col("v").between(a, b)).groupBy(bin_.alias("bin")).agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect()
-        before = 0
-        for r in sorted(found, key=lambda r: r["bin"]):
-            for k, place in inside:
-                if before <= k < before + r["n"]:
-                    open_.setdefault((r["low"], r["high"]), []).append((k - before, place))
-            before += r["n"]
+        out |= {place: a for (a, b), inside in open_.items() if a == b for _, place in inside}
+        ranges = [(a, b, inside) for (a, b), inside in open_.items() if a < b]
+        open_ = {}
+        if not ranges:
+            break
+        # one aggregation for all ranges, which are no more than places
+        bounds = rows.sparkSession.createDataFrame([(i, a, b, (b - a) / BINS) for i, (a, b, _) in enumerate(ranges)], "i int, a double, b double, step double")
+        bin_ = F.when(F.col("step") > 0, F.least(F.floor((F.col("v") - F.col("a")) / F.nullif("step", F.lit(0.0))), F.lit(BINS - 1))).otherwise((F.col("v") > F.col("a")).cast("bigint"))
+        met = v.join(F.broadcast(bounds), F.col("v").between(F.col("a"), F.col("b")))
+        found = met.groupBy("i", bin_.alias("bin")).agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect()
+        before = dict.fromkeys(range(len(ranges)), 0)
+        for r in sorted(found, key=lambda r: (r["i"], r["bin"])):
+            for k, place in ranges[r["i"]][2]:
+                if before[r["i"]] <= k < before[r["i"]] + r["n"]:
+                    open_.setdefault((r["low"], r["high"]), []).append((k - before[r["i"]], place))
+            before[r["i"]] += r["n"]
     return n, out
 
 
