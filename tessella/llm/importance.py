@@ -161,13 +161,13 @@ def top_k(rows: DataFrame, k: int, key: str = "gumbel_key") -> Column:
     return (F.col(key) > least) | ((F.col(key) == least) & (row <= last))
 
 
-def sampled(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: int = SEED) -> DataFrame:
-    """All columns of ``docs`` and ``importance``: struct(n_words, log_weight, gumbel_key, kept, row_k1, row_k2)."""
+def sampled(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: int = SEED, carried: list[str] | None = None) -> DataFrame:
+    """The ``carried`` columns of ``docs`` (all by default) and, last, ``importance``: struct(n_words, log_weight, gumbel_key, kept, row_k1, row_k2)."""
     few = sampled_labels(labels).where("quality = 1").select("doc_id")
     texts = pick(docs, "doc_id", "text").join(F.broadcast(few.withColumn("good", F.lit(True))), "doc_id", "left")  # SAMPLE rows at most
     model = counts(texts.withColumn("good", F.coalesce("good", F.lit(False)))).toPandas()
     weight, own = fresh(docs, "weight"), fresh(docs, "row")
-    rows = keyed(docs.select("doc_id", "text", F.struct(*docs.columns).alias(own)))
+    rows = keyed(docs.select("doc_id", "text", F.struct(*(carried or docs.columns)).alias(own)))
     weighed = cut(weigh(rows, log_ratios(model), weight).withColumn("gumbel_key", F.round(F.col(f"{weight}.log_weight") + gumbel(seed), 9)).drop("text"), "weights")
     share = good_share(labels) if share is None else share
     n = weighed.count()
@@ -181,7 +181,7 @@ def sampled(docs: DataFrame, labels: DataFrame, share: float | None = None, seed
 def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: int = SEED) -> DataFrame:
     """(doc_id, n_words, log_weight, gumbel_key, kept): ``kept`` marks the Gumbel top-k sample."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return sampled(docs, labels, share, seed).select("doc_id", "importance.n_words", "importance.log_weight", "importance.gumbel_key", "importance.kept")
+    return sampled(docs, labels, share, seed, ["doc_id"]).select("doc_id", "importance.n_words", "importance.log_weight", "importance.gumbel_key", "importance.kept")
 
 
 def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
