@@ -1,16 +1,20 @@
 """Toxicity by weak supervision: many voters, a generative label model, and a linear classifier on posterior labels.
 
-Features of a text are its words and their first 3 to 6 letters, each by how dense it is, and words also by presence. Voters are
-lexicon entries and beginnings whose presence or density tells labels apart on the labelled sample, pattern voters on how loud
-and how repetitive a text is, and a voter for texts in which no entry is met. The label model gives every voter an accuracy for
-either class, starting from the labels and refined by expectation maximisation over all sampled rows; voters that agree more
-than their accuracies explain share their weight. The posterior of each row, not its label, trains a logistic classifier on the
-features, whose weights score every text.
-
-The sample has ``SAMPLE`` labelled rows at most, by a hash of their ids, and only rows whose crc32(doc_id) mod 3 is not 1; labels,
-lang, source and doc_id are not inputs of a score. Rows: labels other than 0 and 1 count as none; a null doc_id is not held out; a null or empty text gets the score of a text without features; rows
-that repeat are scored alike; with no labels of both classes every score is the share of label 1 (0 without labels); an empty
-table gives no rows; whole texts are read, however long.
+Features of a text are its words and their first 3 to 6 letters, each by how dense it is, and words also by presence. Voters of
+either sign: lexicon entries and beginnings that are denser in toxic labelled texts vote for 1, those denser in clean ones for 0,
+pattern voters (``PATTERNS``) look at capitals, exclamations, masked and stretched words and polite forms. Each abstains elsewhere.
+
+The label model is P(class) times a tree of the voters, P(vote | vote of its parent in the tree, class): accuracies and
+correlations are its parameters. The tree joins the voters that tell most about each other within the classes, so voters that say
+the same count once. It is fitted by expectation maximisation over labelled and unlabelled rows; a label is no vote and fixes
+nothing: it is a prior of its row that tells the class with probability ``TRUST``, and starts the first round. The posterior of each
+row, not its label, trains a logistic classifier on the features, whose weights score every text.
+
+The sample has ``SAMPLE`` labelled and ``UNLABELLED`` other rows at most, by a hash of their ids, only such whose crc32(doc_id)
+mod 3 is not 1; labels, lang, source and doc_id are not inputs of a score. Rows: labels other than 0 and 1 count as none; a null
+doc_id is not held out; a null or empty text gets the score of a text without features; rows that repeat are scored alike; with no
+labels of both classes every score is the share of label 1 (0 without labels); an empty table gives no rows; whole texts are
+read, however long.
 """
 
 from __future__ import annotations
@@ -28,7 +32,9 @@ from pyspark.sql import functions as F
 from tessella.llm.common import cut, pick, table
 from tessella.llm.words import Memo, batches
 
-SAMPLE, FEATURES, VOTERS, THRESHOLD, SEED = 12_000, 400, 120, 0.7, 29
+SAMPLE, UNLABELLED, FEATURES, CLEAN_FEATURES, VOTERS, THRESHOLD, SEED = 12_000, 12_000, 400, 40, 120, 0.7, 29
+#: How often a label tells the class (else it says nothing), the rounds of the label model, those in which its tree is drawn, and rows that a smoothed share counts as.
+TRUST, ROUNDS, DRAWN, SMOOTH = 0.9, 8, (0, 3), 5.0
 #: Features whose sums a task keeps before it hands them on.
 PARTIAL = 300_000
 WORD = re.compile(r"[^\W\d_]+")
@@ -45,9 +51,24 @@ def _value(name: str, count: float, n: int) -> float:
     return 1.0 if name[0] == "w" else count / (count + FLOOR + HALF * n)
 
 
+MASKED, STRETCHED, POLITE = re.compile(r"[^\W\d_][*@#$]+[^\W\d_]"), re.compile(r"([^\W\d_])\1{3}"), re.compile(r"\b(?:please|thanks?|sorry|welcome)\b", re.I)
+
+
 def _styles(text: str, n: int) -> list[float]:
-    letters = sum(map(str.isupper, text))
-    return [letters / max(1, len(text)), min(1.0, text.count("!") / max(1, n))]
+    """Share of capitals, exclamations a word, and whether there are masked words, stretched words, polite forms."""
+    loud = [sum(map(str.isupper, text)) / max(1, len(text)), min(1.0, text.count("!") / max(1, n))]
+    return [*loud, *(float(p.search(text) is not None) for p in (MASKED, STRETCHED, POLITE))]
+
+
+#: Votes of the pattern voters, of the rows' styles: where each says 1, and where it says 0.
+PATTERNS = [
+    (lambda s: s[:, 0] > 0.5, None),
+    (lambda s: s[:, 1] > 0.3, None),
+    (lambda s: s[:, 2] > 0, None),
+    (lambda s: s[:, 3] > 0, None),
+    (None, lambda s: s[:, 4] > 0),
+    (None, lambda s: (s[:, 0] < 0.1) & (s[:, 1] == 0)),
+]
 
 
 def counted(text: str) -> tuple[dict[str, int], int]:
@@ -81,49 +102,95 @@ class Classifier:
         return 1 / (1 + np.exp(-min(30.0, max(-30.0, z))))
 
 
-def posterior(votes: np.ndarray, labels: np.ndarray, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
-    """P(label 1) of each row and the voters' weights, of votes (rows x voters; 1, -1 or 0 for none)."""
-    share = np.clip(labels.mean(), 0.01, 0.99)
-    p = np.where(labels == 1, 0.97, 0.03)
-    weight = np.ones(votes.shape[1])
-    for _ in range(rounds):
-        one, none = p.sum() + 2, (1 - p).sum() + 2
-        logs = {}
-        for v in (1, -1, 0):
-            is_v = votes == v
-            logs[v] = np.log((p @ is_v + 0.5) / one) - np.log(((1 - p) @ is_v + 0.5) / none)
-        # what two voters agree beyond the classes: correlation of their residuals; a group of alike voters counts about once
-        residual = votes - np.outer(p, (p @ votes) / one) - np.outer(1 - p, ((1 - p) @ votes) / none)
-        norm = np.sqrt((residual**2).sum(0)) + 1e-9
-        r = np.clip((residual.T @ residual) / np.outer(norm, norm), 0, 1)
-        weight = 1 / np.maximum(1, np.where(r > 0.1, r, 0).sum(1))
-        z = np.log(share / (1 - share)) + sum(((votes == v) * (logs[v] * weight)).sum(1) for v in (1, -1, 0))
-        # the labels are one more voter, with the accuracy they show
-        agree = np.clip(np.where(labels == 1, p, 1 - p).mean(), 0.6, 0.98)
-        z += np.where(labels == 1, 1, -1) * np.log(agree / (1 - agree))
-        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-    return p, weight
+def tree_of(votes: np.ndarray, p: np.ndarray, rows: np.ndarray) -> list[tuple[int, int]]:
+    """(voter, parent) from the root on (its parent is -1): the tree of most mutual information of the voters given the class."""
+    m, eye = votes.shape[1], np.eye(3, dtype=np.float32)
+    seen = eye[votes + 1].reshape(len(votes), 3 * m)
+    told = np.zeros((m, m))
+    for weight in (p * rows, (1 - p) * rows):
+        n = weight.sum() + SMOOTH
+        pairs = (seen * weight[:, None].astype(np.float32)).T @ seen / n
+        alone = pairs.diagonal()
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = np.where(pairs > 0, pairs * np.log(pairs / np.outer(alone, alone)), 0)
+        told += n * gain.reshape(m, 3, m, 3).sum((1, 3))
+    np.fill_diagonal(told, -np.inf)
+    order, best, parent = [(0, -1)], told[0].copy(), np.zeros(m, np.int64)
+    best[0] = -np.inf
+    for _ in range(m - 1):
+        j = int(best.argmax())
+        order.append((j, int(parent[j])))
+        closer = (told[j] > best) & (best > -np.inf)
+        parent[closer], best[closer] = j, told[j][closer]
+        best[j] = -np.inf
+    return order
+
+
+def tables_of(votes: np.ndarray, p: np.ndarray, rows: np.ndarray, tree: list[tuple[int, int]]) -> np.ndarray:
+    """log P(vote | parent's vote, class) as [class, voter, parent's vote + 1, vote + 1]; shares are smoothed towards the voter's own."""
+    out = np.zeros((2, votes.shape[1], 3, 3))
+    for y, weight in enumerate(((1 - p) * rows, p * rows)):
+        for j, up in tree:
+            own = (np.bincount(votes[:, j] + 1, weight, 3) + 0.5) / (weight.sum() + 1.5)
+            pairs = np.bincount(3 * (votes[:, up] + 1) + votes[:, j] + 1, weight, 9).reshape(3, 3) if up >= 0 else np.zeros((3, 3))
+            out[y, j] = np.log((pairs + SMOOTH * own) / (pairs.sum(1, keepdims=True) + SMOOTH)) if up >= 0 else np.log(own)
+    return out
+
+
+def log_odds(votes: np.ndarray, tree: list[tuple[int, int]], tables: np.ndarray) -> np.ndarray:
+    """What the votes of each row say for class 1 against class 0; a voter that abstains says nothing."""
+    lead = tables[1] - tables[0]
+    lead[..., 1] = 0
+    return sum((lead[j][votes[:, up] + 1 if up >= 0 else 1, votes[:, j] + 1] for j, up in tree), np.zeros(len(votes)))
+
+
+def posterior(votes: np.ndarray, labels: np.ndarray, apart: int = 0, rounds: int = ROUNDS) -> tuple[np.ndarray, list[tuple[int, int]], np.ndarray]:
+    """P(label 1) of each row, the tree and its tables, of votes (rows x voters; 1, -1 or 0 for none) and labels (1, 0, -1 for none).
+
+    The last ``apart`` voters follow from the others' votes; they depend on the class alone, outside of the tree.
+    """
+    inside = votes.shape[1] - apart
+    votes = votes.astype(np.int64)
+    share = float(np.clip(labels[labels >= 0].mean(), 0.01, 0.99))
+    prior = np.where(labels < 0, share, TRUST * (labels == 1) + (1 - TRUST) * share)
+    prior = np.log(prior / (1 - prior))
+    p, tree, tables = 1 / (1 + np.exp(-prior)), [], np.zeros(0)
+    for t in range(rounds):
+        rows = (labels >= 0).astype(float) if t == 0 else np.ones(len(labels))
+        if t in DRAWN:
+            tree = tree_of(votes[:, :inside], p, rows) + [(j, -1) for j in range(inside, votes.shape[1])]
+        tables = tables_of(votes, p, rows, tree)
+        p = 1 / (1 + np.exp(-np.clip(prior + log_odds(votes, tree, tables), -30, 30)))
+    return p, tree, tables
 
 
 def _train(chosen: list[tuple[str, float]], i: np.ndarray, j: np.ndarray, x: np.ndarray, styles: np.ndarray, labels: np.ndarray) -> Classifier:
-    """From the chosen features with how well they tell, the places and values of the rows' features, and the rows' styles and labels."""
-    share = float(labels.mean()) if len(labels) else 0.0
+    """From the chosen features with how well they tell, the places and values of the rows' features, and the rows' styles and labels (-1: none)."""
+    known = labels[labels >= 0]
+    share = float(known.mean()) if len(known) else 0.0
     if not 0 < share < 1:
         return Classifier({}, float(np.clip(np.log(max(share, 1e-12) / max(1 - share, 1e-12)), -30, 30)))
-    # lexicon voters: the best entries vote for 1 at presence or high density, and abstain otherwise
-    lexicon = [k for k, (_, tell) in enumerate(chosen) if tell > 3][: VOTERS - 3]
-    votes = np.zeros((len(labels), len(lexicon) + 3), np.int8)
-    of = np.full(len(chosen), -1)
+    # lexicon voters: entries vote for their class at presence or high density, if they are right on most labelled rows, and abstain otherwise
+    votes_at = x >= 0.4
+    of_class = [np.bincount(j[votes_at & (labels[i] == y)], minlength=len(chosen)) for y in (0, 1)]
+    right = [of_class[int(tell > 0)][k] > of_class[int(tell <= 0)][k] for k, (_, tell) in enumerate(chosen)]
+    lexicon = [k for k, (_, tell) in enumerate(chosen) if abs(tell) > 3 and right[k]]
+    lexicon = sorted(lexicon, key=lambda k: -abs(chosen[k][1]))[: VOTERS - len(PATTERNS) - 1]
+    votes = np.zeros((len(labels), len(lexicon) + len(PATTERNS) + 1), np.int8)
+    of, sign = np.full(len(chosen), -1), np.sign([tell for _, tell in chosen]).astype(np.int8)
     of[lexicon] = np.arange(len(lexicon))
     voter = of[j]
     has = voter >= 0
-    votes[i[has], voter[has]] = np.where(x[has] >= 0.4, 1, 0)
-    votes[:, -1] = np.where((votes[:, :-3] == 1).any(1), 0, -1)
-    votes[:, -2] = np.where(styles[:, 0] > 0.5, 1, 0)
-    votes[:, -3] = np.where(styles[:, 1] > 0.3, 1, 0)
-    p, _ = posterior(votes, labels)
-
-    df = np.bincount(j, minlength=len(chosen))  # features of few rows decay faster
+    votes[i[has], voter[has]] = np.where(votes_at[has], sign[j[has]], 0)
+    for k, (yes, no) in enumerate(PATTERNS, len(lexicon)):
+        votes[:, k] = (yes(styles) if yes else 0 * styles[:, 0]) * 1 - (no(styles) if no else 0 * styles[:, 0]) * 1
+    votes[:, -1] = np.where((votes[:, : len(lexicon)] == 1).any(1), 0, -1)
+    p = posterior(votes, labels, apart=1)[0]
+
+    # the classifier reads what is denser in toxic texts; features that are denser in clean ones only vote
+    reads = sign[j] > 0
+    i, j, x = i[reads], j[reads], x[reads]
+    df = np.maximum(1, np.bincount(j, minlength=len(chosen)))  # features of few rows decay faster
     w, b = np.zeros(len(chosen)), float(np.log(share / (1 - share)))
     m1, m2, c1, c2 = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, 401):  # full-batch Adam with weight decay
@@ -142,7 +209,8 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def telling(sample: DataFrame) -> list[tuple[str, float]]:
-    """The ``FEATURES`` features whose means differ most between labels, in units of the difference's error; summed up in tasks."""
+    """Features whose means differ most between labels, in units of the difference's error: ``FEATURES`` that are higher in toxic
+    texts and ``CLEAN_FEATURES`` that are clearly higher in clean ones; summed up in tasks."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, list[float]] = {}
@@ -166,20 +234,26 @@ def telling(sample: DataFrame) -> list[tuple[str, float]]:
         return []
     sums = sample.mapInPandas(run, "name string, a0 double, a1 double, k bigint").groupBy("name").agg(F.sum("a0").alias("a0"), F.sum("a1").alias("a1"), F.sum("k").alias("k"))
     tell = (F.col("a1") / n1 - F.col("a0") / n0) / F.sqrt((F.col("a1") + 1) / n1**2 + (F.col("a0") + 1) / n0**2)
-    best = sums.where("k >= 6").select("name", F.round(tell, 9).alias("tell")).orderBy(F.desc("tell"), "name").limit(FEATURES)
-    return [(r["name"], r["tell"]) for r in best.collect()]
+    every = sums.where("k >= 6").select("name", F.round(tell, 9).alias("tell"))
+    toxic = every.where("tell > 0").orderBy(F.desc("tell"), "name").limit(FEATURES)
+    clean = every.where("tell < -3").orderBy("tell", "name").limit(CLEAN_FEATURES)
+    return [(r["name"], r["tell"]) for r in cut(toxic.unionByName(clean), "telling").orderBy(F.desc("tell"), "name").collect()]
 
 
 def _partial(sums: dict[str, list[float]]) -> pd.DataFrame:
     return pd.DataFrame({"name": list(sums), **{c: [s[i] for s in sums.values()] for i, c in enumerate(("a0", "a1", "k"))}}).astype({"name": "object", "a0": "float64", "a1": "float64", "k": "int64"})
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
-    """Train on ``sample`` labelled rows at most. The driver takes the values of their chosen features, no texts."""
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, unlabelled: int = UNLABELLED) -> Classifier:
+    """Train on ``sample`` labelled and ``unlabelled`` other rows at most. The driver takes the values of their chosen features, no texts."""
+    by = F.xxhash64("doc_id", F.lit(SEED))
     known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    known = known.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(sample)
-    texts = cut(pick(docs, "doc_id", "text").join(F.broadcast(known), "doc_id").select(F.coalesce("text", F.lit("")).alias("_text"), "toxic"), "sample")
-    chosen = telling(texts)
+    others = pick(docs, "doc_id").where("doc_id IS NOT NULL").where(~held_out()).distinct().join(known, "doc_id", "left_anti")
+    ids = known.orderBy(by, "doc_id").limit(sample).unionByName(others.orderBy(by, "doc_id").limit(unlabelled).withColumn("toxic", F.lit(-1)))
+    texts = cut(pick(docs, "doc_id", "text").join(F.broadcast(ids), "doc_id").select(F.coalesce("text", F.lit("")).alias("_text"), "toxic"), "sample")
+    chosen = telling(texts.where("toxic >= 0"))
+    if not chosen:
+        texts = texts.where("toxic >= 0")
     at = {f: i for i, (f, _) in enumerate(chosen)}
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -194,7 +268,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
     rows = texts.mapInPandas(run, "places array<int>, values array<double>, styles array<double>, toxic int").toPandas()
     sizes = np.array([len(p) for p in rows.places], np.int64)
     joined = lambda c, kind: np.concatenate([np.zeros(0, kind), *map(np.asarray, rows[c])]).astype(kind)
-    styles = np.array([list(s) for s in rows.styles]).reshape(len(rows), 2)
+    styles = np.array([list(s) for s in rows.styles]).reshape(len(rows), 5)
     return _train(chosen, np.repeat(np.arange(len(rows)), sizes), joined("places", np.int64), joined("values", float), styles, rows.toxic.to_numpy(np.int64))
 
 

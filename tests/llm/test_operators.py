@@ -3,8 +3,11 @@
 import base64
 import collections
 import hashlib
+import itertools
+import math
 import random
 
+import numpy as np
 import pytest
 
 from tessella.llm import byte_bpe, html_text, importance, max_score, near_duplicates, pii, repeats, templates, toxicity, url_filter
@@ -440,3 +443,55 @@ def test_weights_against_brute_force(spark):
     out = importance.sampled(docs, labels)
     assert out.columns == [*docs.columns, "_importance"]
     assert sorted(((x.doc_id, round(x._importance.log_weight, 6)) for x in out.collect()), key=str) == want
+
+
+def _votes(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """True classes, and votes of three good voters and a bad one; each abstains on a third of the rows."""
+    rng = np.random.default_rng(seed)
+    y = (rng.random(n) < 0.3).astype(int)
+    right = rng.random((n, 4)) < np.array([0.9, 0.85, 0.8, 0.55])
+    return y, np.where(rng.random((n, 4)) < 1 / 3, 0, np.where(right, 1, -1) * (2 * y - 1)[:, None])
+
+
+def test_label_model_against_enumeration():
+    y, votes = _votes(3000, 1)
+    labels = np.where(np.arange(len(y)) < 600, y, -1)
+    p, tree, tables = toxicity.posterior(votes, labels)
+    assert sorted(j for j, _ in tree) == [0, 1, 2, 3] and sum(up < 0 for _, up in tree) == 1
+    every = list(itertools.product((-1, 0, 1), repeat=4))
+    likely = [[math.exp(sum(tables[c, j, v[up] + 1 if up >= 0 else 0, v[j] + 1] for j, up in tree)) for v in every] for c in (0, 1)]
+    assert abs(sum(likely[0]) - 1) < 1e-9 and abs(sum(likely[1]) - 1) < 1e-9
+    odds = toxicity.log_odds(np.array(every), tree, tables)
+    for v, found, a, b in zip(every, odds, *likely, strict=True):
+        if 0 not in v:  # a voter that abstains says nothing; without such, the odds are those of the whole tree
+            assert abs(found - math.log(b / a)) < 1e-9
+    assert odds[every.index((0, 0, 0, 0))] == 0
+    right = np.array([0.9, 0.85, 0.8, 0.55])  # no rule on these votes is better than the one that knows the true accuracies
+    best = (votes @ np.log(right / (1 - right)) + math.log(0.3 / 0.7) > 0).astype(int)
+    assert ((p > 0.5) == y)[600:].mean() > (best == y)[600:].mean() - 0.01
+    assert ((p > 0.5) == y)[600:].mean() > ((votes.sum(1) > 0) == y)[600:].mean()
+
+
+def test_alike_voters_count_once():
+    y, votes = _votes(4000, 2)
+    labels = np.where(np.arange(len(y)) < 800, y, -1)
+    once = toxicity.posterior(votes, labels)[0]
+    often = toxicity.posterior(np.hstack([votes, *[votes[:, 3:]] * 6]), labels)[0]  # the bad voter says all seven times over
+    assert np.abs(once - often).mean() < 0.02
+    assert ((often > 0.5) == y)[800:].mean() > 0.85
+
+
+def test_labels_are_a_bounded_prior():
+    y, votes = _votes(3000, 3)
+    known = np.arange(len(y)) < 900
+    given = np.where(known, y, -1)
+    wrong = np.where(known & (np.arange(len(y)) % 12 == 0), 1 - y, given)
+    p, tree, tables = toxicity.posterior(votes, wrong, rounds=60)  # to its fixed point, where p is what its own tables say
+    share = wrong[known].mean()
+    prior = np.where(known, toxicity.TRUST * (wrong == 1) + (1 - toxicity.TRUST) * share, share)
+    says = toxicity.log_odds(votes, tree, tables)
+    bound = np.abs(np.log(prior / (1 - prior)))
+    assert (bound < 4).all() and ((p > 0.5) == (says > 0))[np.abs(says) > bound].all()
+    assert ((p > 0.5) == wrong)[known & (votes == 0).all(1)].all()
+    right = toxicity.posterior(votes, given, rounds=60)[0]  # some wrong labels don't spoil the rows without one
+    assert ((p > 0.5) == y)[~known].mean() > ((right > 0.5) == y)[~known].mean() - 0.01
