@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import byte_bpe, html_text, importance, max_score, near_duplicates, pii, repeats, templates, toxicity, url_filter
+from tessella.llm import byte_bpe, fill_in_middle, html_text, importance, max_score, near_duplicates, pii, repeats, target_resampling, templates, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_importance_resampling": importance.op8_importance_resampling,
         "op9_byte_bpe": byte_bpe.op9_byte_bpe,
         "op10_template_decontamination": templates.op10_template_decontamination,
+        "op11_target_resampling": target_resampling.op11_target_resampling,
+        "op13_fill_in_middle": fill_in_middle.op13_fill_in_middle,
     }
 
 
@@ -28,4 +30,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_max_score": max_score.SQL,
         "op5_url_filter": url_filter.SQL,
+        "op13_fill_in_middle": fill_in_middle.SQL,
     }
