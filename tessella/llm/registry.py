@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessella.llm import byte_bpe, fill_in_middle, html_text, importance, max_score, near_duplicates, pii, repeats, target_resampling, templates, toxicity, url_filter
+from tessella.llm import byte_bpe, fill_in_middle, html_text, importance, max_score, near_duplicates, pii, repeats, substrings, target_resampling, templates, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_byte_bpe": byte_bpe.op9_byte_bpe,
         "op10_template_decontamination": templates.op10_template_decontamination,
         "op11_target_resampling": target_resampling.op11_target_resampling,
+        "op12_substrings": substrings.op12_substrings,
         "op13_fill_in_middle": fill_in_middle.op13_fill_in_middle,
     }
 

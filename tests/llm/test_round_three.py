@@ -9,7 +9,7 @@ import zlib
 
 import pytest
 
-from tessella.llm import fill_in_middle, target_resampling
+from tessella.llm import fill_in_middle, substrings, target_resampling
 
 WORDS = "alpha beta Gamma délta o_mega 42 sigma kappa lambda theta".split()
 
@@ -96,3 +96,65 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id bigint, text string")
     assert fill_in_middle.transform(none).isEmpty()
     assert target_resampling.resample(none, none).isEmpty()
+
+
+def _plain_substrings(rows, width=13):
+    words = [(i, re.findall("[^ \t-\r]+", t or "")) for i, t in rows]
+    first = {}
+    for i, w in words:
+        if i is not None:
+            for k in range(len(w) - width + 1):
+                e = tuple(w[k : k + width])
+                first[e] = min(i, first.get(e, i))
+    out = []
+    for i, w in words:
+        gone = set()
+        for k in range(len(w) - width + 1):
+            if i is not None and first[tuple(w[k : k + width])] < i:
+                gone.update(range(k, k + width))
+        out.append((i, len(w), len(gone), hashlib.sha256(" ".join(x for k, x in enumerate(w) if k not in gone).encode()).hexdigest()))
+    return sorted(map(str, out))
+
+
+@pytest.fixture(scope="module")
+def passages():
+    """Passages that begin, end, overlap, nest, repeat inside one text, and stand at either end; periods; shared ids and rows without id."""
+    r = random.Random(5)
+    fresh = lambda n: " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+    base, hot = fresh(90).split(), fresh(25)
+    out = [(i, f"{fresh(20)} {hot}\t\t{fresh(20)}") for i in range(60)]
+    out += [(100 + i, " ".join(base[a:b])) for i, (a, b) in enumerate([(0, 50), (40, 90), (0, 90), (20, 33), (20, 32), (5, 60)])]
+    out += [(120, " ".join(base[:40] + ["changed"] + base[41:])), (121, "ab " * 40), (122, "ab " * 13 + "end"), (123, " ".join([*base[30:50], *base[30:50]])), (124, "  " + " ".join(base) + " ")]
+    out += [(101, " ".join(base)), (101, " ".join(base)), (99, fresh(200)), (None, " ".join(base)), (130, None), (131, ""), (132, "one"), (133, " ".join(WORDS * 300)), (134, " ".join(r.choices("a b".split(), k=400))), (135, " ".join(r.choices("a b".split(), k=400)))]
+    r.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("seen", [8, 1, 10**9])  # the usual way, every anchor hot, none hot
+def test_substrings_against_brute_force(spark, passages, monkeypatch, seen):
+    monkeypatch.setattr(substrings, "SEEN", seen)
+    monkeypatch.setattr(substrings, "SAMPLE", 1)
+    docs = spark.createDataFrame([(i, t, 1, "f", 2) for i, t in passages], "doc_id bigint, text string, g int, f string, at int").repartition(3)
+    removed = lambda s: sum(s[1::2]) - sum(s[::2])
+    got = substrings.remove_repeated(docs, with_text=True).collect()
+    assert sorted(str((r.doc_id, r.n_words, removed(r.spans), r.kept_sha256)) for r in got) == _plain_substrings(passages)
+    assert all(hashlib.sha256(r.kept.encode()).hexdigest() == r.kept_sha256 for r in got)
+
+
+def test_paths_are_compact_and_hold_the_same_words(spark, passages):
+    docs = spark.createDataFrame(passages, "doc_id bigint, text string")
+    texts = collections.defaultdict(set)
+    for i, t in passages:
+        texts[i].add(tuple((t or "").split()))
+    found = collections.defaultdict(list)
+    for r in substrings.repeated_paths(docs).collect():
+        found[r.path].append(r)
+    for rows in found.values():
+        held = [{w[r.start : r.start + r.words] for w in texts[r.doc_id]} for r in rows]
+        assert len({r.doc_id for r in rows}) > 1 and set.intersection(*held)
+    assert max(r.words for rows in found.values() for r in rows) >= 25  # the passage of sixty texts is one path
+    assert sum(len({r.doc_id for r in rows}) == 60 for rows in found.values()) <= 3
+
+
+def test_substrings_of_an_empty_table(spark):
+    assert substrings.remove_repeated(spark.createDataFrame([], "doc_id bigint, text string")).isEmpty()
