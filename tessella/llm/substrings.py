@@ -9,16 +9,16 @@ share. Only edges that also start in a document with a smaller doc_id matter, an
    by their anchor; window functions tell for each piece (equal words are one class) its first document, its copies, and whether
    other classes of the same anchor exist: there the graph may branch.
 2. Paths. Piece B follows piece A without a branch if every occurrence of A ends where one of B starts and the other way round. Each
-   class carries a sum over hashes of the source coordinates where it starts, and one of those where it ends, so this is an equi-join
+   class carries sums over hashes of the source coordinates where it starts, and of those where it ends, so this is an equi-join
    of ``ends`` with ``starts``. Pieces that are joined so lie next to each other in their first document, whose coordinates give the
-   path its length and verify that it has no gap. Only a path's head is then joined with its occurrences: each yields the whole span.
+   path its length and verify that it has no gap. The occurrences are then joined with the heads of paths: each yields the whole span.
 3. Branches. Where classes of one anchor differ, their windows are compared one by one: the windows of each class's first document
    are hashed from the text and dealt by anchor and hash.
 4. Spans of both kinds are merged in each document, and the words that they cover are removed.
 
-Hot anchors (beyond one in ``PART`` of a sample of the documents) are spread over ``PIECES`` salts, summed up inside each, and joined
-with their classes, hot classes salted again; the sample decides about the way only, the result is the same. Texts move twice: to the windows at branches, and
-to the spans.
+Hot anchors (beyond one in ``PART`` of a sample of the documents) are spread over ``PIECES`` buckets; their classes are summed up by
+partial aggregation instead, and hot classes are salted where they are joined. The sample decides about the way only, the result is
+the same. Texts move twice: to the windows at branches, and to the spans.
 
 Rows: a null text has no words; texts under ``WIDTH`` words lose nothing; a row without doc_id loses nothing and removes nothing; rows of
 one doc_id, repeated rows included, don't remove each other's words; different texts of one doc_id are told apart by a 32-bit hash;
@@ -29,13 +29,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import PART, PIECES, busy, cut, forget, joined_apart, pick, table
+from tessella.llm.common import PART, PIECES, busy, cut, joined_apart, pick, table
 from tessella.llm.words import STEP, Memo, batches, hold, mix, nothing, number, starts, windows
 
 WIDTH, GRAM = 13, 4
@@ -105,11 +106,6 @@ def hot_anchors(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFr
     return some.where((F.col("rows") * PART > total) & (F.col("rows") >= SEEN)).select(F.col("g").alias("busy_key"))
 
 
-def _salted(rows: DataFrame, *by: str):
-    """A salt for hot rows, 0 for all others."""
-    return rows.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64(*by), F.lit(PIECES)).cast("int")).otherwise(0))
-
-
 def _start() -> Column:
     return F.shiftright("at", 8)
 
@@ -123,48 +119,72 @@ def _spot() -> Column:
 
 
 def _class() -> dict[str, Column]:
-    """What is known of a class: its first occurrence, its last document, and sums over the coordinates where it starts and ends."""
-    place = lambda p: F.sum(F.xxhash64("doc_id", "key", p).cast("decimal(38,0)"))
-    return {"first": F.min(_spot()), "last_id": F.max("doc_id"), "starts": place(_start()), "ends": place(_start() + _size())}
+    """What is known of a class: its first occurrence, its last document, and sums over hashes of the coordinates where it starts and ends.
+
+    A sum is of 28 bits a row, so it holds for 2^35 rows; two of them tell one set of coordinates from another.
+    """
+    of = lambda p, i: F.sum(F.shiftright(F.xxhash64("doc_id", "key", p), 28 * i).bitwiseAND((1 << 28) - 1))
+    return {"first": F.min(_spot()), "last_id": F.max("doc_id")} | {f"{name}{i}": of(p, i) for name, p in (("starts", _start()), ("ends", _start() + _size())) for i in (0, 1)}
 
 
-MARKS = ["g", "f", "doc_id", "key", "at", "hot", "first", "last_id", "starts", "ends", "branches"]
+SUMS = ["starts0", "starts1", "ends0", "ends1"]
+PIECE = ["f", "g", "doc_id", "key", "at"]
 
 
-def marked(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
-    """Pieces whose anchor occurs in several documents, with what is known of their class (``MARKS``), as far as they are needed; and the hot classes (busy_key)."""
-    hot = hot_anchors(docs, width, gram)
-    rows = runs(docs, width, gram).join(F.broadcast(hot), F.col("g") == F.col("busy_key"), "left").withColumn("hot", F.col("busy_key").isNotNull()).drop("busy_key")
-    same, anchor = Window.partitionBy("g", "salt", "f"), Window.partitionBy("g", "salt")
-    known = _salted(rows, "key", "at").withColumns({k: v.over(same) for k, v in _class().items()})
-    known = known.withColumns({"branches": F.min("f").over(anchor) < F.max("f").over(anchor), "shared": F.min("doc_id").over(anchor) < F.max("doc_id").over(anchor)})
-    later, lone = F.col("doc_id") > F.col("first.doc_id"), _spot() == F.col("first")
-    needed = F.col("shared") & (later | F.col("branches") | (lone & (F.col("last_id") > F.col("first.doc_id"))))
-    sums = {k: F.when(lone & ~F.col("hot"), F.col(k)) for k in ("starts", "ends")}
-    out = cut(known.where(F.col("hot") | needed).withColumns(sums).select(MARKS), "pieces")
-    spread = out.where("hot").select(MARKS[:6])
-    classes = cut(spread.groupBy("f", "g").agg(*[v.alias(k) for k, v in _class().items()]), "classes")
-    few = cut(busy(spread, "f", spread.count()), "hot")
-    again = joined_apart(spread, classes, ["f", "g"], few, F.xxhash64("key", "at")).withColumn("branches", F.lit(True))
-    return out.where("NOT hot").unionByName(again.select(MARKS)), few
+class Marks(NamedTuple):
+    """The pieces whose anchor occurs in several documents, as far as they are needed."""
 
+    copies: DataFrame  #: ``PIECE`` of what may be a copy of an earlier document's piece; the path's first document decides
+    classes: DataFrame  #: f, g, first, last_id and ``SUMS`` of each class that several documents hold
+    branches: DataFrame  #: ``PIECE`` and hot of the pieces of a class's first document, where other classes share the anchor
+    few: DataFrame  #: (busy_key) of the hot classes
 
-def paths(marks: DataFrame) -> DataFrame:
-    """(g, f, doc_id, key, start, windows) of every repeated path without branches: its first piece, and its place and length in its first document."""
-    lone = marks.where((_spot() == F.col("first")) & (F.col("last_id") > F.col("first.doc_id"))).select("g", "f", *ROW, "at", "starts", "ends").dropDuplicates(["g", "f"])
-    lone = cut(lone, "lone")
-    before = lone.select(F.col("ends").alias("starts"), F.lit(True).alias("goes_on"))
+
+def marked(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Marks:
+    hot = F.col("busy_key").isNotNull()
+    rows = runs(docs, width, gram).join(F.broadcast(hot_anchors(docs, width, gram)), F.col("g") == F.col("busy_key"), "left")
+    # the rows of a hot anchor are dealt into buckets of their own
+    bucket = F.when(hot, F.xxhash64("g", F.pmod(F.xxhash64("key", "at"), F.lit(PIECES)))).otherwise(F.col("g"))
+    rows = rows.select(bucket.alias("bucket"), "f", *ROW, "at", F.when(hot, F.col("g")).alias("hot_g"))
+    same, anchor = Window.partitionBy("bucket", "f"), Window.partitionBy("bucket")
+    known = rows.withColumns({k: v.over(same) for k, v in _class().items()})
+    known = known.withColumns({"branches": F.min("f").over(anchor) < F.max("f").over(anchor), "shared": F.min("doc_id").over(anchor) < F.max("doc_id").over(anchor)})
+    later, repeated, lone = F.col("doc_id") > F.col("first.doc_id"), F.col("last_id") > F.col("first.doc_id"), _spot() == F.col("first")
+    hot = F.col("hot_g").isNotNull()
+    needed = F.col("shared") & (later | F.col("branches") | (lone & repeated))
+    facts = {k: F.when(lone & repeated & ~hot, F.col(k)) for k in SUMS}
+    out = known.where(hot | needed).withColumns(facts)
+    out = out.select("f", F.coalesce("hot_g", "bucket").alias("g"), *ROW, "at", hot.alias("hot"), (F.col("branches") & ~later).alias("open"), later.alias("later"), *SUMS)
+    out = cut(out, "pieces")
+    spread, usual = out.where("hot").select(*PIECE, "open", "later"), out.where("NOT hot")
+    every = cut(spread.groupBy("f", "g").agg(*[v.alias(k) for k, v in _class().items()]), "classes")
+    few = cut(busy(spread, "f", spread.count()), "hot")
+    # of each bucket only what lies in its first document may lie in the first document of all
+    first = joined_apart(spread.where("NOT later").select(PIECE), every.select("f", "g", F.col("first.doc_id").alias("first_id")), ["f", "g"], few, F.xxhash64("key", "at"))
+    lone = usual.where("starts0 IS NOT NULL").select("f", "g", _spot().alias("first"), *SUMS).dropDuplicates(["f", "g"])
+    return Marks(
+        usual.where("later").select(PIECE).unionByName(spread.select(PIECE)),
+        lone.unionByName(every.where(repeated).select("f", "g", "first", *SUMS)),
+        usual.where("open").select(*PIECE, "hot").unionByName(first.where("doc_id = first_id").select(*PIECE, F.lit(True).alias("hot"))),
+        few,
+    )
+
+
+def paths(classes: DataFrame) -> DataFrame:
+    """(f, g, first_id, key, start, windows) of every repeated path without branches: its first piece, and its place and length in its first document."""
+    lone = cut(classes.select("f", "g", "first.*", *SUMS), "lone")
+    before = lone.select(F.col("ends0").alias("starts0"), F.col("ends1").alias("starts1"), F.struct("f", "g").alias("before"))
     along = Window.partitionBy(*ROW).orderBy("at")
-    gap = F.coalesce(F.lag(_start() + _size()).over(along) != _start(), F.lit(True))
-    steps = lone.join(before, "starts", "left").withColumn("head", F.col("goes_on").isNull() | gap)
+    # the piece before must be the one whose ends are this one's starts, and leave no gap
+    follows = (F.lag(F.struct("f", "g")).over(along) == F.col("before")) & (F.lag(_start() + _size()).over(along) == _start())
+    steps = lone.drop("ends0", "ends1").join(before, ["starts0", "starts1"], "left").withColumn("head", ~F.coalesce(follows, F.lit(False)))
     steps = steps.withColumn("path", F.sum(F.col("head").cast("int")).over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    found = steps.groupBy(*ROW, "path").agg(F.min_by(F.struct("g", "f", _start().alias("start")), "at").alias("head"), F.sum(_size()).alias("windows"))
-    return found.select("head.g", "head.f", *ROW, "head.start", "windows")
+    found = steps.groupBy(*ROW, "path").agg(F.min_by(F.struct("f", "g", _start().alias("start")), "at").alias("head"), F.sum(_size()).alias("windows"))
+    return found.select("head.f", "head.g", F.col("doc_id").alias("first_id"), "key", "head.start", "windows")
 
 
-def branch_windows(docs: DataFrame, marks: DataFrame, width: int = WIDTH) -> DataFrame:
+def branch_windows(docs: DataFrame, here: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, key, start) of the windows at branches that also start in an earlier document."""
-    here = marks.where(F.col("branches") & (F.col("doc_id") == F.col("first.doc_id")))
     lists = here.groupBy(*ROW).agg(F.collect_set(F.struct("at", "g", "hot")).alias("open"))  # as many as a text's pieces at most
     joined = _texts(docs).join(lists.select(*ROW, *[F.col(f"open.{c}").alias(c) for c in ("at", "g", "hot")]), ROW)
 
@@ -184,30 +204,36 @@ def branch_windows(docs: DataFrame, marks: DataFrame, width: int = WIDTH) -> Dat
                 })
         _numbers.clear()
 
-    edges = _salted(joined.mapInPandas(run, "g bigint, e bigint, doc_id bigint, key bigint, start bigint, hot boolean"), "key", "start")
-    found = cut(edges.withColumn("one", F.min("doc_id").over(Window.partitionBy("g", "e", "salt"))).where("hot OR doc_id > one").drop("salt"), "edges")
+    edges = joined.mapInPandas(run, "g bigint, e bigint, doc_id bigint, key bigint, start bigint, hot boolean")
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("key", "start"), F.lit(PIECES)).cast("int")).otherwise(0)
+    found = cut(edges.withColumn("salt", salt).withColumn("one", F.min("doc_id").over(Window.partitionBy("g", "e", "salt"))).where("hot OR doc_id > one").drop("salt"), "edges")
     spread = found.where("hot").drop("one")
     least = spread.groupBy("e", "g").agg(F.min("doc_id").alias("one"))
     again = joined_apart(spread, least, ["e", "g"], busy(spread, "e", spread.count()), F.xxhash64("key", "start"))
     return found.where("NOT hot").unionByName(again).where("doc_id > one").select(*ROW, "start")
 
 
+def _occurrences(pieces: DataFrame, marks: Marks) -> DataFrame:
+    """``pieces`` with the number of windows of the path that begins at them and its first document; null for pieces within a path."""
+    whole = paths(marks.classes).select("f", "g", "first_id", "windows")
+    return joined_apart(pieces, whole, ["f", "g"], marks.few, F.xxhash64("key", "at"), "left").withColumn("start", _start())
+
+
 def repeated_paths(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
-    """(path, doc_id, key, start, words): every occurrence of each repeated path without branches, the first document's included."""
-    marks, few = marked(pick(docs, "doc_id", "text"), width, gram)
-    marks = cut(marks, "marks")
-    whole = paths(marks).select("f", "g", "windows")
-    found = joined_apart(marks.select("f", "g", *ROW, _start().alias("start")), whole, ["f", "g"], few, F.xxhash64("key", "start"))
+    """(path, doc_id, key, start, words): the first occurrence of each repeated path without branches, and all in later documents."""
+    marks = marked(pick(docs, "doc_id", "text"), width, gram)
+    firsts = marks.classes.select("f", "g", "first.*")
+    found = _occurrences(marks.copies.unionByName(firsts), marks).where("windows IS NOT NULL")
     return found.select(F.xxhash64("g", "f").alias("path"), *ROW, "start", (F.col("windows") + width - 1).alias("words")).distinct()
 
 
 def _lists(docs: DataFrame, width: int, gram: int) -> DataFrame:
     """(doc_id, key, start, windows): of each document, the runs of windows that also start in an earlier document."""
-    marks, few = marked(docs, width, gram)
-    copies = marks.where(F.col("doc_id") > F.col("first.doc_id")).select("f", "g", *ROW, _start().alias("start"))
-    spans = joined_apart(copies, paths(marks).select("f", "g", "windows"), ["f", "g"], few, F.xxhash64("key", "start")).select(*ROW, "start", "windows")
-    every = spans.unionByName(branch_windows(docs, marks, width).withColumn("windows", F.lit(1).cast("bigint")))
-    return every.groupBy(*ROW).agg(F.collect_set(F.struct("start", "windows")).alias("found")).select(*ROW, F.col("found.start").alias("start"), F.col("found.windows").alias("windows"))
+    marks = marked(docs, width, gram)
+    span = F.struct("start", "windows")
+    spans = _occurrences(marks.copies, marks).select(*ROW, F.when(F.col("doc_id") > F.col("first_id"), span).alias("span"))
+    single = branch_windows(docs, marks.branches, width).select(*ROW, F.struct("start", F.lit(1).cast("bigint").alias("windows")).alias("span"))
+    return spans.unionByName(single).groupBy(*ROW).agg(F.collect_set("span").alias("found")).select(*ROW, F.col("found.start").alias("start"), F.col("found.windows").alias("windows"))
 
 
 def remove_repeated(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, with_text: bool = False) -> DataFrame:
@@ -224,7 +250,7 @@ def remove_repeated(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, with_
             for doc_id, text, start, size in zip(pdf.doc_id, pdf["_text"], pdf.start, pdf.windows, strict=True):
                 words = text.encode().split()
                 spans: list[int] = []
-                if start is not None:
+                if start is not None and len(start):
                     order = np.argsort(start, kind="stable")
                     first, last = start[order], np.maximum.accumulate((start + size)[order] + width - 1)
                     new = np.flatnonzero(np.append(True, first[1:] > last[:-1]))
