@@ -1,13 +1,12 @@
 """Polygons as columns: an array of rings, each an array of struct(x, y) whose last point joins the first; rings after the first are holes.
 
-What sums over vertices is a higher-order expression in the JVM; hulls, rectangles and cuts of convex rings are Arrow-batched functions.
+What sums over vertices is a higher-order expression in the JVM; hulls and rectangles are Arrow-batched functions, and ``overlay`` has those that
+cut polygons by each other.
 Rows: a null polygon gives null; a polygon without rings, or a ring of fewer than three points, has no area, holds no point and has an empty text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -71,9 +70,9 @@ def measures(polygon: Column) -> Column:
 
 
 def bounds(polygon: Column) -> dict[str, Column]:
-    """minx, miny, maxx and maxy of the outer ring, as columns of their own."""
-    outer = F.get(polygon, 0)
-    return {name + c: f(F.transform(outer, lambda p: p[c])) for name, f in (("min", F.array_min), ("max", F.array_max)) for c in ("x", "y")}
+    """minx, miny, maxx and maxy of all rings, as columns of their own."""
+    points = F.flatten(polygon)
+    return {name + c: f(F.transform(points, lambda p: p[c])) for name, f in (("min", F.array_min), ("max", F.array_max)) for c in ("x", "y")}
 
 
 def area(polygon: Column) -> Column:
@@ -153,25 +152,6 @@ def shortest_over_longest(points: np.ndarray) -> float | None:
     return float(max(wide[best], tall[best]) / min(wide[best], tall[best]))
 
 
-def clipped(subject: np.ndarray, convex: np.ndarray) -> np.ndarray:
-    """The part of a ring inside a convex ring, side by side; exact if ``subject`` is convex too."""
-    convex = convex if ring_area(convex) > 0 else convex[::-1]
-    out = subject
-    for a, b in zip(convex, np.roll(convex, -1, 0), strict=True):
-        if len(out) == 0:
-            break
-        d = (b[0] - a[0]) * (out[:, 1] - a[1]) - (b[1] - a[1]) * (out[:, 0] - a[0])
-        rows = []
-        for i in range(len(out)):
-            k = (i + 1) % len(out)
-            if d[i] >= 0:
-                rows.append(out[i])
-            if d[i] * d[k] < 0:
-                rows.append(out[i] + (out[k] - out[i]) * (d[i] / (d[i] - d[k])))
-        out = np.array(rows).reshape(-1, 2)
-    return out
-
-
 def _array(ring) -> np.ndarray:
     return np.array([(p["x"], p["y"]) for p in ring], float).reshape(-1, 2)
 
@@ -183,19 +163,6 @@ def hull_measures(outer: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"hull_area": [None if p is None else abs(ring_area(hull(p))) for p in points], "anisotropy": [None if p is None else shortest_over_longest(p) for p in points]}).astype(float)
 
 
-@F.pandas_udf(T.DoubleType())
-def shared_area(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Area that two convex rings share."""
-    for a, b in parts:
-        yield pd.Series([abs(ring_area(clipped(_array(p), _array(q)))) for p, q in zip(a, b, strict=True)], dtype=float)
-
-
-@F.pandas_udf(T.ArrayType(_NUMBERS("x", "y")))
-def shared_ring(a: pd.Series, b: pd.Series) -> pd.Series:
-    """The ring that two convex rings share; empty if none."""
-    return pd.Series([[{"x": x, "y": y} for x, y in clipped(_array(p), _array(q)).tolist()] for p, q in zip(a, b, strict=True)])
-
-
 @F.pandas_udf(T.ArrayType(_NUMBERS("x", "y")))
 def hull_ring(points: pd.Series) -> pd.Series:
     """The convex hull of an array of points."""

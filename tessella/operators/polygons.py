@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions import geometry as G
+from tessella.functions import overlay as O
 from tessella.operators.space import boxes_on_grid, one_to_one
 from tessella.sources.tables import cut
 
@@ -52,14 +53,23 @@ def entity_metadata(polygons: DataFrame, z_step: float = 1.5, least_area: float
     return found.withColumn("anisotropy", G.hull_measures("points")["anisotropy"]).drop("points")
 
 
-def overlapping_polygons(a: DataFrame, b: DataFrame, size: float | None = None) -> DataFrame:
-    """(id_a, id_b, area, area_a, area_b): pairs whose convex outer rings share an area, over all planes; each pair of a plane is met once."""
+def met_bounds(a: DataFrame, b: DataFrame, size: float | None = None) -> DataFrame:
+    """(z, id_a, id_b, polygon_a, polygon_b): pairs of a plane whose bounds touch; each pair is met in one grid cell only."""
     size = size or grid_size(a)
-    side = lambda df, s: boxes_on_grid(bounded(df), size).select("z", "gx", "gy", F.col("entity_id").alias(f"id_{s}"), F.get("polygon", 0).alias(f"ring_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in BOUNDS])
+    side = lambda df, s: boxes_on_grid(bounded(df), size).select("z", "gx", "gy", F.col("entity_id").alias(f"id_{s}"), F.col("polygon").alias(f"polygon_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in BOUNDS])
     low_x, low_y = F.greatest("minx_a", "minx_b"), F.greatest("miny_a", "miny_b")
-    meet = (F.least("maxx_a", "maxx_b") > low_x) & (F.least("maxy_a", "maxy_b") > low_y)
+    meet = (F.least("maxx_a", "maxx_b") >= low_x) & (F.least("maxy_a", "maxy_b") >= low_y)
     met = side(a, "a").join(side(b, "b"), ["z", "gx", "gy"]).where(meet & (F.col("gx") == F.floor(low_x / size)) & (F.col("gy") == F.floor(low_y / size)))
-    found = met.select("id_a", "id_b", G.shared_area("ring_a", "ring_b").alias("area")).where("area > 0").groupBy("id_a", "id_b").agg(F.sum("area").alias("area"))
+    return met.select("z", "id_a", "id_b", "polygon_a", "polygon_b")
+
+
+def overlapping_polygons(a: DataFrame, b: DataFrame, size: float | None = None) -> DataFrame:
+    """(id_a, id_b, area, area_a, area_b): pairs that share an area, over all planes; holes count for none of them.
+
+    Rows: null and empty polygons take no part; polygons that only touch are no pair; equal rows of one entity and plane add up.
+    """
+    shared = met_bounds(a, b, size).select("id_a", "id_b", O.shared_areas(F.col("polygon_a"), F.col("polygon_b"))["shared"].alias("area"))
+    found = shared.where("area > 0").groupBy("id_a", "id_b").agg(F.sum("area").alias("area"))
     total = lambda df, s: df.groupBy(F.col("entity_id").alias(f"id_{s}")).agg(F.sum(G.area(F.col("polygon"))).alias(f"area_{s}"))
     return found.join(total(a, "a"), "id_a").join(total(b, "b"), "id_b").select("id_a", "id_b", "area", "area_a", "area_b")
 
@@ -71,7 +81,7 @@ def aligned(a: DataFrame, b: DataFrame, mode: str = "larger", size: float | None
     """(id_a, id_b, area, z, polygon): matched entities of two segmentations with the geometry that ``mode`` asks for.
 
     ``larger`` takes the entity of the larger area (of equal ones, that of ``a``), ``prefix1`` that of ``a``, ``prefix2`` that of ``b`` and
-    ``intersection`` what their convex outer rings share on each plane.
+    ``intersection`` what they share on each plane, with all rings of its parts in ``polygon``.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -79,20 +89,22 @@ def aligned(a: DataFrame, b: DataFrame, mode: str = "larger", size: float | None
     one, two = (df.select(F.col("entity_id").alias(f"id_{s}"), "z", F.col("polygon").alias(f"polygon_{s}")) for df, s in ((a, "a"), (b, "b")))
     if mode == "intersection":
         both = best.join(one, "id_a").join(two, ["id_b", "z"])
-        ring = G.shared_ring(F.get("polygon_a", 0), F.get("polygon_b", 0))
-        return both.select("id_a", "id_b", "area", "z", F.array(ring).alias("polygon")).where(F.size(F.get("polygon", 0)) > 2)
+        shared = O.rings_of(O.overlay(F.col("polygon_a"), F.col("polygon_b"), "intersection"))
+        return both.select("id_a", "id_b", "area", "z", shared.alias("polygon")).where(F.size("polygon") > 0)
     first = F.lit(mode == "prefix1") if mode != "larger" else F.col("area_a") >= F.col("area_b")
     taken = best.where(first).join(one, "id_a").select("id_a", "id_b", "area", "z", F.col("polygon_a").alias("polygon"))
     return taken.unionByName(best.where(~first).join(two, "id_b").select("id_a", "id_b", "area", "z", F.col("polygon_b").alias("polygon")))
 
 
 def kept_by_regions(shapes: DataFrame, regions: DataFrame, size: float | None = None) -> DataFrame:
-    """The shapes (entity_id, minx..maxy) whose bounds touch any region's bounds; touching counts."""
-    size = size or 16.0
-    on = boxes_on_grid(shapes, size)
-    near = boxes_on_grid(regions.select(*[F.col(c).alias(f"r_{c}") for c in BOUNDS], *BOUNDS), size).drop(*BOUNDS)
-    met = on.join(near, ["gx", "gy"]).where("minx <= r_maxx AND r_minx <= maxx AND miny <= r_maxy AND r_miny <= maxy")
-    return shapes.join(met.select("entity_id").distinct(), "entity_id", "left_semi")
+    """The shapes (entity_id, polygon) that meet the union of the regions (polygon): any of them, and touching counts.
+
+    Rows: null and empty polygons meet nothing; a shape of several rows stays whole if one of them meets a region.
+    """
+    flat = shapes.select("entity_id", F.lit(0).alias("z"), "polygon")
+    met = met_bounds(flat, regions.select(F.lit(0).alias("entity_id"), F.lit(0).alias("z"), "polygon"), size)
+    kept = met.where(O.touching(F.col("polygon_a"), F.col("polygon_b"))).select(F.col("id_a").alias("entity_id")).distinct()
+    return shapes.join(kept, "entity_id", "left_semi")
 
 
 def largest_parts(rows: DataFrame, wkt: str = "geometry") -> DataFrame:

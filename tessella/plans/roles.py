@@ -14,6 +14,7 @@ SQL = {
     "points": "SELECT event_id AS tx_id, event_type AS gene, value AS x, CAST(json_extract_string(props, '$.k') AS DOUBLE) + 0.5 AS y, CAST(event_id % 7 AS INTEGER) AS z, user_id AS cell_hint FROM events",
     "boxes": "SELECT CAST(i * 10 + j AS BIGINT) AS entity_id, CAST(z AS INTEGER) AS z, 8.0::DOUBLE * i AS minx, 10.0::DOUBLE * j AS miny, 8.0::DOUBLE * i + 9 AS maxx, 10.0::DOUBLE * j + 9 AS maxy FROM range(12) a(i), range(10) b(j), range(7) c(z)",
     "shapes": "SELECT s_suppkey AS entity_id, CAST((s_suppkey + k) % 7 AS INTEGER) AS z, CAST((s_suppkey * 7) % 90 AS DOUBLE) AS x0, CAST((s_suppkey * 13) % 90 AS DOUBLE) AS y0 FROM supplier CROSS JOIN range(2) r(k)",
+    "outlines": "SELECT s_suppkey AS entity_id, CAST((s_suppkey + k) % 7 AS INTEGER) AS z, (s_suppkey * 7) % 90 AS x0, (s_suppkey * 13) % 90 AS y0, 6 + s_suppkey % 4 AS w, 6 + s_suppkey % 5 AS h, 2 + s_suppkey % 3 AS a, 3 + s_suppkey % 2 AS b, s_suppkey % 3 > 0 AS hole FROM supplier CROSS JOIN range(2) r(k)",
     "votes": "SELECT l_orderkey AS query_id, l_suppkey AS ref_id, CAST(l_discount AS DOUBLE) AS distance, s_nationkey AS label FROM lineitem JOIN supplier ON l_suppkey = s_suppkey",
     "labelled": "SELECT vec_id, label, vec_id % 2 AS is_query, CAST(vec_id % 9 AS INTEGER) AS cluster, embedding FROM embeddings",
 }
@@ -77,6 +78,24 @@ def shapes(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("entity_id", ((F.col("entity_id") + F.col("k")) % 7).cast("int").alias("z"), "x0", "y0", F.array(ring(OUTER), ring(HOLE)).alias("polygon"))
 
 
+def outlines(spark: SparkSession, d: str) -> DataFrame:
+    """(entity_id, z, x0, y0, w, h, a, b, hole, polygon): notched polygons of many forms, two of three with a hole, on two planes each.
+
+    A form is w wide and b tall, and h tall over its first a units.
+    """
+    key = F.col("s_suppkey")
+    rows = table(spark, d, "supplier").select(
+        key.alias("entity_id"), F.explode(F.array(F.lit(0), F.lit(1))).alias("k"), (key * 7 % 90).alias("x0"), (key * 13 % 90).alias("y0"),
+        (6 + key % 4).alias("w"), (6 + key % 5).alias("h"), (2 + key % 3).alias("a"), (3 + key % 2).alias("b"), (key % 3 > 0).alias("hole"),
+    )
+    point = lambda x, y: F.struct((F.col("x0") + x).cast("double").alias("x"), (F.col("y0") + y).cast("double").alias("y"))
+    w, h, a, b, none = F.col("w"), F.col("h"), F.col("a"), F.col("b"), F.lit(0)
+    outer = F.array(point(none, none), point(w, none), point(w, b), point(a, b), point(a, h), point(none, h))
+    hole = F.array(*[point(F.lit(x), F.lit(y)) for x, y in ((1, 1), (2, 1), (2, 2), (1, 2))])
+    polygon = F.when(F.col("hole"), F.array(outer, hole)).otherwise(F.array(outer))
+    return rows.select("entity_id", ((F.col("entity_id") + F.col("k")) % 7).cast("int").alias("z"), "x0", "y0", "w", "h", "a", "b", "hole", polygon.alias("polygon"))
+
+
 def votes(spark: SparkSession, d: str) -> DataFrame:
     """(query_id, ref_id, distance, label): neighbours of each query with the label of each."""
     rows = table(spark, d, "lineitem").join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))

@@ -7,7 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from tessella.functions import geometry as G
+from tessella.functions import overlay as O
 from tessella.operators import columns as C
+from tessella.operators import harmony as H
 from tessella.operators import labels as L
 from tessella.operators import markers as M
 from tessella.operators import polygons as P
@@ -46,32 +48,89 @@ def entity_metadata_polygons(spark, d):
     return rounded(P.entity_metadata(R.shapes(spark, d).select("entity_id", "z", "polygon")), 6, "volume", "center_x", "center_y", "perimeter_area_ratio", "solidity", "anisotropy")
 
 
-def _rectangles(spark, d, dx: float, dy: float, wide: float, tall: float):
-    x, y = F.col("x0") + dx, F.col("y0") + dy
-    return R.shapes(spark, d).select("entity_id", "z", G.box(x, y, x + wide, y + tall).alias("polygon"))
+# the corners of outlines are whole numbers, so their areas are numbers of unit squares, which SQL can count
+_UNITS = """units AS (SELECT entity_id, z, x0 + i AS ux, y0 + j AS uy FROM outlines CROSS JOIN range(9) r(i) CROSS JOIN range(10) q(j) WHERE i < w AND j < h AND (j < b OR i < a) AND NOT (hole AND i = 1 AND j = 1)),
+sizes AS (SELECT entity_id, CAST(count(*) AS DOUBLE) AS area FROM units GROUP BY 1)"""
+_PAIRS = f"""{_UNITS}, planes AS (SELECT a.entity_id AS id_a, b.entity_id AS id_b, z, CAST(count(*) AS DOUBLE) AS area FROM units a JOIN (SELECT entity_id, z, ux + 2 AS ux, uy + 3 AS uy FROM units) b USING (z, ux, uy) GROUP BY ALL),
+pairs AS (SELECT id_a, id_b, sum(planes.area) AS area, any_value(a.area) AS area_a, any_value(b.area) AS area_b FROM planes JOIN sizes a ON a.entity_id = id_a JOIN sizes b ON b.entity_id = id_b GROUP BY id_a, id_b),
+first AS (SELECT *, row_number() OVER (PARTITION BY id_a ORDER BY area DESC, id_b) AS r FROM pairs), best AS (SELECT * FROM first WHERE r = 1 QUALIFY row_number() OVER (PARTITION BY id_b ORDER BY area DESC, id_a) = 1)"""
 
 
-_PAIRS = """pairs AS (SELECT a.entity_id AS id_a, b.entity_id AS id_b, sum((least(a.x0 + 9, b.x0 + 11) - greatest(a.x0, b.x0 + 2)) * (least(a.y0 + 9, b.y0 + 11) - greatest(a.y0, b.y0 + 3))) AS area
- FROM shapes a JOIN shapes b ON a.z = b.z AND a.x0 < b.x0 + 11 AND b.x0 + 2 < a.x0 + 9 AND a.y0 < b.y0 + 11 AND b.y0 + 3 < a.y0 + 9 GROUP BY ALL),
-first AS (SELECT *, row_number() OVER (PARTITION BY id_a ORDER BY area DESC, id_b) AS r FROM pairs), best AS (SELECT id_a, id_b, area FROM first WHERE r = 1 QUALIFY row_number() OVER (PARTITION BY id_b ORDER BY area DESC, id_a) = 1)"""
+def _two(spark, d):
+    """The outlines, and the same moved by (2, 3), as two segmentations."""
+    one = R.outlines(spark, d).select("entity_id", "z", "polygon")
+    return one, one.withColumn("polygon", G.moved(F.col("polygon"), 1.0, 0.0, 2.0, 0.0, 1.0, 3.0))
 
 
-@query(f"WITH {_PAIRS} SELECT id_a, id_b, area, 162.0::DOUBLE AS area_a, 144.0::DOUBLE AS area_b FROM pairs")
+@query(f"WITH {_PAIRS} SELECT id_a, id_b, area, area_a, area_b FROM pairs")
 def polygon_overlaps(spark, d):
-    return rounded(P.overlapping_polygons(_rectangles(spark, d, 0, 0, 9, 9), _rectangles(spark, d, 2, 3, 9, 8)), 6, "area", "area_a", "area_b")
+    return rounded(P.overlapping_polygons(*_two(spark, d)), 6, "area", "area_a", "area_b")
 
 
-@query(f"WITH {_PAIRS} SELECT id_a, id_b, area, s.z, 81.0::DOUBLE AS polygon_area FROM best JOIN shapes s ON s.entity_id = id_a")
+def _aligned(spark, d, mode: str):
+    found = P.aligned(*_two(spark, d), mode)
+    return rounded(found.select("id_a", "id_b", "area", "z", O.area(F.col("polygon")).alias("polygon_area")), 6, "area", "polygon_area")
+
+
+@query(f"WITH {_PAIRS} SELECT id_a, id_b, area, z, greatest(area_a, area_b) / 2 AS polygon_area FROM best JOIN outlines ON entity_id = CASE WHEN area_a >= area_b THEN id_a ELSE id_b END")
 def aligned_larger(spark, d):
-    found = P.aligned(_rectangles(spark, d, 0, 0, 9, 9), _rectangles(spark, d, 2, 3, 9, 8), "larger")
-    return found.select("id_a", "id_b", F.round("area", 6).alias("area"), "z", G.area(F.col("polygon")).alias("polygon_area"))
+    return _aligned(spark, d, "larger")
+
+
+@query(f"WITH {_PAIRS} SELECT id_a, id_b, area, z, area_a / 2 AS polygon_area FROM best JOIN outlines ON entity_id = id_a")
+def aligned_first(spark, d):
+    return _aligned(spark, d, "prefix1")
 
 
-@query(f"""WITH {_PAIRS} SELECT id_a, id_b, area, a.z, (least(a.x0 + 9, b.x0 + 11) - greatest(a.x0, b.x0 + 2)) * (least(a.y0 + 9, b.y0 + 11) - greatest(a.y0, b.y0 + 3)) AS polygon_area
-FROM best JOIN shapes a ON a.entity_id = id_a JOIN shapes b ON b.entity_id = id_b AND a.z = b.z WHERE a.x0 < b.x0 + 11 AND b.x0 + 2 < a.x0 + 9 AND a.y0 < b.y0 + 11 AND b.y0 + 3 < a.y0 + 9""")
+@query(f"WITH {_PAIRS} SELECT id_a, id_b, area, z, area_b / 2 AS polygon_area FROM best JOIN outlines ON entity_id = id_b")
+def aligned_second(spark, d):
+    return _aligned(spark, d, "prefix2")
+
+
+@query(f"WITH {_PAIRS} SELECT best.id_a, best.id_b, best.area, z, planes.area AS polygon_area FROM best JOIN planes ON best.id_a = planes.id_a AND best.id_b = planes.id_b")
 def aligned_intersection(spark, d):
-    found = P.aligned(_rectangles(spark, d, 0, 0, 9, 9), _rectangles(spark, d, 2, 3, 9, 8), "intersection")
-    return found.select("id_a", "id_b", F.round("area", 6).alias("area"), "z", F.round(G.area(F.col("polygon")), 6).alias("polygon_area"))
+    return _aligned(spark, d, "intersection")
+
+
+@query(f"""WITH {_UNITS}, own AS (SELECT entity_id, z, count(*) AS n FROM units GROUP BY ALL),
+met AS (SELECT entity_id, z, count(*) AS n FROM units JOIN (SELECT entity_id, z, ux + 2 AS ux, uy + 3 AS uy FROM units) USING (entity_id, z, ux, uy) GROUP BY ALL)
+SELECT o.entity_id, o.z, CAST(coalesce(met.n, 0) AS DOUBLE) AS shared, CAST(2 * o.n - coalesce(met.n, 0) AS DOUBLE) AS joined, CAST(o.n - coalesce(met.n, 0) AS DOUBLE) AS rest FROM own o LEFT JOIN met ON o.entity_id = met.entity_id AND o.z = met.z""")
+def polygon_overlays(spark, d):
+    one, two = _two(spark, d)
+    both = one.join(two.withColumnRenamed("polygon", "moved"), ["entity_id", "z"])
+    of = lambda rule: F.round(O.parts_area(O.overlay(F.col("polygon"), F.col("moved"), rule)), 6)
+    return both.select("entity_id", "z", of("intersection").alias("shared"), of("union").alias("joined"), of("difference").alias("rest"))
+
+
+@query("SELECT entity_id, z, round(w * h + 3.0 * (w + h) + 16 * 2.25 * sin(pi() / 16), 6) AS area FROM outlines")
+def buffered_boxes(spark, d):
+    x, y = F.col("x0"), F.col("y0")
+    boxes = R.outlines(spark, d).select("entity_id", "z", G.box(x, y, x + F.col("w"), y + F.col("h")).alias("polygon"))
+    return rounded(boxes.select("entity_id", "z", O.parts_area(O.buffered(F.col("polygon"), 1.5)).alias("area")), 6, "area")
+
+
+@query(f"SELECT entity_id, z, CASE WHEN hole THEN '{O.CROSSED}' END AS fault, CASE WHEN hole THEN 2 ELSE 1 END AS parts, CASE WHEN hole THEN w * h / 2.0::DOUBLE ELSE w * h END AS area FROM outlines")
+def repaired_polygons(spark, d):
+    corner = lambda x, y: F.struct((F.col("x0") + x).cast("double").alias("x"), (F.col("y0") + y).cast("double").alias("y"))
+    none, w, h = F.lit(0), F.col("w"), F.col("h")
+    twisted, plain = F.array(corner(none, none), corner(w, h), corner(w, none), corner(none, h)), F.array(corner(none, none), corner(w, none), corner(w, none), corner(w, h), corner(none, h), corner(none, none))
+    rows = R.outlines(spark, d).select("entity_id", "z", F.array(F.when(F.col("hole"), twisted).otherwise(plain)).alias("polygon"))
+    rows = rows.select("entity_id", "z", O.faults(F.col("polygon")).alias("fault"), O.repaired(F.col("polygon")).alias("whole"))
+    return rounded(rows.select("entity_id", "z", "fault", F.size("whole").alias("parts"), O.parts_area(F.col("whole")).alias("area")), 6, "area")
+
+
+@query(None)
+def harmonised_outlines(spark, d):
+    """Tested against a plain loop over unit squares: the order of merges and trims is no matter for SQL."""
+    found = H.harmonised(R.outlines(spark, d), min_distance=0.0, min_area=4.0)
+    return rounded(found.select("entity_id", "z", "area"), 6, "area")
+
+
+@query(None)
+def merged_outlines(spark, d):
+    """Tested against a plain loop over unit squares."""
+    found = H.merged_overlaps(R.outlines(spark, d), least=12.0)
+    return rounded(found.select("entity_id", "z", "merged", O.area(F.col("polygon")).alias("area")), 6, "area")
 
 
 @query("SELECT entity_id, z, 54.0::DOUBLE AS area, 2 AS rings FROM shapes")
@@ -88,12 +147,12 @@ def replicated_polygons(spark, d):
     return rounded(out, 6, "min_x", "min_y", "area")
 
 
-@query("SELECT entity_id FROM (SELECT DISTINCT entity_id, x0, y0 FROM shapes) s WHERE EXISTS (SELECT 1 FROM cells c WHERE cluster = 1 AND x0 <= center_x * 5 + 4 AND center_x * 5 <= x0 + 9 AND y0 <= center_y * 5 + 4 AND center_y * 5 <= y0 + 9)")
+@query("""SELECT DISTINCT entity_id FROM outlines s WHERE EXISTS (SELECT 1 FROM cells c WHERE x0 <= center_x * 5 + 1 AND center_x * 5 <= x0 + w AND y0 <= center_y * 5 + 1 AND center_y * 5 <= y0 + h
+ AND (center_y * 5 <= y0 + b OR center_x * 5 <= x0 + a) AND NOT (hole AND center_x * 5 > x0 + 1 AND center_x * 5 + 1 < x0 + 2 AND center_y * 5 > y0 + 1 AND center_y * 5 + 1 < y0 + 2))""")
 def shapes_in_regions(spark, d):
-    shapes = P.bounded(R.shapes(spark, d).select("entity_id", "polygon").dropDuplicates(["entity_id"])).drop("polygon")
     x, y = F.col("center_x") * 5, F.col("center_y") * 5
-    regions = R.cells(spark, d).where("cluster = 1").select(x.alias("minx"), y.alias("miny"), (x + 4).alias("maxx"), (y + 4).alias("maxy"))
-    return P.kept_by_regions(shapes, regions).select("entity_id")
+    regions = R.cells(spark, d).select(G.box(x, y, x + 1, y + 1).alias("polygon"))
+    return P.kept_by_regions(R.outlines(spark, d).select("entity_id", "polygon"), regions).select("entity_id").distinct()
 
 
 # Hexagons, rasters and tiles
