@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.operators.quantiles import order_statistics, quantiles
+from tessella.operators.quantiles import places_of, quantiles, quantiles_of
 
 
 def qc_metrics(counts: DataFrame, spine: DataFrame) -> DataFrame:
@@ -31,18 +31,28 @@ def filter_cells(metrics: DataFrame, bounds: dict, quantile_columns: list[str],
     """``pass_qc_pre`` by fixed bounds; ``pass_qc`` also by the quantiles of the cells that pass them."""
     first = metrics.withColumn("pass_qc_pre", within(bounds))
     inside = F.col("pass_qc_pre")
-    for c in quantile_columns:
-        least, most = quantiles(first.where("pass_qc_pre"), c, [low, high])
+    found = quantiles_of(first.where("pass_qc_pre"), dict.fromkeys(quantile_columns, [low, high]))
+    for c, (least, most) in found.items():
         inside = inside & (F.coalesce(F.col(c).between(least, most), F.lit(False)) if least is not None else F.lit(False))
     return first.withColumn("pass_qc", inside)
 
 
 def nearest_quantile(rows: DataFrame, column: str, q: float) -> DataFrame:
     """One row (value): the stored value nearest to the q-quantile's place, round(q * (n - 1)) of the sorted values; no row without values."""
-    n = rows.where(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))).count()
-    place = int(q * (n - 1) + 0.5) if n else 0
-    _, at = order_statistics(rows, column, [place])
-    return rows.sparkSession.createDataFrame([(at[place],)] if n else [], "value double")
+    n, at = places_of(rows, {column: [(q, "nearest")]})[column]
+    return rows.sparkSession.createDataFrame([(at[q, "nearest"],)] if n else [], "value double")
+
+
+def with_floor(cells: DataFrame, column: str, q: float | None) -> DataFrame:
+    """``cells`` whose ``pass_qc`` also asks for ``column`` at or above a floor: the q-quantile (nearest value) of the cells that fail ``pass_qc_pre``.
+
+    Without q, or where none fails or the failing ones have no values, nothing changes; a null or NaN value doesn't reach a floor.
+    """
+    if q is None:
+        return cells
+    n, at = places_of(cells.where(~F.col("pass_qc_pre")), {column: [(q, "nearest")]})[column]
+    value = F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
+    return cells.withColumn("pass_qc", F.col("pass_qc") & F.coalesce(value >= at[q, "nearest"], F.lit(False))) if n else cells
 
 
 def volume_normalised(counts: DataFrame, spine: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessella.functions import geometry as G
+from tessella.operators import cells
 from tessella.operators import columns as C
 from tessella.operators import labels as L
 from tessella.operators import markers as M
@@ -194,9 +195,18 @@ def test_order_statistics_of_whole_columns(spark):
     values = [r.choice([r.gauss(0, 1), 7.0, 1e300, -1e-300]) for _ in range(500)] + [None, float("nan")]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     plain = np.sort([v for v in values if v is not None and v == v])
-    n, at = Q.order_statistics(df, "v", list(range(0, 500, 50)))
-    assert n == 500 and at == {k: plain[k] for k in range(0, 500, 50)}
+    shares = [k / 499 for k in range(0, 500, 49)]
+    for few in (Q.FEW, 1):  # brackets that are read out, and brackets that are cut again
+        Q.FEW = few
+        found = Q.places_of(df.withColumn("w", -F.col("v")), {"v": [(s, how) for s in shares for how in ("down", "up", "nearest")], "w": [(0.0, "down"), (0.3, "nearest")]})
+        n, at = found["v"]
+        assert n == 500 and all(at[q, how] == plain[{"down": int(q * 499), "up": min(499, int(np.ceil(q * 499))), "nearest": int(q * 499 + 0.5)}[how]] for q, how in at)
+        assert found["w"] == (500, {(0.0, "down"): -plain[-1], (0.3, "nearest"): np.sort(-plain)[150]})
+    Q.FEW = 1024
     assert np.allclose(Q.quantiles(df, "v", [0.0, 0.25, 0.5]), np.quantile(plain, [0.0, 0.25, 0.5])) and Q.quantiles(df.limit(0), "v", [0.5]) == [None]
+    cells_ = spark.createDataFrame([(1, True, True, 5.0), (2, True, True, 3.0), (3, False, False, 4.0), (4, False, False, None), (5, True, True, None)], "cell_id int, pass_qc_pre boolean, pass_qc boolean, dapi double")
+    assert {r.cell_id for r in cells.with_floor(cells_, "dapi", 0.5).where("pass_qc").collect()} == {1}
+    assert cells.with_floor(cells_, "dapi", None).where("pass_qc").count() == cells.with_floor(cells_.where("pass_qc_pre"), "dapi", 0.5).where("pass_qc").count() == 3
 
 
 def test_votes_samples_and_markers(spark):
