@@ -281,5 +281,5 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, *more: str) -> Data
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The near-duplicate component of every document."""
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    """The near-duplicate component of every document; here ``kept`` marks all rows of the doc_id that names the component (none, if no row has one)."""
+    return near_duplicates(table(spark, sf_dir, "documents")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -9,7 +9,7 @@ import zlib
 
 import pytest
 
-from tessella.llm import fill_in_middle, substrings, target_resampling
+from tessella.llm import fill_in_middle, near_duplicates, substrings, target_resampling
 
 WORDS = "alpha beta Gamma délta o_mega 42 sigma kappa lambda theta".split()
 
@@ -158,3 +158,22 @@ def test_paths_are_compact_and_hold_the_same_words(spark, passages):
 
 def test_substrings_of_an_empty_table(spark):
     assert substrings.remove_repeated(spark.createDataFrame([], "doc_id bigint, text string")).isEmpty()
+
+
+def test_the_quality_stage_keeps_texts_without_words(spark, tmp_path):
+    import corpus_pipeline
+
+    r = random.Random(2)
+    rows = [(i, _text(r, 30) if i % 2 else _text(r, 30).upper(), "en", "web", 1) for i in range(60)] + [(100, None, "en", "web", None), (101, "", "en", "web", 0), (None, "", "en", "web", 0)]
+    spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = [(x.doc_id, x.text) for x in corpus_pipeline.keep_quality(spark, docs, str(tmp_path)).collect()]
+    assert {(100, None), (101, ""), (None, "")} <= set(kept) and len(kept) < len(rows)
+
+
+def test_kept_of_near_duplicates_is_the_row_of_the_component(spark, tmp_path):
+    base = _text(random.Random(1), 60)
+    rows = [(5, base), (5, base + " zz"), (8, base), (9, "other words"), (None, "no id"), (7, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = near_duplicates.op7_near_duplicates(spark, str(tmp_path)).collect()
+    assert sorted(str((x.doc_id, x.component_id, x.kept)) for x in got) == sorted(map(str, [(5, 5, True), (5, 5, True), (8, 5, False), (9, 9, True), (None, None, True), (7, 7, True)]))
