@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read as the next one's ``docs``.
 All but the last return the columns of documents. Decisions come back by a hash of doc_id and text, so rows whose doc_id is null or
-shared by other texts are decided each for itself. Rows: a document whose text is null or empty passes every stage; repeated rows
+shared by other texts are decided each for itself. Rows: a document whose text is null or empty passes every stage (once, as below); repeated rows
 of one doc_id (or none) and text leave the second stage once; empty tables give no rows.
 """
 
@@ -19,9 +19,9 @@ SIMILAR = 80
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in the importance sample stay; rows are judged where they lie, without a join."""
+    """Documents in the importance sample stay, and those without text, which have no quality; rows are judged where they lie, without a join."""
     decided = importance.sampled(docs, table(spark, sf_dir, "labels"))
-    return decided.where(F.col(decided.columns[-1])["kept"]).select(*docs.columns)
+    return decided.where(F.col(decided.columns[-1])["kept"] | (F.coalesce("text", F.lit("")) == "")).select(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
