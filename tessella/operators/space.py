@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.sources.tables import cut
+from tessella.sources.tables import cut, forget
 
 
 def grid_cells(low: Column, high: Column, size: float) -> Column:
@@ -144,20 +144,30 @@ def closed(mask: DataFrame) -> DataFrame:
     return eroded(dilated(mask))
 
 
-def mask_components(mask: DataFrame) -> DataFrame:
-    """(row, col, component): 4-connected parts named by their least cell, by least labels and pointer jumping."""
-    key = F.col("row") * (1 << 31) + F.col("col")
-    cells = cut(mask.select("row", "col", key.alias("id")), "mask")
-    near = cut(_pairs(cells), "near")
-    labels = cells.select("id", F.col("id").alias("label"))
+def linked_parts(nodes: DataFrame, near: DataFrame) -> DataFrame:
+    """(id, label): connected parts of the nodes (id), named by their least id, by least labels and pointer jumping; ``near`` has (id, other) in both directions.
+
+    A round ends in a table of the shared folder, and the table of the round before is deleted.
+    """
+    near, labels = cut(near, "near"), cut(nodes.select("id", F.col("id").alias("label")), "labels")
     while True:
-        heard = near.join(labels.withColumnRenamed("id", "other"), "other").groupBy("id").agg(F.min("label").alias("heard"))
+        heard = near.join(labels.select(F.col("id").alias("other"), "label"), "other").groupBy("id").agg(F.min("label").alias("heard"))
         hop = labels.join(heard, "id", "left").select("id", "label", F.least("label", F.coalesce("heard", "label")).alias("next"))
         far = labels.select(F.col("id").alias("next"), F.col("label").alias("far"))
+        old = labels
         moved = cut(hop.join(far, "next", "left").select("id", F.col("label").alias("old"), F.least("next", F.coalesce("far", "next")).alias("label")), "labels")
-        labels = moved.select("id", "label")
+        labels = moved
+        forget(old)
         if moved.where("old <> label").isEmpty():
-            return cells.join(labels, "id").select("row", "col", F.col("label").alias("component"))
+            forget(near)
+            return labels.select("id", "label")
+
+
+def mask_components(mask: DataFrame) -> DataFrame:
+    """(row, col, component): 4-connected parts named by their least cell."""
+    key = F.col("row") * (1 << 31) + F.col("col")
+    cells = cut(mask.select("row", "col", key.alias("id")), "mask")
+    return cells.join(linked_parts(cells.select("id"), _pairs(cells)), "id").select("row", "col", F.col("label").alias("component"))
 
 
 def _pairs(cells: DataFrame) -> DataFrame:

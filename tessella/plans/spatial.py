@@ -15,6 +15,7 @@ from tessella.operators import markers as M
 from tessella.operators import polygons as P
 from tessella.operators import quantiles as Q
 from tessella.operators import rasters as T
+from tessella.operators import regions as Z
 from tessella.operators import space as S
 from tessella.plans import roles as R
 from tessella.plans.catalog import query, rounded
@@ -157,20 +158,34 @@ def shapes_in_regions(spark, d):
 
 # Hexagons, rasters and tiles
 
-_HEXES = """hexes AS (SELECT r * 14 + c AS hex_id, r AS row, c AS col, (c + CASE WHEN r % 2 = 1 THEN 0.5 ELSE 0 END) * (10 * sqrt(3) * 0.5) AS cx, r * (15 * 0.5) AS cy FROM range(16) a(r), range(14) b(c)),
-grid AS (SELECT * FROM hexes WHERE cx - 10 * sqrt(3) / 2 <= 100 AND cx + 10 * sqrt(3) / 2 >= 0 AND cy - 10 <= 100 AND cy + 10 >= 0)"""
-_BOUNDS = (0.0, 0.0, 100.0, 100.0)
+_HEXES = """b AS (SELECT min(x) - 1 AS x0, min(y) - 1 AS y0, max(x) + 1 AS x1, max(y) + 1 AS y1 FROM points),
+n AS (SELECT *, CAST(ceil((x1 - x0) / (10 * sqrt(3) * 0.5)) AS BIGINT) + 2 AS cols, CAST(ceil((y1 - y0) / 7.5) AS BIGINT) + 2 AS rows FROM b),
+hexes AS (SELECT r * cols + c AS hex_id, r AS row, c AS col, x0 + (c + CASE WHEN r % 2 = 1 THEN 0.5 ELSE 0 END) * (10 * sqrt(3) * 0.5) AS cx, y0 + r * 7.5 AS cy, x0, y0, x1, y1 FROM (SELECT *, unnest(range(rows)) AS r FROM n) JOIN (SELECT unnest(range(cols)) AS c FROM n) ON true),
+grid AS (SELECT * FROM hexes WHERE cx - 10 * sqrt(3) / 2 <= x1 AND cx + 10 * sqrt(3) / 2 >= x0 AND cy - 10 <= y1 AND cy + 10 >= y0)"""
+
+
+def _hexes(spark, d):
+    """Hexagons over the bounds of all points and one unit more, so that no point lies on a side: four numbers for the driver."""
+    return P.hex_grid(spark, tuple(R.points(spark, d).agg(F.min("x") - 1, F.min("y") - 1, F.max("x") + 1, F.max("y") + 1).first()), 10.0, 0.5)
 
 
 @query(f"WITH {_HEXES} SELECT hex_id, row, col, round(cx, 6) AS cx, round(cy, 6) AS cy, round(150 * sqrt(3), 6) AS area FROM grid")
 def hex_grid(spark, d):
-    rows = P.hex_grid(spark, _BOUNDS, 10.0, 0.5)
+    rows = _hexes(spark, d)
     return rounded(rows.select("hex_id", "row", "col", "cx", "cy", G.area(F.col("polygon")).alias("area")), 6, "cx", "cy", "area")
 
 
 @query(f"WITH {_HEXES} SELECT hex_id, gene, count(*) AS n FROM grid JOIN points ON abs(x - cx) < 5 * sqrt(3) AND abs(y - cy) + abs(x - cx) / sqrt(3) < 10 GROUP BY ALL")
 def hex_gene_counts(spark, d):
-    return P.hex_genes(R.points(spark, d), P.hex_grid(spark, _BOUNDS, 10.0, 0.5), 10.0)
+    return P.hex_genes(R.points(spark, d), _hexes(spark, d), 10.0)
+
+
+@query(None)
+def called_regions(spark, d):
+    """Tested against a plain computation: mixtures are fitted by steps."""
+    genes = ["click", "purchase", "view"]
+    found = Z.called_regions(R.points(spark, d), genes, size=8.0, components=2, agreement=0.6, least=3)
+    return rounded(found.select("region", O.area(F.col("polygon")).alias("area"), F.size("polygon").alias("rings")), 6, "area")
 
 
 _TILES = "tiles AS (SELECT CAST(row_number() OVER (ORDER BY r, c) - 1 AS INTEGER) AS tile_id, r AS row, c AS col FROM (VALUES (0), (24), (48), (68)) a(r) CROSS JOIN (VALUES (0), (24), (48), (68)) b(c))"
