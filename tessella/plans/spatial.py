@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tessella.functions import geometry as G
 from tessella.functions import overlay as O
 from tessella.operators import columns as C
+from tessella.operators import embedding as E
 from tessella.operators import harmony as H
 from tessella.operators import labels as L
 from tessella.operators import markers as M
@@ -265,6 +266,48 @@ def auc_summary(spark, d):
     return rounded(M.summarised(pairs, "auc"), 6, "min", "mean", "median", "max")
 
 
+# Singular vectors
+
+
+def _values(spark, d):
+    return R.cell_gene(spark, d).select("cell_id", "gene", F.col("count").alias("value"))
+
+
+@query("SELECT a.gene AS gene_a, b.gene AS gene_b, round(sum(a.count * b.count), 4) AS value FROM cell_gene a JOIN cell_gene b ON a.cell_id = b.cell_id GROUP BY ALL")
+def gene_products(spark, d):
+    values = _values(spark, d)
+    genes = E.gene_names(values)
+    name = lambda i: F.get(F.array(*map(F.lit, genes)), i)
+    rows = E.gram(values, genes).select("i", F.posexplode("sums").alias("j", "value")).where("value <> 0")
+    return rounded(rows.select(name(F.col("i")).alias("gene_a"), name(F.col("j")).alias("gene_b"), "value"), 4, "value")
+
+
+# all components together keep the length of a cell's vector, and of its distance from the mean, which SQL can tell
+
+
+@query("SELECT cell_id, round(sum(count * count), 3) AS norm FROM cell_gene GROUP BY cell_id")
+def svd_norms(spark, d):
+    values = _values(spark, d)
+    scores = E.projected(values, E.fitted(values, None), whitened=False)
+    return scores.select("cell_id", F.round(F.aggregate("scores", F.lit(0.0), lambda z, x: z + x * x), 3).alias("norm"))
+
+
+@query("""WITH n AS (SELECT count(*) AS n FROM cells), m AS (SELECT gene, sum(count) / any_value(n) AS mean FROM cell_gene, n GROUP BY gene)
+SELECT c.cell_id, round(sum((coalesce(count, 0) - mean) * (coalesce(count, 0) - mean)), 3) AS norm FROM cells c CROSS JOIN m LEFT JOIN cell_gene g ON g.cell_id = c.cell_id AND g.gene = m.gene GROUP BY c.cell_id""")
+def pca_norms(spark, d):
+    values, spine = _values(spark, d), R.cells(spark, d)
+    scores = E.projected(values, E.fitted(values, None, spine, centred=True), False, spine)
+    return scores.select("cell_id", F.round(F.aggregate("scores", F.lit(0.0), lambda z, x: z + x * x), 3).alias("norm"))
+
+
+@query(None)
+def reference_scores(spark, d):
+    """All cells in the whitened space of those of three clusters; tested against NumPy."""
+    values = _values(spark, d)
+    model = E.fitted(values, 10, R.cells(spark, d).where("cluster > 0"))
+    return E.projected(values, model).select("cell_id", F.transform("scores", lambda x: F.round(x, 6)).alias("scores"))
+
+
 # Votes and references
 
 _WEIGHTED = """w AS (SELECT query_id, label, sum(1 - coalesce(distance / nullif(far, 0), 0) + 1e-9) AS w FROM (SELECT *, max(distance) OVER (PARTITION BY query_id) AS far FROM votes) GROUP BY ALL),
