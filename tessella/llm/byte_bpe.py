@@ -35,7 +35,7 @@ from tessella.llm.words import batches, hold
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Words that one recursive query takes, pieces a worker remembers, and bytes from which a word is cut.
-WORDS, KEPT, LONG = 40_000, 400_000, 64
+WORDS, KEPT, LONG = 20_000, 150_000, 64
 
 CONTRACT = """
 WITH RECURSIVE bpe(word, tokens) USING KEY (word) AS (

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 #: Entries that a worker remembers at most; beyond that it starts anew, with the same results.
@@ -67,10 +70,22 @@ _held: dict[str, Callable[[], None]] = {}
 
 
 def hold(owner: str, release: Callable[[], None]) -> None:
-    """Say that ``owner`` keeps things in this worker until ``release``; what other operators keep here is released now."""
-    for other in [name for name in _held if name != owner]:
+    """Say that ``owner`` keeps things in this worker until ``release``; what other operators keep here is released now and given back to the system."""
+    others = [name for name in _held if name != owner]
+    for other in others:
         _held.pop(other)()
     _held[owner] = release
+    if others:
+        give_back()
+
+
+def give_back() -> None:
+    """Free memory of this worker goes back to the system, for the next operator of the executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the allocator of most Linux systems keeps it otherwise
+    if trim:
+        trim(0)
 
 
 def nothing() -> None:
