@@ -5,8 +5,8 @@ contribution of the term in the block, so that all are at least 0; a query's ter
 contribution, and the longest prefix whose sum cannot reach the k-th best score so far is non-essential. Essential postings are
 traversed for all vectors; the others are probed, largest first, only for vectors that can still compete.
 
-Rows: vectors that are null or hold a null or non-finite component take no part; a repeated row counts once; a shorter vector
-counts as padded with zeros; an empty table gives no rows. Ties go to the smaller id. Components are kept as 64-bit integers.
+Rows: vectors that are null or hold a null or non-finite component take no part; a repeated candidate counts as often as it occurs, a
+repeated query once; a shorter vector counts as padded with zeros; an empty table gives no rows. Ties go to the smaller id. Components are kept as 64-bit integers.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ def quantised(vectors: DataFrame, id_col: str, vec_col: str, scale: int = 64) ->
     bad = F.exists(vec_col, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
     usable = pick(vectors, id_col, vec_col).where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull()).where(~bad)
     v = F.transform(vec_col, lambda x: F.floor(x.cast("double") * scale).cast("bigint"))
-    return usable.select(F.col(id_col).cast("bigint").alias("id"), v.alias("v")).distinct()
+    return usable.select(F.col(id_col).cast("bigint").alias("id"), v.alias("v"))
 
 
 def _packed(vectors: DataFrame, rows: int, name: str) -> tuple[DataFrame, int]:
@@ -105,10 +105,13 @@ def search_block(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndar
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` largest inner products with the candidates of other ids.
 
-    Both inputs are (id, v). Blocks of queries meet blocks of candidates; each pair of blocks is one bounded task, and its best
-    ``k`` a query are merged by a ranked window, which Spark limits before the shuffle.
+    Both inputs are (id, v). A candidate that is repeated as a whole counts as often as it occurs, of which ``k`` are enough; a repeated query is one.
+    Blocks of queries meet blocks of candidates; each pair of blocks is one bounded task, and its best ``k`` a query are merged by a
+    ranked window, which Spark limits before the shuffle.
     """
-    left, n_left = _packed(queries, QUERIES, "query_block")
+    copies = F.explode(F.sequence(F.lit(1), F.least(F.col("copies"), F.lit(k)).cast("int")))
+    candidates = candidates.groupBy("id", "v").agg(F.count("*").alias("copies")).withColumn("copy", copies).select("id", "v")
+    left, n_left = _packed(queries.distinct(), QUERIES, "query_block")
     right, n_right = _packed(candidates, CANDIDATES, "block")
     columns = ["query_block", "block", "side", "ids", "width", "wide", "data"]
     sides = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_right - 1)))).withColumn("side", F.lit(0)).select(*columns)
@@ -126,7 +129,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
 
     found = sides.groupBy("query_block", "block").applyInPandas(score, "query_id bigint, vec_id bigint, score bigint")
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.distinct().withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op4_max_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,8 +147,7 @@ WITH v AS (
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
          CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id
-  WHERE q.vec_id % 20 = 0
+  FROM (SELECT DISTINCT * FROM v WHERE vec_id % 20 = 0) q JOIN v c ON q.vec_id <> c.vec_id
 ), r AS (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s
 )

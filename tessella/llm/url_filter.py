@@ -18,7 +18,8 @@ from tessella.llm.common import pick, table
 
 #: (host, path, verdict). A rule fits its host and all subdomains if the path starts with the rule's.
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
-#: Registered names under which the production list's URLs lie.
+#: Registered names under which the production list's URLs lie, and what their pages must hold to be listed.
+ADVERT = 'class="ad"'
 LISTED_SITES = ["adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
 #: URLs a block of 256 bits takes, and the blocks (32 bytes each) that may be broadcast.
 URLS_A_BLOCK, BROADCAST_BLOCKS = 16, 1 << 15
@@ -89,24 +90,27 @@ def judge(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]]
     return found.select("page_id", "host", "path", F.col("by.rule").alias("rule"), verdict.alias("verdict"), "listed")
 
 
-def site_list(pages: DataFrame, sites: list[str] = LISTED_SITES) -> DataFrame:
-    """The production list: canonical urls of the table whose host has one of ``sites`` as a label."""
+def advert_list(pages: DataFrame, sites: list[str] = LISTED_SITES, advert: str = ADVERT) -> DataFrame:
+    """The production list: canonical urls of the pages that carry an advert on a host with one of ``sites`` as a label.
+
+    Other pages of these hosts are not listed, so a host says nothing about the list.
+    """
     host, path = parts(F.col("url"))
-    split = pages.select(host.alias("host"), path.alias("path"))
+    split = pages.where(F.contains("html", F.lit(advert))).select(host.alias("host"), path.alias("path"))
     return split.where(F.arrays_overlap(F.split("host", r"\."), F.array(*map(F.lit, sites)))).select(canonical(F.col("host"), F.col("path")).alias("url")).distinct()
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url, judged by the rules and the production list."""
     pages = table(spark, sf_dir, "pages")
-    return judge(pages, site_list(pages))
+    return judge(pages, advert_list(pages))
 
 
 SQL = r"""
 WITH s AS (
-  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest, coalesce(contains(html, 'class="ad"'), false) AS advert FROM pages
 ), p AS (
-  SELECT page_id,
+  SELECT page_id, advert,
          translate(regexp_extract(coalesce(rest, ''), '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1, 's') AS path
   FROM s
@@ -114,7 +118,7 @@ WITH s AS (
   SELECT *, CASE WHEN host <> '' THEN host || regexp_replace(path, '/+$', '') END AS url FROM p
 ), l AS (
   SELECT DISTINCT url FROM c
-  WHERE list_has_any(string_split(host, '.'), ['adult-x', 'ads-track', 'casino-win', 'cheap-pills', 'free-bets', 'spam-farm'])
+  WHERE advert AND list_has_any(string_split(host, '.'), ['adult-x', 'ads-track', 'casino-win', 'cheap-pills', 'free-bets', 'spam-farm'])
 ), r AS (
   SELECT c.page_id, c.host, c.path, (l.url IS NOT NULL) AS listed,
     CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'

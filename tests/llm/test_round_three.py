@@ -9,7 +9,7 @@ import zlib
 
 import pytest
 
-from tessella.llm import fill_in_middle, near_duplicates, substrings, target_resampling
+from tessella.llm import fill_in_middle, max_score, near_duplicates, substrings, target_resampling, url_filter
 
 WORDS = "alpha beta Gamma délta o_mega 42 sigma kappa lambda theta".split()
 
@@ -177,3 +177,28 @@ def test_kept_of_near_duplicates_is_the_row_of_the_component(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = near_duplicates.op7_near_duplicates(spark, str(tmp_path)).collect()
     assert sorted(str((x.doc_id, x.component_id, x.kept)) for x in got) == sorted(map(str, [(5, 5, True), (5, 5, True), (8, 5, False), (9, 9, True), (None, None, True), (7, 7, True)]))
+
+
+def test_top_k_counts_repeated_rows(spark, tmp_path):
+    r = random.Random(4)
+    rows = [(i, [r.randint(-3, 3) / 2 for _ in range(4)]) for i in range(50)]
+    rows += [rows[3]] * 30 + [rows[20]] * 2 + [(20, [1.0, 0.5, 0.0, 0.0]), (None, [1.0] * 4), (60, None), (61, [1.0, None, 0.0, 0.0]), (62, [float("nan")] * 4)]
+    spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id bigint, embedding array<float>, id int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    usable = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and x == x for x in v)]
+    want = collections.defaultdict(list)
+    for q, v in {(i, tuple(v)) for i, v in usable if i % 20 == 0}:
+        want[q] += [(-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in usable if i != q]
+    got = sorted((x.query_id, x["rank"], x.vec_id, x.score) for x in max_score.op4_max_score(spark, str(tmp_path)).collect())
+    assert got == sorted((q, k + 1, i, -s) for q, found in want.items() for k, (s, i) in enumerate(sorted(found)[:20]))
+    assert sum(x[2] == 3 for x in got) > 20 and max_score.top_k(*[spark.createDataFrame([], "id bigint, v array<bigint>")] * 2).isEmpty()
+
+
+def test_url_list_decides_between_pages_of_one_host(spark):
+    page = lambda i, url, html: (i, url, html, "x", "y")
+    ad, no = '<div class="ad">', "<p>"
+    rows = [page(0, "http://spam-farm.com/a/", ad), page(1, "https://spam-farm.com/a?q", no), page(2, "http://spam-farm.com/b", no), page(3, "http://other.com/c", ad), page(4, "http://www.spam-farm.com/d", None), page(5, None, ad), page(6, "http://x.spam-farm.org/fr/1", ad), page(6, "http://x.spam-farm.org/fr/1", ad)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string, host string, listed string")
+    out = sorted((r.page_id, r.verdict, r.listed) for r in url_filter.judge(df, url_filter.advert_list(df)).collect())
+    assert out == [(0, "block", True), (1, "block", True), (2, "allow", False), (3, "allow", False), (4, "allow", False), (5, "allow", False), (6, "allow", True), (6, "allow", True)]
+    none = url_filter.judge(df, df.limit(0).select("url"))
+    assert none.where("listed").isEmpty() and none.count() == 8 and url_filter.judge(df.limit(0), df.select("url")).isEmpty()
