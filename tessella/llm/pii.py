@@ -17,24 +17,27 @@ names of added columns start with ``pii_``; an empty table gives no rows.
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm.common import fresh, table
 
-#: Where the registered query and the pipeline find the key in the session's configuration, and the key of sessions that set none.
-KEY_SETTING, KEY = "spark.tessella.pii.key", "a key for tests"
+#: Where the session's configuration holds the key.
+KEY_SETTING = "spark.tessella.pii.key"
 ROUNDS = 8
 
 #: Formats of personal data.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,126}\.[A-Za-z]{2,24}(?![A-Za-z0-9-])"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[\p{L}0-9-]+(?:\.[\p{L}0-9-]+){0,126}\.[A-Za-z]{2,24}(?![\p{L}0-9-])"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IPV4 = rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)"
 #: Eight groups, or a compressed address with a digit and two groups on one side of its double colon.
 IPV6 = r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=[0-9A-Fa-f:]{0,40}\d)(?:(?:[0-9A-Fa-f]{1,4}:){2,6}(?::[0-9A-Fa-f]{1,4}){1,5}|[0-9A-Fa-f]{1,4}:(?::[0-9A-Fa-f]{1,4}){2,6}))(?![0-9A-Za-z:]|\.\d)"
-DATE = r"(?<![\d/.-])(?:(?:1[89]|2[01])\d\d-\d\d-\d\d|\d\d\.\d\d\.(?:1[89]|2[01])\d\d|\d\d/\d\d/(?:1[89]|2[01])\d\d)(?![\d/-])"
+DATE = r"(?<![\d/.-])(?:(?:1[89]|2[01])\d\d-\d\d-\d\d|\d{1,2}\.\d{1,2}\.(?:1[89]|2[01])\d\d|\d\d/\d\d/(?:1[89]|2[01])\d\d|(?:1[89]|2[01])\d\d/\d\d/\d\d)(?![\d/-])"
 PHONE = r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .-]\d{2,4}){2,4}(?!\d)|(?<![\d+])\+\d{8,15}(?!\d)|" + "|".join([
     r"(?<![\d-])(?:1[ .-])?\d{3}-\d{3}-\d{4}(?![\d-])", r"(?<![\d.])(?:1[ .-])?\d{3}\.\d{3}\.\d{4}(?!\d|\.\d)", r"(?<!\d)(?<!\d[ .-])(?:1[ .-])?\d{3} \d{3} \d{4}(?![\d-]| \d)",
+    r"(?<!\d)(?<!\d[ .])0[1-9](?:[ .]\d\d){4}(?![ .]?\d)", r"(?<!\d)(?<!\d[ ./-])0[1-9]\d{1,3}[ /-]\d{6,8}(?![ .-]?\d)",
 ])
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 #: Length of an account number by country; of a spaced one it tells where it ends.
@@ -49,17 +52,22 @@ def _spaced(n: int) -> str:
     return rf"(?:{lands})\d\d(?: [A-Z0-9]{{4}}){{{n // 4 - 1}}}" + rf" [A-Z0-9]{{{n % 4}}}" * bool(n % 4)
 
 
+#: In small letters only where the length is that of the country.
+SMALL = "|".join(f"(?:{'|'.join(x[:2].lower() for x in LENGTHS if int(x[2:]) == n)})[0-9]{{2}}[a-z0-9]{{{n - 4}}}" for n in sorted({int(x[2:]) for x in LENGTHS}))
 #: In one piece, or in groups of four; in countries without a known length the groups go as far as they can.
 GROUPS = "|".join([*map(_spaced, sorted({int(x[2:]) for x in LENGTHS})), r"[A-Z]{2}\d\d(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?"])
-IBAN = rf"(?<![A-Za-z0-9])(?:[A-Z]{{2}}\d\d[A-Z0-9]{{11,30}}|{GROUPS})(?![A-Za-z0-9])"
-CARD = r"(?<!\d)(?:\d{13,19}|\d{4} \d{4} \d{4} \d{4}|\d{4}-\d{4}-\d{4}-\d{4})(?!\d)"
+IBAN = rf"(?<![A-Za-z0-9])(?:[A-Z]{{2}}\d\d[A-Z0-9]{{11,30}}|{GROUPS}|{SMALL})(?![A-Za-z0-9])"
+CARD = r"(?<!\d)(?:\d{13,19}|\d{4} \d{4} \d{4} \d{4}|\d{4}-\d{4}-\d{4}-\d{4}|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5})(?!\d)"
 NAMED = r"(?i:password|passwd|pwd|token|secret|api_?key) {0,2}[=:] {0,2}[\"']?"
 #: How tokens of well-known services begin.
 PREFIX = r"(?<![A-Za-z0-9_-])(?:gh[pousr]_|github_pat_|glpat-|xox[abprs]-|sk-|sk_live_|pk_live_|npm_|hf_)"
-SECRET = rf"AKIA[0-9A-Z]{{16}}(?![A-Z0-9])|{NAMED}[A-Za-z0-9_/+-]{{8,}}+|{PREFIX}[A-Za-z0-9_-]{{16,}}+"
+#: Three parts of a signed token, of which the first begins like an encoded object; and long passwords without a digit.
+SIGNED = r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{5,}+\.[A-Za-z0-9_-]{5,}+\.[A-Za-z0-9_-]{5,}+"
+PASSWORD = r"(?i:password|passwd|pwd) {0,2}[=:] {0,2}[\"']?"
+SECRET = rf"{SIGNED}|AKIA[0-9A-Z]{{16}}(?![A-Z0-9])|{NAMED}[A-Za-z0-9_/+-]{{8,}}+|{PREFIX}[A-Za-z0-9_-]{{16,}}+"
 ANY = "|".join([SECRET, EMAIL, IPV6, IPV4, DATE, PHONE, SSN, IBAN, CARD])
 #: What every match holds; texts without it are not searched further.
-SIGN = "[0-9@]"
+SIGN = "[0-9@]|(?i:password|passwd|pwd)|eyJ"
 
 CYCLE_START, CYCLE = "1800-01-01", (189, 773)  # 189 x 773 = 146,097 days of 400 years
 
@@ -171,16 +179,17 @@ def _card(key: str, m: Column) -> Column:
 
 
 def _iban(key: str, m: Column) -> Column:
-    """The country stays, and the blanks between groups of four; the pseudonym doesn't depend on them."""
-    plain = F.replace(m, F.lit(" "), F.lit(""))
+    """The country stays, and the blanks between groups of four, or small letters; the pseudonym doesn't depend on them."""
+    plain = F.upper(F.replace(m, F.lit(" "), F.lit("")))
 
     def made(body: Column) -> Column:
-        land = F.substr(m, F.lit(1), F.lit(2))
+        land = F.substr(plain, F.lit(1), F.lit(2))
         return F.concat(land, F.lpad((98 - mod97(F.concat(land, F.lit("00"), body))).cast("string"), 2, F.lit("0")), body)
 
     body = text_feistel(key, "iban", F.substr(plain, F.lit(5), F.length(plain)))
     out = F.element_at(F.transform(F.array(body), made), 1)
-    return F.when(mod97(plain) == 1, F.when(F.contains(m, F.lit(" ")), F.regexp_replace(out, "(.{4})(?=.)", "$1 ")).otherwise(out)).otherwise(m)
+    spelled = F.when(F.contains(m, F.lit(" ")), F.regexp_replace(out, "(.{4})(?=.)", "$1 ")).when(m.rlike("[a-z]"), F.lower(out)).otherwise(out)
+    return F.when(mod97(plain) == 1, spelled).otherwise(m)
 
 
 def _date(key: str, m: Column) -> Column:
@@ -191,7 +200,8 @@ def _date(key: str, m: Column) -> Column:
         return F.date_format(F.date_add(F.lit(CYCLE_START).cast("date"), (out["l"] * b + out["r"]).cast("int")), form)
 
     slash = F.coalesce(of("MM/dd/yyyy"), of("dd/MM/yyyy"))
-    return F.coalesce(F.when(F.contains(m, F.lit("/")), slash).when(F.contains(m, F.lit(".")), of("dd.MM.yyyy")).otherwise(of("yyyy-MM-dd")), m)
+    forms = F.when(m.rlike("^[0-9]{4}/"), of("yyyy/MM/dd")).when(F.contains(m, F.lit("/")), slash)
+    return F.coalesce(forms.when(m.rlike(r"^[0-9]{2}\.[0-9]{2}\."), of("dd.MM.yyyy")).when(F.contains(m, F.lit(".")), of("d.M.yyyy")).otherwise(of("yyyy-MM-dd")), m)
 
 
 def _ipv4(key: str, m: Column) -> Column:
@@ -237,16 +247,17 @@ def _email(key: str, m: Column) -> Column:
 
 
 def _secret(key: str, m: Column) -> Column:
-    """The name in front of a secret, and its quote, stay; a value without a digit is a word, not a secret."""
-    name = F.regexp_extract(m, f"^(AKIA|{NAMED}(?:{PREFIX})?|{PREFIX})", 1)
+    """The name in front of a secret, and its quote, stay; a value without a digit is a word, not a secret, but for a password of 16 letters or more."""
+    name = F.regexp_extract(m, f"^(eyJ|AKIA|{NAMED}(?:{PREFIX})?|{PREFIX})", 1)
     value = F.substr(m, F.length(name) + 1, F.length(m))
-    return F.when(value.rlike("[0-9]"), F.concat(name, text_feistel(key, "secret", value))).otherwise(m)
+    secret = value.rlike("[0-9]") | (m.rlike(f"^{PASSWORD}") & (F.length(value) >= 16))
+    return F.when(secret, F.concat(name, text_feistel(key, "secret", value))).otherwise(m)
 
 
 #: Kind, test of a whole match, and the pseudonym; the first test that holds decides.
 KINDS = [
-    ("email", r"^[^@]+@", _email), ("ipv6", r"^[0-9A-Fa-f:]*:[0-9A-Fa-f]*:[0-9A-Fa-f:]*$", _ipv6), ("ipv4", rf"^(?:{OCTET}\.){{3}}{OCTET}$", _ipv4), ("date", r"^(?:\d{4}-\d\d-\d\d|\d\d\.\d\d\.\d{4}|\d\d/\d\d/\d{4})$", _date),
-    ("ssn", r"^\d{3}-\d{2}-\d{4}$", _ssn), ("phone", r"^(?:[+(]|(?:1[ .-])?\d{3}([ .-])\d{3}\1\d{4}$)", _phone), ("card", r"^\d[\d -]{12,}$", _card), ("iban", r"^[A-Z]{2}\d\d(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{1,4})+)$", _iban),
+    ("email", r"^[^@]+@", _email), ("ipv6", r"^[0-9A-Fa-f:]*:[0-9A-Fa-f]*:[0-9A-Fa-f:]*$", _ipv6), ("ipv4", rf"^(?:{OCTET}\.){{3}}{OCTET}$", _ipv4), ("date", r"^(?:\d{4}-\d\d-\d\d|\d{1,2}\.\d{1,2}\.\d{4}|\d\d/\d\d/\d{4}|\d{4}/\d\d/\d\d)$", _date),
+    ("ssn", r"^\d{3}-\d{2}-\d{4}$", _ssn), ("phone", r"^(?:[+(]|(?:1[ .-])?\d{3}([ .-])\d{3}\1\d{4}$|0[1-9](?:[ .]\d\d){4}$|0[1-9]\d{1,3}[ /-]\d{6,8}$)", _phone), ("card", r"^\d[\d -]{12,}$", _card), ("iban", r"^(?:[A-Z]{2}\d\d(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{1,4})+)|[a-z]{2}\d\d[a-z0-9]{11,30})$", _iban),
 ]
 
 
@@ -261,10 +272,12 @@ def pseudonym(m: Column, key: str) -> Column:
 def pseudonymise(docs: DataFrame, key: str | None = None, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` with ``text_col`` rewritten, and ``pii_values``: struct(value, pseudonym) of each match, in order.
 
-    ``key`` is the session's unless it is given. The values are the last column; where ``docs`` has one of that name already, it has
-    underscores in front.
+    ``key`` is the session's unless it is given; without either this is an error. The values are the last column; where ``docs`` has
+    one of that name already, it has underscores in front.
     """
-    key = docs.sparkSession.conf.get(KEY_SETTING, KEY) if key is None else key
+    key = docs.sparkSession.conf.get(KEY_SETTING, None) if key is None else key
+    if not key:
+        raise ValueError(f"pseudonyms need a secret key: set {KEY_SETTING}")
     found, made, values = (fresh(docs, name) for name in ("pii_found", "pii_made", "pii_values"))
     matches = F.when(F.col(text_col).rlike(SIGN), F.regexp_extract_all(F.col(text_col), F.lit(ANY), F.lit(0)))
     out = docs.withColumn(found, F.coalesce(matches, F.array().cast("array<string>")))
@@ -276,8 +289,15 @@ def pseudonymise(docs: DataFrame, key: str | None = None, text_col: str = "text"
     return out.withColumn(values, pairs).drop(found, made)
 
 
+def with_key(spark: SparkSession) -> SparkSession:
+    """A session without a key gets a random one, which nobody knows: its pseudonyms are linked within the session only."""
+    if not spark.conf.get(KEY_SETTING, None):
+        spark.conf.set(KEY_SETTING, secrets.token_hex(32))
+    return spark
+
+
 def op2_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text with pseudonyms, and how many values were replaced."""
-    out = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = pseudonymise(table(with_key(spark), sf_dir, "documents").select("doc_id", "text"))
     changed = F.size(F.filter("pii_values", lambda v: v["value"] != v["pseudonym"]))
     return out.select("doc_id", "text", changed.alias("n_values"))

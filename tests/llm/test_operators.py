@@ -116,9 +116,9 @@ def test_pseudonyms_are_linked_and_valid(spark):
     values = ["bob.smith@mail3.example.com", "+1 (415) 555-1234", "233.233.171.252", "4111111111111111", "2024-02-29", "123-45-6789", "GB82WEST12345698765432"]
     left = ["4111111111111112", "2024-02-30", "1.2.3", "666-12-3456", "plain words", "", None]
     df = spark.createDataFrame([(i, v, 1) for i, v in enumerate([f"<{v}> and {v}, twice" for v in values] + left)], "doc_id bigint, text string, pii_extra int")
-    out = {r.doc_id: r for r in pii.pseudonymise(df).collect()}
+    out = {r.doc_id: r for r in pii.pseudonymise(df, 'k').collect()}
     assert "pii_extra" in out[0].asDict()
-    clash = pii.pseudonymise(df.withColumnRenamed("pii_extra", "pii_values"))
+    clash = pii.pseudonymise(df.withColumnRenamed("pii_extra", "pii_values"), 'k')
     assert clash.columns == ["doc_id", "text", "pii_values", "_pii_values"] and clash.where("doc_id = 0").first().text == out[0].text
     for i, v in enumerate(values):
         (a, p), (b, q) = out[i].pii_values
@@ -138,7 +138,7 @@ def test_forms_of_secrets_accounts_and_phones(spark):
     ]
     left = ["AT61 1904 3002 3457 3202", "12 345 678 9012 34", "1.555.123.4567.8", "tokens are words", "2.345.678.9012"]
     texts = secrets + [f"<{v}> THE END" for group in same for v in group] + left
-    out = [r.text for r in pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)).orderBy("doc_id").collect()]
+    out = [r.text for r in pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1), "k").orderBy("doc_id").collect()]
     for a, b in zip(secrets, out[: len(secrets)], strict=True):
         name = a[: max(a.find("="), a.find(":")) + 1]
         assert b.startswith(name) and b != a and len(b) == len(a)
@@ -244,7 +244,7 @@ def test_held_out_toxicity_and_quality(spark):
 def test_empty_tables(spark, docs):
     empty = docs.limit(0)
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
-    assert repeats.remove_repeats(empty).isEmpty() and near_duplicates.near_duplicates(empty).isEmpty() and pii.pseudonymise(empty).isEmpty()
+    assert repeats.remove_repeats(empty).isEmpty() and near_duplicates.near_duplicates(empty).isEmpty() and pii.pseudonymise(empty, 'k').isEmpty()
     assert byte_bpe.round_trip(empty).isEmpty() and importance.resample(empty, labels).isEmpty()
     assert toxicity.score(empty, toxicity.fit(empty, labels)).isEmpty()
     assert {r.score for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()} == {0.0}
@@ -356,7 +356,7 @@ def test_more_personal_data(spark):
     long = "x@" + "a." * 50_000
     texts = [long, long + "com", "ghp_abcdEFGH1234ijklMNOP5678qrst", "see 2001:0db8:85a3:0000:0000:8a2e:0370:7334 or fe80::1ff:fe23:4567:890a", "std::vector a::b 12:34:56", "", None]
     df = spark.createDataFrame([(i, t, 1) for i, t in enumerate([*texts, texts[3]])], "doc_id bigint, text string, pii_extra int")
-    out = [r.text for r in pii.pseudonymise(df.coalesce(1)).orderBy("doc_id").collect()]
+    out = [r.text for r in pii.pseudonymise(df.coalesce(1), "k").orderBy("doc_id").collect()]
     assert [out[0], out[4], out[5], out[6]] == [long, texts[4], "", None] and out[2][:4] == "ghp_" and out[2] != texts[2] and out[3] == out[7] != texts[3]
     assert len(out[3]) == len(texts[3]) and out[3].count(":") == texts[3].count(":")
     spark.conf.set(pii.KEY_SETTING, "another key")

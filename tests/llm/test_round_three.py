@@ -9,7 +9,7 @@ import zlib
 
 import pytest
 
-from tessella.llm import fill_in_middle, max_score, near_duplicates, substrings, target_resampling, url_filter
+from tessella.llm import fill_in_middle, max_score, near_duplicates, pii, substrings, target_resampling, url_filter
 
 WORDS = "alpha beta Gamma délta o_mega 42 sigma kappa lambda theta".split()
 
@@ -202,3 +202,31 @@ def test_url_list_decides_between_pages_of_one_host(spark):
     assert out == [(0, "block", True), (1, "block", True), (2, "allow", False), (3, "allow", False), (4, "allow", False), (5, "allow", False), (6, "allow", True), (6, "allow", True)]
     none = url_filter.judge(df, df.limit(0).select("url"))
     assert none.where("listed").isEmpty() and none.count() == 8 and url_filter.judge(df.limit(0), df.select("url")).isEmpty()
+
+
+def test_a_key_is_asked_for(spark):
+    df = spark.createDataFrame([(1, "call 555-123-4567")], "doc_id bigint, text string")
+    spark.conf.unset(pii.KEY_SETTING)
+    with pytest.raises(ValueError, match="secret key"):
+        pii.pseudonymise(df)
+    one = pii.pseudonymise(df, "a").first().text
+    assert one == pii.pseudonymise(df, "a").first().text != pii.pseudonymise(df, "b").first().text
+    key = pii.with_key(spark).conf.get(pii.KEY_SETTING)
+    assert len(key) == 64 and pii.with_key(spark).conf.get(pii.KEY_SETTING) == key and pii.pseudonymise(df).first().text != df.first().text
+    spark.conf.unset(pii.KEY_SETTING)
+
+
+def test_more_forms_of_cards_phones_dates_accounts_and_tokens(spark):
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U"
+    found = ["3782 822463 10005", "3782-822463-10005", "01 23 45 67 89", "01.23.45.67.89", "030 12345678", "0171/1234567", jwt, "password: correcthorsebattery", "15.3.2024", "2024/03/15", "gb82west12345698765432", "bob@exämple.de"]
+    left = ["01 23 45 67 89 01", "3782 822463 10006", "31.2.2024", "2024/13/15", "gb82west12345698765433", "password: needed", "my password is correcthorsebattery", "eyJust.a.name", "chapter 01 23"]
+    same = [["GB82WEST12345698765432", "gb82west12345698765432", "GB82 WEST 1234 5698 7654 32"], ["2024-03-15", "2024/03/15", "15.03.2024", "15.3.2024"]]
+    texts = [f"<{v}>" for v in found] + left + [v for g in same for v in g]
+    out = [r.text for r in pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1), "k").orderBy("doc_id").collect()]
+    for a, b in zip(found, out, strict=False):
+        assert b[1:-1] != a and (len(b) == len(a) + 2 or a == "15.3.2024") and [c.isalnum() for c in b] == [c.isalnum() for c in f"<{a}>"] or a == "15.3.2024"
+    assert out[len(found) : len(found) + len(left)] == left
+    ibans, dates = out[-7:-4], out[-4:]
+    assert len({x.replace(" ", "").upper() for x in ibans}) == 1 and ibans[1].islower()
+    y, m, d = dates[0].split("-")
+    assert dates == [f"{y}-{m}-{d}", f"{y}/{m}/{d}", f"{d}.{m}.{y}", f"{int(d)}.{int(m)}.{y}"]
