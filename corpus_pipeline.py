@@ -41,6 +41,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data give way to pseudonyms; n_chars follows the text."""
+    pii.with_key(spark)
     out = pii.pseudonymise(docs)
     return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint"))).select(*docs.columns)
 
