@@ -55,6 +55,11 @@ def with_floor(cells: DataFrame, column: str, q: float | None) -> DataFrame:
     return cells.withColumn("pass_qc", F.col("pass_qc") & F.coalesce(value >= at[q, "nearest"], F.lit(False))) if n else cells
 
 
+def group_medians(cells: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """(*keys, *columns, n): the median of each column and the number of cells of each group; a null key is a group, null values don't count."""
+    return cells.groupBy(*keys).agg(*[F.median(c).alias(c) for c in columns], F.count("*").alias("n"))
+
+
 def volume_normalised(counts: DataFrame, spine: DataFrame) -> DataFrame:
     return counts.join(spine.select("cell_id", "volume"), "cell_id").select("cell_id", "gene", (F.col("count") / F.col("volume")).alias("value"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -33,6 +33,49 @@ def selected_tiles(tiles: DataFrame, tile: int, how: str = "none", mask: DataFra
     raise ValueError(f"unknown filter {how}")
 
 
+def tile_maxima(pixels: DataFrame, tile: list[str]) -> DataFrame:
+    """(*tile, value): the largest value of each tile; null and NaN values don't count."""
+    return pixels.where(F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double"))).groupBy(*tile).agg(F.max("value").alias("value"))
+
+
+def otsu(values: DataFrame, bins: int = 256) -> DataFrame:
+    """One row (threshold): the middle of the bin, of ``bins`` equal ones from the least to the largest value, up to which and after which the values' means lie
+    furthest apart, weighed by their numbers (the first of equal ones); no row where all values are equal.
+
+    What is gathered is one row a bin.
+    """
+    ends = values.agg(F.min("value").cast("double").alias("low"), F.max("value").cast("double").alias("high"))
+    bin_ = F.least(F.floor((F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * bins), F.lit(bins - 1))
+    h = values.crossJoin(F.broadcast(ends)).where("low < high").groupBy("low", "high", bin_.alias("b")).agg(F.count("*").alias("n"))
+    upto, every = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy()
+    sums = h.select("low", "high", "b", F.sum("n").over(upto).alias("n0"), F.sum(F.col("n") * F.col("b")).over(upto).alias("s0"), F.sum("n").over(every).alias("n"), F.sum(F.col("n") * F.col("b")).over(every).alias("s"))
+    apart = F.col("s0") / F.col("n0") - (F.col("s") - F.col("s0")) / (F.col("n") - F.col("n0"))
+    between = F.col("n0").cast("double") * (F.col("n") - F.col("n0")) * apart * apart
+    return sums.where("n0 < n").orderBy(F.desc(between), "b").limit(1).select((F.col("low") + (F.col("b") + 0.5) * (F.col("high") - F.col("low")) / bins).alias("threshold"))
+
+
+def above_otsu(tiles: DataFrame, part: float = 0.5) -> DataFrame:
+    """``tiles`` with ``kept``: whether a tile's largest value is over ``part`` of the threshold of all tiles; all are kept where they are equal."""
+    found = tiles.crossJoin(F.broadcast(tiles.agg(F.count("*").alias("all")).join(otsu(tiles), F.lit(True), "left")))  # one row
+    return found.withColumn("kept", F.coalesce(F.col("value") > F.col("threshold") * part, F.lit(True))).drop("threshold", "all")
+
+
+def projected(stack: DataFrame) -> DataFrame:
+    """(row, col, value): the largest value of every pixel over a stack (row, col, z, value) without its first and last plane."""
+    ends = stack.agg(F.min("z").alias("z0"), F.max("z").alias("z1"))
+    return stack.crossJoin(F.broadcast(ends)).where("z > z0 AND z < z1").groupBy("row", "col").agg(F.max("value").alias("value"))  # one row
+
+
+def cut_tiles(pixels: DataFrame, tiles: DataFrame, tile: int) -> DataFrame:
+    """(tile_id, tile_row, tile_col, r, c, ...): each tile's pixels (row, col, ...) by their place in it; a pixel is in every tile that covers it."""
+    block = lambda c: F.floor(F.col(c) / tile)
+    at = F.explode(F.array(*[F.struct((block("row") + i).alias("br"), (block("col") + j).alias("bc")) for i in (0, 1) for j in (0, 1)]))
+    spread = tiles.select("tile_id", F.col("row").alias("tile_row"), F.col("col").alias("tile_col"), at.alias("at")).select("tile_id", "tile_row", "tile_col", "at.*")
+    r, c = F.col("row") - F.col("tile_row"), F.col("col") - F.col("tile_col")
+    met = pixels.withColumns({"br": block("row"), "bc": block("col")}).join(spread, ["br", "bc"]).where((r >= 0) & (r < tile) & (c >= 0) & (c < tile))
+    return met.withColumns({"r": r, "c": c}).drop("br", "bc", "row", "col")
+
+
 def averaged_tiles(pixels: DataFrame) -> DataFrame:
     """(row, col, value): tiles laid back into the whole, where they overlap by their mean; pixels are (tile_row, tile_col, r, c, value)."""
     return pixels.groupBy((F.col("tile_row") + F.col("r")).alias("row"), (F.col("tile_col") + F.col("c")).alias("col")).agg(F.avg("value").alias("value"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessella.operators import cells as C
 from tessella.operators import labels as L
 from tessella.operators import markers as M
+from tessella.operators import rasters as T
 from tessella.operators import space as S
 from tessella.plans import roles as R
 from tessella.plans import spatial  # noqa: F401 - registers its queries
@@ -25,13 +26,13 @@ FLAGSHIP = "cell_counts_polygons"
 
 @_query("SELECT entity_id, gene, count(*) AS n FROM points p JOIN boxes b ON p.z = b.z AND x > minx AND x < maxx AND y > miny AND y < maxy GROUP BY ALL")
 def cell_counts(spark, d):
-    return S.points_in_boxes(R.points(spark, d), R.boxes(spark)).groupBy("entity_id", "gene").agg(F.count("*").alias("n"))
+    return S.points_in_boxes(R.points(spark, d), R.boxes(spark, d)).groupBy("entity_id", "gene").agg(F.count("*").alias("n"))
 
 
 @_query("SELECT tx_id, coalesce(max(entity_id), -1) AS cell_id FROM points p LEFT JOIN boxes b ON p.z = b.z AND x > minx AND x < maxx AND y > miny AND y < maxy GROUP BY tx_id")
 def assigned_points(spark, d):
     p = R.points(spark, d)
-    return S.last_assignment(p, S.points_in_boxes(p, R.boxes(spark)))
+    return S.last_assignment(p, S.points_in_boxes(p, R.boxes(spark, d)))
 
 
 _GENES = [f"Brand#{i}{j}" for i in range(1, 6) for j in range(1, 6)]
@@ -46,7 +47,7 @@ def count_matrix(spark, d):
 @_query("SELECT entity_id, z, (maxx - minx) * (maxy - miny) AS area, 2 * (maxx - minx + maxy - miny) AS perimeter, (minx + maxx) / 2 AS cx, (miny + maxy) / 2 AS cy FROM boxes")
 def ring_measures(spark, d):
     area, perimeter, cx, cy = S.ring_sums(S.box_ring())
-    return _rounded(R.boxes(spark).select("entity_id", "z", area.alias("area"), perimeter.alias("perimeter"), cx.alias("cx"), cy.alias("cy")), 6, "area", "perimeter", "cx", "cy")
+    return _rounded(R.boxes(spark, d).select("entity_id", "z", area.alias("area"), perimeter.alias("perimeter"), cx.alias("cx"), cy.alias("cy")), 6, "area", "perimeter", "cx", "cy")
 
 
 @_query("""WITH l AS (SELECT entity_id, z, (z + 1) * 1.5 AS level, (maxx - minx) * (maxy - miny) AS area, (minx + maxx) / 2 AS cx, minx, maxx FROM boxes),
@@ -54,7 +55,7 @@ d AS (SELECT *, level - lag(level, 1, 0) OVER (PARTITION BY entity_id ORDER BY z
 SELECT entity_id, CAST(sum(area * depth) AS DOUBLE) AS volume, avg(cx) AS center_x, min(minx) AS min_x, max(maxx) AS max_x FROM d GROUP BY entity_id""")
 def entity_metadata(spark, d):
     area, _, cx, _ = S.ring_sums(S.box_ring())
-    rows = R.boxes(spark).select("entity_id", "z", "minx", "maxx", area.alias("area"), cx.alias("cx"), ((F.col("z") + 1) * 1.5).alias("level"))
+    rows = R.boxes(spark, d).select("entity_id", "z", "minx", "maxx", area.alias("area"), cx.alias("cx"), ((F.col("z") + 1) * 1.5).alias("level"))
     depth = F.col("level") - F.lag("level", 1, 0.0).over(Window.partitionBy("entity_id").orderBy("z"))
     return rows.withColumn("depth", depth).groupBy("entity_id").agg(F.sum(F.col("area") * F.col("depth")).alias("volume"), F.avg("cx").alias("center_x"), F.min("minx").alias("min_x"), F.max("maxx").alias("max_x"))
 
@@ -63,24 +64,24 @@ _SHIFTED = "shifted AS (SELECT entity_id, z, minx + 2 AS minx, miny + 3 AS miny,
 _OVERLAPS = f"{_SHIFTED}, pairs AS (SELECT a.entity_id AS id_a, b.entity_id AS id_b, sum((least(a.maxx, b.maxx) - greatest(a.minx, b.minx)) * (least(a.maxy, b.maxy) - greatest(a.miny, b.miny))) AS area FROM boxes a JOIN shifted b ON a.z = b.z AND a.minx < b.maxx AND b.minx < a.maxx AND a.miny < b.maxy AND b.miny < a.maxy GROUP BY ALL)"
 
 
-def _shifted(spark: SparkSession) -> DataFrame:
-    return R.boxes(spark).withColumns({c: F.col(c) + (2 if c.endswith("x") else 3) for c in ("minx", "miny", "maxx", "maxy")})
+def _shifted(spark: SparkSession, d: str) -> DataFrame:
+    return R.boxes(spark, d).withColumns({c: F.col(c) + (2 if c.endswith("x") else 3) for c in ("minx", "miny", "maxx", "maxy")})
 
 
 @_query(f"WITH {_OVERLAPS} SELECT * FROM pairs")
 def segmentation_overlaps(spark, d):
-    return S.overlapping_boxes(R.boxes(spark), _shifted(spark))
+    return S.overlapping_boxes(R.boxes(spark, d), _shifted(spark, d))
 
 
 @_query(f"""WITH {_OVERLAPS}, a AS (SELECT *, row_number() OVER (PARTITION BY id_a ORDER BY area DESC, id_b) AS r FROM pairs),
 b AS (SELECT *, row_number() OVER (PARTITION BY id_b ORDER BY area DESC, id_a) AS r2 FROM a WHERE r = 1) SELECT id_a, id_b, area FROM b WHERE r2 = 1""")
 def segmentation_alignment(spark, d):
-    return S.one_to_one(S.overlapping_boxes(R.boxes(spark), _shifted(spark)))
+    return S.one_to_one(S.overlapping_boxes(R.boxes(spark, d), _shifted(spark, d)))
 
 
 @_query("SELECT DISTINCT a.entity_id AS id_a, b.entity_id AS id_b FROM boxes a JOIN boxes b ON a.z = b.z AND a.entity_id < b.entity_id AND a.minx < b.maxx AND b.minx < a.maxx AND a.miny < b.maxy AND b.miny < a.maxy")
 def self_overlaps(spark, d):
-    return S.overlapping_boxes(R.boxes(spark), R.boxes(spark)).where("id_a < id_b").select("id_a", "id_b")
+    return S.overlapping_boxes(R.boxes(spark, d), R.boxes(spark, d)).where("id_a < id_b").select("id_a", "id_b")
 
 
 @_query("SELECT tx_id, CASE WHEN cell_hint IN (SELECT cell_id FROM cells WHERE dapi > 50) THEN cell_hint ELSE -1 END AS cell_id FROM points")
@@ -89,9 +90,9 @@ def unassigned_points(spark, d):
     return R.points(spark, d).join(keep, "cell_hint", "left").select("tx_id", F.when(F.col("keep"), F.col("cell_hint")).otherwise(-1).alias("cell_id"))
 
 
-@_query("SELECT entity_id, z + k AS z FROM (SELECT * FROM boxes WHERE z = 0) CROSS JOIN range(3) r(k)")
+@_query("SELECT entity_id, z + k AS z FROM boxes CROSS JOIN range(3) r(k)")
 def replicated_planes(spark, d):
-    return R.boxes(spark).where("z = 0").select("entity_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(2).cast("bigint"))).alias("z"))
+    return R.boxes(spark, d).select("entity_id", F.explode(F.sequence(F.col("z").cast("bigint"), F.col("z").cast("bigint") + 2)).alias("z"))
 
 
 # Quality control and normalisation
@@ -118,9 +119,12 @@ def filtered_cells(spark, d):
     return C.filter_cells(_metrics(spark, d), {"volume": (500, 9000), "n_count": (100, None)}, ["volume", "n_count"], 0.05, 0.95).select("cell_id", "n_count", "pass_qc_pre", "pass_qc")
 
 
-@_query("SELECT dapi AS value FROM (SELECT dapi, row_number() OVER (ORDER BY dapi) - 1 AS i, count(*) OVER () AS n FROM cells) WHERE i = floor(0.9 * (n - 1) + 0.5)")
+@_query(f"""WITH {_METRICS}, {_PRE}, f AS (SELECT dapi, row_number() OVER (ORDER BY dapi) - 1 AS i, count(*) OVER () AS n FROM p JOIN cells c ON p.cell_id = c.cell_id WHERE NOT pass_qc_pre),
+q AS (SELECT max(dapi) AS least FROM f WHERE i = floor(0.4 * (n - 1) + 0.5)) SELECT p.cell_id, pass_qc_pre, pass_qc_pre AND dapi >= coalesce(least, dapi) AS pass_qc FROM p JOIN cells c ON p.cell_id = c.cell_id CROSS JOIN q""")
 def nearest_floor(spark, d):
-    return C.nearest_quantile(R.cells(spark, d), "dapi", 0.9)
+    rows = _metrics(spark, d).join(R.cells(spark, d).select("cell_id", "dapi"), "cell_id")
+    rows = rows.withColumn("pass_qc_pre", C.within({"volume": (500, 9000), "n_count": (100, None)})).withColumn("pass_qc", F.col("pass_qc_pre"))
+    return C.with_floor(rows, "dapi", 0.4).select("cell_id", "pass_qc_pre", "pass_qc")
 
 
 @_query("SELECT median(volume) * 3 AS volume_max, greatest(median(dapi) * 2, 90) AS dapi_max FROM cells")
@@ -222,14 +226,18 @@ def mask_components(spark, d):
     return S.mask_components(p.select(F.floor(F.col("y") / 5).alias("row"), F.floor(F.col("x") / 5).alias("col")).distinct())
 
 
-@_query("SELECT CAST(row_number() OVER (ORDER BY r, c) - 1 AS INTEGER) AS tile_id, r AS row, c AS col FROM (VALUES (0), (24), (32)) a(r) CROSS JOIN (VALUES (0), (24), (40)) b(c)")
+@_query("""WITH n AS (SELECT CAST(ceil(max(y)) AS BIGINT) AS h, CAST(ceil(max(x)) AS BIGINT) AS w FROM points), r AS (SELECT unnest(range(0, greatest(h - 32, 0) + 1, 24)) AS r FROM n UNION SELECT greatest(h - 32, 0) FROM n),
+c AS (SELECT unnest(range(0, greatest(w - 32, 0) + 1, 24)) AS c FROM n UNION SELECT greatest(w - 32, 0) FROM n) SELECT CAST(row_number() OVER (ORDER BY r, c) - 1 AS INTEGER) AS tile_id, CAST(r AS INTEGER) AS row, CAST(c AS INTEGER) AS col FROM r CROSS JOIN c""")
 def tile_index(spark, d):
-    return S.tile_index(64, 72, 32, 8, spark).select("tile_id", "row", "col")
+    tall, wide = R.points(spark, d).agg(F.ceil(F.max("y")), F.ceil(F.max("x"))).first()
+    return S.tile_index(tall, wide, 32, 8, spark).select("tile_id", "row", "col")
 
 
-@_query("SELECT CAST(floor(y / 20) AS BIGINT) AS row, CAST(floor(x / 20) AS BIGINT) AS col, max(z) AS top, count(*) FILTER (z = 3) AS middle FROM points GROUP BY ALL")
+@_query("""WITH p AS (SELECT CAST(floor(y / 20) AS BIGINT) AS row, CAST(floor(x / 20) AS BIGINT) AS col, z, count(*) AS value FROM points GROUP BY ALL)
+SELECT row, col, max(value) AS value FROM p WHERE z > (SELECT min(z) FROM p) AND z < (SELECT max(z) FROM p) GROUP BY ALL""")
 def projected_planes(spark, d):
-    return R.points(spark, d).groupBy(F.floor(F.col("y") / 20).alias("row"), F.floor(F.col("x") / 20).alias("col")).agg(F.max("z").alias("top"), F.count_if(F.col("z") == 3).alias("middle"))
+    stack = R.points(spark, d).groupBy(F.floor(F.col("y") / 20).alias("row"), F.floor(F.col("x") / 20).alias("col"), "z").agg(F.count("*").alias("value"))
+    return T.projected(stack)
 
 
 # Labels
@@ -380,10 +388,18 @@ def volcano(spark, d):
 # Reports
 
 
-@_query(f"WITH {_METRICS} SELECT donor, median(n_count) AS n_count, median(n_feature) AS n_feature, median(m.volume) AS volume, count(*) AS n FROM m JOIN cells c ON m.cell_id = c.cell_id GROUP BY donor")
+_KEYS = ["donor", "region", "cluster", "lab", "experiment", "segmentation", "replicate"]
+
+
+@_query(f"""WITH {_METRICS}, k AS (SELECT m.*, donor, region, cluster, concat('lab', m.cell_id % 3) AS lab, concat('e', CAST(center_x AS BIGINT) % 2) AS experiment, CASE WHEN dapi > 50 THEN 'nuclear' ELSE 'whole' END AS segmentation, m.cell_id % 2 AS replicate FROM m JOIN cells c ON m.cell_id = c.cell_id)
+SELECT {", ".join(_KEYS)}, median(n_count) AS n_count, median(n_feature) AS n_feature, median(volume) AS volume, count(*) AS n FROM k GROUP BY {", ".join(_KEYS)}""")
 def donor_medians(spark, d):
-    rows = _metrics(spark, d).join(R.cells(spark, d).select("cell_id", "donor"), "cell_id")
-    return rows.groupBy("donor").agg(*[F.median(c).alias(c) for c in ("n_count", "n_feature", "volume")], F.count("*").alias("n"))
+    named = {
+        "lab": F.concat(F.lit("lab"), (F.col("cell_id") % 3).cast("string")), "experiment": F.concat(F.lit("e"), (F.col("center_x").cast("bigint") % 2).cast("string")),
+        "segmentation": F.when(F.col("dapi") > 50, "nuclear").otherwise("whole"), "replicate": F.col("cell_id") % 2,
+    }
+    rows = _metrics(spark, d).join(R.cells(spark, d).drop("volume"), "cell_id").withColumns(named)
+    return C.group_medians(rows, _KEYS, ["n_count", "n_feature", "volume"])
 
 
 @_query("SELECT gene, n_soma, n_outside, round(n_soma / (n_soma + n_outside), 6) AS soma, round(log10(n_soma + n_outside + 1), 6) AS size FROM (SELECT gene, count(*) FILTER (cell_hint > 50) AS n_soma, count(*) FILTER (NOT cell_hint > 50) AS n_outside FROM points GROUP BY gene)")
@@ -431,15 +447,14 @@ def feature_histogram(spark, d):
     return rows.crossJoin(F.broadcast(ends)).groupBy(bin_.alias("bin")).agg(F.count("*").alias("n"))
 
 
-@_query("""WITH h AS (SELECT CAST(floor(least(value, 255)) AS BIGINT) AS b, count(*) AS n FROM events GROUP BY 1), c AS (SELECT b, sum(n) OVER w AS n0, sum(n * b) OVER w AS s0, sum(n) OVER () AS n, sum(n * b) OVER () AS s FROM h WINDOW w AS (ORDER BY b ROWS UNBOUNDED PRECEDING))
-SELECT CAST(b AS BIGINT) AS threshold FROM c WHERE n0 < n ORDER BY CAST(n0 AS DOUBLE) * (n - n0) * (s0 / n0 - (s - s0) / (n - n0)) * (s0 / n0 - (s - s0) / (n - n0)) DESC, b LIMIT 1""")
+@_query("""WITH t AS (SELECT CAST(floor(y / 16) AS BIGINT) AS row, CAST(floor(x / 16) AS BIGINT) AS col, max(x + y) AS value FROM points GROUP BY ALL), e AS (SELECT min(value) AS lo, max(value) AS hi FROM t),
+h AS (SELECT least(CAST(floor((value - lo) / (hi - lo) * 256) AS BIGINT), 255) AS b, count(*) AS n FROM t, e GROUP BY 1),
+c AS (SELECT b, sum(n) OVER w AS n0, sum(n * b) OVER w AS s0, sum(n) OVER () AS n, sum(n * b) OVER () AS s FROM h WINDOW w AS (ORDER BY b ROWS UNBOUNDED PRECEDING)),
+o AS (SELECT b FROM c WHERE n0 < n ORDER BY CAST(n0 AS DOUBLE) * (n - n0) * (s0 / n0 - (s - s0) / (n - n0)) * (s0 / n0 - (s - s0) / (n - n0)) DESC, b LIMIT 1)
+SELECT row, col, round(value, 6) AS value, value > (lo + (b + 0.5) * (hi - lo) / 256) / 2 AS kept FROM t, e, o""")
 def otsu_threshold(spark, d):
-    h = table(spark, d, "events").groupBy(F.floor(F.least("value", F.lit(255.0))).alias("b")).agg(F.count("*").alias("n"))  # 256 rows at most
-    upto, all_ = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy()
-    c = h.select("b", F.sum("n").over(upto).alias("n0"), F.sum(F.col("n") * F.col("b")).over(upto).alias("s0"), F.sum("n").over(all_).alias("n"), F.sum(F.col("n") * F.col("b")).over(all_).alias("s")).where("n0 < n")
-    apart = F.col("s0") / F.col("n0") - (F.col("s") - F.col("s0")) / (F.col("n") - F.col("n0"))
-    between = F.col("n0").cast("double") * (F.col("n") - F.col("n0")) * apart * apart
-    return c.orderBy(F.desc(between), "b").limit(1).select(F.col("b").alias("threshold"))
+    tiles = T.tile_maxima(R.points(spark, d).select(F.floor(F.col("y") / 16).alias("row"), F.floor(F.col("x") / 16).alias("col"), (F.col("x") + F.col("y")).alias("value")), ["row", "col"])
+    return _rounded(T.above_otsu(tiles), 6, "value")
 
 
 @_query("SELECT tx_id, round(2 * x + 0.5 * y + 3, 6) AS mosaic_x, round(-0.5 * x + 2 * y - 7, 6) AS mosaic_y, round_even(z / 1.5, 0) - 1 AS z_index, (z + 1) * 1.5 AS z_level FROM points")
@@ -485,11 +500,11 @@ def manifest(spark, d):
     return n.groupBy("region").agg(F.to_json(F.array_sort(F.collect_list(F.struct("donor", "n")))).alias("manifest"))
 
 
-@_query("SELECT donor, n FROM (SELECT donor, 0 - count(*) AS n FROM cells WHERE cluster = 1 GROUP BY 1) WHERE donor NOT IN (SELECT donor FROM cells WHERE cluster = 2) UNION ALL SELECT donor, count(*) FROM cells WHERE cluster = 2 GROUP BY 1")
+@_query("SELECT donor, CASE WHEN count(*) FILTER (cluster > 1) > 0 THEN count(*) FILTER (cluster > 1) ELSE 0 - count(*) END AS n FROM cells GROUP BY donor")
 def upserted_metrics(spark, d):
     rows = R.cells(spark, d)
-    old = rows.where("cluster = 1").groupBy("donor").agg((-F.count("*")).alias("n"))
-    new = rows.where("cluster = 2").groupBy("donor").agg(F.count("*").alias("n"))
+    old = rows.groupBy("donor").agg((-F.count("*")).alias("n"))
+    new = rows.where("cluster > 1").groupBy("donor").agg(F.count("*").alias("n"))
     return old.join(new, "donor", "left_anti").unionByName(new)
 
 

@@ -12,7 +12,7 @@ SQL = {
     "cell_gene": "SELECT l_suppkey AS cell_id, p_brand AS gene, ends_with(p_brand, '5') AS is_blank, sum(l_quantity) AS count FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL",
     "cells": "SELECT s_suppkey AS cell_id, n_name AS donor, r_name AS region, abs(s_acctbal) + 1 AS volume, CAST(s_suppkey % 17 AS DOUBLE) AS center_x, CAST(s_suppkey % 13 AS DOUBLE) AS center_y, CAST((s_suppkey * 37) % 101 AS DOUBLE) AS dapi, s_suppkey % 4 AS cluster FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey",
     "points": "SELECT event_id AS tx_id, event_type AS gene, value AS x, CAST(json_extract_string(props, '$.k') AS DOUBLE) + 0.5 AS y, CAST(event_id % 7 AS INTEGER) AS z, user_id AS cell_hint FROM events",
-    "boxes": "SELECT CAST(i * 10 + j AS BIGINT) AS entity_id, CAST(z AS INTEGER) AS z, 8.0::DOUBLE * i AS minx, 10.0::DOUBLE * j AS miny, 8.0::DOUBLE * i + 9 AS maxx, 10.0::DOUBLE * j + 9 AS maxy FROM range(12) a(i), range(10) b(j), range(7) c(z)",
+    "boxes": "SELECT s_suppkey AS entity_id, CAST((s_suppkey + k) % 7 AS INTEGER) AS z, CAST((s_suppkey * 7) % 90 AS DOUBLE) AS minx, CAST((s_suppkey * 13) % 90 AS DOUBLE) AS miny, CAST((s_suppkey * 7) % 90 + 6 + s_suppkey % 4 AS DOUBLE) AS maxx, CAST((s_suppkey * 13) % 90 + 6 + s_suppkey % 5 AS DOUBLE) AS maxy FROM supplier CROSS JOIN range(2) r(k)",
     "shapes": "SELECT s_suppkey AS entity_id, CAST((s_suppkey + k) % 7 AS INTEGER) AS z, CAST((s_suppkey * 7) % 90 AS DOUBLE) AS x0, CAST((s_suppkey * 13) % 90 AS DOUBLE) AS y0 FROM supplier CROSS JOIN range(2) r(k)",
     "outlines": "SELECT s_suppkey AS entity_id, CAST((s_suppkey + k) % 7 AS INTEGER) AS z, (s_suppkey * 7) % 90 AS x0, (s_suppkey * 13) % 90 AS y0, 6 + s_suppkey % 4 AS w, 6 + s_suppkey % 5 AS h, 2 + s_suppkey % 3 AS a, 3 + s_suppkey % 2 AS b, s_suppkey % 3 > 0 AS hole FROM supplier CROSS JOIN range(2) r(k)",
     "votes": "SELECT l_orderkey AS query_id, l_suppkey AS ref_id, CAST(l_discount AS DOUBLE) AS distance, s_nationkey AS label FROM lineitem JOIN supplier ON l_suppkey = s_suppkey",
@@ -53,11 +53,11 @@ def points(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select(F.col("event_id").alias("tx_id"), F.col("event_type").alias("gene"), F.col("value").alias("x"), y.alias("y"), (F.col("event_id") % 7).cast("int").alias("z"), F.col("user_id").alias("cell_hint"))
 
 
-def boxes(spark: SparkSession) -> DataFrame:
-    """(entity_id, z, minx, miny, maxx, maxy): overlapping boxes on seven planes."""
-    n = spark.range(12 * 10 * 7)
-    i, j = F.floor(F.col("id") / 70), F.floor(F.col("id") / 7) % 10
-    return n.select((i * 10 + j).alias("entity_id"), (F.col("id") % 7).cast("int").alias("z"), (8.0 * i).alias("minx"), (10.0 * j).alias("miny"), (8.0 * i + 9).alias("maxx"), (10.0 * j + 9).alias("maxy"))
+def boxes(spark: SparkSession, d: str) -> DataFrame:
+    """(entity_id, z, minx, miny, maxx, maxy): the bounds of the outlines, on two planes each."""
+    number = lambda c: c.cast("double")
+    x, y, w, h = map(F.col, ("x0", "y0", "w", "h"))
+    return outlines(spark, d).select("entity_id", "z", number(x).alias("minx"), number(y).alias("miny"), number(x + w).alias("maxx"), number(y + h).alias("maxy"))
 
 
 def labelled(spark: SparkSession, d: str) -> DataFrame:

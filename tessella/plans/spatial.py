@@ -189,23 +189,27 @@ def called_regions(spark, d):
     return rounded(found.select("region", O.area(F.col("polygon")).alias("area"), F.size("polygon").alias("rings")), 6, "area")
 
 
-_TILES = "tiles AS (SELECT CAST(row_number() OVER (ORDER BY r, c) - 1 AS INTEGER) AS tile_id, r AS row, c AS col FROM (VALUES (0), (24), (48), (68)) a(r) CROSS JOIN (VALUES (0), (24), (48), (68)) b(c))"
+_TILES = """n AS (SELECT CAST(ceil(max(y)) AS BIGINT) AS h, CAST(ceil(max(x)) AS BIGINT) AS w FROM points), rs AS (SELECT unnest(range(0, greatest(h - 32, 0) + 1, 24)) AS r FROM n UNION SELECT greatest(h - 32, 0) FROM n),
+cs AS (SELECT unnest(range(0, greatest(w - 32, 0) + 1, 24)) AS c FROM n UNION SELECT greatest(w - 32, 0) FROM n), tiles AS (SELECT CAST(row_number() OVER (ORDER BY r, c) - 1 AS INTEGER) AS tile_id, CAST(r AS INTEGER) AS row, CAST(c AS INTEGER) AS col FROM rs CROSS JOIN cs)"""
 
 
-@query(f"WITH {_TILES}, pixels AS (SELECT DISTINCT CAST(floor(y) AS BIGINT) AS pr, CAST(floor(x) AS BIGINT) AS pc FROM points WHERE gene = 'purchase' AND x > 90) SELECT tile_id, row, col FROM tiles WHERE EXISTS (SELECT 1 FROM pixels WHERE pr BETWEEN row AND row + 31 AND pc BETWEEN col AND col + 31)")
+def _tiles(spark, d):
+    tall, wide = R.points(spark, d).agg(F.ceil(F.max("y")), F.ceil(F.max("x"))).first()
+    return S.tile_index(tall, wide, 32, 8, spark)
+
+
+@query(f"WITH {_TILES}, pixels AS (SELECT DISTINCT CAST(floor(y) AS BIGINT) AS pr, CAST(floor(x) AS BIGINT) AS pc FROM points) SELECT tile_id, row, col FROM tiles WHERE EXISTS (SELECT 1 FROM pixels WHERE pr BETWEEN row AND row + 31 AND pc BETWEEN col AND col + 31)")
 def tissue_tiles(spark, d):
-    mask = R.points(spark, d).where("gene = 'purchase' AND x > 90").select(F.floor("y").alias("row"), F.floor("x").alias("col")).distinct()
-    return T.selected_tiles(S.tile_index(100, 100, 32, 8, spark), 32, "tissue_mask", mask=mask).select("tile_id", "row", "col")
+    mask = R.points(spark, d).select(F.floor("y").alias("row"), F.floor("x").alias("col")).distinct()
+    return T.selected_tiles(_tiles(spark, d), 32, "tissue_mask", mask=mask).select("tile_id", "row", "col")
 
 
-@query(f"""WITH {_TILES}, pixels AS (SELECT CAST(floor(y) AS BIGINT) AS pr, CAST(floor(x) AS BIGINT) AS pc, count(*) AS n FROM points WHERE x < 100 GROUP BY ALL)
+@query(f"""WITH {_TILES}, pixels AS (SELECT CAST(floor(y) AS BIGINT) AS pr, CAST(floor(x) AS BIGINT) AS pc, count(*) AS n FROM points GROUP BY ALL)
 SELECT pr AS row, pc AS col, round(avg(n + tile_id % 3), 6) AS value FROM pixels JOIN tiles ON pr BETWEEN row AND row + 31 AND pc BETWEEN col AND col + 31 GROUP BY ALL""")
 def averaged_tiles(spark, d):
-    pixels = R.points(spark, d).where("x < 100").groupBy(F.floor("y").alias("pr"), F.floor("x").alias("pc")).agg(F.count("*").alias("n"))
-    tiles = S.tile_index(100, 100, 32, 8, spark)
-    cut = pixels.join(F.broadcast(tiles), F.col("pr").between(F.col("row"), F.col("row") + 31) & F.col("pc").between(F.col("col"), F.col("col") + 31))  # sixteen tiles
-    out = T.averaged_tiles(cut.select(F.col("row").alias("tile_row"), F.col("col").alias("tile_col"), (F.col("pr") - F.col("row")).alias("r"), (F.col("pc") - F.col("col")).alias("c"), (F.col("n") + F.col("tile_id") % 3).alias("value")))
-    return rounded(out, 6, "value")
+    pixels = R.points(spark, d).groupBy(F.floor("y").alias("row"), F.floor("x").alias("col")).agg(F.count("*").alias("n"))
+    tiled = T.cut_tiles(pixels, _tiles(spark, d), 32).withColumn("value", F.col("n") + F.col("tile_id") % 3)
+    return rounded(T.averaged_tiles(tiled), 6, "value")
 
 
 @query("SELECT tx_id, z + 2 AS z FROM points UNION ALL SELECT tx_id, CAST(k AS BIGINT) FROM points, range(2) r(k) WHERE z = 0 UNION ALL SELECT tx_id, CAST(9 + k AS BIGINT) FROM points, range(2) r(k) WHERE z = 6")
@@ -238,17 +242,19 @@ p AS (SELECT *, t * exp(-z * z / 2 - 1.26551223 + t * (1.00002368 + t * (0.37409
 
 @query(f"""WITH {_TESTED}, k AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY p) AS k, count(*) OVER (PARTITION BY cluster) AS n FROM p),
 q AS (SELECT *, least(1, min(p * n / k) OVER (PARTITION BY cluster ORDER BY k DESC)) AS p_adj FROM k)
-SELECT gene, cluster, u, round(z, 6) AS z, round(p, 6) AS p, round(p_adj, 6) AS p_adj, round(lfc, 6) AS log2_fold_change, p_adj < 0.05 AND abs(lfc) > 0.05 AS significant FROM q""")
+SELECT gene, cluster, u, round(z, 6) AS z, round(p, 6) AS p, round(p_adj, 6) AS p_adj, round(lfc, 6) AS log2_fold_change, p_adj < 0.05 AND abs(lfc) > 0.05 AS significant,
+ row_number() OVER (PARTITION BY cluster ORDER BY p_adj < 0.05 AND abs(lfc) > 0.05 DESC, p_adj, lfc DESC, gene) AS rank FROM q""")
 def marker_tests(spark, d):
     out = M.one_against_rest(R.cell_gene(spark, d), R.cells(spark, d), min_cells=1, lfc_at=0.05, log1p=False)
-    return rounded(out.drop("rank"), 6, "z", "p", "p_adj", "log2_fold_change")
+    return rounded(out, 6, "z", "p", "p_adj", "log2_fold_change")
 
 
 @query(f"""WITH {_TESTED}, b AS (SELECT *, least(1, p * count(*) OVER (PARTITION BY cluster)) AS p_adj FROM p), c AS (SELECT *, p_adj < 0.5 AND abs(lfc) > 0.01 AS s FROM b)
-SELECT cluster, count(*) AS genes_tested, count(*) FILTER (s) AS significant_genes, count(*) FILTER (s AND lfc > 0) AS upregulated, count(*) FILTER (s AND lfc < 0) AS downregulated FROM c GROUP BY cluster""")
+SELECT cluster, count(*) AS genes_tested, count(*) FILTER (s) AS significant_genes, count(*) FILTER (s AND lfc > 0) AS upregulated, count(*) FILTER (s AND lfc < 0) AS downregulated,
+ coalesce(array_to_string((list(gene ORDER BY p_adj, lfc DESC, gene) FILTER (s AND lfc > 0))[:5], ','), '') AS top_up, coalesce(array_to_string((list(gene ORDER BY p_adj, lfc DESC, gene) FILTER (s AND lfc < 0))[:5], ','), '') AS top_down FROM c GROUP BY cluster""")
 def marker_summary(spark, d):
     out = M.one_against_rest(R.cell_gene(spark, d), R.cells(spark, d), min_cells=1, correction="bonferroni", p_at=0.5, lfc_at=0.01, log1p=False)
-    return M.marker_summary(out).drop("top_up", "top_down")
+    return M.marker_summary(out, 5).withColumns({c: F.array_join(c, ",") for c in ("top_up", "top_down")})
 
 
 _AUC = f"{_DENSE}, auc AS (SELECT a.gene, a.cluster AS a, b.cluster AS b, avg(CASE WHEN a.v > b.v THEN 1.0 WHEN a.v = b.v THEN 0.5 ELSE 0.0 END) AS auc FROM dense a JOIN dense b ON a.gene = b.gene AND a.cluster <> b.cluster GROUP BY ALL)"
@@ -422,12 +428,13 @@ def boundaries_from_parquet(spark, d):
     return readers.read_boundaries(spark, path).select("entity_id", "z", F.round(G.area(F.col("polygon")), 6).alias("area"))
 
 
-@query("SELECT region, donor, count(*) AS n FROM cells WHERE cluster = 1 AND (region, donor) NOT IN (SELECT (region, donor) FROM cells WHERE cluster = 2) GROUP BY ALL UNION ALL SELECT region, donor, count(*) + 1000 FROM cells WHERE cluster = 2 GROUP BY ALL")
+@query("SELECT region, donor, CASE WHEN count(*) FILTER (cluster > 1) > 0 THEN count(*) FILTER (cluster > 1) + 1000 ELSE count(*) END AS n FROM cells GROUP BY ALL")
 def upserted_table(spark, d):
     path = _path(spark, "metrics")
-    of = lambda k, more: R.cells(spark, d).where(F.col("cluster") == k).groupBy("region", "donor").agg((F.count("*") + more).alias("n"))
-    writers.upsert(of(1, 0), path, ["region", "donor"])
-    writers.upsert(of(2, 1000), path, ["region", "donor"])
+    of = lambda rows, more: rows.groupBy("region", "donor").agg((F.count("*") + more).alias("n"))
+    cells = R.cells(spark, d)
+    writers.upsert(of(cells, 0), path, ["region", "donor"])
+    writers.upsert(of(cells.where("cluster > 1"), 1000), path, ["region", "donor"])
     return spark.read.parquet(path)
 
 
