@@ -13,6 +13,7 @@ from tessella.operators import embedding as E
 from tessella.operators import harmony as H
 from tessella.operators import labels as L
 from tessella.operators import markers as M
+from tessella.operators import outlines as Y
 from tessella.operators import polygons as P
 from tessella.operators import quantiles as Q
 from tessella.operators import rasters as T
@@ -227,6 +228,28 @@ def tight_range(spark, d):
     return rounded(spark.createDataFrame([(low, high)], "low double, high double"), 6, "low", "high")
 
 
+# Masks and their polygons
+
+_PARTS = """RECURSIVE cell AS (SELECT DISTINCT CAST(floor(y / 5) AS BIGINT) AS row, CAST(floor(x / 5) AS BIGINT) AS col FROM points), reach AS (SELECT row, col, row * 2147483648 + col AS component FROM cell
+ UNION SELECT c.row, c.col, r.component FROM reach r JOIN cell c ON abs(c.row - r.row) + abs(c.col - r.col) = 1), part AS (SELECT row, col, min(component) AS label FROM reach GROUP BY ALL)"""
+
+
+def _part_polygons(spark, d):
+    mask = R.points(spark, d).select(F.floor(F.col("y") / 5).alias("row"), F.floor(F.col("x") / 5).alias("col")).distinct()
+    return Y.mask_polygons(S.mask_components(mask).withColumnRenamed("component", "label"), 5.0)
+
+
+@query(f"WITH {_PARTS} SELECT label, 25.0::DOUBLE * count(*) AS area, 5.0::DOUBLE * min(col) AS min_x, 5.0::DOUBLE * max(row) + 5 AS max_y FROM part GROUP BY label")
+def mask_polygons(spark, d):
+    bounds = G.bounds(F.col("polygon"))
+    return rounded(_part_polygons(spark, d).select("label", O.area(F.col("polygon")).alias("area"), bounds["minx"].alias("min_x"), bounds["maxy"].alias("max_y")), 6, "area")
+
+
+@query(f"WITH {_PARTS} SELECT label, row, col FROM part")
+def filled_polygons(spark, d):
+    return Y.filled(_part_polygons(spark, d), 5.0)
+
+
 # Markers
 
 _DENSE = """sizes AS (SELECT cluster, count(*) AS n1 FROM cells GROUP BY 1), genes AS (SELECT DISTINCT gene FROM cell_gene), dense AS (SELECT c.cell_id, c.cluster, genes.gene, coalesce(count, 0) AS v FROM cells c CROSS JOIN genes LEFT JOIN cell_gene g ON g.cell_id = c.cell_id AND g.gene = genes.gene)"""
