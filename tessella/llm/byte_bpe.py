@@ -26,6 +26,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +36,9 @@ from tessella.llm.words import batches, hold
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Words that one recursive query takes, pieces a worker remembers, and bytes from which a word is cut.
-WORDS, KEPT, LONG = 20_000, 150_000, 64
+WORDS, KEPT, LONG = 20_000, 100_000, 64
+#: Bytes of the texts that are worked on together.
+TOGETHER = 500_000
 
 CONTRACT = """
 WITH RECURSIVE bpe(word, tokens) USING KEY (word) AS (
@@ -278,25 +281,37 @@ def decode(coded: DataFrame, id_col: str = "doc_id", vocabulary: str | None = No
     return coded.select(id_col, F.coalesce("ids", F.lit("")).alias("ids")).mapInPandas(run, f"{id_col} bigint, bytes binary")
 
 
-def round_trip(docs: DataFrame, id_col: str = "doc_id", vocabulary: str | None = None) -> DataFrame:
-    """(id, n_tokens, ids, ids_sha256, decoded, decoded_sha256): encoding and then decoding the ids, in one pass over the rows."""
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``TOGETHER`` bytes of text, one row at least; only a slice is ever turned into Python strings."""
+    part = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64)) // TOGETHER
+    first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else part
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), batch.num_rows], strict=bool(len(part))):
+        yield batch.slice(a, b - a)
+
+
+def round_trip(docs: DataFrame, id_col: str = "doc_id", vocabulary: str | None = None, with_bytes: bool = True) -> DataFrame:
+    """(id, n_tokens, ids, ids_sha256, decoded, decoded_sha256): encoding and then decoding the ids, in one pass over the rows.
+
+    Without ``with_bytes`` the decoded bytes give their digest only, and ``decoded`` is null.
+    """
     path, pattern = _default(vocabulary)
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            for some in batches(pdf):
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for some in _slices(part):
                 own = _own(path, pattern)
-                ids = own.encode(some["_text"].tolist())
+                ids = own.encode(some.column("text").to_pylist())
                 back = own.decode(ids)
-                yield pd.DataFrame({
-                    id_col: some[id_col], "n_tokens": [x.count(" ") + 1 if x else 0 for x in ids], "ids": ids, "ids_sha256": [hashlib.sha256(x.encode()).hexdigest() for x in ids],
-                    "decoded": back, "decoded_sha256": [hashlib.sha256(x).hexdigest() for x in back],
-                })
+                columns = [
+                    some.column("id"), pa.array([x.count(" ") + 1 if x else 0 for x in ids], pa.int64()), pa.array(ids, pa.string()), pa.array([hashlib.sha256(x.encode()).hexdigest() for x in ids]),
+                    pa.array(back if with_bytes else [None] * len(back), pa.binary()), pa.array([hashlib.sha256(x).hexdigest() for x in back]),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, [id_col, "n_tokens", "ids", "ids_sha256", "decoded", "decoded_sha256"])
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias(id_col), F.coalesce("text", F.lit("")).alias("_text"))
-    return rows.mapInPandas(run, f"{id_col} bigint, n_tokens bigint, ids string, ids_sha256 string, decoded binary, decoded_sha256 string")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.mapInArrow(run, f"{id_col} bigint, n_tokens bigint, ids string, ids_sha256 string, decoded binary, decoded_sha256 string")
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the bytes decoded from them."""
-    return round_trip(table(spark, sf_dir, "documents")).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return round_trip(table(spark, sf_dir, "documents"), with_bytes=False).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
