@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessella.operators import cells as C
+from tessella.operators import graphs as H
 from tessella.operators import labels as L
 from tessella.operators import markers as M
+from tessella.operators import neighbours as N
 from tessella.operators import rasters as T
 from tessella.operators import space as S
 from tessella.plans import roles as R
@@ -290,6 +292,23 @@ def nearest_neighbours(spark, d):
     return _rounded(_near(spark, d).select("query_id", "ref_id", "rank", "distance"), 6, "distance")
 
 
+@_query(f"WITH {_NEAR} SELECT query_id, ref_id, label, rank, round(distance, 6) AS distance FROM near")
+def indexed_neighbours(spark, d):
+    """By inverted lists, of which all are looked into, so that the result is exact; the recall of fewer probes is tested."""
+    rows = R.labelled(spark, d)
+    index, centres = N.indexed(rows.where("is_query = 0"))
+    return _rounded(N.search(rows.where("is_query = 1"), index, centres, 5, len(centres)), 6, "distance")
+
+
+@_query(None)
+def neighbour_communities(spark, d):
+    """Communities of the graph of nearest neighbours; tested against all partitions of small graphs and planted groups."""
+    rows = R.labelled(spark, d)
+    index, centres = N.indexed(rows)
+    edges = H.neighbour_edges(N.search(rows, index, centres, 6, 4))
+    return H.communities(rows.select(F.col("vec_id").alias("id"), F.lit(0).alias("scope")), edges).select("id", "community")
+
+
 @_query(f"WITH {_NEAR}, n AS (SELECT query_id, label, count(*) AS n FROM near GROUP BY ALL) SELECT query_id, label, n / sum(n) OVER (PARTITION BY query_id) AS share FROM n QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY n DESC, label) = 1")
 def voted_labels(spark, d):
     return L.vote(_near(spark, d))
