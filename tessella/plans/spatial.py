@@ -12,6 +12,7 @@ from tessella.operators import columns as C
 from tessella.operators import embedding as E
 from tessella.operators import harmony as H
 from tessella.operators import labels as L
+from tessella.operators import mapping as X
 from tessella.operators import markers as M
 from tessella.operators import outlines as Y
 from tessella.operators import polygons as P
@@ -228,6 +229,24 @@ def tight_range(spark, d):
     return rounded(spark.createDataFrame([(low, high)], "low double, high double"), 6, "low", "high")
 
 
+# Hierarchical mapping
+
+# one round over all genes: the vote is the best correlation, which SQL can tell; the draws are tested against a plain walk
+
+
+@query("""WITH m AS (SELECT cell_id, CAST(cluster % 2 AS VARCHAR) AS class, CAST(cluster AS VARCHAR) AS leaf FROM cells WHERE cell_id % 2 = 0), g AS (SELECT DISTINCT gene FROM cell_gene WHERE cell_id % 2 = 0),
+v AS (SELECT g1.cell_id, g.gene, coalesce(c.count, 0) AS x FROM (SELECT DISTINCT cell_id FROM cell_gene) g1 CROSS JOIN g LEFT JOIN cell_gene c ON c.cell_id = g1.cell_id AND c.gene = g.gene),
+a AS (SELECT class, gene, sum(x) / any_value(n) AS y FROM v JOIN m ON v.cell_id = m.cell_id JOIN (SELECT class, count(*) AS n FROM m GROUP BY 1) USING (class) GROUP BY ALL), b AS (SELECT class, leaf, gene, sum(x) / any_value(n) AS y FROM v JOIN m ON v.cell_id = m.cell_id JOIN (SELECT leaf, count(*) AS n FROM m GROUP BY 1) USING (leaf) GROUP BY ALL),
+one AS (SELECT v.cell_id, class, corr(x, y) AS r FROM v JOIN a ON v.gene = a.gene GROUP BY v.cell_id, class QUALIFY row_number() OVER (PARTITION BY v.cell_id ORDER BY round(corr(x, y), 9) DESC, class) = 1),
+two AS (SELECT v.cell_id, b.class, leaf, corr(x, y) AS r FROM v JOIN one ON v.cell_id = one.cell_id JOIN b ON v.gene = b.gene AND b.class = one.class GROUP BY v.cell_id, b.class, leaf QUALIFY row_number() OVER (PARTITION BY v.cell_id ORDER BY round(corr(x, y), 9) DESC, leaf) = 1)
+SELECT cell_id, class AS class_name, 1.0::DOUBLE AS class_probability, leaf AS leaf_name, 1.0::DOUBLE AS leaf_probability FROM two""")
+def mapped_cells(spark, d):
+    values = _values(spark, d)
+    members = R.cells(spark, d).where("cell_id % 2 = 0").select("cell_id", (F.col("cluster") % 2).alias("class"), F.col("cluster").alias("leaf"))
+    model = X.fitted(values.where("cell_id % 2 = 0"), members, ["class", "leaf"], per_pair=100)
+    return X.mapped(values, model, rounds=1, share=1.0)
+
+
 # Masks and their polygons
 
 _PARTS = """RECURSIVE cell AS (SELECT DISTINCT CAST(floor(y / 5) AS BIGINT) AS row, CAST(floor(x / 5) AS BIGINT) AS col FROM points), reach AS (SELECT row, col, row * 2147483648 + col AS component FROM cell
