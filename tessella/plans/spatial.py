@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tessella.functions import geometry as G
 from tessella.functions import overlay as O
 from tessella.operators import columns as C
+from tessella.operators import counts_model as K
 from tessella.operators import embedding as E
 from tessella.operators import harmony as H
 from tessella.operators import labels as L
@@ -229,6 +230,17 @@ def tight_range(spark, d):
     return rounded(spark.createDataFrame([(low, high)], "low double, high double"), 6, "low", "high")
 
 
+# Negative-binomial tests
+
+
+@query(None)
+def pseudobulk_tests(spark, d):
+    """One cluster against another by donor; tested against a plain search for the largest likelihood."""
+    cells = R.cells(spark, d).select("cell_id", "donor", F.col("cluster").cast("string").alias("cluster"))
+    found = K.pseudobulk_tests(R.cell_gene(spark, d), cells, "donor", "cluster", ("0", "1"))
+    return rounded(found, 4, "base_mean", "log2_fold_change", "error", "statistic", "p", "p_adj", "dispersion")
+
+
 # Hierarchical mapping
 
 # one round over all genes: the vote is the best correlation, which SQL can tell; the draws are tested against a plain walk
