@@ -20,6 +20,7 @@ from tessella.operators import polygons as P
 from tessella.operators import quantiles as Q
 from tessella.operators import rasters as T
 from tessella.operators import regions as Z
+from tessella.operators import segments as V
 from tessella.operators import space as S
 from tessella.plans import roles as R
 from tessella.plans.catalog import query, rounded
@@ -230,6 +231,42 @@ def tight_range(spark, d):
     return rounded(spark.createDataFrame([(low, high)], "low double, high double"), 6, "low", "high")
 
 
+# Ids, segmentations and small rules
+
+
+@query("SELECT cell_id, CAST('13211045' || lpad(CAST(dense_rank() OVER (ORDER BY cell_id) - 1 AS VARCHAR), 11, '0') AS BIGINT) AS entity_id FROM cells")
+def entity_ids(spark, d):
+    return V.with_ids(R.cells(spark, d).select("cell_id"), "cell_id", "13211045").select("cell_id", "entity_id")
+
+
+@query("SELECT tx_id, x, row_number() OVER (ORDER BY x NULLS FIRST, tx_id) - 1 AS drawn FROM points")
+def draw_order(spark, d):
+    return V.draw_order(R.points(spark, d).select("tx_id", "x"), "x", "tx_id")
+
+
+@query("SELECT cell_id, CASE WHEN volume > 2000 THEN dapi END AS dapi, volume > 2000 AND dapi > 60 AS doublet FROM cells")
+def doublet_flags(spark, d):
+    cells = R.cells(spark, d).select("cell_id", "dapi", (F.col("volume") > 2000).alias("pass_qc"))
+    return V.doublets(cells, "dapi", 60.0).select("cell_id", "dapi", "doublet")
+
+
+@query("SELECT entity_id, z, (x0 + 20 * z) * 0.5 AS min_x, (y0 + h + 10 * z) * 0.5 AS max_y FROM outlines")
+def placed_tiles(spark, d):
+    rows = R.outlines(spark, d).select("entity_id", F.col("z").alias("tile_id"), "polygon")
+    tiles = rows.select("tile_id", (F.col("tile_id") * 10).alias("row"), (F.col("tile_id") * 20).alias("col")).distinct()
+    bounds = G.bounds(F.col("polygon"))
+    return V.placed_tiles(rows, tiles, 0.5).select("entity_id", F.col("tile_id").alias("z"), bounds["minx"].alias("min_x"), bounds["maxy"].alias("max_y"))
+
+
+@query("""WITH o AS (SELECT DISTINCT entity_id, x0, y0, w, h, a, b, hole, dense_rank() OVER (ORDER BY entity_id) - 1 AS n FROM outlines)
+SELECT k * (SELECT count(*) FROM o) + n AS id, CAST('13211045' || lpad(CAST(n AS VARCHAR), 11, '0') AS BIGINT) AS entity_id, CAST(k AS INTEGER) AS z, (k + 1) * 1.5 AS level, 'cell' AS type,
+ (w * b + a * (h - b) - CASE WHEN hole THEN 1 ELSE 0 END) / 4.0 AS area, (x0 - 4) / 2.0 AS min_x FROM o CROSS JOIN range(3) r(k)""")
+def converted_outlines(spark, d):
+    flat = R.outlines(spark, d).select("entity_id", "polygon").dropDuplicates(["entity_id"])
+    rows = V.converted(flat, "13211045", 3, matrix=[[2.0, 0.0, 4.0], [0.0, 2.0, -6.0], [0.0, 0.0, 1.0]], harmonise=False)
+    return rounded(rows.select("id", "entity_id", "z", "level", "type", O.area(F.col("polygon")).alias("area"), G.bounds(F.col("polygon"))["minx"].alias("min_x")), 6, "area", "min_x")
+
+
 # Negative-binomial tests
 
 
