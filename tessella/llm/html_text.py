@@ -27,7 +27,7 @@ from tessella.llm.common import table
 from tessella.llm.page_samples import MARK, labelled_pages
 
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|object)\b[^>]*+>.*?(?:</\1\s*+>|\Z)|<[!?][^>]*+>?|</?[a-zA-Z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>?|[^<]++|<""",
+    r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|object)\b[^>]*+>.*?(?:</\1\s*+>|\Z)|<[!?][^>]*+>?|</?[a-zA-Z](?:[^>"']++|"[^"]*+"|'[^']*+'|["'][^>"']*+\Z)*+>?|[^<]++|<""",
     re.S | re.I,
 )
 TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)")

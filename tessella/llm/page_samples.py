@@ -9,7 +9,9 @@ MARK = "\ue000"
 SYLLABLES = "ka lo mi ter an sel vo ri den pas tu cor el ma nis".split()
 
 #: Where main text stands; {} is the text.
-MAIN = ["<article>{}</article>", "<main>{}</main>", "<main><article>{}</article></main>", '<div id="content">{}</div>', '<div class="post-body">{}</div>', '<section class="entry-content">{}</section>', '<div class="article-text"><div>{}</div></div>', '<div role="main">{}</div>', '<div class="main-column"><div class="story">{}</div></div>', "<div>{}</div>", "{}"]
+MAIN = ["<article>{}</article>", "<main>{}</main>", "<main><article>{}</article></main>", '<div id="content">{}</div>', '<div class="post-body">{}</div>', '<section class="entry-content">{}</section>', '<div class="article-text"><div>{}</div></div>', '<div role="main">{}</div>', '<div class="main-column"><div class="story">{}</div></div>', "<div>{}</div>", "{}", "<table><tr><td>{}</td></tr></table>", "<table><tbody><tr><td>{}</td><td></td></tr></tbody></table>", "<center>{}</center>"]
+#: Of so many pages one is plain: a few short blocks without a container, beside two other parts at most.
+PLAIN = 4
 #: Other parts of a page; L is a list of links, S a sentence, W a few words.
 OTHER = [
     "<nav><ul>L</ul></nav>", '<div class="menu"><ul>L</ul></div>', '<ul id="navigation">L</ul>', '<div class="breadcrumb"><a href="/">W</a> W</div>', '<div class="pagination"><a href="/2">W</a></div>',
@@ -26,7 +28,7 @@ OTHER = [
 INSIDE = [x for x in OTHER if any(k in x for k in ("<aside", "<form", "<nav", "ad", "notice", "comment", "related", "share", "newsletter", "footer>&copy"))]
 
 
-def labelled_pages(n: int = 330, seed: int = 11) -> list[str]:
+def labelled_pages(n: int = 420, seed: int = 11) -> list[str]:
     """``n`` pages in which every block of main text starts with ``MARK``."""
     r = random.Random(seed)
     word = lambda: "".join(r.choices(SYLLABLES, k=r.randint(1, 4)))
@@ -48,12 +50,18 @@ def labelled_pages(n: int = 330, seed: int = 11) -> list[str]:
 
     pages = []
     for i in range(n):
-        main = MAIN[i % len(MAIN)]
+        plain = i % PLAIN == 1
+        main = r.choice(["{}", "{}", "<div>{}</div>", "<table><tr><td>{}</td></tr></table>"]) if plain else MAIN[i % len(MAIN)]
         title = words(2, 8)
-        parts = ([f"<h1>{MARK}{title}</h1>"] if r.random() < 0.8 else []) + [block(k) for k in range(r.choice([1, 1, 2, 4, 8, 16]))]
-        if r.random() < 0.6:
+        parts = ([f"<h1>{MARK}{title}</h1>"] if r.random() < (0.3 if plain else 0.8) else []) + [block(k) for k in range(r.choice([1, 1, 1, 2] if plain else [1, 1, 2, 4, 8, 16]))]
+        if plain:
+            parts = [p if r.random() < 0.3 else f"<{t}>{MARK}{words(1, 9)}{r.choice(['.', '.', ''])}</{t}>" for p in parts for t in [r.choice(["p", "p", "div", "td", "li"])]]
+        elif r.random() < 0.6:
             parts.insert(r.randint(1, len(parts)), filled(r.choice(INSIDE)))
-        before, after = ([filled(OTHER[(i * 7 + k * 13 + s) % len(OTHER)]) for k in range(r.randint(0, 4))] for s in (0, 5))
+        before, after = ([filled(OTHER[(i * 7 + k * 13 + s) % len(OTHER)]) for k in range(r.choice([0, 0, 1]) if plain else r.randint(0, 4))] for s in (0, 5))
         body = "".join([*before, main.format("".join(parts)), *after])
+        if plain and r.random() < 0.4:  # a fragment of a page
+            pages.append(body)
+            continue
         pages.append(f"<!DOCTYPE html><html><head><title>{title}</title></head><body>{body}</body></html>")
     return pages

@@ -2,14 +2,17 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 
-from tessella.llm import fill_in_middle, max_score, near_duplicates, pii, substrings, target_resampling, url_filter
+from tessella.llm import fill_in_middle, html_text, max_score, near_duplicates, pii, substrings, target_resampling, url_filter
+from tessella.llm.page_samples import labelled_pages
 
 WORDS = "alpha beta Gamma délta o_mega 42 sigma kappa lambda theta".split()
 
@@ -230,3 +233,46 @@ def test_more_forms_of_cards_phones_dates_accounts_and_tokens(spark):
     assert len({x.replace(" ", "").upper() for x in ibans}) == 1 and ibans[1].islower()
     y, m, d = dates[0].split("-")
     assert dates == [f"{y}-{m}-{d}", f"{y}/{m}/{d}", f"{d}.{m}.{y}", f"{int(d)}.{int(m)}.{y}"]
+
+
+def test_short_and_plain_pages_written_by_hand():
+    field = html_text.default_field()
+    pages = {
+        "<p>One para only.</p>": "One para only.",
+        "<html><body><p>One para only.</p></body></html>": "One para only.",
+        "<table><tr><td>Nine words stand here in one cell of it.</td></tr></table>": "Nine words stand here in one cell of it.",
+        "<body><h1>Title</h1><p>Short text here.</p><p>Another one.</body>": "Title\nShort text here.\nAnother one.",
+        "Just text": "Just text",
+        '<body><nav><a href="/">Home</a></nav><p>Short text.</p><footer>&copy; me</footer></body>': "Short text.",
+        '<body><div class="menu"><ul><li><a href="/a">A</a><li><a href="/b">B</a></ul></div><table><tr><td>Price</td><td>12 &euro;</td></tr></table><div class="cookie-notice">We use cookies.</div>': "Price\n12 €",
+        '<body><header><h1>My site</h1></header><main><p>Yes.</p></main><aside><p>See also this long story about nothing at all.</p></aside>': "Yes.",
+    }
+    assert {p: field.extract(p) for p in pages} == pages
+
+
+def test_viterbi_against_all_labellings():
+    r = random.Random(6)
+    field = html_text.default_field()
+    for page in labelled_pages(40, seed=77):
+        found = html_text.blocks(page, html_text.Node("", None, frozenset(), False))[:11]
+        own = html_text.Field(field.weights, np.array([[r.gauss(0, 2) for _ in range(2)] for _ in range(2)]))
+        scores = [field.weights.get("bias", 0.0) + sum(field.weights.get(f, 0.0) for f in [*path, *html_text.text_features(t, linked)]) for t, path, linked in found]
+
+        def worth(labels, scores=scores, pairs=own.pairs):
+            return sum(s for s, y in zip(scores, labels, strict=True) if y) + sum(pairs[a][b] for a, b in itertools.pairwise(labels))
+
+        best = max(itertools.product((0, 1), repeat=len(found)), key=worth) if found else ()
+        short = html_text.blocks
+        try:
+            html_text.blocks = lambda *_, found=found: found
+            assert own.extract(page) == "\n".join(t for (t, *_), y in zip(found, best, strict=True) if y)
+        finally:
+            html_text.blocks = short
+
+
+def test_pages_of_any_form(spark):
+    long = "<article>" + "".join(f"<p>Paragraph number {i} of a long page.</p>" for i in range(20_000))
+    rows = [(1, "u", long), (2, "u", "<p>Twice.</p>"), (2, "u", "<p>Twice.</p>"), (None, None, "<p>No id.</p>"), (3, "u", "<div class='ad"), (4, "u", "\0<p>\0x</p>")]
+    df = spark.createDataFrame([(*x, "clash", 7) for x in rows], "page_id bigint, url string, html string, text string, n_chars int")
+    got = [(x.page_id, x.text) for x in html_text.main_text(df).collect()]
+    assert got.count((2, "Twice.")) == 2 and (None, "No id.") in got and (3, "") in got and len(next(t for i, t in got if i == 1).split("\n")) == 20_000
