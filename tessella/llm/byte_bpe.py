@@ -9,8 +9,8 @@ concatenates by an ordered aggregation.
 
 A word over ``LONG`` bytes is encoded in pieces whose seams are tested; see ``Codec._contract_long``.
 
-What a worker has learned of words and pieces is kept for later batches in two generations of ``KEPT`` entries at most; what was
-not met during a whole generation is dropped, and all of it when another operator uses the worker. Results do not depend on it.
+What a worker has learned of words and pieces is kept for later batches in two generations of about ``KEPT`` entries (or fewer, where
+memory is short); what was not met during a whole generation is dropped, and all of it when another operator uses the worker. Results do not depend on it.
 Rows: a null text is empty; an empty text has no ids; texts and words of any length are encoded whole; repeated rows are encoded
 alike; extra columns are not read; an empty table gives no rows.
 """
@@ -36,9 +36,9 @@ from tessella.llm.words import batches, hold
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Words that one recursive query takes, pieces a worker remembers, and bytes from which a word is cut.
-WORDS, KEPT, LONG = 20_000, 100_000, 64
+WORDS, KEPT, LONG = 40_000, 400_000, 64
 #: Bytes of the texts that are worked on together.
-TOGETHER = 500_000
+TOGETHER = 1_000_000
 
 CONTRACT = """
 WITH RECURSIVE bpe(word, tokens) USING KEY (word) AS (
@@ -121,10 +121,9 @@ class Codec:
         texts = ["".join(chr(256 + b) for b in t) for t in ranks]
         self._table("merges", pa.table({"pair": pair, "token": made}))
         self._table("vocabulary", pa.table({"token": list(ranks.values()), "bytes": texts}))
-        self.words: dict[str, str] = {}
-        self.pieces: dict[str, str] = {}
-        self.old_words: dict[str, str] = {}
-        self.old_pieces: dict[str, str] = {}
+        self.known: dict[str, str] = {}
+        self.old: dict[str, str] = {}
+        self.kept = KEPT
 
     def _table(self, name: str, rows: pa.Table) -> None:
         self.con.register("rows", rows)
@@ -189,28 +188,32 @@ class Codec:
                 self.fits.clear()
             self.fits |= {p for p in pairs if alone[p] == list(p)}
 
-    def _learn(self, pieces: set[str]) -> None:
-        """Put what is new among the pieces into ``pieces``: their ids, each after a space."""
-        if len(self.pieces) > KEPT or len(self.words) > KEPT:
-            self.old_pieces, self.old_words, self.pieces, self.words = self.pieces, self.words, {}, {}
+    def _recalled(self, asked: set[str], into: dict[str, str]) -> list[str]:
+        """Put the ids that are known into ``into``, and return what isn't."""
         new = []
-        for p in pieces:
-            if p not in self.pieces:
-                if p in self.old_pieces:
-                    self.pieces[p] = self.old_pieces[p]
-                else:
-                    new.append(p)
-        cut = [self.pattern.findall(p) for p in new]
-        words = []
-        for w in {w for c in cut for w in c}:
-            if w not in self.words:
-                if w in self.old_words:
-                    self.words[w] = self.old_words[w]
-                else:
-                    words.append(w)
-        self.words |= {w: "".join(f" {i}" for i in ids) for w, ids in zip(words, self.contract([w.encode() for w in words]), strict=True)}
-        known = self.words
-        self.pieces |= {p: "".join([known[w] for w in c]) for p, c in zip(new, cut, strict=True)}
+        for x in asked:
+            ids = self.known.get(x)
+            if ids is None:
+                ids = self.old.get(x)
+                if ids is None:
+                    new.append(x)
+                    continue
+                self.known[x] = ids
+            into[x] = ids
+        return new
+
+    def _ids(self, pieces: set[str]) -> dict[str, str]:
+        """The ids of each piece and of its words, each id after a space. What was met before is remembered; a piece that is a word is one entry."""
+        out: dict[str, str] = {}
+        new = {p: self.pattern.findall(p) for p in self._recalled(pieces, out)}
+        words = self._recalled({p if len(c) == 1 else w for p, c in new.items() for w in c} - out.keys(), out)
+        made = {w: "".join(f" {i}" for i in ids) for w, ids in zip(words, self.contract([w.encode() for w in words]), strict=True)}
+        out |= made
+        made |= {p: "".join([out[w] for w in c]) for p, c in new.items() if len(c) != 1}
+        if len(self.known) > self.kept:
+            self.old, self.known = self.known, {}
+        self.known |= made
+        return out | made
 
     def encode(self, texts: list[str]) -> list[str]:
         """Each text's ids in decimals, joined by single spaces."""
@@ -221,9 +224,8 @@ class Codec:
                 cut.append(self.pattern.findall(text))  # white space of several characters: match by match
             else:
                 cut.append([parts[0], *[" " + p for p in parts[1:]]])
-        self._learn({p for c in cut for p in c})
-        pieces = self.pieces
-        return ["".join([pieces[p] for p in c])[1:] for c in cut]
+        ids = self._ids({p for c in cut for p in c})
+        return ["".join([ids[p] for p in c])[1:] for c in cut]
 
     def decode(self, ids: list[str]) -> list[bytes]:
         """The bytes of each row of decimal ids."""
@@ -250,10 +252,12 @@ def _default(vocabulary: str | None) -> tuple[str, str]:
     return vocabulary or public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
 
 
-def _own(path: str, pattern: str) -> Codec:
+def _own(path: str, pattern: str, kept: int = KEPT) -> Codec:
     """This worker's codec, which other operators release."""
     hold("byte_bpe", codec.cache_clear)
-    return codec(path, pattern)
+    own = codec(path, pattern)
+    own.kept = kept
+    return own
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text: Column | str = "text", vocabulary: str | None = None) -> DataFrame:
@@ -281,25 +285,26 @@ def decode(coded: DataFrame, id_col: str = "doc_id", vocabulary: str | None = No
     return coded.select(id_col, F.coalesce("ids", F.lit("")).alias("ids")).mapInPandas(run, f"{id_col} bigint, bytes binary")
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of about ``TOGETHER`` bytes of text, one row at least; only a slice is ever turned into Python strings."""
-    part = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64)) // TOGETHER
+def _slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``most`` bytes of text, one row at least; only a slice is ever turned into Python strings."""
+    part = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64)) // most
     first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else part
     for a, b in zip(first.tolist(), [*first[1:].tolist(), batch.num_rows], strict=bool(len(part))):
         yield batch.slice(a, b - a)
 
 
-def round_trip(docs: DataFrame, id_col: str = "doc_id", vocabulary: str | None = None, with_bytes: bool = True) -> DataFrame:
+def round_trip(docs: DataFrame, id_col: str = "doc_id", vocabulary: str | None = None, with_bytes: bool = True, kept: int = KEPT, together: int = TOGETHER) -> DataFrame:
     """(id, n_tokens, ids, ids_sha256, decoded, decoded_sha256): encoding and then decoding the ids, in one pass over the rows.
 
-    Without ``with_bytes`` the decoded bytes give their digest only, and ``decoded`` is null.
+    Without ``with_bytes`` the decoded bytes give their digest only, and ``decoded`` is null. ``kept`` and ``together`` trade the memory of a worker
+    (pieces remembered, bytes worked on at once) for time.
     """
     path, pattern = _default(vocabulary)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for some in _slices(part):
-                own = _own(path, pattern)
+            for some in _slices(part, together):
+                own = _own(path, pattern, kept)
                 ids = own.encode(some.column("text").to_pylist())
                 back = own.decode(ids)
                 columns = [
