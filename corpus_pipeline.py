@@ -47,8 +47,8 @@ def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with digests of the ids and of the bytes decoded from them."""
-    return byte_bpe.round_trip(docs, with_bytes=False).select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
+    """Token ids of every document, with digests of the ids and of the bytes decoded from them; with little memory, as the executors are full by now."""
+    return byte_bpe.round_trip(docs, with_bytes=False, kept=80_000, together=500_000).select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 
 STAGES = [
