@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -40,6 +41,9 @@ WORDS, KEPT, LONG = 40_000, 400_000, 64
 #: Bytes of the texts that are worked on together.
 TOGETHER = 1_000_000
 
+#: White space at either end of a text, or beside a space.
+EDGES = re.compile(r"\A\s|\s\Z| \s|\s ")
+
 CONTRACT = """
 WITH RECURSIVE bpe(word, tokens) USING KEY (word) AS (
   SELECT word, tokens FROM words
@@ -219,13 +223,15 @@ class Codec:
         """Each text's ids in decimals, joined by single spaces."""
         cut = []
         for text in texts:
-            parts = text.split(" ")
-            if any(not p or p[0].isspace() or p[-1].isspace() for p in parts):
+            if not text or EDGES.search(text):
                 cut.append(self.pattern.findall(text))  # white space of several characters: match by match
+            elif "\0" in text:
+                first, *rest = text.split(" ")
+                cut.append([first, *[" " + p for p in rest]])
             else:
-                cut.append([parts[0], *[" " + p for p in parts[1:]]])
-        ids = self._ids({p for c in cut for p in c})
-        return ["".join([ids[p] for p in c])[1:] for c in cut]
+                cut.append(text.replace(" ", "\0 ").split("\0"))  # in front of every space
+        ids = self._ids(set().union(*cut))
+        return ["".join(map(ids.__getitem__, c))[1:] for c in cut]
 
     def decode(self, ids: list[str]) -> list[bytes]:
         """The bytes of each row of decimal ids."""
