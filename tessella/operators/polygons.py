@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 
 from tessella.functions import geometry as G
 from tessella.functions import overlay as O
-from tessella.operators.space import boxes_on_grid, one_to_one
+from tessella.operators.space import BOUNDS, as_forms, boxes_on_grid, entity_forms, one_to_one, pairs_of_members
 from tessella.sources.tables import cut
 
-BOUNDS = ("minx", "miny", "maxx", "maxy")
-
 
 def bounded(polygons: DataFrame) -> DataFrame:
     """``polygons`` with the bounds of each."""
@@ -63,15 +61,21 @@ def met_bounds(a: DataFrame, b: DataFrame, size: float | None = None) -> DataFra
     return met.select("z", "id_a", "id_b", "polygon_a", "polygon_b")
 
 
+def _overlaps(a: DataFrame, b: DataFrame, size: float | None) -> DataFrame:
+    shared = met_bounds(a, b, size).repartition("id_a", "id_b").select("id_a", "id_b", O.shared_areas(F.col("polygon_a"), F.col("polygon_b"))["shared"].alias("area"))
+    found = shared.where("area > 0").groupBy("id_a", "id_b").agg(F.sum("area").alias("area"))
+    total = lambda df, s: df.groupBy(F.col("entity_id").alias(f"id_{s}")).agg(F.sum(G.area(F.col("polygon"))).alias(f"area_{s}"))
+    return found.join(total(a, "a"), "id_a").join(total(b, "b"), "id_b").select("id_a", "id_b", "area", "area_a", "area_b")
+
+
 def overlapping_polygons(a: DataFrame, b: DataFrame, size: float | None = None) -> DataFrame:
     """(id_a, id_b, area, area_a, area_b): pairs that share an area, over all planes; holes count for none of them.
 
+    Entities with the same polygons on all planes are met as one and become pairs at the end, so only the result grows with the square of copies.
     Rows: null and empty polygons take no part; polygons that only touch are no pair; equal rows of one entity and plane add up.
     """
-    shared = met_bounds(a, b, size).select("id_a", "id_b", O.shared_areas(F.col("polygon_a"), F.col("polygon_b"))["shared"].alias("area"))
-    found = shared.where("area > 0").groupBy("id_a", "id_b").agg(F.sum("area").alias("area"))
-    total = lambda df, s: df.groupBy(F.col("entity_id").alias(f"id_{s}")).agg(F.sum(G.area(F.col("polygon"))).alias(f"area_{s}"))
-    return found.join(total(a, "a"), "id_a").join(total(b, "b"), "id_b").select("id_a", "id_b", "area", "area_a", "area_b")
+    (one, of_a), (two, of_b) = (entity_forms(df.where("entity_id IS NOT NULL"), "z", "polygon") for df in (a, b))
+    return pairs_of_members(cut(_overlaps(one, two, size), "pairs"), of_a, of_b)
 
 
 MODES = ("larger", "prefix1", "prefix2", "intersection")
@@ -85,7 +89,9 @@ def aligned(a: DataFrame, b: DataFrame, mode: str = "larger", size: float | None
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    best = cut(one_to_one(overlapping_polygons(a, b, size)), "pairs")
+    # of copies only the one of the least id is ever a best partner, so only those are met
+    least = (entity_forms(df.where("entity_id IS NOT NULL"), "z", "polygon")[0].withColumn("entity_id", F.col("least")) for df in (a, b))
+    best = cut(one_to_one(_overlaps(*least, size)), "pairs")
     one, two = (df.select(F.col("entity_id").alias(f"id_{s}"), "z", F.col("polygon").alias(f"polygon_{s}")) for df, s in ((a, "a"), (b, "b")))
     if mode == "intersection":
         both = best.join(one, "id_a").join(two, ["id_b", "z"])
@@ -99,12 +105,15 @@ def aligned(a: DataFrame, b: DataFrame, mode: str = "larger", size: float | None
 def kept_by_regions(shapes: DataFrame, regions: DataFrame, size: float | None = None) -> DataFrame:
     """The shapes (entity_id, polygon) that meet the union of the regions (polygon): any of them, and touching counts.
 
+    Equal shapes are one for the test, and equal regions too.
     Rows: null and empty polygons meet nothing; a shape of several rows stays whole if one of them meets a region.
     """
-    flat = shapes.select("entity_id", F.lit(0).alias("z"), "polygon")
-    met = met_bounds(flat, regions.select(F.lit(0).alias("entity_id"), F.lit(0).alias("z"), "polygon"), size)
-    kept = met.where(O.touching(F.col("polygon_a"), F.col("polygon_b"))).select(F.col("id_a").alias("entity_id")).distinct()
-    return shapes.join(kept, "entity_id", "left_semi")
+    forms, members = as_forms(shapes, "polygon")
+    flat = forms.select(F.col("form").alias("entity_id"), F.lit(0).alias("z"), "polygon")
+    distinct = as_forms(regions.select(F.lit(0).alias("entity_id"), "polygon"), "polygon")[0]
+    met = met_bounds(flat, distinct.select(F.lit(0).alias("entity_id"), F.lit(0).alias("z"), "polygon"), size)
+    kept = met.where(O.touching(F.col("polygon_a"), F.col("polygon_b"))).select(F.col("id_a").alias("form")).distinct()
+    return shapes.join(members.join(kept, "form").select("entity_id").distinct(), "entity_id", "left_semi")
 
 
 def largest_parts(rows: DataFrame, wkt: str = "geometry") -> DataFrame:

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tessella.sources.tables import cut, forget
 
 
+BOUNDS = ("minx", "miny", "maxx", "maxy")
+
+
 def grid_cells(low: Column, high: Column, size: float) -> Column:
     return F.sequence(F.floor(low / size), F.floor(high / size))
 
@@ -26,6 +29,38 @@ def points_in_boxes(points: DataFrame, boxes: DataFrame, size: float = 16.0) ->
     return on_grid.join(boxes_on_grid(boxes, size), ["z", "gx", "gy"]).where(inside).drop("gx", "gy")
 
 
+#: Tasks that the partners of one form are dealt into.
+DEAL = 16
+
+
+def as_forms(rows: DataFrame, *what: str) -> tuple[DataFrame, DataFrame]:
+    """Forms (form, ``what``, least, most) and members (entity_id, form) of rows that are equal in the columns ``what``.
+
+    What depends on these columns alone is computed once a form; ``least`` and ``most`` are the smallest and the largest id of a form.
+    """
+    keyed = rows.withColumn("key", F.sha2(F.to_json(F.struct(*what)), 256))
+    found = keyed.groupBy("key").agg(*[F.first(c).alias(c) for c in what], F.min("entity_id").alias("least"), F.max("entity_id").alias("most"))
+    forms = cut(found.withColumn("form", F.monotonically_increasing_id()), "forms")
+    return forms.drop("key"), keyed.select("entity_id", "key").join(forms.select("key", "form"), "key").select("entity_id", "form")
+
+
+def entity_forms(rows: DataFrame, *what: str) -> tuple[DataFrame, DataFrame]:
+    """As ``as_forms``, for entities whose rows (``what``, which begins with the plane) are the same on all planes: (entity_id, least, ``what``) with the form as entity, and members."""
+    whole = rows.groupBy("entity_id").agg(F.array_sort(F.collect_list(F.struct(*what))).alias("rows"))
+    forms, members = as_forms(whole, "rows")
+    return forms.select(F.col("form").alias("entity_id"), "least", F.explode("rows").alias("row")).select("entity_id", "least", "row.*"), members
+
+
+def pairs_of_members(pairs: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
+    """``pairs`` (id_a, id_b, ...) of forms as pairs of their members; a form of very many members is dealt into ``DEAL`` tasks."""
+    one = a.select(F.col("form").alias("id_a"), F.col("entity_id").alias("member_a"))
+    two = b.select(F.col("form").alias("id_b"), F.col("entity_id").alias("member_b"), F.explode(F.sequence(F.lit(0), F.lit(DEAL - 1))).alias("deal"))
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = pairs.join(one, "id_a").withColumn("deal", F.pmod(F.xxhash64("member_a"), F.lit(DEAL)).cast("int")).repartition(n, "id_b", "deal")
+    rest = [c for c in pairs.columns if c not in ("id_a", "id_b")]
+    return left.join(two, ["id_b", "deal"]).select(F.col("member_a").alias("id_a"), F.col("member_b").alias("id_b"), *rest)
+
+
 def inside_ring(x: Column, y: Column, ring: Column) -> Column:
     """Even-odd test of a point against a ring, an array of struct(x, y) whose last point joins the first."""
     n = F.size(ring)
@@ -64,16 +99,46 @@ def last_assignment(points: DataFrame, joined: DataFrame, none: int = -1) -> Dat
     return points.select("tx_id").join(best, "tx_id", "left").withColumn("cell_id", F.coalesce("cell_id", F.lit(none).cast("bigint")))
 
 
-def overlapping_boxes(a: DataFrame, b: DataFrame, size: float = 16.0) -> DataFrame:
-    """(id_a, id_b, area): pairs of one plane whose boxes share an area; each pair is met in one grid cell only."""
-    one = boxes_on_grid(a, size).select("z", "gx", "gy", F.col("entity_id").alias("id_a"), *[F.col(c).alias(f"{c}_a") for c in ("minx", "miny", "maxx", "maxy")])
-    two = boxes_on_grid(b, size).select("z", "gx", "gy", F.col("entity_id").alias("id_b"), *[F.col(c).alias(f"{c}_b") for c in ("minx", "miny", "maxx", "maxy")])
+def counted_inside(points: DataFrame, shapes: DataFrame, what: tuple[str, ...], by: tuple[str, ...], join) -> DataFrame:
+    """(entity_id, ``by``, n): points inside each entity's shapes, by ``join`` (points, shapes); a point in k shapes counts k times.
+
+    Shapes that are equal in ``what`` meet the points once.
+    """
+    forms, members = as_forms(shapes, *what)
+    n = join(points, forms.select(F.col("form").alias("entity_id"), *what)).groupBy(F.col("entity_id").alias("form"), *by).agg(F.count("*").alias("n"))
+    return members.join(n, "form").groupBy("entity_id", *by).agg(F.sum("n").alias("n"))
+
+
+def assigned(points: DataFrame, shapes: DataFrame, what: tuple[str, ...], join, none: int = -1) -> DataFrame:
+    """``last_assignment`` of the points by ``join`` (points, shapes); of shapes that are equal in ``what`` only the one of the largest id can hold a point."""
+    last = as_forms(shapes, *what)[0].select(F.col("most").alias("entity_id"), *what)
+    return last_assignment(points, join(points, last), none)
+
+
+def _overlaps(a: DataFrame, b: DataFrame, size: float) -> DataFrame:
+    one = boxes_on_grid(a, size).select("z", "gx", "gy", F.col("entity_id").alias("id_a"), *[F.col(c).alias(f"{c}_a") for c in BOUNDS])
+    two = boxes_on_grid(b, size).select("z", "gx", "gy", F.col("entity_id").alias("id_b"), *[F.col(c).alias(f"{c}_b") for c in BOUNDS])
     low_x, low_y = F.greatest("minx_a", "minx_b"), F.greatest("miny_a", "miny_b")
     wide, tall = F.least("maxx_a", "maxx_b") - low_x, F.least("maxy_a", "maxy_b") - low_y
     both = one.join(two, ["z", "gx", "gy"]).where((wide > 0) & (tall > 0) & (F.col("gx") == F.floor(low_x / size)) & (F.col("gy") == F.floor(low_y / size)))
     return both.groupBy("id_a", "id_b").agg(F.sum(wide * tall).alias("area"))
 
 
+def overlapping_boxes(a: DataFrame, b: DataFrame, size: float = 16.0) -> DataFrame:
+    """(id_a, id_b, area): pairs of one plane whose boxes share an area; each pair is met in one grid cell only.
+
+    Entities with the same boxes are met as one and become pairs at the end, so only the result grows with the square of copies.
+    """
+    (one, of_a), (two, of_b) = entity_forms(a, "z", *BOUNDS), entity_forms(b, "z", *BOUNDS)
+    return pairs_of_members(cut(_overlaps(one, two, size), "pairs"), of_a, of_b)
+
+
+def aligned_boxes(a: DataFrame, b: DataFrame, size: float = 16.0) -> DataFrame:
+    """(id_a, id_b, area): ``one_to_one`` of the overlapping boxes. Of copies only the one of the least id is ever a best partner, so only those are met."""
+    one, two = (entity_forms(df, "z", *BOUNDS)[0].withColumn("entity_id", F.col("least")) for df in (a, b))
+    return one_to_one(_overlaps(one, two, size))
+
+
 def one_to_one(pairs: DataFrame) -> DataFrame:
     """Greedy matching: the best partner of each id_a, then the best of each id_b; ties go to the smaller id."""
     first = Window.partitionBy("id_a").orderBy(F.desc("area"), "id_b")
