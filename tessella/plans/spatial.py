@@ -39,13 +39,13 @@ inside AS (SELECT tx_id, gene, entity_id FROM tested WHERE odd AND NOT touches)"
 
 @query(f"WITH {_INSIDE} SELECT entity_id, gene, count(*) AS n FROM inside GROUP BY ALL")
 def cell_counts_polygons(spark, d):
-    return P.points_in_polygons(R.points(spark, d), R.shapes(spark, d).select("entity_id", "z", "polygon")).groupBy("entity_id", "gene").agg(F.count("*").alias("n"))
+    return S.counted_inside(R.points(spark, d), R.shapes(spark, d).select("entity_id", "z", "polygon"), ("z", "polygon"), ("gene",), P.points_in_polygons)
 
 
 @query(f"WITH {_INSIDE} SELECT p.tx_id, coalesce(max(entity_id), -1) AS cell_id FROM points p LEFT JOIN inside i ON p.tx_id = i.tx_id GROUP BY p.tx_id")
 def assigned_points_polygons(spark, d):
     p = R.points(spark, d)
-    return S.last_assignment(p, P.points_in_polygons(p, R.shapes(spark, d).select("entity_id", "z", "polygon")))
+    return S.assigned(p, R.shapes(spark, d).select("entity_id", "z", "polygon"), ("z", "polygon"), P.points_in_polygons)
 
 
 @query("""SELECT entity_id, round(54 * 1.5 * (max(z) + 1), 6) AS volume, round(avg(x0) + 199 / 54, 6) AS center_x, round(avg(y0) + 198 / 54, 6) AS center_y, min(x0) AS min_x, min(y0) AS min_y, max(x0) + 9 AS max_x, max(y0) + 9 AS max_y,
