@@ -28,13 +28,13 @@ FLAGSHIP = "cell_counts_polygons"
 
 @_query("SELECT entity_id, gene, count(*) AS n FROM points p JOIN boxes b ON p.z = b.z AND x > minx AND x < maxx AND y > miny AND y < maxy GROUP BY ALL")
 def cell_counts(spark, d):
-    return S.points_in_boxes(R.points(spark, d), R.boxes(spark, d)).groupBy("entity_id", "gene").agg(F.count("*").alias("n"))
+    return S.counted_inside(R.points(spark, d), R.boxes(spark, d), ("z", *S.BOUNDS), ("gene",), S.points_in_boxes)
 
 
 @_query("SELECT tx_id, coalesce(max(entity_id), -1) AS cell_id FROM points p LEFT JOIN boxes b ON p.z = b.z AND x > minx AND x < maxx AND y > miny AND y < maxy GROUP BY tx_id")
 def assigned_points(spark, d):
     p = R.points(spark, d)
-    return S.last_assignment(p, S.points_in_boxes(p, R.boxes(spark, d)))
+    return S.assigned(p, R.boxes(spark, d), ("z", *S.BOUNDS), S.points_in_boxes)
 
 
 _GENES = [f"Brand#{i}{j}" for i in range(1, 6) for j in range(1, 6)]
@@ -78,7 +78,7 @@ def segmentation_overlaps(spark, d):
 @_query(f"""WITH {_OVERLAPS}, a AS (SELECT *, row_number() OVER (PARTITION BY id_a ORDER BY area DESC, id_b) AS r FROM pairs),
 b AS (SELECT *, row_number() OVER (PARTITION BY id_b ORDER BY area DESC, id_a) AS r2 FROM a WHERE r = 1) SELECT id_a, id_b, area FROM b WHERE r2 = 1""")
 def segmentation_alignment(spark, d):
-    return S.one_to_one(S.overlapping_boxes(R.boxes(spark, d), _shifted(spark, d)))
+    return S.aligned_boxes(R.boxes(spark, d), _shifted(spark, d))
 
 
 @_query("SELECT DISTINCT a.entity_id AS id_a, b.entity_id AS id_b FROM boxes a JOIN boxes b ON a.z = b.z AND a.entity_id < b.entity_id AND a.minx < b.maxx AND b.minx < a.maxx AND a.miny < b.maxy AND b.miny < a.maxy")
