@@ -2,6 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from tessella.functions import overlay as O
+from tessella.operators import harmony as H
+from tessella.operators import labels as L
 from tessella.operators import polygons as P
 from tessella.operators import space as S
 
@@ -76,3 +79,48 @@ def test_boxes_of_copies(spark, monkeypatch):
     assert got == {(a, b): area[a % 3, b % 3] for a in range(60) for b in range(60) if (a % 3, b % 3) in area}
     assert sorted(map(tuple, S.aligned_boxes(rows, rows).collect())) == [(0, 0, 32.0), (1, 1, 32.0), (2, 2, 4.0)]
     assert max(seen) <= 12
+
+
+def test_greedy_merging_of_copies(spark, monkeypatch):
+    rows, seen = _copies(spark, 30).where("z = 0"), _met(monkeypatch, H, "met_bounds")
+    got = lambda least: sorted((r.entity_id, r.merged, r.s) for r in H.merged_overlaps(rows, least).select("entity_id", "merged", O.area(F.col("polygon")).alias("s")).collect())
+    assert got(8.0) == [(0, True, 24.0), (2, True, 16.0)]
+    assert got(9.0) == [(0, True, 16.0), (1, True, 16.0), (2, True, 16.0)]
+    assert got(17.0) == [(i, False, 16.0) for i in range(30)]  # copies that share too little with each other
+    assert seen == [4] * 3 or max(seen) <= 5
+
+
+def test_overlays_of_copies_are_computed_once(spark):
+    import pyarrow as pa
+
+    polygons = pa.array([[[{"x": x, "y": y} for x, y in r] for r in _square(float(i % 2), 0.0)] if i % 5 else None for i in range(50)], O._PARTS.value_type)
+    calls = []
+
+    def compute(s):
+        calls.append(len(s))
+        return O.outline(s, s[:0], "union")
+
+    got = O._each(compute, polygons).to_pylist()
+    assert len(calls) == 2 and [g is None for g in got] == [i % 5 == 0 for i in range(50)]
+    assert all(min(p["x"] for p in g[0][0]) == i % 2 for i, g in enumerate(got) if g)
+    none = spark.createDataFrame([(None,), (_square(0.0, 0.0),), ([[(0.0, 0.0), (1.0, 1.0)]],), (None,)], "polygon array<array<struct<x:double,y:double>>>").coalesce(1)
+    assert [tuple(r) for r in none.select(O.area(F.col("polygon")), O.faults(F.col("polygon"))).collect()] == [(None, None), (16.0, None), (0.0, O.FEW), (None, None)]
+
+
+def test_shares_do_not_depend_on_the_order_of_weights(spark):
+    # the shares of labels 14 and 19 are 0.3999999995 and 0.4, a tie by 9 digits; floating sums in other orders fell on either side
+    rows = [(0.01, 14), (0.01, 19), (0.05, 19), (0.03, 15), (0.05, 23)]
+    from itertools import permutations
+
+    neighbours = spark.createDataFrame([(q, i, d) for q, order in enumerate(permutations(range(5))) for i in order for d in [rows[i][0]]], "query_id bigint, ref_id bigint, distance double").coalesce(1)
+    labels = spark.createDataFrame([(i, label) for i, (_, label) in enumerate(rows)], "ref_id bigint, label int")
+    scores = L.weighted_votes(neighbours, labels).withColumn("score", F.round("score", 9))
+    assert {r.label for r in L.best_label(scores).collect()} == {14}
+
+
+def test_hexagons_test_points_of_one_place_once(spark, monkeypatch):
+    points = spark.createDataFrame([(1.0, 1.0, "a")] * 30 + [(1.0, 1.0, "b")] * 4 + [(1.0, 1.0, "Blank-1")], "x double, y double, gene string")
+    seen = _met(monkeypatch, P, "points_in_polygons")
+    hexes = P.hex_grid(spark, (0.0, 0.0, 2.0, 2.0), 10.0)
+    got = P.hex_genes(points, hexes, 10.0).groupBy("gene").agg(F.max("n").alias("n")).collect()
+    assert {r.gene: r.n for r in got} == {"a": 30, "b": 4} and seen[0] % 2 == 0 and seen[0] <= 8
