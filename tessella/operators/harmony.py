@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions import overlay as O
 from tessella.operators.polygons import met_bounds
+from tessella.operators.space import as_forms
 from tessella.sources.tables import cut, forget
 
 KEY = ["z", "entity_id"]
@@ -106,9 +107,12 @@ def merged_overlaps(polygons: DataFrame, least: float | None = None, size: float
     In the order of ids, each polygon that isn't taken yet takes all free ones that share half of the smaller area with it (or ``least``, an area). What
     only overlaps a polygon that was taken stays for itself: groups are not closed over chains.
     """
-    cells = cut(polygons.select(CELL).where(F.size("polygon") > 0), "cells")
-    met = met_bounds(cells, cells, size).where("id_a < id_b").withColumn("of", O.shared_areas(F.col("polygon_a"), F.col("polygon_b"))).where("of.shared > 0")
+    # copies of one plane share the same with every other polygon, so they go where the one of the least id goes
+    rows = polygons.select(CELL).where(F.size("polygon") > 0)
+    forms, members = as_forms(rows, "z", "polygon")
+    cells = cut(forms.select("z", F.col("least").alias("entity_id"), "polygon"), "cells")
     enough = F.col("of.shared") >= (F.lit(float(least)) if least is not None else F.least("of.area_a", "of.area_b") * 0.5)
+    met = met_bounds(cells, cells, size).where("id_a < id_b").repartition("id_a", "id_b").withColumn("of", O.shared_areas(F.col("polygon_a"), F.col("polygon_b"))).where("of.shared > 0")
     pairs = cut(met.where(enough).select("z", "id_a", F.col("id_b").alias("entity_id")), "pairs")  # id_a is the smaller
     # state: null while open, an id once taken by it, the own id for one that takes
     state = cut(cells.select(*KEY, F.when(F.lit(False), F.col("entity_id")).alias("by")), "state")
@@ -123,8 +127,14 @@ def merged_overlaps(polygons: DataFrame, least: float | None = None, size: float
         forget(old)
         if state.where("by IS NULL").isEmpty():
             break
-    groups = cells.join(state, KEY).groupBy("z", "by").agg(F.collect_list("polygon").alias("many"), F.count("*").alias("n"))
-    alone = F.get("many", 0)
-    whole = groups.where("n = 1").select("z", "by", alone.alias("polygon"), F.lit(False).alias("merged"))
+    # copies of less than ``least`` share too little, with each other too: each but the first stays for itself
+    own = O.shared_areas(F.col("polygon"), F.col("polygon"))["shared"]
+    enough_of_it = F.lit(True) if least is None else own >= float(least)
+    taken = state.join(forms.select("form", "z", F.col("least").alias("entity_id"), "polygon", ((own > 0) & enough_of_it).alias("one")), KEY)
+    taken = cut(taken.join(members.groupBy("form").agg(F.count("*").alias("copies")), "form"), "taken")
+    others = members.join(taken.where("NOT one AND copies > 1").select("form", "z", F.col("entity_id").alias("first"), "polygon"), "form").where("entity_id <> first")
+    alone = others.select("entity_id", "z", "polygon", F.lit(False).alias("merged"))
+    groups = taken.groupBy("z", "by").agg(F.collect_list("polygon").alias("many"), F.sum(F.when(F.col("one"), F.col("copies")).otherwise(1)).alias("n"))
+    whole = groups.where("n = 1").select("z", "by", F.get("many", 0).alias("polygon"), F.lit(False).alias("merged"))
     union = groups.where("n > 1").select("z", "by", O.rings_of(O.union_all(F.col("many"))).alias("polygon"), F.lit(True).alias("merged"))
-    return whole.unionByName(union).select(F.col("by").alias("entity_id"), "z", "polygon", "merged")
+    return whole.unionByName(union).select(F.col("by").alias("entity_id"), "z", "polygon", "merged").unionByName(alone)
