@@ -113,6 +113,7 @@ def weighted_votes(neighbours: DataFrame, labels: DataFrame, k: int | None = Non
     """(query_id, label, score): shares of the neighbours' weights by label; rows are (query_id, ref_id, distance), a label is (ref_id, label).
 
     A neighbour's weight is 1 - distance / distance of the farthest of its query, as a share of all; equal distances weigh the same.
+    Shares are rounded to 14 digits, so that they don't depend on the order in which the weights were added.
     """
     rows = neighbours
     if k is not None:
@@ -120,7 +121,7 @@ def weighted_votes(neighbours: DataFrame, labels: DataFrame, k: int | None = Non
     farthest = F.max("distance").over(Window.partitionBy("query_id"))
     rows = rows.withColumn("w", 1 - F.coalesce(F.try_divide(F.col("distance"), farthest), F.lit(0.0)) + 1e-9)
     votes = rows.join(labels, "ref_id").groupBy("query_id", "label").agg(F.sum("w").alias("w"))
-    return votes.select("query_id", "label", (F.col("w") / F.sum("w").over(Window.partitionBy("query_id"))).alias("score"))
+    return votes.select("query_id", "label", F.round(F.col("w") / F.sum("w").over(Window.partitionBy("query_id")), 14).alias("score"))
 
 
 def without_small(rows: DataFrame, cluster: str, least: int) -> DataFrame:
