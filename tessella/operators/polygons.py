@@ -148,6 +148,7 @@ def hex_grid(spark, bounds: tuple[float, float, float, float], size: float, over
 
 def hex_genes(points: DataFrame, hexes: DataFrame, size: float) -> DataFrame:
     """(hex_id, gene, n): points strictly inside each hexagon by gene, without blanks; hexagons that overlap share points."""
-    flat = points.where(~F.col("gene").contains("Blank-")).withColumn("z", F.lit(0))
+    # points of one place and gene are tested once
+    flat = points.where(~F.col("gene").contains("Blank-")).groupBy("x", "y", "gene").agg(F.count("*").alias("n")).withColumn("z", F.lit(0))
     polygons = hexes.select(F.col("hex_id").alias("entity_id"), F.lit(0).alias("z"), "polygon")
-    return points_in_polygons(flat, polygons, 2 * size).groupBy(F.col("entity_id").alias("hex_id"), "gene").agg(F.count("*").alias("n"))
+    return points_in_polygons(flat, polygons, 2 * size).groupBy(F.col("entity_id").alias("hex_id"), "gene").agg(F.sum("n").alias("n"))
