@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessella.sources.tables import cut
+
 
 def transfer_by_proportion(rows: DataFrame, min_share: float, min_reference: int, min_query: int) -> DataFrame:
     """(cluster, label): the most frequent reference label of a cluster, or unknown below the three bounds."""
@@ -41,12 +43,42 @@ def hierarchical_gate(rows: DataFrame, levels: list[tuple[str, float, int]]) ->
     return out.withColumn("pass", above).drop(*[f"_{name}" for name, *_ in levels])
 
 
+def best_of_block(q: np.ndarray, refs: np.ndarray, k: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The ``k`` nearest rows of ``refs`` of each query, and their squared distances to 9 digits, ties to the earlier row.
+
+    A matrix product leaves the few rows that may be among them; only those are measured one by one.
+    """
+    middle = refs.mean(0)
+    a, b = q - middle, refs - middle
+    rough_q, rough_r = (a**2).sum(1), (b**2).sum(1)
+    rough = rough_r - 2 * a @ b.T + rough_q[:, None]
+    # what the product may be off, and the rounding, on either side
+    slack = 4e-9 + 1e-14 * b.shape[1] * (rough_q + rough_r.max())
+    most = np.partition(rough, min(k, len(refs)) - 1, axis=1)[:, min(k, len(refs)) - 1] + slack
+    at, distances = [], []
+    for v, row, bound in zip(q, rough, most, strict=True):
+        some = np.flatnonzero(~(row > bound))
+        d = np.round(((refs[some] - v) ** 2).sum(1), 9)
+        near = np.argsort(d, kind="stable")[:k]
+        at.append(some[near])
+        distances.append(d[near])
+    return at, distances
+
+
 def nearest(queries: DataFrame, reference: DataFrame, k: int, block: int = 4096) -> DataFrame:
     """(query_id, ref_id, label, distance, rank): exact nearest neighbours by squared distance, ties to the smaller id.
 
     Blocks of about ``block`` queries meet blocks of as many reference rows, each pair in a task of its own that keeps the best ``k`` of its
-    queries; what is left is ranked by a window that Spark limits before the shuffle.
+    queries; what is left is ranked by a window that Spark limits before the shuffle. Queries with the same vector are one until the end, and of
+    reference rows with the same vector only the ``k`` of the least ids are met, as no other can be among the nearest.
     """
+    vector = F.sha2(F.to_json(F.struct(F.transform("embedding", lambda x: x.cast("double")).alias("v"))), 256)
+    same = queries.select(F.col("vec_id").cast("bigint").alias("query_id"), vector.alias("key")).distinct()
+    first = same.groupBy("key").agg(F.min("query_id").alias("first"))
+    members = same.join(first, "key").select("query_id", "first")
+    queries = queries.join(first, (F.col("vec_id") == F.col("first")) & vector.eqNullSafe(F.col("key")), "left_semi")
+    least = F.row_number().over(Window.partitionBy("key").orderBy("vec_id"))
+    reference = cut(reference.select("vec_id", "label", "embedding", vector.alias("key")).withColumn("least", least).where(F.col("least") <= k).drop("least", "key"), "reference")
     n_q, n_r = (max(1, -(-df.count() // block)) for df in (queries, reference))
     rows = lambda df, side, own, n, other, m: df.select(
         F.lit(side).alias("side"), F.col("vec_id").cast("bigint").alias("id"), (F.col("label").cast("string") if side else F.lit("")).alias("label"), F.transform("embedding", lambda x: x.cast("double")).alias("v"),
@@ -55,19 +87,19 @@ def nearest(queries: DataFrame, reference: DataFrame, k: int, block: int = 4096)
     both = rows(queries, 0, "qb", n_q, "rb", n_r).unionByName(rows(reference, 1, "rb", n_r, "qb", n_q))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        q, r = pdf[pdf.side == 0], pdf[pdf.side == 1].sort_values("id")
+        q, r = pdf[pdf.side == 0], pdf[pdf.side == 1].sort_values("id", kind="stable")
         out = []
         if len(q) and len(r):
-            refs, ids, labels = np.stack(r.v), r.id.to_numpy(), r.label.to_numpy(object)
-            for i, v in zip(q.id, q.v, strict=True):
-                d = np.round(((refs - v) ** 2).sum(1), 9)
-                near = np.argsort(d, kind="stable")[:k]
-                out += [(i, ids[j], labels[j], d[j]) for j in near]
+            ids, labels = r.id.to_numpy(), r.label.to_numpy(object)
+            for i, at, d in zip(q.id, *best_of_block(np.stack(q.v), np.stack(r.v), k), strict=True):
+                out += zip([i] * len(at), ids[at], labels[at], d, strict=True)
         return pd.DataFrame(out, columns=["query_id", "ref_id", "label", "distance"])
 
-    found = both.groupBy("qb", "rb").applyInPandas(run, "query_id bigint, ref_id bigint, label string, distance double")
+    # pairs of blocks are few bytes and much work, so their number is that of the pairs
+    found = both.repartition(min(2 * n_q * n_r, 4096), "qb", "rb").groupBy("qb", "rb").applyInPandas(run, "query_id bigint, ref_id bigint, label string, distance double")
     found = found.withColumn("label", F.col("label").cast(dict(reference.dtypes)["label"]))
-    return found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "ref_id"))).where(F.col("rank") <= k)
+    found = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "ref_id"))).where(F.col("rank") <= k)
+    return members.join(found.withColumnRenamed("query_id", "first"), "first").select("query_id", "ref_id", "label", "distance", "rank")
 
 
 def vote(neighbours: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessella.operators.labels import best_of_block
 from tessella.sources.tables import cut
 
 SAMPLE, CENTRES, PER_LIST, BLOCK = 20_000, 1_024, 400, 4_096
@@ -94,11 +95,9 @@ def search(queries: DataFrame, index: DataFrame, found: np.ndarray, k: int, prob
         q, r = pdf[pdf.side == 0], pdf[pdf.side == 1].sort_values("id", kind="stable")
         out = []
         if len(q) and len(r):
-            refs, ids, labels = np.stack(r.v), r.id.to_numpy(), r.label.to_numpy(object)
-            for i, v in zip(q.id, q.v, strict=True):
-                d = np.round(((refs - v) ** 2).sum(1), 9)
-                near = np.argsort(d, kind="stable")[:k]
-                out += [(i, ids[j], labels[j], d[j]) for j in near]
+            ids, labels = r.id.to_numpy(), r.label.to_numpy(object)
+            for i, at, d in zip(q.id, *best_of_block(np.stack(q.v), np.stack(r.v), k), strict=True):
+                out += zip([i] * len(at), ids[at], labels[at], d, strict=True)
         return pd.DataFrame(out, columns=["query_id", "ref_id", "label", "distance"])
 
     near = kinds(left, 0).unionByName(kinds(right, 1)).groupBy("list", "rb", "qb").applyInPandas(run, "query_id bigint, ref_id bigint, label string, distance double")

@@ -1,5 +1,6 @@
 """Copies of polygons and boxes: the result is that of every row, and the work doesn't grow with the square of the copies."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tessella.functions import overlay as O
@@ -124,3 +125,27 @@ def test_hexagons_test_points_of_one_place_once(spark, monkeypatch):
     hexes = P.hex_grid(spark, (0.0, 0.0, 2.0, 2.0), 10.0)
     got = P.hex_genes(points, hexes, 10.0).groupBy("gene").agg(F.max("n").alias("n")).collect()
     assert {r.gene: r.n for r in got} == {"a": 30, "b": 4} and seen[0] % 2 == 0 and seen[0] <= 8
+
+
+def test_nearest_rows_of_a_block_by_brute_force():
+    r = np.random.default_rng(3)
+    refs = np.concatenate([r.normal(size=(200, 8)), r.integers(0, 2, (200, 8)).astype(float)]) + 1000.0  # far from the origin, and many ties
+    q = np.concatenate([refs[::40], r.integers(0, 2, (10, 8)) + 1000.0])
+    for k in (1, 5, 400, 500):
+        at, distances = L.best_of_block(q, refs, k)
+        for v, own, d in zip(q, at, distances, strict=True):
+            full = np.round(((refs - v) ** 2).sum(1), 9)
+            want = np.argsort(full, kind="stable")[:k]
+            assert own.tolist() == want.tolist() and d.tolist() == full[want].tolist()
+
+
+def test_nearest_rows_of_copies(spark, monkeypatch):
+    vectors = [[0.0, 0.0], [1.0, 0.0], [5.0, 5.0]]
+    reference = spark.createDataFrame([(100 + i, i % 4, vectors[i % 3]) for i in range(60)], "vec_id bigint, label int, embedding array<float>")
+    queries = spark.createDataFrame([(i, 0, vectors[i % 2]) for i in range(20)], "vec_id bigint, label int, embedding array<float>")
+    seen = []
+    monkeypatch.setattr(L, "best_of_block", lambda q, refs, k, old=L.best_of_block: old(q, refs, k) if len(q) <= 2 and len(refs) <= 12 else seen.append(1))
+    got = {}
+    for r in L.nearest(queries, reference, 4).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.ref_id, r.label, r.distance))
+    assert got == {i: [(100 + j, j % 4, 0.0) for j in range(60) if j % 3 == i % 2][:4] for i in range(20)}
