@@ -1,11 +1,11 @@
-"""Byte-level BPE encoding and decoding by recursive DuckDB queries inside each partition.
+"""Byte-level BPE encoding by recursive DuckDB queries inside each partition, and decoding.
 
 Encoding: texts are cut in front of every single space between two non-space characters, where no match of the pattern can
 reach across; the distinct pieces of a batch are matched once, and the distinct matches (words) that are not known yet go to one
 recursive query. Its state is a word's tokens; a step turns them into token-position rows, joins neighbours with the merge table
 and contracts each word's leftmost pair of the least rank, until no pair of the word is in the table. The key of the recursion
-keeps the last state only, so memory follows the words, not the steps. Decoding joins id-position rows with the vocabulary and
-concatenates by an ordered aggregation.
+keeps the last state only, so memory follows the words, not the steps. Decoding takes the bytes of a batch's ids from the vocabulary, an Arrow
+array by id; they lie one after the other, so a text's bytes are what lies between the places of its first and its last id.
 
 A word over ``LONG`` bytes is encoded in pieces whose seams are tested; see ``Codec._contract_long``.
 
@@ -98,15 +98,8 @@ WITH RECURSIVE bpe(word, tokens) USING KEY (word) AS (
 SELECT word, tokens FROM bpe
 """
 
-DECODE = """
-SELECT row, string_agg(bytes, '' ORDER BY position) AS bytes
-FROM (SELECT row, unnest(ids) AS token, generate_subscripts(ids, 1) AS position FROM coded) JOIN vocabulary USING (token)
-GROUP BY row
-"""
-
-
 class Codec:
-    """The merge table and vocabulary of one file in an in-process database with a single thread."""
+    """The vocabulary of one file, and its merge table in an in-process database with a single thread."""
 
     def __init__(self, path: str, pattern: str) -> None:
         with open(path, "rb") as lines:
@@ -121,10 +114,8 @@ class Codec:
         pair, made = zip(*merges, strict=True)  # ids are below 65,536
         self.bytes = {r: t for t, r in ranks.items()}
         self.fits: set[tuple[int, int]] = set()
-        # a byte b stands as the character 256 + b, so that every string is text
-        texts = ["".join(chr(256 + b) for b in t) for t in ranks]
+        self.vocabulary = pa.array([self.bytes.get(i) for i in range(max(self.bytes) + 1)], pa.binary())
         self._table("merges", pa.table({"pair": pair, "token": made}))
-        self._table("vocabulary", pa.table({"token": list(ranks.values()), "bytes": texts}))
         self.known: dict[str, str] = {}
         self.old: dict[str, str] = {}
         self.kept = KEPT
@@ -235,16 +226,11 @@ class Codec:
 
     def decode(self, ids: list[str]) -> list[bytes]:
         """The bytes of each row of decimal ids."""
-        out = [b""] * len(ids)
         numbers = np.fromstring(" ".join(ids), dtype=np.int64, sep=" ")
-        ends = np.cumsum([0, *[x.count(" ") + 1 if x else 0 for x in ids]], dtype=np.int32)
-        coded = pa.table({"row": range(len(ids)), "ids": pa.ListArray.from_arrays(ends, numbers)})
-        self.con.register("coded", coded)
-        found = self.con.execute(DECODE).fetchall()
-        self.con.unregister("coded")
-        for row, text in found:
-            out[row] = text.encode("utf-16-le")[::2]
-        return out
+        ends = np.cumsum([0, *[x.count(" ") + 1 if x else 0 for x in ids]])
+        taken = self.vocabulary.take(pa.array(numbers))
+        places, data = np.frombuffer(taken.buffers()[1], np.int32)[ends], taken.buffers()[2]
+        return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(places), data]).to_pylist()
 
 
 @lru_cache(maxsize=1)
