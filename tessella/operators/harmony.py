@@ -88,14 +88,28 @@ def _trim(pairs: DataFrame, distance: float) -> DataFrame:
     return sides.select(*KEY, O.rings_of(O.trimmed(F.col("large"), F.col("small"), distance)).alias("polygon"))
 
 
+def _one_of_copies(polygons: DataFrame, above: float) -> DataFrame:
+    """``polygons`` without copies that would become one anyway.
+
+    Copies share everything, so their pairs come before all that share less, and each goes into the one of the next id. Until then only polygons that
+    lie within each other have met, whose union is the larger one; so it is no matter which of them took a copy.
+    """
+    forms, members = as_forms(polygons, "z", "polygon")
+    of = O.shared_areas(F.col("polygon"), F.col("polygon"))
+    one = (F.round(F.try_divide(of["shared"], of["area_a"]), 9) == 1) & (of["shared"] > above * of["area_a"])
+    forms = cut(forms.withColumn("one", F.coalesce(one, F.lit(False))), "forms")
+    apart = forms.where("NOT one").join(members, "form")
+    return forms.where("one").select(F.col("most").alias("entity_id"), "z", "polygon").select(CELL).unionByName(apart.select(CELL))
+
+
 def harmonised(polygons: DataFrame, min_distance: float = 2.0, min_area: float = 100.0, above: float = 0.5, size: float | None = None) -> DataFrame:
     """(entity_id, z, polygon, area) without overlaps.
 
     Pairs that share more than ``above`` of the smaller polygon's area become one: the larger one (of equal ones the larger id) takes the union,
     the smaller one goes. Of pairs that still meet, the larger one (as above) loses what lies within ``min_distance`` of the other.
-    Polygons of ``min_area`` or less go at the end.
+    Polygons of ``min_area`` or less go at the end. Copies of one plane meet others once if ``above`` lets them become one; else each for itself.
     """
-    cells = cut(polygons.select(CELL).where(F.size("polygon") > 0), "cells")
+    cells = cut(_one_of_copies(cut(polygons.select(CELL).where(F.size("polygon") > 0), "cells"), above), "cells")
     merged = _resolved(cells, meeting(cells, size), lambda pairs: _merge(pairs, above))
     trimmed = _resolved(merged, meeting(merged, size), lambda pairs: _trim(pairs, min_distance))
     return trimmed.withColumn("area", O.area(F.col("polygon"))).where(F.col("area") > min_area).select("entity_id", "z", "polygon", "area")
