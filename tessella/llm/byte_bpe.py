@@ -41,8 +41,8 @@ WORDS, KEPT, LONG = 40_000, 400_000, 64
 #: Bytes of the texts that are worked on together.
 TOGETHER = 1_000_000
 
-#: White space at either end of a text, or beside a space.
-EDGES = re.compile(r"\A\s|\s\Z| \s|\s ")
+#: White space beside a space; it begins with one class, so the search runs from one white space to the next.
+BESIDE = re.compile(r"\s(?: |(?<= )\s)")
 
 CONTRACT = """
 WITH RECURSIVE bpe(word, tokens) USING KEY (word) AS (
@@ -105,7 +105,7 @@ class Codec:
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.pattern = regex.compile(pattern)
-        self.single = [ranks[bytes([b])] for b in range(256)]
+        self.single = np.array([ranks[bytes([b])] for b in range(256)])
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         # a pair's rank is the id of what it makes. Of the splits of a token only those whose parts rank below it are ever contracted:
         # inside a token's bytes the steps are those of encoding it alone, and their ranks rise (true of every token here; tested)
@@ -113,6 +113,7 @@ class Codec:
         merges = [(ranks[a] * 65536 + ranks[b], r) for a, b, r in splits if ranks.get(a, r) < r and ranks.get(b, r) < r]
         pair, made = zip(*merges, strict=True)  # ids are below 65,536
         self.bytes = {r: t for t, r in ranks.items()}
+        self.decimal = [f" {i}" for i in range(max(self.bytes) + 1)]
         self.fits: set[tuple[int, int]] = set()
         self.vocabulary = pa.array([self.bytes.get(i) for i in range(max(self.bytes) + 1)], pa.binary())
         self._table("merges", pa.table({"pair": pair, "token": made}))
@@ -129,7 +130,8 @@ class Codec:
         out: list[list[int]] = []
         for start in range(0, len(words), WORDS):
             some = words[start : start + WORDS]
-            tokens = pa.array([[self.single[b] for b in w] for w in some], pa.list_(pa.int64()))
+            ends = np.cumsum([0, *map(len, some)], dtype=np.int32)
+            tokens = pa.ListArray.from_arrays(ends, self.single[np.frombuffer(b"".join(some), np.uint8)])
             self.con.register("words", pa.table({"word": pa.array(range(len(some)), pa.int64()), "tokens": tokens}))
             by = dict(self.con.execute(query).fetchall())
             self.con.unregister("words")
@@ -183,38 +185,35 @@ class Codec:
                 self.fits.clear()
             self.fits |= {p for p in pairs if alone[p] == list(p)}
 
-    def _recalled(self, asked: set[str], into: dict[str, str]) -> list[str]:
-        """Put the ids that are known into ``into``, and return what isn't."""
+    def _unknown(self, asked: set[str]) -> list[str]:
+        """What isn't known; what the generation before knew is known again."""
         new = []
-        for x in asked:
-            ids = self.known.get(x)
+        for x in asked.difference(self.known):
+            ids = self.old.get(x)
             if ids is None:
-                ids = self.old.get(x)
-                if ids is None:
-                    new.append(x)
-                    continue
+                new.append(x)
+            else:
                 self.known[x] = ids
-            into[x] = ids
         return new
 
     def _ids(self, pieces: set[str]) -> dict[str, str]:
-        """The ids of each piece and of its words, each id after a space. What was met before is remembered; a piece that is a word is one entry."""
-        out: dict[str, str] = {}
-        new = {p: self.pattern.findall(p) for p in self._recalled(pieces, out)}
-        words = self._recalled({p if len(c) == 1 else w for p, c in new.items() for w in c} - out.keys(), out)
-        made = {w: "".join(f" {i}" for i in ids) for w, ids in zip(words, self.contract([w.encode() for w in words]), strict=True)}
-        out |= made
-        made |= {p: "".join([out[w] for w in c]) for p, c in new.items() if len(c) != 1}
+        """All that is known, with the ids of each piece and of its words, each id after a space; a piece that is a word is one entry."""
         if len(self.known) > self.kept:
             self.old, self.known = self.known, {}
-        self.known |= made
-        return out | made
+        new = {p: self.pattern.findall(p) for p in self._unknown(pieces)}
+        words = self._unknown({p if len(c) == 1 else w for p, c in new.items() for w in c})
+        for w, ids in zip(words, self.contract([w.encode() for w in words]), strict=True):
+            self.known[w] = "".join(map(self.decimal.__getitem__, ids))
+        for p, c in new.items():
+            if len(c) != 1:
+                self.known[p] = "".join(map(self.known.__getitem__, c))
+        return self.known
 
     def encode(self, texts: list[str]) -> list[str]:
         """Each text's ids in decimals, joined by single spaces."""
         cut = []
         for text in texts:
-            if not text or EDGES.search(text):
+            if not text or text[0].isspace() or text[-1].isspace() or BESIDE.search(text):
                 cut.append(self.pattern.findall(text))  # white space of several characters: match by match
             elif "\0" in text:
                 first, *rest = text.split(" ")
