@@ -10,20 +10,63 @@ So clustering inside every cluster of a former round is one run, not a loop over
    other, so a round counts only if the modularity grows; after ``TRIES`` rounds without growth the best state is the result.
 
 Every step is a join and a sum by keys; a hub's edges are summed up before they meet. Rounds end in tables of the shared folder, and former ones
-are deleted. Rows: edges with null ends or a weight that isn't positive count for nothing; repeated edges add up; an edge in both directions
+are deleted. A round of moves is one table, the choices of all nodes; what it is worth is summed up while it is written. Rows: edges with null ends or a weight that isn't positive count for nothing; repeated edges add up; an edge in both directions
 counts twice; loops count for their node; nodes without edges are clusters of their own; ties go to the smaller community; the
 result is the same for the same rows in any order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tessella.sources.tables import cut, forget
 
-#: Rounds of moves without growth before the end, and decimals to which gains are compared.
-TRIES, DIGITS = 4, 12
+#: Rounds of moves without growth before the end, decimals to which gains are compared, and rounds of joining that labels follow at once.
+TRIES, DIGITS, TOGETHER = 4, 12, 8
+
+#: (community, into, k): each community of a pair that is the best of both its ends, and the weight of what they make.
+MOVES = """
+WITH pairs AS (
+  SELECT a, b, k_a + k_b AS k, round(w / total - CAST({resolution} AS DOUBLE) * k_a * k_b / (total * total), {digits}) AS gain FROM {links}
+), best AS (
+  SELECT end, min(struct(-gain AS g, a, b, k)) AS best FROM (SELECT *, explode(array(a, b)) AS end FROM pairs WHERE gain > 0) GROUP BY end
+)
+SELECT explode(array(best.a, best.b)) AS community, best.a AS into, best.k FROM (SELECT best, count(*) AS n FROM best GROUP BY best) WHERE n = 2
+"""
+
+#: The links of the communities after their moves.
+LINKS = """
+WITH moved AS (
+  SELECT struct(coalesce(x.into, a) AS c, coalesce(x.k, k_a) AS k) AS x, struct(coalesce(y.into, b) AS c, coalesce(y.k, k_b) AS k) AS y, w, total
+  FROM {links} LEFT JOIN {moves} x ON x.community = a LEFT JOIN {moves} y ON y.community = b
+), summed AS (
+  SELECT least(x, y) AS x, greatest(x, y) AS y, total, sum(w) AS w FROM moved WHERE x.c <> y.c GROUP BY least(x, y), greatest(x, y), total
+)
+SELECT x.c AS a, y.c AS b, w, x.k AS k_a, y.k AS k_b, total FROM summed
+"""
+
+#: See ``_choices``. Ends are dealt by id, so both sums by id need one exchange; no edge into the own community is worth what leaving it saves.
+CHOICES = """
+WITH sums AS (
+  SELECT own AS community, sum(k) AS sum FROM {state} GROUP BY own
+), ends AS (
+  SELECT /*+ REPARTITION(id) */ e.a AS id, s.own AS community, e.w FROM {both} e JOIN {state} s ON s.id = e.b WHERE e.a <> e.b
+), worths AS (
+  SELECT s.*, t.community, o.sum AS own_sum, t.w,
+    round(t.w - CAST({resolution} AS DOUBLE) * k * CASE WHEN t.community = own THEN c.sum - k ELSE c.sum END / total, {digits}) AS worth
+  FROM (SELECT id, community, sum(w) AS w FROM ends GROUP BY id, community) t
+  JOIN sums c ON c.community = t.community JOIN (SELECT id, k, total, own FROM {state}) s ON s.id = t.id JOIN sums o ON o.community = s.own
+), found AS (
+  SELECT id, k, total, own, own_sum, max_by(struct(community, worth), struct(worth, -community AS c)) AS best,
+    max(CASE WHEN community = own THEN worth END) AS stays, max(CASE WHEN community = own THEN w END) AS inner_w
+  FROM worths GROUP BY id, k, total, own, own_sum
+)
+SELECT id, k, total, own,
+  CASE WHEN best.worth > coalesce(stays, round(-CAST({resolution} AS DOUBLE) * k * (own_sum - k) / total, {digits})) THEN best.community END AS into,
+  coalesce(inner_w, 0D) - CAST({resolution} AS DOUBLE) * k * own_sum / total AS part
+FROM found
+"""
 
 
 def neighbour_edges(near: DataFrame) -> DataFrame:
@@ -65,65 +108,70 @@ def _modularity(nodes: DataFrame, both: DataFrame, labels: DataFrame, resolution
     return each.groupBy("scope").agg(F.sum("q").alias("modularity"), F.sum(F.col("q") * F.col("total")).alias("weighed"))
 
 
+def _seen(df: DataFrame, name: str, what: Column) -> tuple[DataFrame, float | None]:
+    """``df`` cut, and the aggregate ``what`` of its rows, taken while they are written."""
+    found = Observation()
+    return cut(df.observe(found, what.alias("seen")), name), found.get["seen"]
+
+
+def _followed(labels: DataFrame, moves: list[DataFrame]) -> DataFrame:
+    """(id, community) after ``moves``, one round after the other."""
+    out = labels
+    for some in moves:
+        out = out.join(some.select("community", "into"), "community", "left").selectExpr("id", "coalesce(into, community) AS community")
+    out = cut(out, "labels")
+    forget(labels, *moves)
+    return out
+
+
 def _joined(nodes: DataFrame, both: DataFrame, resolution: float) -> DataFrame:
-    """(id, community) after step 1; a community is named by its least node."""
-    labels = cut(nodes.select("id", F.col("id").alias("community")), "labels")
-    groups, links = cut(nodes.select(F.col("id").alias("community"), "k", "total"), "groups"), both
+    """(id, community) after step 1; a community is named by its least node.
+
+    A link (a, b, w) of two communities, a below b, has their weights with it, so that a round is two tables: its moves and the next links.
+    """
+    labels, waiting, sql = nodes.selectExpr("id", "id AS community"), [], nodes.sparkSession.sql
+    first = "SELECT a, b, w, x.k AS k_a, y.k AS k_b, x.total FROM {both} JOIN {nodes} x ON x.id = a JOIN {nodes} y ON y.id = b WHERE a < b"
+    links = cut(sql(first, both=both, nodes=nodes), "links")
     while True:
-        of = lambda s: groups.select(F.col("community").alias(s), F.col("k").alias(f"k_{s}"), "total")
-        pairs = links.where("a < b").join(of("a"), "a").join(of("b").drop("total"), "b")
-        gain = F.round(F.col("w") / F.col("total") - resolution * F.col("k_a") * F.col("k_b") / (F.col("total") * F.col("total")), DIGITS)
-        pairs = cut(pairs.select("a", "b", gain.alias("gain")).where("gain > 0"), "pairs")
-        ends = pairs.withColumn("end", F.explode(F.array("a", "b")))
-        order = F.struct((-F.col("gain")).alias("g"), "a", "b")
-        best = ends.groupBy("end").agg(F.min(order).alias("best"))
-        moves = cut(best.groupBy("best").agg(F.count("*").alias("n")).where("n = 2").select(F.col("best.b").alias("community"), F.col("best.a").alias("into")), "moves")
-        if moves.isEmpty():
-            forget(pairs, moves, groups, links if links is not both else None)
-            return labels
-        to = F.coalesce("into", "community")
-        old = labels, groups, (links if links is not both else None)
-        labels = cut(labels.join(moves, "community", "left").select("id", to.alias("community")), "labels")
-        groups = cut(groups.join(moves, "community", "left").groupBy(to.alias("community")).agg(F.sum("k").alias("k"), F.first("total").alias("total")), "groups")
-        for end in ("a", "b"):
-            links = links.join(moves.select(F.col("community").alias(end), "into"), end, "left").select(F.coalesce("into", end).alias(end), *[c for c in ("a", "b", "w") if c != end])
-        links = cut(links.groupBy("a", "b").agg(F.sum("w").alias("w")), "links")
-        forget(*old, pairs, moves)
-
-
-def _moved(nodes: DataFrame, both: DataFrame, labels: DataFrame, resolution: float, number: int) -> DataFrame:
-    """(id, community) after half of the nodes have moved to their best community."""
-    state = nodes.join(labels, "id")
-    sums = state.groupBy("community").agg(F.sum("k").alias("sum"))
-    turn = F.pmod(F.xxhash64("id", F.lit(number // 2)), F.lit(2)) == number % 2
-    to = both.where("a <> b").join(labels.select(F.col("id").alias("b"), "community"), "b").groupBy(F.col("a").alias("id"), "community").agg(F.sum("w").alias("w"))
-    own = state.where(turn).select("id", "k", "total", F.col("community").alias("own"))
-    choices = own.join(to, "id").select("id", "k", "total", "own", "community", "w").join(sums, "community")
-    rest = F.when(F.col("community") == F.col("own"), F.col("sum") - F.col("k")).otherwise(F.col("sum"))
-    worth = F.round(F.col("w") - resolution * F.col("k") * rest / F.col("total"), DIGITS)
-    choices = choices.withColumn("worth", worth)
-    # no edge into the own community is worth what leaving it saves
-    best = choices.groupBy("id").agg(F.max_by(F.struct("community", "worth"), F.struct("worth", (-F.col("community")).alias("c"))).alias("best"), F.max(F.when(F.col("community") == F.col("own"), F.col("worth"))).alias("stays"), F.first("own").alias("own"), F.first("k").alias("k"), F.first("total").alias("total"))
-    best = best.join(sums.select(F.col("community").alias("own"), "sum"), "own")
-    stays = F.coalesce("stays", F.round(-resolution * F.col("k") * (F.col("sum") - F.col("k")) / F.col("total"), DIGITS))
-    gone = best.where(F.col("best.worth") > stays).select("id", F.col("best.community").alias("into"))
-    return labels.join(gone, "id", "left").select("id", F.coalesce("into", "community").alias("community"))
+        moves, n = _seen(sql(MOVES, links=links, resolution=resolution, digits=DIGITS), "moves", F.count("*"))
+        if not n:
+            forget(moves, links)
+            return _followed(labels, waiting)
+        waiting.append(moves)
+        old, links = links, cut(sql(LINKS, links=links, moves=moves), "links")
+        forget(old)
+        if len(waiting) == TOGETHER:
+            labels, waiting = _followed(labels, waiting), []
+
+
+def _choices(state: DataFrame, both: DataFrame, resolution: float) -> DataFrame:
+    """``state`` (id, k, total, own) of linked nodes with ``into``, the community that a node had better move to, and ``part``, its part of the modularity."""
+    return state.sparkSession.sql(CHOICES, state=state, both=both, resolution=resolution, digits=DIGITS)
 
 
 def communities(nodes: DataFrame, edges: DataFrame, resolution: float = 1.0) -> DataFrame:
     """(id, scope, community) of nodes (id, scope) and edges (a, b, w); a community is named by its least node."""
     nodes, both = _clean(nodes, edges)
     labels = _joined(nodes, both, resolution)
-    worth = lambda df: round(_modularity(nodes, both, df, resolution).agg(F.coalesce(F.sum("weighed"), F.lit(0.0))).first()[0], 9)
-    best, number, failed = worth(labels), 0, 0
+
+    def judged(state: DataFrame) -> tuple[DataFrame, float]:
+        """The choices of all nodes in ``state``, and what its modularity is worth; loops and nodes without other edges add the same to any state."""
+        out, worth = _seen(_choices(state, both, resolution), "moved", F.sum("part"))
+        return out, round(worth or 0.0, 9)
+
+    linked = both.where("a <> b").select(F.col("a").alias("id")).distinct()
+    state, best = judged(nodes.join(linked, "id", "left_semi").join(labels, "id").select("id", "k", "total", F.col("community").alias("own")))
+    number, failed = 0, 0
     while failed < TRIES:
-        new = cut(_moved(nodes, both, labels, resolution, number), "moved")
-        now, number = worth(new), number + 1
-        failed = 0 if now > best else failed + 1
-        forget(labels if now > best else new)
-        best, labels = (now, new) if now > best else (best, labels)
-    names = labels.groupBy("community").agg(F.min("id").alias("name"))
-    return nodes.select("id", "scope").join(labels.join(names, "community").select("id", F.col("name").alias("community")), "id")
+        turn = f"pmod(xxhash64(id, {number // 2}), 2) = {number % 2}"
+        new, now = judged(state.selectExpr("id", "k", "total", f"CASE WHEN {turn} THEN coalesce(into, own) ELSE own END AS own"))
+        number, failed = number + 1, 0 if now > best else failed + 1
+        forget(state if now > best else new)
+        best, state = (now, new) if now > best else (best, state)
+    forget(labels)
+    names = state.groupBy("own").agg(F.min("id").alias("name"))
+    named = state.join(names, "own").select("id", "name")
+    return nodes.select("id", "scope").join(named, "id", "left").select("id", "scope", F.coalesce("name", "id").alias("community"))
 
 
 def numbered(found: DataFrame) -> DataFrame:

@@ -84,3 +84,14 @@ def test_graphs_without_edges_and_odd_rows(spark):
     assert {r.id: r.community for r in G.communities(n.unionByName(n), odd).collect()} == {1: 1, 2: 1}
     near = spark.createDataFrame([(1, 2), (2, 1), (2, 3), (3, 3)], "query_id bigint, ref_id bigint")
     assert sorted(map(tuple, G.neighbour_edges(near).collect())) == [(1, 2, 1.0), (2, 3, 1.0)]
+
+
+def test_a_round_of_joining_is_two_tables_and_one_of_moves_is_one(spark, monkeypatch):
+    names, real = [], G.cut
+    monkeypatch.setattr(G, "cut", lambda df, name: (names.append(name), real(df, name))[1])
+    monkeypatch.setattr(G, "_modularity", None)  # a round sums it up while it writes its table
+    edges = [(a, b, 1) for h in (0, 3) for a, b in itertools.combinations(range(h, h + 3), 2)] + [(2, 3, 1)]
+    assert _found(spark, edges, list(range(7))) == {0: 0, 1: 0, 2: 0, 3: 3, 4: 3, 5: 3, 6: 6}
+    rounds = names.count("moves")
+    assert set(names) == {"graph", "nodes", "links", "moves", "labels", "moved"} and rounds > 1
+    assert names.count("links") == rounds and names.count("labels") <= 1 + rounds // G.TOGETHER
