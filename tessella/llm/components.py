@@ -4,7 +4,7 @@ A step links each node to the least neighbour it knows; the two kinds of step al
 component's least node. The number of rounds grows with the logarithm of the nodes; every round ends in a table of the shared
 folder, and the table of the round before is deleted. A node with very many neighbours is summed up by partial minima, and its rows
 are spread over many tasks where they meet the minimum, so no group is ever gathered; of few edges (``FEW``) the minima are broadcast, which spares
-the driver half of the tasks of a round. Rows: null ends and loops count for nothing;
+the driver half of the tasks of a round, and they are written as a few files (``FILES``), however many partitions a shuffle has. Rows: null ends and loops count for nothing;
 repeated edges count once; no edges give no rows.
 """
 
@@ -17,6 +17,8 @@ from tessella.llm.common import PART, cut, forget, joined_apart
 
 #: Up to so many edges the least neighbours go to every task, and the edges stay where they lie.
 FEW = 100_000
+#: Files of a table of few edges. On a local disk Hadoop starts two processes for each file that it creates.
+FILES = 8
 
 
 def _with_least(edges: DataFrame, n: int, rows: DataFrame | None = None) -> DataFrame:
@@ -48,6 +50,7 @@ def components(edges: DataFrame) -> DataFrame:
         before, state = state, edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
-        old, edges = edges, cut(_small_star(_large_star(edges, state[0]), state[0]), "edges")
+        moved = _small_star(_large_star(edges, state[0]), state[0])
+        old, edges = edges, cut(moved.coalesce(FILES) if state[0] <= FEW else moved, "edges")
         forget(old)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
