@@ -4,10 +4,13 @@ A scope is a part of the graph that is clustered by itself: edges between scopes
 So clustering inside every cluster of a former round is one run, not a loop over clusters.
 
 1. Joining. Every node begins as a community. The gain of joining two communities depends on the edges between them and on both weights alone,
-   so pairs that are the best of both their communities are independent and join at once; then communities that joined are one node, and so
-   on until no pair gains.
-2. Moving. Nodes move to the neighbouring community of the largest gain, half of them (by a hash) in a round. Such moves may hinder each
-   other, so a round counts only if the modularity grows; after ``TRIES`` rounds without growth the best state is the result.
+   so pairs that are the best of both their communities are independent and join at once. Communities whose best is one of such a pair join it too, the
+   largest gain first, as long as they add no more than ``GROWN`` of the pair's weight and each would gain if all before it had joined; else a community that is the
+   best of many takes one a round, and the rounds grow with the rows. Then communities that joined are one node, and so on until no pair gains.
+2. Moving. From the coarsest level to the nodes themselves, a level every ``TOGETHER`` rounds of joining, nodes of the level move to the neighbouring
+   community of the largest gain, half of them (by a hash) in a round. Such moves may hinder each other, so a round counts only if the
+   modularity grows. A coarser level ends with the first round that adds less than ``LEAST``, as the next level goes on; the nodes
+   themselves after ``TRIES`` rounds without growth.
 
 Every step is a join and a sum by keys; a hub's edges are summed up before they meet. Rounds end in tables of the shared folder, and former ones
 are deleted. A round of moves is one table, the choices of all nodes; what it is worth is summed up while it is written. Rows: edges with null ends or a weight that isn't positive count for nothing; repeated edges add up; an edge in both directions
@@ -25,14 +28,29 @@ from tessella.sources.tables import cut, forget
 #: Rounds of moves without growth before the end, decimals to which gains are compared, and rounds of joining that labels follow at once.
 TRIES, DIGITS, TOGETHER = 4, 12, 8
 
-#: (community, into, k): each community of a pair that is the best of both its ends, and the weight of what they make.
+#: What may join a pair in a round, as a part of the pair's weight, and the growth of the modularity below which a level coarser than the nodes ends.
+GROWN, LEAST = 0.5, 1e-3
+
+#: (community, into, k): the communities that join in a round, and the weight of what they make.
 MOVES = """
 WITH pairs AS (
-  SELECT a, b, k_a + k_b AS k, round(w / total - CAST({resolution} AS DOUBLE) * k_a * k_b / (total * total), {digits}) AS gain FROM {links}
+  SELECT a, b, k_a, k_b, w, total, round(w / total - CAST({resolution} AS DOUBLE) * k_a * k_b / (total * total), {digits}) AS gain FROM {links}
 ), best AS (
-  SELECT end, min(struct(-gain AS g, a, b, k)) AS best FROM (SELECT *, explode(array(a, b)) AS end FROM pairs WHERE gain > 0) GROUP BY end
+  SELECT end, min(struct(-gain AS g, a, b, k_a, k_b, w, total)) AS best FROM (SELECT *, explode(array(a, b)) AS end FROM pairs WHERE gain > 0) GROUP BY end
+), heads AS (
+  SELECT best.a, best.b, first(best.k_a) AS k_a, first(best.k_b) AS k_b FROM best GROUP BY best.a, best.b HAVING count(*) = 2
+), ends AS (
+  SELECT a, b, k_a + k_b AS head_k, explode(array(a, b)) AS end FROM heads
+), members AS (
+  SELECT h.a AS into, h.head_k, best.end AS community, CASE WHEN best.end = best.a THEN best.k_a ELSE best.k_b END AS k, best.w, best.total,
+    h.a = best.a AND h.b = best.b AS head, best.g
+  FROM best JOIN ends h ON h.end = CASE WHEN best.end = best.a THEN best.b ELSE best.a END
+), placed AS (
+  SELECT *, sum(CASE WHEN head THEN 0D ELSE k END) OVER (PARTITION BY into ORDER BY head DESC, g, community ROWS UNBOUNDED PRECEDING) AS added FROM members
+), taken AS (
+  SELECT *, head OR (added <= CAST({grown} AS DOUBLE) * head_k AND w > CAST({resolution} AS DOUBLE) * k * (head_k + added - k) / total) AS joins FROM placed
 )
-SELECT explode(array(best.a, best.b)) AS community, best.a AS into, best.k FROM (SELECT best, count(*) AS n FROM best GROUP BY best) WHERE n = 2
+SELECT community, into, k FROM (SELECT community, into, joins, head_k + sum(CASE WHEN joins AND NOT head THEN k ELSE 0D END) OVER (PARTITION BY into) AS k FROM taken) WHERE joins
 """
 
 #: The links of the communities after their moves.
@@ -120,28 +138,38 @@ def _followed(labels: DataFrame, moves: list[DataFrame]) -> DataFrame:
     for some in moves:
         out = out.join(some.select("community", "into"), "community", "left").selectExpr("id", "coalesce(into, community) AS community")
     out = cut(out, "labels")
-    forget(labels, *moves)
+    forget(*moves)
     return out
 
 
-def _joined(nodes: DataFrame, both: DataFrame, resolution: float) -> DataFrame:
-    """(id, community) after step 1; a community is named by its least node.
+def _ends(links: DataFrame) -> DataFrame:
+    """(id, k, total) of the communities that ``links`` name."""
+    return links.selectExpr("a AS id", "k_a AS k", "total").unionByName(links.selectExpr("b AS id", "k_b AS k", "total")).dropDuplicates(["id"])
+
+
+def _joined(nodes: DataFrame, both: DataFrame, resolution: float) -> list[tuple[DataFrame, DataFrame]]:
+    """The levels of step 1, from the nodes on: links between the communities of a level, and (id, community), which of the next level each becomes.
 
-    A link (a, b, w) of two communities, a below b, has their weights with it, so that a round is two tables: its moves and the next links.
+    A link (a, b, w) of two communities, a below b, has their weights with it, so that a round is two tables: its moves and the next links. A community is
+    named by one of its nodes; one without links neither joins nor moves any more, so levels leave it out.
     """
-    labels, waiting, sql = nodes.selectExpr("id", "id AS community"), [], nodes.sparkSession.sql
+    levels, waiting, sql = [], [], nodes.sparkSession.sql
     first = "SELECT a, b, w, x.k AS k_a, y.k AS k_b, x.total FROM {both} JOIN {nodes} x ON x.id = a JOIN {nodes} y ON y.id = b WHERE a < b"
-    links = cut(sql(first, both=both, nodes=nodes), "links")
+    links = level = cut(sql(first, both=both, nodes=nodes), "links")
     while True:
-        moves, n = _seen(sql(MOVES, links=links, resolution=resolution, digits=DIGITS), "moves", F.count("*"))
+        moves, n = _seen(sql(MOVES, links=links, resolution=resolution, digits=DIGITS, grown=GROWN), "moves", F.count("*"))
+        if n:
+            waiting.append(moves)
+            old, links = links, cut(sql(LINKS, links=links, moves=moves), "links")
+            forget(old if old is not level else None)
+        else:
+            forget(moves)
+        if len(waiting) == TOGETHER or not n and (waiting or not levels):
+            levels.append((level, _followed(_ends(level).selectExpr("id", "id AS community"), waiting)))
+            level, waiting = links, []
         if not n:
-            forget(moves, links)
-            return _followed(labels, waiting)
-        waiting.append(moves)
-        old, links = links, cut(sql(LINKS, links=links, moves=moves), "links")
-        forget(old)
-        if len(waiting) == TOGETHER:
-            labels, waiting = _followed(labels, waiting), []
+            forget(links if all(links is not kept for kept, _ in levels) else None)
+            return levels
 
 
 def _choices(state: DataFrame, both: DataFrame, resolution: float) -> DataFrame:
@@ -149,26 +177,38 @@ def _choices(state: DataFrame, both: DataFrame, resolution: float) -> DataFrame:
     return state.sparkSession.sql(CHOICES, state=state, both=both, resolution=resolution, digits=DIGITS)
 
 
-def communities(nodes: DataFrame, edges: DataFrame, resolution: float = 1.0) -> DataFrame:
-    """(id, scope, community) of nodes (id, scope) and edges (a, b, w); a community is named by its least node."""
-    nodes, both = _clean(nodes, edges)
-    labels = _joined(nodes, both, resolution)
+def _moved(links: DataFrame, own: DataFrame, resolution: float, tries: int, least: float) -> DataFrame:
+    """(id, own) of the linked ids after step 2 on one level, from ``own`` (id, own) on."""
+    both = links.select("a", "b", "w").unionByName(links.selectExpr("b AS a", "a AS b", "w"))
 
     def judged(state: DataFrame) -> tuple[DataFrame, float]:
         """The choices of all nodes in ``state``, and what its modularity is worth; loops and nodes without other edges add the same to any state."""
         out, worth = _seen(_choices(state, both, resolution), "moved", F.sum("part"))
         return out, round(worth or 0.0, 9)
 
-    linked = both.where("a <> b").select(F.col("a").alias("id")).distinct()
-    state, best = judged(nodes.join(linked, "id", "left_semi").join(labels, "id").select("id", "k", "total", F.col("community").alias("own")))
+    state, best = judged(_ends(links).join(own, "id").select("id", "k", "total", "own"))
     number, failed = 0, 0
-    while failed < TRIES:
+    while failed < tries:
         turn = f"pmod(xxhash64(id, {number // 2}), 2) = {number % 2}"
         new, now = judged(state.selectExpr("id", "k", "total", f"CASE WHEN {turn} THEN coalesce(into, own) ELSE own END AS own"))
-        number, failed = number + 1, 0 if now > best else failed + 1
+        number, failed = number + 1, 0 if now > best + least else failed + 1
         forget(state if now > best else new)
         best, state = (now, new) if now > best else (best, state)
-    forget(labels)
+    return state
+
+
+def communities(nodes: DataFrame, edges: DataFrame, resolution: float = 1.0) -> DataFrame:
+    """(id, scope, community) of nodes (id, scope) and edges (a, b, w); a community is named by its least node."""
+    nodes, both = _clean(nodes, edges)
+    weight = nodes.agg(F.sum("k")).first()[0] or 0.0
+    state = None
+    for level, (links, labels) in reversed([*enumerate(_joined(nodes, both, resolution))]):
+        own = labels.selectExpr("id", "community AS own")
+        if state is not None:
+            own = labels.join(state.selectExpr("id AS community", "own"), "community", "left").selectExpr("id", "coalesce(own, community) AS own")
+        coarse = state
+        state = _moved(links, own, resolution, 1 if level else TRIES, LEAST * weight if level else 0.0)
+        forget(coarse, links, labels)
     names = state.groupBy("own").agg(F.min("id").alias("name"))
     named = state.join(names, "own").select("id", "name")
     return nodes.select("id", "scope").join(named, "id", "left").select("id", "scope", F.coalesce("name", "id").alias("community"))

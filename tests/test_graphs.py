@@ -95,3 +95,26 @@ def test_a_round_of_joining_is_two_tables_and_one_of_moves_is_one(spark, monkeyp
     rounds = names.count("moves")
     assert set(names) == {"graph", "nodes", "links", "moves", "labels", "moved"} and rounds > 1
     assert names.count("links") == rounds and names.count("labels") <= 1 + rounds // G.TOGETHER
+
+
+def test_rounds_of_joining_do_not_grow_with_a_hub(spark, monkeypatch):
+    names, real = [], G.cut
+    monkeypatch.setattr(G, "cut", lambda df, name: (names.append(name), real(df, name))[1])
+    hubs = {0: range(2, 32), 1: range(32, 62)}  # a hub with thirty leaves each, which joined it one a round
+    edges = [(hub, leaf, 1) for hub, leaves in hubs.items() for leaf in leaves] + [(0, 1, 1)]
+    assert _found(spark, edges, list(range(62))) == {n: hub for hub, leaves in hubs.items() for n in (hub, *leaves)}
+    assert names.count("moves") <= 6
+
+
+def test_what_joins_a_pair_in_a_round_is_bounded_and_gains(spark):
+    # 9 and 10 are best for each other; 1 to 4 follow 9, the largest gain first, and add half of the pair's weight at most
+    links = [(9, 10, 9.0, 10.0, 10.0), (1, 9, 4.0, 6.0, 10.0), (2, 9, 3.0, 4.0, 10.0), (3, 9, 2.0, 3.0, 10.0), (4, 9, 0.02, 1.0, 10.0)]
+    df = spark.createDataFrame([(a, b, w, ka, kb, 100.0) for a, b, w, ka, kb in links], "a bigint, b bigint, w double, k_a double, k_b double, total double")
+    got = {r.community: (r.into, r.k) for r in spark.sql(G.MOVES, links=df, resolution=1.0, digits=G.DIGITS, grown=G.GROWN).collect()}
+    assert got == {n: (9, 30.0) for n in (9, 10, 1, 2)}
+
+
+def test_levels_of_joining_lead_to_the_same_groups(spark, planted, monkeypatch):
+    monkeypatch.setattr(G, "TOGETHER", 1)  # a level each round
+    edges, nodes = planted
+    assert _found(spark, edges, nodes) == {n: n // 30 * 30 for n in nodes}
