@@ -43,26 +43,44 @@ def hierarchical_gate(rows: DataFrame, levels: list[tuple[str, float, int]]) ->
     return out.withColumn("pass", above).drop(*[f"_{name}" for name, *_ in levels])
 
 
-def best_of_block(q: np.ndarray, refs: np.ndarray, k: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """The ``k`` nearest rows of ``refs`` of each query, and their squared distances to 9 digits, ties to the earlier row.
+#: Queries of a block that are met at once, reference rows of which the nearest alone sets a bound, and pairs that are measured at once.
+STEP, GROUP, MEASURED = 256, 32, 65_536
+
+
+def best_pairs(q: np.ndarray, refs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places in ``q``, places in ``refs``, distances): the ``k`` nearest rows of ``refs`` of each query in turn, by squared distance to 9 digits, ties to the earlier row.
 
-    A matrix product leaves the few rows that may be among them; only those are measured one by one.
+    A matrix product leaves the few rows that may be among them; only those are measured one by one. The bound is the ``k``-th least of the
+    least products of groups of rows, as each of those groups has a row within it.
     """
     middle = refs.mean(0)
-    a, b = q - middle, refs - middle
-    rough_q, rough_r = (a**2).sum(1), (b**2).sum(1)
-    rough = rough_r - 2 * a @ b.T + rough_q[:, None]
-    # what the product may be off, and the rounding, on either side
-    slack = 4e-9 + 1e-14 * b.shape[1] * (rough_q + rough_r.max())
-    most = np.partition(rough, min(k, len(refs)) - 1, axis=1)[:, min(k, len(refs)) - 1] + slack
-    at, distances = [], []
-    for v, row, bound in zip(q, rough, most, strict=True):
-        some = np.flatnonzero(~(row > bound))
-        d = np.round(((refs[some] - v) ** 2).sum(1), 9)
-        near = np.argsort(d, kind="stable")[:k]
-        at.append(some[near])
-        distances.append(d[near])
-    return at, distances
+    b = refs - middle
+    rough_r = (b**2).sum(1)
+    width = max(1, min(GROUP, len(refs) // (4 * k)))
+    starts, least = np.arange(0, len(refs), width), min(k, len(refs)) - 1
+    out = []
+    for first in range(0, len(q), STEP):
+        some = q[first : first + STEP]
+        a = some - middle
+        rough = (-2 * a) @ b.T
+        rough += rough_r
+        # what the product may be off, and the rounding, on either side
+        slack = 4e-9 + 1e-14 * b.shape[1] * ((a**2).sum(1) + rough_r.max())
+        bound = np.partition(np.minimum.reduceat(rough, starts, axis=1), least, axis=1)[:, least] + slack
+        rows, at = np.nonzero(~(rough > bound[:, None]))
+        d = np.concatenate([np.round(((refs[at[i : i + MEASURED]] - some[rows[i : i + MEASURED]]) ** 2).sum(1), 9) for i in range(0, len(at), MEASURED)])
+        order = np.lexsort((at, d, rows))
+        rows, at, d = rows[order], at[order], d[order]
+        near = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+        out.append((rows[near] + first, at[near], d[near]))
+    return tuple(np.concatenate(parts) for parts in zip(*out, strict=True))
+
+
+def best_of_block(q: np.ndarray, refs: np.ndarray, k: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """``best_pairs`` as a list for each query."""
+    rows, at, distances = best_pairs(q, refs, k)
+    ends = np.searchsorted(rows, np.arange(1, len(q)))
+    return np.split(at, ends), np.split(distances, ends)
 
 
 def nearest(queries: DataFrame, reference: DataFrame, k: int, block: int = 4096) -> DataFrame:

@@ -3,7 +3,8 @@
 Centres are fitted by k-means on a sample of ``SAMPLE`` rows at most (those with the least hash of their ids), about one for
 each ``PER_LIST`` rows and ``CENTRES`` at most, so they may be broadcast. A query looks into the lists of its ``probes`` nearest centres. Lists are cut
 into blocks of about ``BLOCK`` rows, and a list's queries too, so that a list of any size is many bounded tasks. The result is exact within the lists looked
-into; with as many probes as centres it is exact altogether, as ``labels.nearest`` is. ``recall`` measures the rest.
+into; with as many probes as centres it is exact altogether, as ``labels.nearest`` is, and lists are then packed into blocks, so that a query is sent
+to each block instead of each list. ``recall`` measures the rest.
 
 Rows: (vec_id, label, embedding) as for ``labels.nearest``; vectors that are null or hold a null or a number that isn't finite take no part; ties go to
 the smaller id; repeated rows are rows; an empty reference gives no neighbours.
@@ -18,12 +19,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.operators.labels import best_of_block
+from tessella.operators.labels import best_of_block, best_pairs
 from tessella.sources.tables import cut
 
 SAMPLE, CENTRES, PER_LIST, BLOCK = 20_000, 1_024, 400, 4_096
 STEPS, SEED = 15, 13
 
+#: Rows of a block where every list is looked into, at most, and the blocks of a side below that.
+WIDE, SIDE = 16_384, 8
+
 
 def usable(vectors: DataFrame) -> DataFrame:
     """The rows with whole vectors, as doubles."""
@@ -80,6 +84,8 @@ def indexed(reference: DataFrame, found: np.ndarray | None = None) -> tuple[Data
 
 def search(queries: DataFrame, index: DataFrame, found: np.ndarray, k: int, probes: int = 8) -> DataFrame:
     """(query_id, ref_id, label, distance, rank): the ``k`` nearest rows of the lists looked into, by squared distance."""
+    if 0 < len(found) <= probes:
+        return _search_all(queries, index, k)
     label = index.schema["label"].dataType.simpleString()
     asked = in_lists(queries.select("vec_id", "embedding"), found, max(1, min(probes, len(found)))) if len(found) else usable(queries.select("vec_id", "embedding")).limit(0).withColumn("list", F.lit(0))
     blocks = lambda df: df.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
@@ -105,6 +111,49 @@ def search(queries: DataFrame, index: DataFrame, found: np.ndarray, k: int, prob
     return near.withColumn("label", F.col("label").cast(label)).withColumn("rank", place).where(F.col("rank") <= k)
 
 
+def _search_all(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
+    """``search`` in every list. Lists lie one after another in blocks of ``WIDE`` rows at most, and each pair of blocks is a task that keeps the best ``k`` of its queries.
+
+    Queries with the same vector are one until the end, and of reference rows with the same vector only the ``k`` of the least ids are met.
+    """
+    label = index.schema["label"].dataType.simpleString()
+    same = Window.partitionBy("embedding")
+    asked = usable(queries.select("vec_id", "embedding")).withColumn("vec_id", F.col("vec_id").cast("bigint"))
+    asked = cut(asked.withColumn("first", F.min("vec_id").over(same)).withColumn("place", F.row_number().over(same.orderBy("vec_id"))), "asked")
+    met = cut(index.withColumn("place", F.row_number().over(same.orderBy("vec_id", "label"))).where(F.col("place") <= k).drop("place"), "met")
+    once = asked.where("place = 1")
+
+    def blocks(n: int) -> int:
+        return max(1, -(-n // max(BLOCK, min(WIDE, -(-n // SIDE)))))
+
+    n_q = blocks(once.count())
+    sizes = sorted(met.groupBy("list").count().collect())  # one row a centre
+    n_r, before, starts = blocks(sum(r["count"] for r in sizes)), 0, []
+    for r in sizes:
+        starts.append((r["list"], before, r["count"]))
+        before += r["count"]
+    # a list begins where those before it end, and its rows are dealt by hash along its own stretch
+    place = F.broadcast(queries.sparkSession.createDataFrame(starts, "list int, start bigint, size bigint"))
+    block = ((F.col("start") + F.pmod(F.xxhash64("vec_id"), "size")) * n_r / F.lit(max(1, before))).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    right = met.join(place, "list").select(F.lit(1).alias("side"), F.col("vec_id").cast("bigint").alias("id"), F.col("label").cast("string").alias("label"), F.col("embedding").alias("v"), block.alias("rb"), every(n_q).alias("qb"))
+    left = once.select(F.lit(0).alias("side"), F.col("first").alias("id"), F.lit(None).cast("string").alias("label"), F.col("embedding").alias("v"), every(n_r).alias("rb"), F.pmod(F.xxhash64("first"), F.lit(n_q)).cast("int").alias("qb"))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        q, r = pdf[pdf.side == 0], pdf[pdf.side == 1].sort_values("id", kind="stable")
+        if not (len(q) and len(r)):
+            return pd.DataFrame({"first": [], "ref_id": [], "label": [], "distance": []})
+        rows, at, d = best_pairs(np.stack(q.v), np.stack(r.v), k)
+        return pd.DataFrame({"first": q.id.to_numpy()[rows], "ref_id": r.id.to_numpy()[at], "label": r.label.to_numpy(object)[at], "distance": d})
+
+    near = left.unionByName(right).repartition(min(2 * n_q * n_r, 4096), "qb", "rb").groupBy("qb", "rb").applyInPandas(run, "first bigint, ref_id bigint, label string, distance double")
+    order = F.row_number().over(Window.partitionBy("first").orderBy("distance", "ref_id"))
+    near = near.withColumn("rank", order).where(F.col("rank") <= k).drop("rank")
+    found = asked.select(F.col("vec_id").alias("query_id"), "first").join(near, "first").drop("first")
+    order = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "ref_id"))
+    return found.withColumn("label", F.col("label").cast(label)).withColumn("rank", order).where(F.col("rank") <= k).select("query_id", "ref_id", "label", "distance", "rank")
+
+
 def recall(near: DataFrame, exact: DataFrame) -> float | None:
     """The part of the exact neighbours (query_id, ref_id) that ``near`` has; null without any."""
     hit = exact.select("query_id", "ref_id").distinct().join(near.select("query_id", "ref_id", F.lit(1).alias("hit")).distinct(), ["query_id", "ref_id"], "left")

@@ -44,3 +44,31 @@ def test_odd_and_empty_rows(spark, vectors):
     assert sorted((r.query_id, r["rank"], r.ref_id) for r in N.search(odd.where("vec_id = 5 OR vec_id < 4"), index, found, 2).collect()) == [(5, 1, 5), (5, 2, 4)]
     index, found = N.indexed(df.limit(0))
     assert N.search(df, index, found, 3).isEmpty() and N.recall(df.limit(0).selectExpr("vec_id AS query_id", "vec_id AS ref_id"), df.limit(0).selectExpr("vec_id AS query_id", "vec_id AS ref_id")) is None
+
+
+def test_every_list_is_met_in_blocks(vectors, monkeypatch):
+    x, df = vectors
+    monkeypatch.setattr(N, "PER_LIST", 75)
+    monkeypatch.setattr(N, "BLOCK", 64)  # several blocks a side
+    copies = df.where("vec_id < 900").unionByName(df.where("vec_id < 300").selectExpr("vec_id + 5000 AS vec_id", "label + 1 AS label", "embedding"))
+    index, found = N.indexed(copies.where("vec_id % 2 = 0"))
+    monkeypatch.setattr(N, "in_lists", None)  # a query was sent to each list, which grows with the lists
+    got = N.search(copies.where("vec_id % 2 = 1 OR vec_id >= 5000"), index, found, 4, len(found)).collect()
+    rows = {i: (x[i % 5000], i % 5000 % 7 + i // 5000) for i in [*range(900), *range(5000, 5300)]}
+    refs = [i for i in sorted(rows) if i % 2 == 0]
+    want = []
+    for q in (i for i in rows if i % 2 == 1 or i >= 5000):
+        d = np.round(((np.stack([rows[i][0] for i in refs]) - rows[q][0]) ** 2).sum(1), 9)
+        want += [(q, n + 1, refs[i], rows[refs[i]][1]) for n, i in enumerate(np.argsort(d, kind="stable")[:4])]
+    assert len(found) > 5 and sorted((r.query_id, r["rank"], r.ref_id, r.label) for r in got) == sorted(want)
+
+
+def test_best_pairs_of_ties_copies_and_few_rows():
+    r = np.random.default_rng(8)
+    for n, m, k in ((600, 900, 5), (3, 2, 5), (1, 1, 1), (300, 40, 3)):
+        q, refs = r.integers(0, 3, (n, 3)).astype(float), r.integers(0, 3, (m, 3)).astype(float)  # mostly ties
+        rows, at, d = L.best_pairs(q, refs, k)
+        every = ((q[:, None] - refs[None]) ** 2).sum(2)
+        best = np.argsort(every, axis=1, kind="stable")[:, :k]
+        assert rows.tolist() == np.repeat(np.arange(n), best.shape[1]).tolist()
+        assert at.tolist() == best.ravel().tolist() and d.tolist() == np.take_along_axis(every, best, 1).ravel().tolist()
