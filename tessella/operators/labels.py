@@ -163,15 +163,18 @@ def weighted_votes(neighbours: DataFrame, labels: DataFrame, k: int | None = Non
     """(query_id, label, score): shares of the neighbours' weights by label; rows are (query_id, ref_id, distance), a label is (ref_id, label).
 
     A neighbour's weight is 1 - distance / distance of the farthest of its query, as a share of all; equal distances weigh the same.
-    Shares are rounded to 14 digits, so that they don't depend on the order in which the weights were added.
+    Weights are added from the least on, so that shares, which aren't rounded, don't depend on the order of rows.
     """
     rows = neighbours
     if k is not None:
         rows = rows.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "ref_id"))).where(F.col("r") <= k).drop("r")
     farthest = F.max("distance").over(Window.partitionBy("query_id"))
     rows = rows.withColumn("w", 1 - F.coalesce(F.try_divide(F.col("distance"), farthest), F.lit(0.0)) + 1e-9)
-    votes = rows.join(labels, "ref_id").groupBy("query_id", "label").agg(F.sum("w").alias("w"))
-    return votes.select("query_id", "label", F.round(F.col("w") / F.sum("w").over(Window.partitionBy("query_id")), 14).alias("score"))
+    added = lambda values, w=lambda x: x: F.aggregate(F.array_sort(values), F.lit(None).cast("double"), lambda z, x: F.coalesce(z + w(x), z, w(x)))
+    votes = rows.join(labels, "ref_id").groupBy("query_id", "label").agg(added(F.collect_list("w")).alias("w"))
+    votes = votes.groupBy("query_id").agg(F.collect_list(F.struct("w", "label")).alias("votes"))
+    each = votes.select("query_id", added(F.col("votes"), lambda x: x["w"]).alias("total"), F.explode("votes").alias("vote"))
+    return each.select("query_id", "vote.label", (F.col("vote.w") / F.col("total")).alias("score"))
 
 
 def without_small(rows: DataFrame, cluster: str, least: int) -> DataFrame:

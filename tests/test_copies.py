@@ -119,6 +119,22 @@ def test_shares_do_not_depend_on_the_order_of_weights(spark):
     assert {r.label for r in L.best_label(scores).collect()} == {14}
 
 
+def test_shares_are_plain_sums_from_the_least_weight_on(spark):
+    # of query 1182 of the smallest tables; rounded to 14 digits, the shares of 18 and 21 tied by 9 digits, which they don't in the SQL
+    rows = [(0.0, 18), (0.05, 21), (0.03, 21), (0.08, 19)]
+    neighbours = spark.createDataFrame([(1182, i, d) for i, (d, _) in enumerate(rows)], "query_id bigint, ref_id bigint, distance double")
+    labels = spark.createDataFrame([(i, label) for i, (_, label) in enumerate(rows)], "ref_id bigint, label int")
+    weights = {}
+    for w, label in sorted((1 - d / 0.08 + 1e-9, label) for d, label in rows):
+        weights[label] = weights.get(label, 0.0) + w
+    total = 0.0
+    for w in sorted(weights.values()):
+        total += w
+    scores = L.weighted_votes(neighbours, labels)
+    assert {r.label: r.score for r in scores.collect()} == {label: w / total for label, w in weights.items()}
+    assert [r.label for r in L.best_label(scores.withColumn("score", F.round("score", 9))).collect()] == [21]
+
+
 def test_hexagons_test_points_of_one_place_once(spark, monkeypatch):
     points = spark.createDataFrame([(1.0, 1.0, "a")] * 30 + [(1.0, 1.0, "b")] * 4 + [(1.0, 1.0, "Blank-1")], "x double, y double, gene string")
     seen = _met(monkeypatch, P, "points_in_polygons")
